@@ -67,7 +67,7 @@ def text_flag(column: str | Column) -> Column:
 def optional_flag(column: str | Column) -> Column:
     """Boolean from boolean or text; anything but true and false is null."""
     text = (F.col(column) if isinstance(column, str) else column).cast("string")
-    bare = F.trim(F.lit('"'), F.trim(text))
+    bare = F.trim(F.trim(text), F.lit('"'))
     return F.when(bare == "true", True).when(bare == "false", False)
 
 
@@ -132,7 +132,7 @@ def redact_addresses(column: str | Column, configured: str | None = None) -> Col
 def json_text(column: str | Column) -> Column:
     """JSON value as text: strings unescaped, other values as written, null as null."""
     raw = F.col(column) if isinstance(column, str) else column
-    bare = F.trim(F.lit(" \t\r\n"), raw)
+    bare = F.trim(raw, F.lit(" \t\r\n"))
     unescaped = F.from_json(F.concat(F.lit('{"v":'), bare, F.lit("}")), "v string")["v"]
     return F.when((bare == "") | (bare == "null"), None).when(bare.startswith('"'), unescaped).otherwise(raw)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,17 +126,21 @@ def order_folded(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.orderBy(*by)
 
 
-def sort_nested(df: DataFrame, order: Sequence[str], structs: dict[str, str] | None = None, lists: Sequence[str] = ()) -> DataFrame:
+def by_field(field: str) -> Callable[[Column, Column], Column]:
+    """Comparator of two array elements by one of their fields."""
+    return lambda a, b: F.when(a[field] < b[field], -1).when(a[field] > b[field], 1).otherwise(0)
+
+
+def sort_nested(
+    df: DataFrame, order: Sequence[str], structs: dict[str, str] | None = None, lists: Sequence[str] = ()
+) -> DataFrame:
     """Sort the rows, array-of-struct columns by one field, and plain arrays.
 
     ``structs`` maps a column to the field that orders its elements.
     """
     out = df
     for column, field in (structs or {}).items():
-        def compare(a: Column, b: Column, field: str = field) -> Column:
-            return F.when(a[field] < b[field], -1).when(a[field] > b[field], 1).otherwise(0)
-
-        out = out.withColumn(column, F.array_sort(column, compare))
+        out = out.withColumn(column, F.array_sort(column, by_field(field)))
     for column in lists:
         out = out.withColumn(column, F.sort_array(column))
     return out.orderBy(*[as_order(c, "first") for c in order])

@@ -70,12 +70,20 @@ def numbered_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     needs to know how many rows of its keys lie in earlier partitions. That
     table holds one row per partition and key, never one per row.
     """
-    keys = list(keys)
     sort = [*[F.col(k).asc_nulls_first() for k in keys], *order]
-    placed = cut_lineage(df.repartitionByRange(*sort).sortWithinPartitions(*sort))
+    return place_numbers(cut_lineage(df.repartitionByRange(*sort).sortWithinPartitions(*sort)), name, keys)
+
+
+def place_numbers(placed: DataFrame, name: str = "row_number", keys: Sequence[str] = ()) -> DataFrame:
+    """Number rows that are materialised in order, per key.
+
+    ``placed`` must come from :func:`cut_lineage`, so that partition numbers and
+    row order are the same each time it is read.
+    """
     marked = placed.withColumn("__part", F.spark_partition_id()).withColumn(
         "__pos", F.monotonically_increasing_id()
     )
+    keys = list(keys)
     runs = marked.groupBy("__part", *keys).agg(F.min("__pos").alias("__first"), F.count("*").alias("__n"))
     earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     ahead = runs.withColumn("__ahead", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
@@ -84,7 +92,7 @@ def numbered_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return (
         marked.join(ahead.withColumnsRenamed(renamed), on, "inner")
         .withColumn(name, F.col("__ahead") + F.col("__pos") - F.col("__first") + F.lit(1))
-        .select(*df.columns, name)
+        .select(*placed.columns, name)
     )
 
 

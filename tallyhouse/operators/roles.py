@@ -44,26 +44,27 @@ def platform_roles(teams: DataFrame) -> DataFrame:
 def role_paths(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """All (role, holds) pairs of a role-to-role graph, cycles included.
 
-    Each round extends only the pairs found in the round before, and a pair is
-    kept once, so a cycle ends when it finds nothing new. Rounds are cut with a
+    Each round joins the pairs found in the round before with all pairs known,
+    so paths double in length and a deep graph takes few rounds. A pair is kept
+    once, so a cycle ends when it finds nothing new. Rounds are cut with a
     reliable checkpoint.
     """
-    step = cut_lineage(edges.select("role", "holds").filter("role <> holds").distinct())
-    onward = step.select(F.col("role").alias("holds"), F.col("holds").alias("__next"))
-    known, fresh, rounds = step, step, 0
+    known = cut_lineage(edges.select("role", "holds").filter("role <> holds").distinct())
+    fresh, rounds = known, 0
     while not fresh.isEmpty():
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
-            raise RuntimeError(f"role graph is deeper than {max_rounds} rounds")
+            raise RuntimeError(f"role graph is not complete after {max_rounds} rounds")
+        onward = known.select(F.col("role").alias("holds"), F.col("holds").alias("__next"))
         reached = (
-            fresh.join(onward, "holds")
+            sized_join(fresh, onward, ["holds"])
             .select("role", F.col("__next").alias("holds"))
             .filter("role <> holds")
             .distinct()
         )
         fresh = cut_lineage(reached.join(known, ["role", "holds"], "left_anti"))
         known = known.unionByName(fresh)
-    return cut_lineage(known)
+    return known
 
 
 def role_closure(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
