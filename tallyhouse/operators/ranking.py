@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.joins import heavy_keys, same
+from tallyhouse.operators.joins import HEAVY_ROWS, heavy_keys, same
 from tallyhouse.settings import cut_lineage
 
 # Up to this many leading rows per key the plan keeps a bounded prefix per task.
@@ -39,7 +39,9 @@ def latest_storage(history: DataFrame) -> DataFrame:
     return latest_revision(history, ["database_id"], ["computed_ts"])
 
 
-def with_match_count(df: DataFrame, keys: Sequence[str], name: str = "match_count") -> DataFrame:
+def with_match_count(
+    df: DataFrame, keys: Sequence[str], name: str = "match_count", min_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """Each row beside the number of rows that share its keys.
 
     Counts are combined on the map side. The heaviest keys, at most a thousand,
@@ -47,7 +49,7 @@ def with_match_count(df: DataFrame, keys: Sequence[str], name: str = "match_coun
     """
     keys = list(keys)
     counts = df.groupBy(*keys).agg(F.count("*").alias(name))
-    hot = heavy_keys(df, keys).withColumn("__hot", F.lit(True))
+    hot = heavy_keys(df, keys, min_rows).withColumn("__hot", F.lit(True))
     renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
     null_safe = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
 
