@@ -33,9 +33,9 @@ def measured(df: DataFrame) -> tuple[int, int]:
     return row["n"], row["b"]
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    rows, size = measured(df)
-    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+def fits_broadcast(size: tuple[int, int]) -> bool:
+    rows, width = size
+    return rows <= BROADCAST_ROWS and width <= BROADCAST_BYTES
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS) -> DataFrame:
@@ -85,9 +85,18 @@ def salted_join(
     return joined.drop("__salt")
 
 
-def sized_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys``: broadcast ``right`` when measured small, else salt heavy keys."""
-    if fits_broadcast(right):
+def sized_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    size: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Join on ``keys``: broadcast ``right`` when it is small, else salt heavy keys.
+
+    ``right`` is measured unless the caller already knows its rows and bytes.
+    """
+    if fits_broadcast(size or measured(right)):
         return left.join(F.broadcast(right), list(keys), how)
     return salted_join(left, right, keys, how)
 

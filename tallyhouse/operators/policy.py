@@ -144,11 +144,13 @@ def route_by_tenant(
 ) -> None:
     """Write rows to one folder per tenant, or pooled in tenant order.
 
-    The range split covers tenant and ``within``, so a large tenant is written
-    by many tasks and pooled files can be skipped by their statistics.
+    The range split covers tenant and ``within``, or the whole row, so a large
+    tenant is written by many tasks and pooled files can be skipped by their
+    statistics.
     """
     keys = [tenant, *within]
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    split = keys if within else [tenant, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    ordered = df.repartitionByRange(*split).sortWithinPartitions(*keys)
     writer = ordered.write.mode("errorifexists")
     (writer.partitionBy(tenant) if separate else writer).parquet(path)
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.joins import HEAVY_ROWS, heavy_keys, same
+from tallyhouse.operators.joins import HEAVY_KEYS, HEAVY_ROWS, heavy_keys, same
 from tallyhouse.settings import cut_lineage
 
 # Up to this many leading rows per key the plan keeps a bounded prefix per task.
@@ -48,39 +48,52 @@ def with_match_count(
     are joined by broadcast; the rest shuffle in parts that are all small.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys).agg(F.count("*").alias(name))
-    hot = heavy_keys(df, keys, min_rows).withColumn("__hot", F.lit(True))
     renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
-    null_safe = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
-
-    def keyed(side: DataFrame) -> DataFrame:
-        return side.withColumnsRenamed(renamed)
-
-    hot_counts = counts.join(F.broadcast(keyed(hot)), null_safe, "left_semi")
-    marked = df.join(F.broadcast(keyed(hot_counts)), null_safe, "left").drop(*renamed.values())
+    on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
+    counts = df.groupBy(*keys).agg(F.count("*").alias(name)).withColumnsRenamed(renamed)
+    hot = counts.filter(F.col(name) >= min_rows).orderBy(F.desc(name), *renamed.values()).limit(HEAVY_KEYS)
+    marked = df.join(F.broadcast(hot), on, "left").drop(*renamed.values())
     settled = marked.filter(F.col(name).isNotNull())
     rest = marked.filter(F.col(name).isNull()).drop(name)
-    others = rest.join(keyed(counts), null_safe, "inner").drop(*renamed.values())
-    return settled.unionByName(others)
+    return settled.unionByName(rest.join(counts, on, "inner").drop(*renamed.values()))
 
 
-def numbered_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "row_number") -> DataFrame:
+def numbered_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "row_number", min_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """Exact ``row_number`` per key for keys of any size.
 
-    Rows are range partitioned over key and order, so a heavy key spans many
-    partitions. The sorted rows are materialised once; each partition then only
-    needs to know how many rows of its keys lie in earlier partitions. That
-    table holds one row per partition and key, never one per row.
+    Rows of the heaviest keys, at most a thousand, are range partitioned over
+    key and order, so such a key spans many tasks, and numbered from their place.
+    All other keys are small enough for a window. Without keys every row is
+    numbered from its place.
     """
-    sort = [*[F.col(k).asc_nulls_first() for k in keys], *order]
-    return place_numbers(cut_lineage(df.repartitionByRange(*sort).sortWithinPartitions(*sort)), name, keys)
+    keys = list(keys)
+    if not keys:
+        return place_numbers(in_order(df, order), name)
+    renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
+    on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
+    hot = F.broadcast(heavy_keys(df, keys, min_rows).withColumnsRenamed(renamed))
+    by_key = [F.col(k).asc_nulls_first() for k in keys]
+    large = place_numbers(in_order(df.join(hot, on, "left_semi"), [*by_key, *order]), name, keys)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    small = df.join(hot, on, "left_anti").withColumn(name, F.row_number().over(window).cast("bigint"))
+    return large.unionByName(small)
+
+
+def in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Rows range partitioned and sorted, and materialised so that places are fixed."""
+    return cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
 
 
 def place_numbers(placed: DataFrame, name: str = "row_number", keys: Sequence[str] = ()) -> DataFrame:
     """Number rows that are materialised in order, per key.
 
     ``placed`` must come from :func:`cut_lineage`, so that partition numbers and
-    row order are the same each time it is read.
+    row order are the same each time it is read. Each partition only needs to
+    know how many rows lie before it. That table has one row per partition and
+    key, and callers pass at most a thousand keys, so it is broadcast and the
+    rows are not shuffled again.
     """
     marked = placed.withColumn("__part", F.spark_partition_id()).withColumn(
         "__pos", F.monotonically_increasing_id()
@@ -92,7 +105,7 @@ def place_numbers(placed: DataFrame, name: str = "row_number", keys: Sequence[st
     renamed = {"__part": "__p", **{k: f"__k{i}" for i, k in enumerate(keys)}}
     on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
     return (
-        marked.join(ahead.withColumnsRenamed(renamed), on, "inner")
+        marked.join(F.broadcast(ahead.withColumnsRenamed(renamed)), on, "inner")
         .withColumn(name, F.col("__ahead") + F.col("__pos") - F.col("__first") + F.lit(1))
         .select(*placed.columns, name)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.parse import text_flag
 from tallyhouse.operators.aggregates import all_true
 from tallyhouse.operators.filters import filter_optional
-from tallyhouse.operators.joins import sized_join
+from tallyhouse.operators.joins import measured, sized_join
 from tallyhouse.operators.ordering import order_folded
 from tallyhouse.operators.sets import differences
 from tallyhouse.settings import cut_lineage
@@ -51,18 +51,21 @@ def role_paths(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """
     known = cut_lineage(edges.select("role", "holds").filter("role <> holds").distinct())
     fresh, rounds = known, 0
-    while not fresh.isEmpty():
+    found = size = measured(known)
+    while found[0]:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"role graph is not complete after {max_rounds} rounds")
         onward = known.select(F.col("role").alias("holds"), F.col("holds").alias("__next"))
         reached = (
-            sized_join(fresh, onward, ["holds"])
+            sized_join(fresh, onward, ["holds"], size=size)
             .select("role", F.col("__next").alias("holds"))
             .filter("role <> holds")
             .distinct()
         )
         fresh = cut_lineage(reached.join(known, ["role", "holds"], "left_anti"))
+        found = measured(fresh)
+        size = (size[0] + found[0], size[1] + found[1])
         known = known.unionByName(fresh)
     return known
 

@@ -143,12 +143,33 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order
     return kept.select(*target.columns).unionByName(newest.select(*target.columns))
 
 
+def touched_parts(table: VersionedTable, batch: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Folders of the table that hold a key of the batch. Only key columns are read.
+
+    The result is bounded by the number of folders, not by rows.
+    """
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "/data/([0-9a-f]{32})/", 1)
+    held = table.read().select(*keys, folder.alias("__part"))
+    hits = sized_join(held, batch.select(*keys).distinct(), keys, "left_semi").select("__part").distinct()
+    names = {r["__part"] for r in hits.collect()}
+    return [p for p in table.entry()["paths"] if p.rsplit("/", 1)[-1] in names]
+
+
 def merge_into(table: VersionedTable, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Merge a batch into a versioned table and return its new rows."""
+    """Merge a batch into a versioned table and return its new rows.
+
+    Folders without a key of the batch are kept as they are. The others are
+    rewritten as one new folder together with the batch.
+    """
     if table.entry() is None:
         table.create(batch.schema)
-    merged = merge_upsert(table.read(), batch, keys, order)
-    return table.read(table.replace(merged, "merge"))
+    rows = table.conform(batch)
+    paths, schema = list(table.entry()["paths"]), rows.schema
+    touched = touched_parts(table, rows, keys) if paths else []
+    held = table.spark.read.schema(schema).parquet(*touched) if touched else table.spark.createDataFrame([], schema)
+    staged = table.stage(merge_upsert(held, rows, keys, order))
+    kept = [p for p in paths if p not in touched]
+    return table.read(table.commit([*kept, staged], schema, "merge"))
 
 
 LEDGER = T.StructType(

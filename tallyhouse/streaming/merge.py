@@ -11,13 +11,18 @@ from tallyhouse.operators.ranking import latest_revision
 from tallyhouse.sources.tables import VersionedTable
 
 
-def merge_newest(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Newest revision per key of target and batch together.
+# A table of more parts than this is folded into one before it is read on.
+MOST_PARTS = 16
 
-    Merging a batch a second time, or an older one late, changes nothing.
-    """
-    both = target.unionByName(batch.select(*target.columns))
-    return latest_revision(both, keys, order)
+
+def newest_rows(table: VersionedTable, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest revision per key over all parts of the table."""
+    return latest_revision(table.read(), keys, order)
+
+
+def fold(table: VersionedTable, keys: Sequence[str], order: Sequence[str]) -> int:
+    """Rewrite the table as one part that holds each key once."""
+    return table.replace(newest_rows(table, keys, order), "fold")
 
 
 def stream_merge(
@@ -26,11 +31,14 @@ def stream_merge(
     keys: Sequence[str],
     order: Sequence[str],
     progress: str,
+    most_parts: int = MOST_PARTS,
 ) -> DataFrame:
-    """Merge what is there now, batch by batch, and return the table's rows.
+    """Merge what is there now, batch by batch, and return the newest row per key.
 
-    A batch that was committed before a failure is recognised by its note and
-    skipped when the stream replays it.
+    A batch is reduced to its newest rows and appended, so its cost does not
+    grow with the table; superseded rows go when the parts are folded. Revisions
+    decide, so a batch that arrives twice or late changes nothing. A batch that
+    was committed before a failure is recognised by its note and skipped.
     """
     if table.entry() is None:
         table.create(stream.schema)
@@ -39,8 +47,9 @@ def stream_merge(
         note = f"{progress}#{batch_id}"
         if not table.log().filter(F.col("note") == note).isEmpty():
             return
-        reduced = latest_revision(batch, keys, order)
-        table.replace(merge_newest(table.read(), reduced, keys, order), note)
+        table.append(latest_revision(batch, keys, order), note)
+        if len(table.entry()["paths"]) > most_parts:
+            fold(table, keys, order)
 
     query = (
         stream.writeStream.foreachBatch(merge_batch)
@@ -49,4 +58,4 @@ def stream_merge(
         .start()
     )
     query.awaitTermination()
-    return table.read()
+    return newest_rows(table, keys, order)

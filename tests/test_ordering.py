@@ -128,7 +128,7 @@ def test_match_count_with_heavy_and_null_keys(spark):
 
 def test_numbered_rows_of_a_heavy_key(spark):
     df = spark.range(9_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 10).cast("string")).alias("k"), "id").repartition(9)
-    got = ranking.numbered_rows(df, ["k"], [F.desc("id")])
+    got = ranking.numbered_rows(df, ["k"], [F.desc("id")], min_rows=1_000)
     window = {}
     for r in sorted(got.collect(), key=lambda r: (r["k"], -r["id"])):
         window[r["k"]] = window.get(r["k"], 0) + 1

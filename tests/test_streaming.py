@@ -53,6 +53,15 @@ def test_stream_merge_keeps_the_newest_and_survives_replay(spark, folder):
     assert rows(stream_merge(events, table, ["user_id"], ["ts", "event_id"], f"{folder}/p2"), "event_id", "user_id", "value") == want
 
 
+def test_folding_keeps_the_same_rows(spark, folder):
+    for n in range(4):
+        write(spark, folder, f"f{n}", (n, n, 7, float(n)), (10 + n, 9 - n, 8, float(n)))
+    table = VersionedTable(spark, f"{folder}/t")
+    got = stream_merge(stream(spark, folder), table, ["user_id"], ["ts", "event_id"], f"{folder}/p", most_parts=2)
+    assert rows(got, "event_id", "user_id") == [(10, 8), (3, 7)]
+    assert len(table.entry()["paths"]) <= 2
+
+
 def test_repeats_within_the_watermark_are_dropped(spark, folder):
     write(spark, folder, "a", (1, 0, 7, 1.0), (2, 1, 7, 1.0), (1, 2, 7, 1.0))
     write(spark, folder, "b", (2, 3, 7, 1.0), (3, 4, 7, 1.0))

@@ -153,6 +153,17 @@ def test_merge_keeps_absent_rows_and_reduces_the_batch(spark):
         merge_upsert(target, new, ["k"]).collect()
 
 
+def test_merge_rewrites_only_folders_that_hold_a_key(spark, folder):
+    table = VersionedTable(spark, f"{folder}/t")
+    for k in ("a", "b", "c"):
+        table.append(spark.createDataFrame([(k, 1)], "k string, v int"))
+    first, second, third = table.entry()["paths"]
+    new = spark.createDataFrame([(2, "b"), (3, "d")], "v int, k string")
+    assert rows(merge_into(table, new, ["k"])) == [("a", 1), ("b", 2), ("c", 1), ("d", 3)]
+    paths = table.entry()["paths"]
+    assert paths[:2] == [first, third] and len(paths) == 3
+
+
 def test_merge_into_new_table_twice(spark, folder):
     table = VersionedTable(spark, f"{folder}/t")
     new = spark.createDataFrame([("a", 1)], "k string, v int")

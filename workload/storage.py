@@ -156,10 +156,13 @@ def json_rows(spark, sf):
     return rows_json(rows).select(F.get_json_object("row_json", "$.id").cast("bigint").alias("event_id"), "row_json")
 
 
-@query("s10_list_files")
+@query("s10_list_files", "SELECT DISTINCT 'usage_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS name, 'folder' AS type FROM events")
 def list_files(spark, sf):
-    """The files of the data folder itself."""
-    return readers.list_files(spark, sf).select("name", "type", "size")
+    """Events written to a folder per day; the folders of the listing."""
+    path = scratch_path(spark, "days")
+    days = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("usage_date"))
+    days.repartitionByRange("usage_date", "event_id").write.partitionBy("usage_date").parquet(path)
+    return readers.list_files(spark, path).select("name", "type").filter("type = 'folder'")
 
 
 @query("s11_data_files", "SELECT 'lineitem.parquet' AS file_name, count(*) AS rows FROM lineitem")
