@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.parse import is_failure, run_status
 from tallyhouse.operators.ordering import NEWEST_RUNS
-from tallyhouse.operators.ranking import latest_revision, page_per_group
+from tallyhouse.operators.ranking import LIST_PART, in_parts, latest_revision, page_per_group
 
 MONEY = "decimal(18,2)"
 UNITS = "decimal(38,9)"
@@ -67,23 +67,28 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def name_list(df: DataFrame, column: str, sep: str = ", ", keys: Sequence[str] = ()) -> DataFrame:
+def name_list(
+    df: DataFrame, column: str, sep: str = ", ", keys: Sequence[str] = (), part_size: int = LIST_PART
+) -> DataFrame:
     """Names joined into one text in order; no names give an empty text.
 
-    Equal names are counted before they meet in one task, so the list costs one
-    row per different name. The result itself is one value per key.
+    Equal names are counted before they are ordered. A key with more than
+    ``part_size`` different names continues in the next ``part``.
     """
     keys = list(keys)
     names = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("__n"))
     repeated = F.array_join(F.array_repeat(F.col(column), F.col("__n").cast("int")), sep)
-    names = names.withColumn("__text", repeated)
+    names = in_parts(names.withColumn("__text", repeated), keys, [column], part_size)
     ordered = F.sort_array(F.collect_list(F.struct(F.col(column).alias("name"), F.col("__text").alias("text"))))
     text = F.array_join(F.transform(ordered, lambda e: e["text"]), sep)
-    if not keys:
-        return names.agg(F.coalesce(text, F.lit("")).alias("names"))
-    listed = names.groupBy(*keys).agg(text.alias("names"))
-    every = df.select(*keys).distinct()
-    return every.join(listed, keys, "left").select(*keys, F.coalesce("names", F.lit("")).alias("names"))
+    listed = names.groupBy(*keys, "part").agg(text.alias("names"))
+    if keys:
+        found = df.select(*keys).distinct().join(listed, keys, "left")
+    else:
+        found = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("part")).join(listed, "part", "full_outer")
+    return found.select(
+        *keys, F.coalesce("part", F.lit(0)).cast("bigint").alias("part"), F.coalesce("names", F.lit("")).alias("names")
+    )
 
 
 def all_true(condition: Column) -> Column:
@@ -140,10 +145,15 @@ def status_map(runs: DataFrame, key: str = "job_id", limit: int = NEWEST_RUNS) -
     return newest.groupBy(key).agg(F.map_from_entries(entries).alias("statuses"))
 
 
-def collect_sorted(df: DataFrame, keys: Sequence[str], column: str, name: str | None = None) -> DataFrame:
-    """Sorted set of values per key. Copies are removed before values meet."""
-    values = df.select(*keys, column).distinct()
-    return values.groupBy(*keys).agg(F.sort_array(F.collect_list(column)).alias(name or column))
+def collect_sorted(
+    df: DataFrame, keys: Sequence[str], column: str, name: str | None = None, part_size: int = LIST_PART
+) -> DataFrame:
+    """Sorted set of values per key, in parts of bounded length.
+
+    Copies are removed before values meet.
+    """
+    values = in_parts(df.select(*keys, column).filter(F.col(column).isNotNull()).distinct(), keys, [column], part_size)
+    return values.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(column)).alias(name or column))
 
 
 def run_outcomes(runs: DataFrame, key: str = "job_id") -> DataFrame:

@@ -38,19 +38,30 @@ def fits_broadcast(size: tuple[int, int]) -> bool:
     return rows <= BROADCAST_ROWS and width <= BROADCAST_BYTES
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """The heaviest keys, never more than ``HEAVY_KEYS`` rows.
+def heavy_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS) -> DataFrame | None:
+    """The heaviest keys with their row counts, never more than ``HEAVY_KEYS``, or nothing.
 
-    The count is combined on the map side, so a hot key costs one row per task.
+    Only key columns are read, and counts are combined on the map side, so a hot
+    key costs one row per task. The answer decides the plan: data without heavy
+    keys is not made to pay for them.
     """
-    return (
+    found = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("__rows"))
         .filter(F.col("__rows") >= min_rows)
         .orderBy(F.desc("__rows"), *keys)
         .limit(HEAVY_KEYS)
-        .select(*keys)
     )
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
+def split_by_key(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the hot keys with ``__rows``, and all other rows. Null is a key like any other."""
+    renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
+    on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
+    listed = F.broadcast(hot.withColumnsRenamed(renamed))
+    return df.join(listed, on, "inner").drop(*renamed.values()), df.join(listed, on, "left_anti")
 
 
 def salted_join(
@@ -69,7 +80,10 @@ def salted_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join keeps left rows and cannot run {how}")
     keys = list(keys)
-    hot = F.broadcast(heavy_keys(left, keys, min_rows).withColumn("__hot", F.lit(True)))
+    hot = heavy_keys(left, keys, min_rows)
+    if hot is None:
+        return left.join(right, keys, how)
+    hot = F.broadcast(hot.select(*keys, F.lit(True).alias("__hot")))
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
     matchless = F.lit(False)  # a null key joins nothing, so its rows may go anywhere
     for k in keys:

@@ -12,11 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.joins import HEAVY_KEYS, HEAVY_ROWS, heavy_keys, same
+from tallyhouse.operators.joins import HEAVY_ROWS, heavy_keys, same, split_by_key
 from tallyhouse.settings import cut_lineage
 
 # Up to this many leading rows per key the plan keeps a bounded prefix per task.
 SHORT_PREFIX = 1_000
+# Most elements one list value holds. A longer list goes on in the next part.
+LIST_PART = 100_000
 
 
 def latest_revision(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -44,18 +46,15 @@ def with_match_count(
 ) -> DataFrame:
     """Each row beside the number of rows that share its keys.
 
-    Counts are combined on the map side. The heaviest keys, at most a thousand,
-    are joined by broadcast; the rest shuffle in parts that are all small.
+    Rows of heavy keys take the count that found them heavy, by broadcast. All
+    other keys are small enough for a window.
     """
-    keys = list(keys)
-    renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
-    on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
-    counts = df.groupBy(*keys).agg(F.count("*").alias(name)).withColumnsRenamed(renamed)
-    hot = counts.filter(F.col(name) >= min_rows).orderBy(F.desc(name), *renamed.values()).limit(HEAVY_KEYS)
-    marked = df.join(F.broadcast(hot), on, "left").drop(*renamed.values())
-    settled = marked.filter(F.col(name).isNotNull())
-    rest = marked.filter(F.col(name).isNull()).drop(name)
-    return settled.unionByName(rest.join(counts, on, "inner").drop(*renamed.values()))
+    counted = F.count("*").over(Window.partitionBy(*keys))
+    hot = heavy_keys(df, keys, min_rows)
+    if hot is None:
+        return df.withColumn(name, counted)
+    large, small = split_by_key(df, keys, hot)
+    return large.withColumnRenamed("__rows", name).unionByName(small.withColumn(name, counted))
 
 
 def numbered_rows(
@@ -63,22 +62,22 @@ def numbered_rows(
 ) -> DataFrame:
     """Exact ``row_number`` per key for keys of any size.
 
-    Rows of the heaviest keys, at most a thousand, are range partitioned over
-    key and order, so such a key spans many tasks, and numbered from their place.
+    Rows of heavy keys, at most a thousand keys, are range partitioned over key
+    and order, so such a key spans many tasks, and numbered from their place.
     All other keys are small enough for a window. Without keys every row is
     numbered from its place.
     """
     keys = list(keys)
     if not keys:
         return place_numbers(in_order(df, order), name)
-    renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
-    on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
-    hot = F.broadcast(heavy_keys(df, keys, min_rows).withColumnsRenamed(renamed))
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    hot = heavy_keys(df, keys, min_rows)
+    if hot is None:
+        return df.withColumn(name, position)
+    large, small = split_by_key(df, keys, hot)
     by_key = [F.col(k).asc_nulls_first() for k in keys]
-    large = place_numbers(in_order(df.join(hot, on, "left_semi"), [*by_key, *order]), name, keys)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    small = df.join(hot, on, "left_anti").withColumn(name, F.row_number().over(window).cast("bigint"))
-    return large.unionByName(small)
+    numbered = place_numbers(in_order(large.drop("__rows"), [*by_key, *order]), name, keys)
+    return numbered.unionByName(small.withColumn(name, position))
 
 
 def in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -111,6 +110,17 @@ def place_numbers(placed: DataFrame, name: str = "row_number", keys: Sequence[st
     )
 
 
+def in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = LIST_PART) -> DataFrame:
+    """Rows with the ``part`` of their key's ordered list that they belong to.
+
+    A list built per key and part is bounded, and the parts in order are the
+    whole list. Nearly all keys have only part 0.
+    """
+    ranked = numbered_rows(df, keys, [F.col(c) for c in order], "__rn")
+    before = F.col("__rn") - F.lit(1)
+    return ranked.withColumn("part", ((before - before % F.lit(size)) / F.lit(size)).cast("bigint")).drop("__rn")
+
+
 def page_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int, offset: int = 0
 ) -> DataFrame:
@@ -127,32 +137,39 @@ def page_per_group(
     return ranked.filter(F.col("__rn") > offset).drop("__rn")
 
 
+def previous_by_unit(df: DataFrame, key: str, at: str, measure: str, name: str, unit: str) -> DataFrame:
+    """The previous value of a key whose history is too long for one task.
+
+    Rows are compared inside (key, calendar unit). The first row of a unit takes
+    its predecessor from a table with one row per key and unit.
+    """
+    cut = df.withColumn("__unit", F.date_trunc(unit, F.col(at)))
+    inside = Window.partitionBy(key, "__unit").orderBy(at)
+    local = cut.withColumn("__rn", F.row_number().over(inside)).withColumn("__prev", F.lag(measure).over(inside))
+    last = cut.groupBy(key, "__unit").agg(F.max_by(measure, at).alias("__last"))
+    carry = last.withColumn("__carry", F.lag("__last").over(Window.partitionBy(key).orderBy("__unit"))).drop("__last")
+    renamed = {key: "__k", "__unit": "__u"}
+    on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
+    value = F.when(F.col("__rn") == 1, F.col("__carry")).otherwise(F.col("__prev"))
+    return local.join(carry.withColumnsRenamed(renamed), on, "left").select(*df.columns, value.alias(name))
+
+
 def storage_growth(
     history: DataFrame,
     key: str = "database_id",
     at: str = "computed_ts",
     measure: str = "active_bytes",
-    unit: str = "month",
+    unit: str = "day",
+    min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Change of ``measure`` since the previous computation of the same key.
-
-    Rows are compared inside (key, calendar unit). The first row of a unit takes
-    its predecessor from a table with one row per key and unit, so the history
-    of one large key is never sorted in one task.
-    """
+    """Change of ``measure`` since the previous computation of the same key."""
     previous = f"previous_{measure}"
-    cut = history.withColumn("__unit", F.date_trunc(unit, F.col(at)))
-    inside = Window.partitionBy(key, "__unit").orderBy(at)
-    local = cut.withColumn("__rn", F.row_number().over(inside)).withColumn(
-        "__prev", F.lag(measure).over(inside)
-    )
-    last = cut.groupBy(key, "__unit").agg(F.max_by(measure, at).alias("__last"))
-    carry = last.withColumn(
-        "__carry", F.lag("__last").over(Window.partitionBy(key).orderBy("__unit"))
-    ).drop("__last")
-    joined = local.join(carry, [key, "__unit"], "left")
-    return (
-        joined.withColumn(previous, F.when(F.col("__rn") == 1, F.col("__carry")).otherwise(F.col("__prev")))
-        .withColumn("growth", F.col(measure) - F.col(previous))
-        .select(*history.columns, previous, "growth")
-    )
+    lagged = F.lag(measure).over(Window.partitionBy(key).orderBy(at))
+    hot = heavy_keys(history, [key], min_rows)
+    if hot is None:
+        rows = history.withColumn(previous, lagged)
+    else:
+        large, small = split_by_key(history, [key], hot)
+        by_unit = previous_by_unit(large.drop("__rows"), key, at, measure, previous, unit)
+        rows = by_unit.unionByName(small.withColumn(previous, lagged))
+    return rows.withColumn("growth", F.col(measure) - F.col(previous))

@@ -12,6 +12,7 @@ from tallyhouse.operators.aggregates import all_true
 from tallyhouse.operators.filters import filter_optional
 from tallyhouse.operators.joins import measured, sized_join
 from tallyhouse.operators.ordering import order_folded
+from tallyhouse.operators.ranking import LIST_PART, in_parts
 from tallyhouse.operators.sets import differences
 from tallyhouse.settings import cut_lineage
 
@@ -139,16 +140,16 @@ def listed_when(condition: Column, value: str) -> Column:
     return F.sort_array(F.collect_list(F.when(condition, F.col(value))))
 
 
-def audit_shares(expected: DataFrame, actual: DataFrame) -> DataFrame:
+def audit_shares(expected: DataFrame, actual: DataFrame, part_size: int = LIST_PART) -> DataFrame:
     """Missing and unexpected audiences per share, and whether it complies.
 
-    Only differences enter the lists. :func:`share_differences` gives the same
-    facts as rows, for shares whose lists would be too long for one value.
+    Only differences enter the lists. A share with more than ``part_size`` of
+    them continues in the next ``part``.
     """
+    differing = share_differences(expected, actual).filter("status <> 'matched'")
     found = (
-        share_differences(expected, actual)
-        .filter("status <> 'matched'")
-        .groupBy("share_name")
+        in_parts(differing, ["share_name"], ["audience"], part_size)
+        .groupBy("share_name", "part")
         .agg(
             listed_when(F.col("status") == "missing", "audience").alias("missing"),
             listed_when(F.col("status") == "unexpected", "audience").alias("unexpected"),
@@ -161,11 +162,12 @@ def audit_shares(expected: DataFrame, actual: DataFrame) -> DataFrame:
         .join(found, "share_name", "left")
         .select(
             "share_name",
+            F.coalesce("part", F.lit(0)).cast("bigint").alias("part"),
             F.coalesce("missing", none).alias("missing"),
             F.coalesce("unexpected", none).alias("unexpected"),
             F.col("missing").isNull().alias("compliant"),
         )
-        .orderBy("share_name")
+        .orderBy("share_name", "part")
     )
 
 
@@ -193,8 +195,14 @@ def role_differences(expected: DataFrame, members: DataFrame, roles: DataFrame)
     return rows.withColumn("status", F.when(F.col("kind") == "inherited", "inherited").otherwise(F.col("status")))
 
 
-def audit_roles(expected: DataFrame, members: DataFrame, roles: DataFrame) -> DataFrame:
-    """Missing and unexpected members and direct roles per role, and its inherited roles."""
+def audit_roles(
+    expected: DataFrame, members: DataFrame, roles: DataFrame, part_size: int = LIST_PART
+) -> DataFrame:
+    """Missing and unexpected members and direct roles per role, and its inherited roles.
+
+    Lists are cut into parts as in :func:`audit_shares`; a role complies when
+    all its parts do.
+    """
     is_member, is_role = F.col("kind") == "member", F.col("kind") == "role"
     missing, extra = F.col("status") == "missing", F.col("status") == "unexpected"
     lists = {
@@ -204,10 +212,10 @@ def audit_roles(expected: DataFrame, members: DataFrame, roles: DataFrame) -> Da
         "unexpected_roles": is_role & extra,
         "inherited_roles": F.col("status") == "inherited",
     }
+    differing = role_differences(expected, members, roles).filter("status <> 'matched'")
     found = (
-        role_differences(expected, members, roles)
-        .filter("status <> 'matched'")
-        .groupBy("role_name")
+        in_parts(differing, ["role_name"], ["kind", "item"], part_size)
+        .groupBy("role_name", "part")
         .agg(
             *[listed_when(c, "item").alias(n) for n, c in lists.items()],
             all_true(F.col("status") == "inherited").alias("compliant"),
@@ -220,10 +228,11 @@ def audit_roles(expected: DataFrame, members: DataFrame, roles: DataFrame) -> Da
         .join(found, "role_name", "left")
         .select(
             "role_name",
+            F.coalesce("part", F.lit(0)).cast("bigint").alias("part"),
             *[F.coalesce(n, none).alias(n) for n in lists],
             F.coalesce("compliant", F.lit(True)).alias("compliant"),
         )
-        .orderBy("role_name")
+        .orderBy("role_name", "part")
     )
 
 

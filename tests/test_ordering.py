@@ -146,8 +146,9 @@ def test_page_per_group(spark, limit, offset):
 def test_growth_crosses_units(spark):
     data = [("d", f"2026-0{m}-{d:02d} 00:00:00", m * 100 + d) for m in (1, 2, 4) for d in (1, 15)]
     df = shuffled(spark, data, "database_id string, t string, active_bytes int", 4).withColumn("computed_ts", F.col("t").cast("timestamp_ntz"))
-    got = sorted(rows(ranking.storage_growth(df), "active_bytes", "previous_active_bytes", "growth"))
-    assert got == [(101, None, None), (115, 101, 14), (201, 115, 86), (215, 201, 14), (401, 215, 186), (415, 401, 14)]
+    for min_rows in (1, 100):
+        got = sorted(rows(ranking.storage_growth(df, min_rows=min_rows), "active_bytes", "previous_active_bytes", "growth"))
+        assert got == [(101, None, None), (115, 101, 14), (201, 115, 86), (215, 201, 14), (401, 215, 186), (415, 401, 14)]
 
 
 def test_dedupe_keeps_the_first_copy(spark):

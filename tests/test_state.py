@@ -126,7 +126,7 @@ def test_table_diff(spark):
 
 def test_leftovers(spark):
     objects = spark.createDataFrame([("share", "tf_b"), ("share", "tf_a"), ("share", "tfx"), ("database", "prod")], "kind string, name string")
-    assert rows(drift.leftovers(objects, "tf_")) == [("database", ""), ("share", "tf_a, tf_b")]
+    assert rows(drift.leftovers(objects, "tf_"), "kind", "names") == [("database", ""), ("share", "tf_a, tf_b")]
 
 
 def test_snapshot_life(spark, folder):

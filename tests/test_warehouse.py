@@ -11,6 +11,7 @@ from pyspark.errors import PySparkException
 from conftest import rows
 from tallyhouse.operators.aggregates import daily_revenue, daily_revenue_mart, name_list, tenant_summary
 from tallyhouse.operators.checks import (
+    colliding_tenants,
     duplicate_keys,
     enum_violations,
     not_null_violations,
@@ -244,8 +245,11 @@ def test_slugs(spark):
 
 def test_name_list(spark):
     data = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "name string")
-    assert rows(name_list(data, "name")) == [("a, b, b",)]
-    assert rows(name_list(data.filter("false"), "name")) == [("",)]
+    assert rows(name_list(data, "name")) == [(0, "a, b, b")]
+    assert rows(name_list(data.filter("false"), "name")) == [(0, "")]
+    assert rows(name_list(data, "name", part_size=1)) == [(0, "a"), (1, "b, b")]
+    tenants = spark.createDataFrame([("A b", 1), ("a-b", 2), ("c", 3)], "slug string, tenant_id int")
+    assert rows(colliding_tenants(tenants)) == [("a_b", 0, ["1", "2"])]
 
 
 def test_files(spark, folder):

@@ -264,7 +264,7 @@ def share_differences(spark, sf):
 )
 def audit_shares(spark, sf):
     audit = roles.audit_shares(expected_audiences(spark, sf), actual_audiences(spark, sf))
-    return audit.withColumns({"missing": joined("missing"), "unexpected": joined("unexpected")})
+    return audit.drop("part").withColumns({"missing": joined("missing"), "unexpected": joined("unexpected")})
 
 
 ROLE_FACTS = f"""e AS (SELECT DISTINCT * FROM {ROLE_EDGES}),
@@ -313,7 +313,7 @@ def listed(condition: str) -> str:
     bool_and(status IN ('matched', 'inherited')) AS compliant FROM diff GROUP BY role_name""",
 )
 def audit_roles(spark, sf):
-    audit = roles.audit_roles(*role_audit_inputs(spark, sf))
+    audit = roles.audit_roles(*role_audit_inputs(spark, sf)).drop("part")
     lists = [c for c in audit.columns if c not in ("role_name", "compliant")]
     return audit.withColumns({c: joined(c) for c in lists})
 

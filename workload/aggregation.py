@@ -92,7 +92,7 @@ def total(spark, sf):
 )
 def name_list(spark, sf):
     brands = table(spark, sf, "part").select("p_type", "p_brand").distinct()
-    return aggregates.name_list(brands, "p_brand", ", ", ["p_type"])
+    return aggregates.name_list(brands, "p_brand", ", ", ["p_type"]).drop("part")
 
 
 @query(
@@ -100,7 +100,7 @@ def name_list(spark, sf):
     "SELECT coalesce(string_agg(p_brand, ', ' ORDER BY p_brand), '') AS names FROM part WHERE p_brand LIKE 'tf\\_%' ESCAPE '\\'",
 )
 def name_list_empty(spark, sf):
-    return aggregates.name_list(table(spark, sf, "part").filter(F.col("p_brand").startswith("tf_")), "p_brand")
+    return aggregates.name_list(table(spark, sf, "part").filter(F.col("p_brand").startswith("tf_")), "p_brand").drop("part")
 
 
 @query("a8_distinct_values", "SELECT DISTINCT o_custkey FROM orders")

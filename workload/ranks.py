@@ -221,17 +221,18 @@ def order_folded(spark, sf):
 
 @query(
     "l9_sort_nested",
-    """SELECT conv_id, string_agg(turn || ':' || role, ',' ORDER BY turn) AS turns, string_agg(role, ',' ORDER BY role) AS roles
-    FROM conversations GROUP BY conv_id""",
+    """SELECT conv_id, turn // 100 AS block, string_agg(turn || ':' || role, ',' ORDER BY turn) AS turns, string_agg(role, ',' ORDER BY role) AS roles
+    FROM conversations GROUP BY ALL""",
 )
 def sort_nested(spark, sf):
-    """Conversations with their turns and roles as sorted arrays."""
-    grouped = table(spark, sf, "conversations").groupBy("conv_id").agg(
+    """Conversations in blocks of a hundred turns, with turns and roles as sorted arrays."""
+    block = ((F.col("turn") - F.col("turn") % 100) / 100).cast("bigint")
+    grouped = table(spark, sf, "conversations").groupBy("conv_id", block.alias("block")).agg(
         F.collect_list(F.struct("turn", "role")).alias("turns"), F.collect_list("role").alias("roles")
     )
-    rows = ordering.sort_nested(grouped, ["conv_id"], {"turns": "turn"}, ["roles"])
+    rows = ordering.sort_nested(grouped, ["conv_id", "block"], {"turns": "turn"}, ["roles"])
     each = F.transform("turns", lambda t: F.concat(t["turn"].cast("string"), F.lit(":"), t["role"]))
-    return rows.select("conv_id", F.array_join(each, ",").alias("turns"), F.array_join("roles", ",").alias("roles"))
+    return rows.select("conv_id", "block", F.array_join(each, ",").alias("turns"), F.array_join("roles", ",").alias("roles"))
 
 
 @query("l10_first_by_name", "SELECT p_name || p_partkey AS name, p_type FROM part WHERE upper(p_type) = 'ECONOMY' ORDER BY name LIMIT 1")

@@ -273,7 +273,7 @@ def leftovers(spark, sf):
     key = F.col("p_partkey")
     kind = F.concat(F.lit("kind_"), text(((key - key % 50) / 50).cast("bigint")))
     rows = table(spark, sf, "part").select(kind.alias("kind"), F.concat("p_brand", F.lit("/"), text(key)).alias("name"))
-    return drift.leftovers(rows, "Brand#2")
+    return drift.leftovers(rows, "Brand#2").drop("part")
 
 
 @query(
