@@ -37,7 +37,7 @@ def test_sized_join_beyond_the_limit_does_not_broadcast(sides, monkeypatch):
 
 def test_heavy_rows_reach_many_tasks(spark, sides):
     left, right = sides
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
     kept = {k: spark.conf.get(k) for k in settings}
     try:
         for k, v in settings.items():
