@@ -78,7 +78,8 @@ def role_closure(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     ``role_name``. The graph of roles is expanded alone; members then join it
     once, so the many user edges take no part in the rounds.
     """
-    direct = edges.select("member_type", "member_name", "role_name")
+    named = edges.filter(F.col("member_name").isNotNull() & F.col("role_name").isNotNull())
+    direct = named.select("member_type", "member_name", "role_name")
     graph = direct.filter("member_type = 'role'").select(
         F.col("member_name").alias("role"), F.col("role_name").alias("holds")
     )

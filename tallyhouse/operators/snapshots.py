@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.parse import instant_literal, retention_days
+from tallyhouse.operators.joins import salted_join
 
 
 def snapshot_lookup(wanted: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -28,7 +29,9 @@ def snapshot_lookup(wanted: DataFrame, catalog: DataFrame) -> DataFrame:
     asked = wanted.withColumn("__db", F.lower("database_name")).withColumns(
         {"__id": F.col("snapshot_id"), "__name": F.col("snapshot_name")}
     )
-    return asked.join(by_id, ["__db", "__id"], "left").join(by_name, ["__db", "__name"], "left")
+    # Requests without an id or name are many and match nothing, so they are spread.
+    named = salted_join(asked, by_id, ["__db", "__id"], "left")
+    return salted_join(named, by_name, ["__db", "__name"], "left")
 
 
 def resolve_snapshots(catalog: DataFrame, wanted: DataFrame) -> DataFrame:

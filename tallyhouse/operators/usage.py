@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.parse import instant_literal, parse_instant, run_status
-from tallyhouse.operators.aggregates import any_true
+from tallyhouse.operators.aggregates import any_true, uptime_total
 from tallyhouse.operators.filters import bridge_finish_time, filter_name
 from tallyhouse.operators.ordering import page
 from tallyhouse.operators.ranking import latest_revision, latest_storage
@@ -41,6 +41,11 @@ def compute_usage(
     return page(rows, order, limit, offset)
 
 
+def uptime_seconds(df: DataFrame, user: str, start: str, end: str) -> DataFrame:
+    """Exact uptime of one user over the usage windows inside the bounds."""
+    return uptime_total(compute_usage(df, user, start, end))
+
+
 def agent_usage(
     df: DataFrame,
     user: str | None = None,

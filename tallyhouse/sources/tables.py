@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,17 +192,17 @@ def append_ledger(ledger: VersionedTable, run_id: str, rows: int, status: str) -
 
 
 def ledgered_append(table: VersionedTable, df: DataFrame, ledger: VersionedTable, run_id: str) -> DataFrame:
-    """Append rows and record their number, counted while they are written.
+    """Append rows and record how many were written.
 
+    They are counted in the written files, where rerun tasks cannot count twice.
     A load that fails is recorded as failed and its error goes on to the caller.
     """
-    seen = Observation()
     try:
-        table.append(df.observe(seen, F.count("*").alias("rows")), run_id)
+        written = table.entry(table.append(df, run_id))["paths"][-1]
     except Exception:
         append_ledger(ledger, run_id, 0, "failed")
         raise
-    return append_ledger(ledger, run_id, seen.get["rows"], "succeeded")
+    return append_ledger(ledger, run_id, table.spark.read.parquet(written).count(), "succeeded")
 
 
 def publish(source: DataFrame, share: VersionedTable) -> int:

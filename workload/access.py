@@ -189,7 +189,7 @@ def teams(spark, sf):
     key = F.col("c_custkey")
     number = ((key - key % 10) / 10).cast("bigint")
     grouped = table(spark, sf, "customer").groupBy(F.concat(F.lit("team_"), text(number)).alias("team"), (number % 3).alias("n")).agg(
-        F.collect_list("c_name").alias("members"), F.collect_set("c_mktsegment").alias("shares")
+        F.collect_set("c_name").alias("members"), F.collect_set("c_mktsegment").alias("shares")
     )
     return grouped.select("team", "members", "shares", F.when(F.col("n") == 0, "builder").alias("platform_role"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import aggregates
-from tallyhouse.operators.usage import compute_usage
+from tallyhouse.operators.usage import uptime_seconds
 from workload.registry import query
 from workload.relations import (
     AGENT_RUNS,
@@ -138,8 +138,8 @@ def over_no_rows(spark, sf):
     AND start_time >= TIMESTAMP '2024-01-05 00:00:00' AND end_time <= TIMESTAMP '2024-01-25 00:00:00'""",
 )
 def uptime_total(spark, sf):
-    rows = compute_usage(usage(spark, sf), "user_8", "2024-01-05T00:00:00Z", "2024-01-25T02:00:00+02:00")
-    return aggregates.uptime_total(rows).select(F.col("uptime_seconds").cast("double").alias("uptime_seconds"))
+    rows = uptime_seconds(usage(spark, sf), "user_8", "2024-01-05T00:00:00Z", "2024-01-25T02:00:00+02:00")
+    return rows.select(F.col("uptime_seconds").cast("double").alias("uptime_seconds"))
 
 
 @query(

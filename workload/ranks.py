@@ -222,12 +222,13 @@ def order_folded(spark, sf):
 @query(
     "l9_sort_nested",
     """SELECT conv_id, turn // 100 AS block, string_agg(turn || ':' || role, ',' ORDER BY turn) AS turns, string_agg(role, ',' ORDER BY role) AS roles
-    FROM conversations GROUP BY ALL""",
+    FROM (SELECT DISTINCT conv_id, turn, role FROM conversations) GROUP BY ALL""",
 )
 def sort_nested(spark, sf):
     """Conversations in blocks of a hundred turns, with turns and roles as sorted arrays."""
     block = ((F.col("turn") - F.col("turn") % 100) / 100).cast("bigint")
-    grouped = table(spark, sf, "conversations").groupBy("conv_id", block.alias("block")).agg(
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role").distinct()
+    grouped = turns.groupBy("conv_id", block.alias("block")).agg(
         F.collect_list(F.struct("turn", "role")).alias("turns"), F.collect_list("role").alias("roles")
     )
     rows = ordering.sort_nested(grouped, ["conv_id", "block"], {"turns": "turn"}, ["roles"])

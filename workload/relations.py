@@ -7,10 +7,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. Its footer is read for the schema only the first time."""
+    path = f"{sf}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
 def text(column: str | Column) -> Column:
