@@ -38,17 +38,18 @@ def fits_broadcast(size: tuple[int, int]) -> bool:
     return rows <= BROADCAST_ROWS and width <= BROADCAST_BYTES
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS) -> DataFrame | None:
+def heavy_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
     """The heaviest keys with their row counts, never more than ``HEAVY_KEYS``, or nothing.
 
     Only key columns are read, and counts are combined on the map side, so a hot
     key costs one row per task. The answer decides the plan: data without heavy
     keys is not made to pay for them.
     """
+    least = HEAVY_ROWS if min_rows is None else min_rows
     found = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("__rows"))
-        .filter(F.col("__rows") >= min_rows)
+        .filter(F.col("__rows") >= least)
         .orderBy(F.desc("__rows"), *keys)
         .limit(HEAVY_KEYS)
     )
@@ -70,7 +71,7 @@ def salted_join(
     keys: Sequence[str],
     how: str = "inner",
     salts: int = SALTS,
-    min_rows: int = HEAVY_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Equi join that spreads the left rows of a heavy key over many tasks.
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.joins import HEAVY_ROWS, heavy_keys, same, split_by_key
+from tallyhouse.operators.joins import heavy_keys, same, split_by_key
 from tallyhouse.settings import cut_lineage
 
 # Up to this many leading rows per key the plan keeps a bounded prefix per task.
@@ -42,7 +42,7 @@ def latest_storage(history: DataFrame) -> DataFrame:
 
 
 def with_match_count(
-    df: DataFrame, keys: Sequence[str], name: str = "match_count", min_rows: int = HEAVY_ROWS
+    df: DataFrame, keys: Sequence[str], name: str = "match_count", min_rows: int | None = None
 ) -> DataFrame:
     """Each row beside the number of rows that share its keys.
 
@@ -58,7 +58,7 @@ def with_match_count(
 
 
 def numbered_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "row_number", min_rows: int = HEAVY_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "row_number", min_rows: int | None = None
 ) -> DataFrame:
     """Exact ``row_number`` per key for keys of any size.
 
@@ -160,7 +160,7 @@ def storage_growth(
     at: str = "computed_ts",
     measure: str = "active_bytes",
     unit: str = "day",
-    min_rows: int = HEAVY_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Change of ``measure`` since the previous computation of the same key."""
     previous = f"previous_{measure}"
