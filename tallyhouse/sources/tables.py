@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,7 @@ class VersionedTable:
                 raise
             return None
 
-    def entry(self, version: int | None = None):
+    def entry(self, version: int | None = None) -> Row | None:
         """The log row of a version, by default the newest. Readers resolve it once."""
         log = self.log()
         if log is None:
@@ -50,17 +50,18 @@ class VersionedTable:
         return newest[0] if newest else None
 
     def version(self) -> int:
-        entry = self.entry()
-        return 0 if entry is None else entry["version"]
+        return number_of(self.entry())
 
     def read(self, version: int | None = None) -> DataFrame:
         entry = self.entry(version)
         if entry is None:
             raise LookupError(f"{self.path} has no version {version or ''}".rstrip())
-        schema = T.StructType.fromJson(json.loads(entry["schema_json"]))
-        if not entry["paths"]:
+        return self.rows_of(entry["paths"], schema_of(entry))
+
+    def rows_of(self, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*entry["paths"])
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def stage(self, df: DataFrame) -> str:
         """Write rows to a folder nobody reads yet."""
@@ -68,8 +69,13 @@ class VersionedTable:
         df.write.mode("errorifexists").parquet(folder)
         return folder
 
-    def commit(self, paths: Sequence[str], schema: T.StructType, note: str = "") -> int:
-        version = self.version() + 1
+    def commit(self, paths: Sequence[str], schema: T.StructType, note: str = "", base: int | None = None) -> int:
+        """Make the folders the next version after ``base``, by default after the newest.
+
+        A writer that read version ``base`` commits on top of it. If another one
+        did the same meanwhile, the log shows the version twice.
+        """
+        version = (self.version() if base is None else base) + 1
         row = self.spark.createDataFrame(
             [(version, schema.json(), list(paths), note)],
             "version bigint, schema_json string, paths array<string>, note string",
@@ -81,12 +87,11 @@ class VersionedTable:
         """An empty table with this definition."""
         return self.commit([], schema, "create")
 
-    def conform(self, df: DataFrame) -> DataFrame:
+    def conform(self, df: DataFrame, entry: Row | None) -> DataFrame:
         """Rows in the column order and types the table defines; absent columns are null."""
-        entry = self.entry()
         if entry is None:
             return df
-        schema = T.StructType.fromJson(json.loads(entry["schema_json"]))
+        schema = schema_of(entry)
         unknown = [c for c in df.columns if c not in schema.names]
         if unknown:
             raise ValueError(f"{self.path} has no columns {unknown}")
@@ -98,15 +103,24 @@ class VersionedTable:
         )
 
     def replace(self, df: DataFrame, note: str = "replace") -> int:
-        rows = self.conform(df)
-        return self.commit([self.stage(rows)], rows.schema, note)
+        entry = self.entry()
+        rows = self.conform(df, entry)
+        return self.commit([self.stage(rows)], rows.schema, note, number_of(entry))
 
     def append(self, df: DataFrame, note: str = "append") -> int:
         """Add rows. Earlier files are kept as they are."""
         entry = self.entry()
-        rows = self.conform(df)
+        rows = self.conform(df, entry)
         earlier = [] if entry is None else list(entry["paths"])
-        return self.commit([*earlier, self.stage(rows)], rows.schema, note)
+        return self.commit([*earlier, self.stage(rows)], rows.schema, note, number_of(entry))
+
+
+def number_of(entry: Row | None) -> int:
+    return 0 if entry is None else entry["version"]
+
+
+def schema_of(entry: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(entry["schema_json"]))
 
 
 def append_rows(df: DataFrame, table: VersionedTable, columns: Sequence[str]) -> int:
@@ -143,16 +157,16 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order
     return kept.select(*target.columns).unionByName(newest.select(*target.columns))
 
 
-def touched_parts(table: VersionedTable, batch: DataFrame, keys: Sequence[str]) -> list[str]:
-    """Folders of the table that hold a key of the batch. Only key columns are read.
+def touched_parts(table: VersionedTable, entry: Row, batch: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Folders of a version that hold a key of the batch. Only key columns are read.
 
     The result is bounded by the number of folders, not by rows.
     """
     folder = F.regexp_extract(F.col("_metadata.file_path"), "/data/([0-9a-f]{32})/", 1)
-    held = table.read().select(*keys, folder.alias("__part"))
+    held = table.rows_of(entry["paths"], schema_of(entry)).select(*keys, folder.alias("__part"))
     hits = sized_join(held, batch.select(*keys).distinct(), keys, "left_semi").select("__part").distinct()
     names = {r["__part"] for r in hits.collect()}
-    return [p for p in table.entry()["paths"] if p.rsplit("/", 1)[-1] in names]
+    return [p for p in entry["paths"] if p.rsplit("/", 1)[-1] in names]
 
 
 def merge_into(table: VersionedTable, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -161,15 +175,14 @@ def merge_into(table: VersionedTable, batch: DataFrame, keys: Sequence[str], ord
     Folders without a key of the batch are kept as they are. The others are
     rewritten as one new folder together with the batch.
     """
-    if table.entry() is None:
-        table.create(batch.schema)
-    rows = table.conform(batch)
-    paths, schema = list(table.entry()["paths"]), rows.schema
-    touched = touched_parts(table, rows, keys) if paths else []
-    held = table.spark.read.schema(schema).parquet(*touched) if touched else table.spark.createDataFrame([], schema)
-    staged = table.stage(merge_upsert(held, rows, keys, order))
-    kept = [p for p in paths if p not in touched]
-    return table.read(table.commit([*kept, staged], schema, "merge"))
+    entry = table.entry()
+    rows = table.conform(batch, entry)
+    paths = [] if entry is None else list(entry["paths"])
+    touched = touched_parts(table, entry, rows, keys) if paths else []
+    staged = table.stage(merge_upsert(table.rows_of(touched, rows.schema), rows, keys, order))
+    merged = [*[p for p in paths if p not in touched], staged]
+    table.commit(merged, rows.schema, "merge", number_of(entry))
+    return table.rows_of(merged, rows.schema)
 
 
 LEDGER = T.StructType(
