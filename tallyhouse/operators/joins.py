@@ -182,7 +182,7 @@ def matching_patterns(tables: DataFrame, patterns: DataFrame) -> DataFrame:
     with_path = tables.withColumn("__path", F.concat_ws(".", "schema_name", "table_name"))
     cols = ["share_name", "schema_name", "table_name"]
     return (
-        tables.join(by_schema, "schema_name")
+        sized_join(tables, by_schema, ["schema_name"])
         .select(*cols)
         .unionByName(with_path.join(by_table, "__path").select(*cols))
         .distinct()

@@ -62,9 +62,11 @@ def role_paths(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
             sized_join(fresh, onward, ["holds"], size=size)
             .select("role", F.col("__next").alias("holds"))
             .filter("role <> holds")
-            .distinct()
         )
-        fresh = cut_lineage(reached.join(known, ["role", "holds"], "left_anti"))
+        # One shuffle both removes repeats and tells new pairs from known ones.
+        pairs = reached.withColumn("__known", F.lit(False)).unionByName(known.withColumn("__known", F.lit(True)))
+        either = pairs.groupBy("role", "holds").agg(F.max("__known").alias("__known"))
+        fresh = cut_lineage(either.filter("NOT __known").drop("__known"))
         found = measured(fresh)
         size = (size[0] + found[0], size[1] + found[1])
         known = known.unionByName(fresh)
@@ -147,7 +149,7 @@ def audit_shares(expected: DataFrame, actual: DataFrame, part_size: int = LIST_P
     Only differences enter the lists. A share with more than ``part_size`` of
     them continues in the next ``part``.
     """
-    differing = share_differences(expected, actual).filter("status <> 'matched'")
+    differing = cut_lineage(share_differences(expected, actual).filter("status <> 'matched'"))
     found = (
         in_parts(differing, ["share_name"], ["audience"], part_size)
         .groupBy("share_name", "part")
@@ -213,7 +215,7 @@ def audit_roles(
         "unexpected_roles": is_role & extra,
         "inherited_roles": F.col("status") == "inherited",
     }
-    differing = role_differences(expected, members, roles).filter("status <> 'matched'")
+    differing = cut_lineage(role_differences(expected, members, roles).filter("status <> 'matched'"))
     found = (
         in_parts(differing, ["role_name"], ["kind", "item"], part_size)
         .groupBy("role_name", "part")

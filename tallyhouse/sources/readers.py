@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,8 +69,9 @@ def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataF
         .load(path)
         .select("path", "length", F.col("modificationTime").alias("last_modified"))
     )
-    cut = F.split(F.col("path"), F.lit("/" + path.rstrip("/").split("/")[-1] + "/"), 2)
-    rows = listed.withColumn("name", F.element_at(cut, 2))
+    root = re.sub(r"^[a-z][a-z0-9+.-]*:/*", "/", path).rstrip("/") + "/"
+    start = F.instr("path", F.lit(root)) + F.lit(len(root))
+    rows = listed.withColumn("name", F.substring("path", start, F.length("path")))
     files = rows if recursive else rows.filter(~F.col("name").contains("/"))
     folders = rows.filter(F.col("name").contains("/")).select(
         F.substring_index("name", "/", 1).alias("name"), F.lit("folder").alias("type")

@@ -254,6 +254,7 @@ def test_name_list(spark):
 
 
 def test_files(spark, folder):
+    folder = f"{folder}/a+b (1)"
     spark.range(3).coalesce(1).write.parquet(f"{folder}/lake/t")
     spark.range(2).coalesce(1).write.option("header", True).csv(f"{folder}/lake/c")
     assert rows(list_files(spark, f"{folder}/lake"), "name", "type") == [("c", "folder"), ("t", "folder")]
