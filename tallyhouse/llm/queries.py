@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import isolation
+from tallyhouse.llm import isolation, pii, simhash
 from tallyhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,13 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
 @query
 def op3_isolation_rules(spark: SparkSession, folder: str) -> DataFrame:
     return isolation.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op9_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op8_deobfuscated_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(table(spark, folder, "documents"))
