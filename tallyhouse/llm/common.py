@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyhouse.settings import cut_lineage, scratch_path
 
-__all__ = ["cut_lineage", "documents", "fresh", "scratch_path", "slices", "table"]
+__all__ = ["cut_lineage", "documents", "fresh", "map_batches", "scratch_path", "slices", "table"]
+ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +34,17 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def map_batches(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str
+) -> DataFrame:
+    """``mapInArrow`` whose workers look for this package where the driver has found it, besides their own path."""
+    env = df.sparkSession.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if ROOT not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [known, ROOT]))
+    return df.mapInArrow(function, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int | str, limit: int) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of the batches, cut after ``limit`` bytes of a text column.
 

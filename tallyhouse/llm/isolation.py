@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import cut_lineage, documents
+from tallyhouse.llm.common import cut_lineage, documents, map_batches
 from tallyhouse.llm.textstats import COUNTS, measure
 
 #: Bounded sample of labelled clean rows that the forest is grown from.
@@ -130,10 +131,10 @@ def fit(docs: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_LOSS, fit_
 
     def binned(parts):
         for part in parts:
-            x = part[list(STATISTICS)].to_numpy(float)
-            yield part.assign(bin=np.floor(forest.score(x) / BIN).astype("int64"))[["quality", "bin"]]
+            x = np.stack([part.column(c).to_numpy() for c in STATISTICS], 1)
+            yield pa.RecordBatch.from_arrays([part.column("quality"), pa.array(np.floor(forest.score(x) / BIN).astype(np.int64))], names=["quality", "bin"])
 
-    counted = known.mapInPandas(binned, "quality int, bin long").groupBy("bin").agg(
+    counted = map_batches(known, binned, "quality int, bin long").groupBy("bin").agg(
         F.count_if(F.col("quality") == 1).alias("clean"), F.count_if(F.col("quality") == 0).alias("junk"))
     found = counted.orderBy("bin").toPandas()  # at most 1 / BIN rows
     above = found["clean"].to_numpy()[::-1].cumsum()[::-1] - found["clean"].to_numpy()

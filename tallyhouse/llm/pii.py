@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyhouse.llm.common import documents, slices
+from tallyhouse.llm.common import documents, map_batches, slices
 
 KINDS = ("email", "ip", "card", "phone")
 SLICE_BYTES = 2 << 20
@@ -269,7 +269,7 @@ def with_spans(df: DataFrame, text: str = "text", name: str = "spans") -> DataFr
             made = pa.array(column, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])))
             yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, *kind.fields]))
+    return map_batches(df, run, StructType([*df.schema.fields, *kind.fields]))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -307,4 +307,4 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
             made = pa.array([cleaned(t) for t in part.column(place).to_pylist()], part.schema.field(place).type)
             yield part.set_column(place, part.schema.field(place), made)
 
-    return df.mapInArrow(run, df.schema)
+    return map_batches(df, run, df.schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import isolation, pii, simhash
+from tallyhouse.llm import isolation, pieces, pii, simhash
 from tallyhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op9_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_deobfuscated_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
+
+
+@query
+def op7_piece_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode_decode(table(spark, folder, "documents"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tallyhouse.llm.common import cut_lineage, documents, slices
+from tallyhouse.llm.common import cut_lineage, documents, map_batches, slices
 from tallyhouse.llm.components import components
 from tallyhouse.llm.words import mix, text_bytes
 
@@ -70,7 +70,7 @@ def with_fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint
                 np.uint64, part.num_rows)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found.view(np.int64))], names=[*part.schema.names, name])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, LongType())]))
+    return map_batches(df, run, StructType([*df.schema.fields, StructField(name, LongType())]))
 
 
 def band_keys(blocks: int, agree: int) -> list[Column]:
@@ -211,7 +211,7 @@ def links(fingerprints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCK
             held_f, held_k = f[cut:], k[cut:]
         yield from rows(list(solved(held_f, held_k)))
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return map_batches(dealt, run, "a long, b long")
 
 
 def classes(fingerprints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, agree: int = AGREE) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from tallyhouse.llm.common import slices
+from tallyhouse.llm.common import map_batches, slices
 from tallyhouse.llm.words import BYTE_BASE, BYTE_VALUES, WORD_BASE, later_copies, mix, per_text, repeated, span_hashes, words_of
 
 SLICE_BYTES = 4 << 20
@@ -115,4 +115,4 @@ def measure(
             yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=names)
 
     kinds = ", ".join(f"`{prefix}{c}` {'bigint' if c in COUNTS else 'double'}" for c in added)
-    return df.mapInArrow(run, StructType([*df.schema.fields, *StructType.fromDDL(kinds).fields]))
+    return map_batches(df, run, StructType([*df.schema.fields, *StructType.fromDDL(kinds).fields]))
