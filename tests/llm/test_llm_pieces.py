@@ -99,6 +99,7 @@ def test_viterbi_finds_the_best_path(spark):
 
 @needs_model
 def test_an_input_that_changes_is_refused(spark, model):
-    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.rand().cast("string")).alias("text"))
+    other = F.udf(lambda: os.urandom(8).hex(), "string").asNondeterministic()
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), other().alias("text"))
     with pytest.raises(Exception, match="cut its lineage first"):
         pieces.encode(docs, model).collect()
