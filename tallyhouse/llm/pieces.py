@@ -28,6 +28,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Texts are packed into units of this many bytes; a longer text is a unit of its own.
 UNIT_BYTES = 8 << 20
+#: Segments are dealt to this many buckets by their hash; what a unit asks of a bucket is one row.
+BUCKETS = 1024
+#: Code points that are hashed at a time.
+HASH_STEP = 1 << 20
 #: The fold keeps the ends of pieces as bits of a long. Longer segments are merged when they are packed.
 LONGEST = 62
 #: The piece table is broadcast; a larger one is refused.
@@ -156,48 +160,114 @@ def _plain_path(model: Model, segment: str) -> list[int]:
     return [i for ids in reversed(out) for i in ids]
 
 
+def _segment_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Hashes of all segments, some code points at a time."""
+    found, lo = [np.zeros(0, np.uint64)], 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + HASH_STEP, side="right")))
+        base = starts[lo]
+        found.append(span_hashes(values[codes[base : ends[hi - 1]]], starts[lo:hi] - base, ends[lo:hi] - base, BYTE_BASE))
+        lo = hi
+    return np.concatenate(found)
+
+
+def _squeeze(value) -> bytes:
+    return zstandard.compress(pickle.dumps(value, protocol=5), 3)
+
+
+def _open(packed: bytes):
+    return pickle.loads(zstandard.decompress(packed))
+
+
+def _texts(lengths: bytes, joined: str) -> list[str]:
+    ends = np.cumsum(np.frombuffer(lengths, np.uint8), dtype=np.int64).tolist()
+    return [joined[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def _packer(model: Model, wanted: str):
-    """Units of texts as rows: one ``pack`` row per unit, or one ``ask`` row per distinct segment of a unit."""
+    """Units of texts as rows: one row per unit, or one row for each bucket that a unit asks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(model)
         values = mix(np.arange(1, 0x110001, dtype=np.uint64))
         for part in slices(batches, 1, UNIT_BYTES):
             whole, codes, starts, counts = cutter.cut(part.column(1).to_pylist())
-            ends = np.append(starts[1:], len(codes))
-            hashes = span_hashes(values[codes], starts, ends, BYTE_BASE) if len(codes) else np.zeros(0, np.uint64)
+            ends = np.append(starts[1:], len(codes))[: len(starts)]
+            hashes = _segment_hashes(codes, starts, ends, values)
             by_hash = np.argsort(hashes)
             ranked = hashes[by_hash]
             new = np.concatenate([[True], ranked[1:] != ranked[:-1]])[: len(ranked)]
             heads = np.flatnonzero(new)
-            seen = by_hash[heads]  # one place of each distinct segment
             order = np.argsort(-np.diff(np.append(heads, len(ranked))), kind="stable")  # the most frequent first
-            seen = seen[order]
+            seen = by_hash[heads[order]]  # one occurrence of each distinct segment
             unit = xxhash.xxh64_intdigest(codes.tobytes(), len(counts))
             unit = xxhash.xxh64_intdigest(repr(part.column(0).to_pylist()).encode(), unit) >> 1
-            short = ends[seen] - starts[seen] <= LONGEST
-            asked = np.flatnonzero(short)
+            size = ends[seen] - starts[seen]
+            bucket = np.where(size <= LONGEST, (hashes[seen] % np.uint64(BUCKETS)).astype(np.int64), BUCKETS)  # the last one is not asked
             if wanted == "ask":
-                segments = [whole[a:b] for a, b in zip(starts[seen[asked]].tolist(), ends[seen[asked]].tolist())]
+                dealt = np.argsort(bucket, kind="stable")[: int((bucket < BUCKETS).sum())]
+                cuts = np.flatnonzero(np.diff(bucket[dealt], prepend=-1, append=BUCKETS)) if len(dealt) else np.zeros(1, np.int64)
+                rows = []
+                for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    own = dealt[lo:hi]
+                    joined = "".join([whole[a:b] for a, b in zip(starts[seen[own]].tolist(), ends[seen[own]].tolist())])
+                    rows.append((int(bucket[own[0]]), _squeeze((size[own].astype(np.uint8).tobytes(), joined))))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(segments, pa.string()), pa.array(np.full(len(asked), unit)), pa.array(asked.astype(np.int32))],
-                    names=["segment", "unit", "place"])
+                    [pa.array([b for b, _ in rows], pa.int32()), pa.array(np.full(len(rows), unit)), pa.array([x for _, x in rows], pa.binary())],
+                    names=["bucket", "unit", "pack"])
                 continue
-            long = {i: plain_merges(model, whole[starts[seen[i]] : ends[seen[i]]]) for i in np.flatnonzero(~short).tolist()}
+            long = {i: plain_merges(model, whole[starts[seen[i]] : ends[seen[i]]]) for i in np.flatnonzero(bucket == BUCKETS).tolist()}
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
             places = np.empty(len(ranked), np.uint32)
             places[by_hash] = place[np.cumsum(new) - 1]
             planes = places.view(np.uint8).reshape(-1, 4).T.tobytes()  # low bytes first: they compress apart from high ones
             ids = part.column(0)
-            packed = pickle.dumps((ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), counts, planes, long, len(asked)))
+            packed = _squeeze((ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), counts, planes, long, bucket.astype(np.uint16)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([unit]), pa.array([-1], pa.int32()), pa.array([zstandard.compress(packed, 3)], pa.binary()), pa.array([None], pa.list_(pa.int32()))],
-                names=["unit", "place", "pack", "ids"])
+                [pa.array([unit]), pa.array([-1], pa.int32()), pa.array([packed], pa.binary())], names=["unit", "place", "pack"])
 
     return run
 
 
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From asking rows sorted by bucket, each segment of a bucket once."""
+    current, seen = None, set()
+    for batch in batches:
+        for bucket, pack in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            if bucket != current:
+                current, seen = bucket, set()
+            fresh = [t for t in _texts(*_open(pack)) if t not in seen]
+            seen.update(fresh)
+            if fresh:
+                yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(fresh), pa.int32()), pa.array(fresh, pa.string())], names=["bucket", "segment"])
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by bucket, first the ids of its segments and then the asking rows, one answer for each of these."""
+    current, place, lists, sizes, begin, flat = None, {}, [], None, None, None
+    for batch in batches:
+        rows = zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3).to_pylist(), batch.column(4))
+        for bucket, unit, pack, segment, ids in rows:
+            if bucket != current:
+                current, place, lists, sizes = bucket, {}, [], None
+            if pack is None:
+                place[segment] = len(place)
+                lists.append(np.array(ids.values.to_numpy(), np.int32))
+                continue
+            if sizes is None:
+                sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+                begin = np.cumsum(sizes) - sizes
+                flat = np.concatenate([np.zeros(0, np.int32), *lists])
+            at = np.array([place[t] for t in _texts(*_open(pack))], np.int64)
+            many = sizes[at]
+            until = np.cumsum(many)
+            found = flat[np.repeat(begin[at] - (until - many), many) + np.arange(int(until[-1]))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([unit]), pa.array([bucket], pa.int32()), pa.array([_squeeze((many.astype(np.uint8).tobytes(), found.tobytes()))], pa.binary())],
+                names=["unit", "place", "pack"])
+
+
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     """``piece, id, score, ord``; ``ord`` puts the best score first, and equal scores together."""
     if len(model.ids) > MOST_PIECES:
@@ -208,15 +278,15 @@ def piece_table(spark: SparkSession, model: Model) -> DataFrame:
 
 
 def lattice(segments: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """``segment, from, n, id, score, ord`` for each substring of a segment that is a piece.
+    """``bucket, segment, from, n, id, score, ord`` for each substring of a segment that is a piece.
 
     Every single character has an edge, with a null id where it is no piece.
     Explode and broadcast join leave the edges of a segment together, in order.
     """
     size = F.length("segment")
-    spots = segments.select("segment", F.explode(F.sequence(F.lit(0), size - 1)).alias("from"))
-    spans = spots.select("segment", "from", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("from")))).alias("n"))
-    spans = spans.select("segment", "from", "n", F.expr("substring(segment, from + 1, n)").alias("piece"))
+    spots = segments.select("bucket", "segment", F.explode(F.sequence(F.lit(0), size - 1)).alias("from"))
+    spans = spots.select("bucket", "segment", "from", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("from")))).alias("n"))
+    spans = spans.select("bucket", "segment", "from", "n", F.expr("substring(segment, from + 1, n)").alias("piece"))
     return spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or n = 1").drop("piece")
 
 
@@ -271,12 +341,13 @@ def _fold_merges(model: Model):
             found = np.array([i for p in parts for i in p], np.int32)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.astype(np.int32)))
-        return pa.RecordBatch.from_arrays([segments.combine_chunks(), lists], names=["segment", "ids"])
+        bucket = table.column("bucket").filter(names.is_valid()).combine_chunks()
+        return pa.RecordBatch.from_arrays([bucket, segments.combine_chunks(), lists], names=["bucket", "segment", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            heads = np.flatnonzero(batch.column(0).is_valid().to_numpy(zero_copy_only=False))
+            heads = np.flatnonzero(batch.column(1).is_valid().to_numpy(zero_copy_only=False))
             if sum(b.num_rows for b in held) >= step and len(heads):
                 yield solve(pa.Table.from_batches([*held, batch.slice(0, heads[-1])]))
                 held = [batch.slice(heads[-1])]
@@ -314,7 +385,7 @@ def viterbi(edges: Column, size: Column, lowest: float) -> tuple[Column, Column]
 
 
 def segment_ids(segments: DataFrame, pieces: DataFrame, model: Model) -> DataFrame:
-    """``segment, ids`` for distinct segments of at most ``LONGEST`` characters.
+    """``bucket, segment, ids`` for distinct segments of at most ``LONGEST`` characters.
 
     A unigram model folds the edges of a segment to the path of the best sum.
     In a merge model (BPE) the best sum is another segmentation than the
@@ -323,9 +394,9 @@ def segment_ids(segments: DataFrame, pieces: DataFrame, model: Model) -> DataFra
     found = lattice(segments, pieces, model.longest)
     if not model.unigram:
         name = F.when((F.col("from") == 0) & (F.col("n") == 1), F.col("segment")).alias("segment")
-        return map_batches(found.select(name, "from", "n", "id", "ord"), _fold_merges(model), "segment string, ids array<int>")
+        return map_batches(found.select("bucket", name, "from", "n", "id", "ord"), _fold_merges(model), "bucket int, segment string, ids array<int>")
     edge = F.struct(F.col("from").cast("int").alias("from"), (F.col("from") + F.col("n")).cast("int").alias("to"), "id", "score")
-    edges = found.groupBy("segment").agg(F.collect_list(edge).alias("edges"))
+    edges = found.groupBy("bucket", "segment").agg(F.collect_list(edge).alias("edges"))
     best, parts = viterbi(F.col("edges"), F.length("segment"), min(model.scores, default=0.0) - NO_PIECE)
     byte_ids = F.array(*map(F.lit, model.byte_ids))
 
@@ -336,54 +407,53 @@ def segment_ids(segments: DataFrame, pieces: DataFrame, model: Model) -> DataFra
         return F.when(p["id"].isNotNull(), F.array(p["id"])).otherwise(bytes_of)
 
     folded = edges.withColumn("best", best).withColumn("parts", parts)
-    return folded.select("segment", F.flatten(F.transform("parts", of)).alias("ids"))
+    return folded.select("bucket", "segment", F.flatten(F.transform("parts", of)).alias("ids"))
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by unit and place: the pack of a unit, then the ids of its segments in order."""
-    unit, packs, sizes, flat = None, [], [], []
-
-    def whole() -> Iterator[pa.RecordBatch]:
-        for pack in packs:
-            doc_ids, nulls, counts, planes, long, asked = pickle.loads(zstandard.decompress(pack))
+    """Rows sorted by unit and place: the pack of a unit, then the answers of the buckets that it has asked."""
+
+    def solve(packs: list[bytes], answers: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        opened = [(b, *_open(x)) for b, x in dict(answers).items()]
+        for doc_ids, nulls, counts, planes, long, bucket in map(_open, packs):
+            asked = np.flatnonzero(bucket < BUCKETS)
+            asked = asked[np.argsort(bucket[asked], kind="stable")]
+            many = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(m, np.uint8) for _, m, _ in opened)]).astype(np.int64)
+            if len(many) != len(asked) or sorted({b for b, _, _ in opened}) != np.unique(bucket[asked]).tolist():
+                raise RuntimeError("texts were packed in two ways: the input gives other rows when it is read again; cut its lineage first")
+            found = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x, np.int32) for _, _, x in opened)])
+            size, begin = np.zeros(len(bucket), np.int64), np.zeros(len(bucket), np.int64)
+            size[asked], begin[asked] = many, np.cumsum(many) - many
+            for i, ids in long.items():
+                size[i], begin[i] = len(ids), len(found)
+                found = np.concatenate([found, np.array(ids, np.int32)])
             places = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
-            size = np.concatenate([np.zeros(0, np.int64), *sizes])
-            ids = np.concatenate([np.zeros(0, np.int32), *flat])
-            if len(size) != asked * len(packs):
-                raise RuntimeError("a unit of texts was packed in two ways: the input gives other rows when it is read again; cut its lineage first")
-            size = size[:: len(packs)]  # a unit that occurs n times has asked n times
-            if long or len(packs) > 1:
-                starts = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes]))])[:-1][:: len(packs)]
-                answers = iter(zip(starts.tolist(), size.tolist()))
-                parts = [np.array(long[i], np.int32) if i in long else ids[(a := next(answers))[0] : a[0] + a[1]] for i in range(asked + len(long))]
-                size = np.fromiter(map(len, parts), np.int64, len(parts))
-                ids = np.concatenate([np.zeros(0, np.int32), *parts])
-            begin = np.cumsum(size) - size
-            lengths = size[places]
-            until = np.cumsum(lengths)
-            out = ids[np.repeat(begin[places] - (until - lengths), lengths) + np.arange(int(until[-1]) if len(until) else 0)]
             bounds = np.concatenate([[0], np.cumsum(counts)])
-            offsets = np.concatenate([[0], until])[bounds]
-            made = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(out, pa.int32())).cast(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64(), mask=nulls), made], names=["doc_id", "ids"])
+            step = max(1, len(counts) * 1_000_000 // max(1, len(places)))
+            for lo in range(0, len(counts), step):
+                hi = min(len(counts), lo + step)
+                own = places[bounds[lo] : bounds[hi]]
+                lengths = size[own]
+                until = np.cumsum(lengths)
+                out = found[np.repeat(begin[own] - (until - lengths), lengths) + np.arange(int(until[-1]) if len(until) else 0)]
+                offsets = np.concatenate([[0], until])[bounds[lo : hi + 1] - bounds[lo]]
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out, pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids[lo:hi], pa.int64(), mask=nulls[lo:hi]), lists], names=["doc_id", "ids"])
 
+    current, packs, answers = None, [], []
     for batch in batches:
-        units = batch.column(0).to_numpy()
-        cuts = np.flatnonzero(np.concatenate([[True], units[1:] != units[:-1], [True]])) if len(units) else []
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            if unit is not None and units[lo] != unit:
-                yield from whole()
-                packs, sizes, flat = [], [], []
-            unit = units[lo]
-            part = batch.slice(lo, hi - lo)
-            answered = part.column(1).to_numpy() >= 0
-            packs += [p.as_py() for p in part.column(2).filter(pa.array(~answered))]
-            ids = part.column(3).filter(pa.array(answered))
-            offsets = ids.offsets.to_numpy()
-            sizes.append(np.diff(offsets).astype(np.int64))
-            flat.append(ids.values.to_numpy()[offsets[0] : offsets[-1]])
-    if unit is not None:
-        yield from whole()
+        for unit, place, pack in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if unit != current:
+                if packs or answers:
+                    yield from solve(packs, answers)
+                current, packs, answers = unit, [], []
+            if place < 0:
+                packs.append(pack)
+            else:
+                answers.append((place, pack))
+    if answers and not packs:
+        raise RuntimeError("texts were packed in two ways: the input gives other rows when it is read again; cut its lineage first")
+    yield from solve(packs, answers)
 
 
 def encode(docs: DataFrame, model: Model) -> DataFrame:
@@ -393,15 +463,21 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     the model asks for. Null and empty texts have no ids; a null or repeated id
     keeps its rows. Texts of any length are encoded whole. ``docs`` is read
     more than once and has to give the same rows each time, as a table does.
+
+    Texts stay where they are read. A unit of texts travels once, as the
+    numbers of its segments, and so does what it asks and is answered; a
+    frequent segment is asked once by each unit.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    asked = map_batches(docs, _packer(model, "ask"), "segment string, unit long, place int").repartition("segment")
-    # the filter is always true; it needs all columns, as the join does, so that both use one exchange
-    distinct = asked.groupBy("segment").agg(F.max("unit").alias("u"), F.max("place").alias("p")).where("u >= 0 and p >= 0").select("segment")
-    answers = asked.join(segment_ids(distinct, piece_table(spark, model), model), "segment")
-    packs = map_batches(docs, _packer(model, "pack"), "unit long, place int, pack binary, ids array<int>")
-    rows = packs.unionByName(answers.select("unit", "place", F.lit(None).cast("binary").alias("pack"), "ids"))
+    asked = map_batches(docs, _packer(model, "ask"), "bucket int, unit long, pack binary").repartition("bucket")
+    distinct = map_batches(asked.sortWithinPartitions("bucket"), _distinct, "bucket int, segment string")
+    known = segment_ids(distinct, piece_table(spark, model), model)
+    asking = asked.select("bucket", "unit", "pack", F.lit(None).cast("string").alias("segment"), F.lit(None).cast("array<int>").alias("ids"))
+    known = known.select("bucket", F.lit(None).cast("long").alias("unit"), F.lit(None).cast("binary").alias("pack"), "segment", "ids")
+    both = asking.unionByName(known).repartition("bucket").sortWithinPartitions("bucket", F.col("pack").isNotNull())
+    answers = map_batches(both, _answer, "unit long, place int, pack binary")
+    rows = map_batches(docs, _packer(model, "pack"), "unit long, place int, pack binary").unionByName(answers)
     return map_batches(rows.repartition("unit").sortWithinPartitions("unit", "place"), _assemble, "doc_id long, ids array<int>")
 
 

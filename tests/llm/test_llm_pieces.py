@@ -82,7 +82,7 @@ def best_sum(model, text):
 def test_viterbi_finds_the_best_path(spark):
     model = unigram()
     texts = ["".join(t) for n in (1, 3, 5) for t in itertools.product("abcé"[: 4 if n < 5 else 3], repeat=n)]
-    segments = spark.createDataFrame([(pieces.BLANK + t,) for t in texts], "segment string")
+    segments = spark.createDataFrame([(0, pieces.BLANK + t) for t in texts], "bucket int, segment string")
     got = pieces.segment_ids(segments, pieces.piece_table(spark, model), model).collect()
     assert len(got) == len(texts)
     lowest = min(model.scores) - pieces.NO_PIECE
