@@ -30,14 +30,17 @@ BLANK = "▁"
 UNIT_BYTES = 8 << 20
 #: Segments are dealt to this many buckets by their hash; what a unit asks of a bucket is one row.
 BUCKETS = 1024
-#: Code points that are hashed at a time.
-HASH_STEP = 1 << 20
+#: Bytes of text that are cut into segments at a time.
+CUT_BYTES = 1 << 20
+#: Edges that are folded at a time.
+FOLD_ROWS = 200_000
 #: The fold keeps the ends of pieces as bits of a long. Longer segments are merged when they are packed.
 LONGEST = 62
 #: The piece table is broadcast; a larger one is refused.
 MOST_PIECES = 1 << 20
 #: Score of a character that is no piece, below that of every piece, as in the library.
 NO_PIECE = 10.0
+ANSWERS = "unit long, place int, pack binary"
 
 
 @dataclass
@@ -160,17 +163,6 @@ def _plain_path(model: Model, segment: str) -> list[int]:
     return [i for ids in reversed(out) for i in ids]
 
 
-def _segment_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Hashes of all segments, some code points at a time."""
-    found, lo = [np.zeros(0, np.uint64)], 0
-    while lo < len(starts):
-        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + HASH_STEP, side="right")))
-        base = starts[lo]
-        found.append(span_hashes(values[codes[base : ends[hi - 1]]], starts[lo:hi] - base, ends[lo:hi] - base, BYTE_BASE))
-        lo = hi
-    return np.concatenate(found)
-
-
 def _squeeze(value) -> bytes:
     return zstandard.compress(pickle.dumps(value, protocol=5), 3)
 
@@ -191,37 +183,42 @@ def _packer(model: Model, wanted: str):
         cutter = Cutter(model)
         values = mix(np.arange(1, 0x110001, dtype=np.uint64))
         for part in slices(batches, 1, UNIT_BYTES):
-            whole, codes, starts, counts = cutter.cut(part.column(1).to_pylist())
-            ends = np.append(starts[1:], len(codes))[: len(starts)]
-            hashes = _segment_hashes(codes, starts, ends, values)
-            by_hash = np.argsort(hashes)
-            ranked = hashes[by_hash]
-            new = np.concatenate([[True], ranked[1:] != ranked[:-1]])[: len(ranked)]
-            heads = np.flatnonzero(new)
-            order = np.argsort(-np.diff(np.append(heads, len(ranked))), kind="stable")  # the most frequent first
-            seen = by_hash[heads[order]]  # one occurrence of each distinct segment
-            unit = xxhash.xxh64_intdigest(codes.tobytes(), len(counts))
-            unit = xxhash.xxh64_intdigest(repr(part.column(0).to_pylist()).encode(), unit) >> 1
-            size = ends[seen] - starts[seen]
-            bucket = np.where(size <= LONGEST, (hashes[seen] % np.uint64(BUCKETS)).astype(np.int64), BUCKETS)  # the last one is not asked
+            mark = xxhash.xxh64(repr(part.column(0).to_pylist()).encode())
+            hashes, counts, known = [np.zeros(0, np.uint64)], [], {}
+            for piece in slices(iter([part]), 1, CUT_BYTES):
+                whole, codes, starts, count = cutter.cut(piece.column(1).to_pylist())
+                ends = np.append(starts[1:], len(codes))[: len(starts)]
+                own = span_hashes(values[codes], starts, ends, BYTE_BASE)
+                mark.update(codes.tobytes())
+                hashes.append(own)
+                counts.append(count)
+                distinct, seen = np.unique(own, return_index=True)
+                for h, lo, hi in zip(distinct.tolist(), starts[seen].tolist(), ends[seen].tolist()):
+                    if h not in known:
+                        known[h] = whole[lo:hi]
+            hashes, counts = np.concatenate(hashes), np.concatenate(counts)
+            mark.update(counts.tobytes())
+            unit = mark.intdigest() >> 1
+            distinct, which, often = np.unique(hashes, return_inverse=True, return_counts=True)
+            order = np.argsort(-often, kind="stable")  # the most frequent first
+            segments = [known[h] for h in distinct[order].tolist()]
+            size = np.fromiter(map(len, segments), np.int64, len(segments))
+            bucket = np.where(size <= LONGEST, (distinct[order] % np.uint64(BUCKETS)).astype(np.int64), BUCKETS)  # the last one is not asked
             if wanted == "ask":
                 dealt = np.argsort(bucket, kind="stable")[: int((bucket < BUCKETS).sum())]
                 cuts = np.flatnonzero(np.diff(bucket[dealt], prepend=-1, append=BUCKETS)) if len(dealt) else np.zeros(1, np.int64)
                 rows = []
                 for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     own = dealt[lo:hi]
-                    joined = "".join([whole[a:b] for a, b in zip(starts[seen[own]].tolist(), ends[seen[own]].tolist())])
-                    rows.append((int(bucket[own[0]]), _squeeze((size[own].astype(np.uint8).tobytes(), joined))))
+                    rows.append((int(bucket[own[0]]), _squeeze((size[own].astype(np.uint8).tobytes(), "".join([segments[i] for i in own.tolist()])))))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b for b, _ in rows], pa.int32()), pa.array(np.full(len(rows), unit)), pa.array([x for _, x in rows], pa.binary())],
                     names=["bucket", "unit", "pack"])
                 continue
-            long = {i: plain_merges(model, whole[starts[seen[i]] : ends[seen[i]]]) for i in np.flatnonzero(bucket == BUCKETS).tolist()}
+            long = {i: plain_merges(model, segments[i]) for i in np.flatnonzero(bucket == BUCKETS).tolist()}
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
-            places = np.empty(len(ranked), np.uint32)
-            places[by_hash] = place[np.cumsum(new) - 1]
-            planes = places.view(np.uint8).reshape(-1, 4).T.tobytes()  # low bytes first: they compress apart from high ones
+            planes = place[which].view(np.uint8).reshape(-1, 4).T.tobytes()  # low bytes first: they compress apart from high ones
             ids = part.column(0)
             packed = _squeeze((ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), counts, planes, long, bucket.astype(np.uint16)))
             yield pa.RecordBatch.from_arrays(
@@ -230,42 +227,65 @@ def _packer(model: Model, wanted: str):
     return run
 
 
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From asking rows sorted by bucket, each segment of a bucket once."""
+def _interleaved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From asking rows sorted by bucket: for each row a row per segment that is new to the bucket, and then the row itself."""
     current, seen = None, set()
     for batch in batches:
-        for bucket, pack in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-            if bucket != current:
-                current, seen = bucket, set()
-            fresh = [t for t in _texts(*_open(pack)) if t not in seen]
-            seen.update(fresh)
-            if fresh:
-                yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(fresh), pa.int32()), pa.array(fresh, pa.string())], names=["bucket", "segment"])
+        for lo in range(0, batch.num_rows, 200):
+            rows: list[tuple] = []
+            for bucket, unit, pack in zip(*(batch.column(i).slice(lo, 200).to_pylist() for i in range(3))):
+                if bucket != current:
+                    current, seen = bucket, set()
+                fresh = [t for t in _texts(*_open(pack)) if t not in seen]
+                seen.update(fresh)
+                rows += [(bucket, t, None, None) for t in fresh]
+                rows.append((bucket, None, unit, pack))
+            columns = list(zip(*rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary())],
+                names=["bucket", "segment", "unit", "pack"])
+
+
+class _Known:
+    """Ids of the segments of one bucket, in arrays that grow."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.begin, self.flat = np.zeros(1024, np.int64), np.zeros(4096, np.int32)
+
+    def add(self, segments: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        n, more = len(self.place), len(segments)
+        while n + more + 1 > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+        self.begin[n + 1 : n + more + 1] = self.begin[n] + np.cumsum(sizes)
+        while self.begin[n + more] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.begin[n] : self.begin[n + more]] = ids
+        self.place.update(zip(segments, range(n, n + more)))
+
+    def answer(self, unit: int, bucket: int, pack: bytes) -> pa.RecordBatch:
+        place = self.place
+        at = np.array([place[t] for t in _texts(*_open(pack))], np.int64)
+        many = self.begin[at + 1] - self.begin[at]
+        until = np.cumsum(many)
+        found = self.flat[np.repeat(self.begin[at] - (until - many), many) + np.arange(int(until[-1]))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([unit]), pa.array([bucket], pa.int32()), pa.array([_squeeze((many.astype(np.uint8).tobytes(), found.tobytes()))], pa.binary())],
+            names=["unit", "place", "pack"])
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by bucket, first the ids of its segments and then the asking rows, one answer for each of these."""
-    current, place, lists, sizes, begin, flat = None, {}, [], None, None, None
+    current, known = None, _Known()
     for batch in batches:
-        rows = zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3).to_pylist(), batch.column(4))
+        rows = zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4))
         for bucket, unit, pack, segment, ids in rows:
             if bucket != current:
-                current, place, lists, sizes = bucket, {}, [], None
+                current, known = bucket, _Known()
             if pack is None:
-                place[segment] = len(place)
-                lists.append(np.array(ids.values.to_numpy(), np.int32))
-                continue
-            if sizes is None:
-                sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-                begin = np.cumsum(sizes) - sizes
-                flat = np.concatenate([np.zeros(0, np.int32), *lists])
-            at = np.array([place[t] for t in _texts(*_open(pack))], np.int64)
-            many = sizes[at]
-            until = np.cumsum(many)
-            found = flat[np.repeat(begin[at] - (until - many), many) + np.arange(int(until[-1]))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([unit]), pa.array([bucket], pa.int32()), pa.array([_squeeze((many.astype(np.uint8).tobytes(), found.tobytes()))], pa.binary())],
-                names=["unit", "place", "pack"])
+                known.add([segment], np.array([len(ids)]), ids.values.to_numpy())
+            else:
+                yield known.answer(unit, bucket, pack)
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
@@ -278,16 +298,19 @@ def piece_table(spark: SparkSession, model: Model) -> DataFrame:
 
 
 def lattice(segments: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """``bucket, segment, from, n, id, score, ord`` for each substring of a segment that is a piece.
+    """Each row of ``segments`` once for each substring of its segment that is a piece, with ``from, n, id, score, ord``.
 
-    Every single character has an edge, with a null id where it is no piece.
-    Explode and broadcast join leave the edges of a segment together, in order.
+    Every single character has an edge, with a null id where it is no piece. A
+    row without a segment stays one row, with ``n`` 0. Explode and broadcast
+    join move no row, so the edges of a segment stay together and in order.
     """
-    size = F.length("segment")
-    spots = segments.select("bucket", "segment", F.explode(F.sequence(F.lit(0), size - 1)).alias("from"))
-    spans = spots.select("bucket", "segment", "from", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("from")))).alias("n"))
-    spans = spans.select("bucket", "segment", "from", "n", F.expr("substring(segment, from + 1, n)").alias("piece"))
-    return spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or n = 1").drop("piece")
+    size, none = F.length("segment"), F.col("segment").isNull()
+    starts = F.when(none, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), size - 1))
+    spots = segments.select("*", F.explode(starts).alias("from"))
+    counts = F.when(none, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("from"))))
+    spans = spots.select("*", F.explode(counts).alias("n"))
+    spans = spans.select("*", F.expr("substring(segment, from + 1, n)").alias("piece"))
+    return spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or n <= 1").drop("piece")
 
 
 def best_merges(group: np.ndarray, start: np.ndarray, size: np.ndarray, order: np.ndarray, groups: int, lengths: np.ndarray) -> np.ndarray:
@@ -319,42 +342,63 @@ def best_merges(group: np.ndarray, start: np.ndarray, size: np.ndarray, order: n
     return np.flatnonzero(((own & ends) == ends) & ((own & inner) == 0))
 
 
+def _solve_merges(model: Model, edges: pa.Table) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The segments whose edges these are, how many ids each has, and all ids."""
+    names = edges.column("segment")
+    group = np.cumsum(names.is_valid().to_numpy().astype(np.int64)) - 1
+    start, size = edges.column("from").to_numpy(), edges.column("n").to_numpy()
+    segments = names.drop_null().to_pylist()
+    lengths = np.bincount(group[size == 1], minlength=len(segments))
+    ids = edges.column("id").fill_null(-1).to_numpy()
+    kept = best_merges(group, start, size, edges.column("ord").fill_null(0).to_numpy(), len(segments), lengths)
+    kept = kept[np.lexsort((start[kept], group[kept]))]
+    counts, found = np.bincount(group[kept], minlength=len(segments)), ids[kept]
+    if (found < 0).any():
+        of, at = group[kept], start[kept]
+        parts = [[i] if i >= 0 else model.char_ids(segments[g][k]) for i, g, k in zip(found.tolist(), of.tolist(), at.tolist())]
+        counts = np.bincount(of, weights=np.fromiter(map(len, parts), float, len(parts)), minlength=len(segments)).astype(np.int64)
+        found = np.array([i for p in parts for i in p], np.int64)
+    return segments, counts, found.astype(np.int32)
+
+
 def _fold_merges(model: Model):
-    """From the edges of segments, in order, the ids of each segment."""
-    step = 200_000
-
-    def solve(table: pa.Table) -> pa.RecordBatch:
-        names = table.column("segment")
-        group = np.cumsum(names.is_valid().to_numpy().astype(np.int64)) - 1
-        start, size = table.column("from").to_numpy(), table.column("n").to_numpy()
-        segments = names.drop_null()
-        lengths = np.bincount(group[size == 1], minlength=len(segments))
-        ids = table.column("id").fill_null(-1).to_numpy()
-        order = table.column("ord").fill_null(0).to_numpy()
-        kept = best_merges(group, start, size, order, len(segments), lengths)
-        kept = kept[np.lexsort((start[kept], group[kept]))]
-        counts, found = np.bincount(group[kept], minlength=len(segments)), ids[kept]
-        if (found < 0).any():
-            texts, of, at = segments.to_pylist(), group[kept], start[kept]
-            parts = [[i] if i >= 0 else model.char_ids(texts[g][k]) for i, g, k in zip(found.tolist(), of.tolist(), at.tolist())]
-            counts = np.bincount(of, weights=np.fromiter(map(len, parts), float, len(parts)), minlength=len(segments)).astype(np.int64)
-            found = np.array([i for p in parts for i in p], np.int32)
-        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.astype(np.int32)))
-        bucket = table.column("bucket").filter(names.is_valid()).combine_chunks()
-        return pa.RecordBatch.from_arrays([bucket, segments.combine_chunks(), lists], names=["bucket", "segment", "ids"])
+    """From edges of segments and asking rows, in their order, an answer for each asking row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, known = None, _Known()
+
+        def answers(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            nonlocal current, known
+            is_edge = table.column("n").to_numpy() > 0
+            segments, counts, ids = _solve_merges(model, table.filter(pa.array(is_edge)))
+            begin = np.concatenate([[0], np.cumsum(counts)])
+            heads = np.flatnonzero(table.column("segment").is_valid().to_numpy())
+            asking = np.flatnonzero(~is_edge)
+            bucket_of = table.column("bucket").to_numpy()
+            asks = table.filter(pa.array(~is_edge))
+            done = 0
+            upto = [*np.searchsorted(heads, asking).tolist(), len(heads)]
+            rows = [*zip(asks.column("bucket").to_pylist(), asks.column("unit").to_pylist(), asks.column("pack").to_pylist()), None]
+            for row, end in zip(rows, upto):
+                bucket = row[0] if row else (int(bucket_of[heads[done]]) if done < end else current)
+                if bucket != current:
+                    current, known = bucket, _Known()
+                if end > done:
+                    known.add(segments[done:end], counts[done:end], ids[begin[done] : begin[end]])
+                    done = end
+                if row:
+                    yield known.answer(row[1], bucket, row[2])
+
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            heads = np.flatnonzero(batch.column(1).is_valid().to_numpy(zero_copy_only=False))
-            if sum(b.num_rows for b in held) >= step and len(heads):
-                yield solve(pa.Table.from_batches([*held, batch.slice(0, heads[-1])]))
+            heads = np.flatnonzero(batch.column("segment").is_valid().to_numpy(zero_copy_only=False) | (batch.column("n").to_numpy() == 0))
+            if sum(b.num_rows for b in held) >= FOLD_ROWS and len(heads):
+                yield from answers(pa.Table.from_batches([*held, batch.slice(0, heads[-1])]))
                 held = [batch.slice(heads[-1])]
             elif batch.num_rows:
                 held.append(batch)
         if held:
-            yield solve(pa.Table.from_batches(held))
+            yield from answers(pa.Table.from_batches(held))
 
     return run
 
@@ -384,17 +428,9 @@ def viterbi(edges: Column, size: Column, lowest: float) -> tuple[Column, Column]
     return best, F.aggregate(F.sequence(F.lit(1), size), F.struct(size.alias("at"), none.alias("parts")), back)["parts"]
 
 
-def segment_ids(segments: DataFrame, pieces: DataFrame, model: Model) -> DataFrame:
-    """``bucket, segment, ids`` for distinct segments of at most ``LONGEST`` characters.
-
-    A unigram model folds the edges of a segment to the path of the best sum.
-    In a merge model (BPE) the best sum is another segmentation than the
-    model's own, so there the fold is one of merges, best score first.
-    """
+def best_paths(segments: DataFrame, pieces: DataFrame, model: Model) -> DataFrame:
+    """``bucket, segment, ids`` for distinct segments of a unigram model: the edges folded to the path of the best sum."""
     found = lattice(segments, pieces, model.longest)
-    if not model.unigram:
-        name = F.when((F.col("from") == 0) & (F.col("n") == 1), F.col("segment")).alias("segment")
-        return map_batches(found.select("bucket", name, "from", "n", "id", "ord"), _fold_merges(model), "bucket int, segment string, ids array<int>")
     edge = F.struct(F.col("from").cast("int").alias("from"), (F.col("from") + F.col("n")).cast("int").alias("to"), "id", "score")
     edges = found.groupBy("bucket", "segment").agg(F.collect_list(edge).alias("edges"))
     best, parts = viterbi(F.col("edges"), F.length("segment"), min(model.scores, default=0.0) - NO_PIECE)
@@ -410,6 +446,29 @@ def segment_ids(segments: DataFrame, pieces: DataFrame, model: Model) -> DataFra
     return folded.select("bucket", "segment", F.flatten(F.transform("parts", of)).alias("ids"))
 
 
+def merge_answers(asked: DataFrame, pieces: DataFrame, model: Model) -> DataFrame:
+    """Answers to asking rows by a merge model (BPE).
+
+    There the path of the best sum is another segmentation than the model's
+    own, so the fold is one of merges, best score first. Asking rows pass the
+    lattice behind the segments that are new with them, so nothing is dealt twice.
+    """
+    rows = map_batches(asked.sortWithinPartitions("bucket"), _interleaved, "bucket int, segment string, unit long, pack binary")
+    found = lattice(rows, pieces, model.longest)
+    name = F.when((F.col("from") == 0) & (F.col("n") == 1), F.col("segment")).alias("segment")
+    return map_batches(found.select("bucket", "unit", "pack", name, "from", "n", "id", "ord"), _fold_merges(model), ANSWERS)
+
+
+def path_answers(asked: DataFrame, pieces: DataFrame, model: Model) -> DataFrame:
+    """Answers to asking rows by a unigram model."""
+    fresh = map_batches(asked.sortWithinPartitions("bucket"), _interleaved, "bucket int, segment string, unit long, pack binary")
+    known = best_paths(fresh.where("segment is not null").select("bucket", "segment"), pieces, model)
+    asking = asked.select("bucket", "unit", "pack", F.lit(None).cast("string").alias("segment"), F.lit(None).cast("array<int>").alias("ids"))
+    known = known.select("bucket", F.lit(None).cast("long").alias("unit"), F.lit(None).cast("binary").alias("pack"), "segment", "ids")
+    both = asking.unionByName(known).repartition("bucket").sortWithinPartitions("bucket", F.col("pack").isNotNull())
+    return map_batches(both, _answer, ANSWERS)
+
+
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by unit and place: the pack of a unit, then the answers of the buckets that it has asked."""
 
@@ -471,13 +530,8 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     asked = map_batches(docs, _packer(model, "ask"), "bucket int, unit long, pack binary").repartition("bucket")
-    distinct = map_batches(asked.sortWithinPartitions("bucket"), _distinct, "bucket int, segment string")
-    known = segment_ids(distinct, piece_table(spark, model), model)
-    asking = asked.select("bucket", "unit", "pack", F.lit(None).cast("string").alias("segment"), F.lit(None).cast("array<int>").alias("ids"))
-    known = known.select("bucket", F.lit(None).cast("long").alias("unit"), F.lit(None).cast("binary").alias("pack"), "segment", "ids")
-    both = asking.unionByName(known).repartition("bucket").sortWithinPartitions("bucket", F.col("pack").isNotNull())
-    answers = map_batches(both, _answer, "unit long, place int, pack binary")
-    rows = map_batches(docs, _packer(model, "pack"), "unit long, place int, pack binary").unionByName(answers)
+    answers = (path_answers if model.unigram else merge_answers)(asked, piece_table(spark, model), model)
+    rows = map_batches(docs, _packer(model, "pack"), ANSWERS).unionByName(answers)
     return map_batches(rows.repartition("unit").sortWithinPartitions("unit", "place"), _assemble, "doc_id long, ids array<int>")
 
 

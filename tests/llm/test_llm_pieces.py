@@ -45,6 +45,8 @@ def test_ids_are_those_of_the_library_and_decode_to_the_text(spark, model, libra
 @needs_model
 def test_many_units_and_repeated_units(spark, model, library, monkeypatch):
     monkeypatch.setattr(pieces, "UNIT_BYTES", 40)
+    monkeypatch.setattr(pieces, "CUT_BYTES", 30)
+    monkeypatch.setattr(pieces, "FOLD_ROWS", 5)
     docs = spark.createDataFrame([(5, "the same text again and again", None, 0)] * 9 + [(5, "x" * 100, None, 0)] * 4, DOCUMENTS).repartition(6)
     got = pieces.encode(docs, model).collect()
     assert len(got) == 13
@@ -66,7 +68,10 @@ def test_plain_merges(model, library):
 
 def unigram():
     words = ["▁", "a", "b", "c", "ab", "bc", "abc", "ca", "▁a", "cab"]
-    return pieces.Model(["<unk>", *words], [0.0, -3.0, -2.0, -2.5, -2.1, -3.1, -4.0, -6.0, -3.3, -3.9, -5.9], [False] + [True] * 10, [100 + b for b in range(256)], unigram=True)
+    scores = [-3.0, -2.0, -2.5, -2.1, -3.1, -4.0, -6.0, -3.3, -3.9, -5.9]
+    rest = [f"<{i}>" for i in range(11, 356)]
+    return pieces.Model(
+        ["<unk>", *words, *rest], [0.0, *scores, *[0.0] * len(rest)], [False, *[True] * 10, *[False] * len(rest)], [100 + b for b in range(256)], unigram=True)
 
 
 def best_sum(model, text):
@@ -83,7 +88,7 @@ def test_viterbi_finds_the_best_path(spark):
     model = unigram()
     texts = ["".join(t) for n in (1, 3, 5) for t in itertools.product("abcé"[: 4 if n < 5 else 3], repeat=n)]
     segments = spark.createDataFrame([(0, pieces.BLANK + t) for t in texts], "bucket int, segment string")
-    got = pieces.segment_ids(segments, pieces.piece_table(spark, model), model).collect()
+    got = pieces.best_paths(segments, pieces.piece_table(spark, model), model).collect()
     assert len(got) == len(texts)
     lowest = min(model.scores) - pieces.NO_PIECE
     for r in got:
@@ -97,6 +102,13 @@ def test_viterbi_finds_the_best_path(spark):
             sum(model.scores[i] for i in pieces.plain_merges(model, r.segment) if i < 100))
 
 
+def test_a_unigram_model_encodes_texts(spark):
+    model = unigram()
+    texts = ["ab cab", "", None, "abcabc" * 30, "é a"]
+    got = pieces.decode(pieces.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model), model)
+    assert [(r.doc_id, r.text) for r in got.orderBy("doc_id").collect()] == [(i, t or "") for i, t in enumerate(texts)]
+
+
 @needs_model
 def test_an_input_that_changes_is_refused(spark, model):
     other = F.udf(lambda: os.urandom(8).hex(), "string").asNondeterministic()
