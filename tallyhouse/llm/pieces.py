@@ -12,6 +12,7 @@ import heapq
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -163,12 +164,18 @@ def _plain_path(model: Model, segment: str) -> list[int]:
     return [i for ids in reversed(out) for i in ids]
 
 
+@cache
+def _tools() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """Made once in a worker: making them costs more than a small row."""
+    return zstandard.ZstdCompressor(level=2), zstandard.ZstdDecompressor()
+
+
 def _squeeze(value) -> bytes:
-    return zstandard.compress(pickle.dumps(value, protocol=5), 3)
+    return _tools()[0].compress(pickle.dumps(value, protocol=5))
 
 
 def _open(packed: bytes):
-    return pickle.loads(zstandard.decompress(packed))
+    return pickle.loads(_tools()[1].decompress(packed))
 
 
 def _texts(lengths: bytes, joined: str) -> list[str]:
@@ -184,41 +191,50 @@ def _packer(model: Model, wanted: str):
         values = mix(np.arange(1, 0x110001, dtype=np.uint64))
         for part in slices(batches, 1, UNIT_BYTES):
             mark = xxhash.xxh64(repr(part.column(0).to_pylist()).encode())
-            hashes, counts, known = [np.zeros(0, np.uint64)], [], {}
+            hashes, sizes, counts, known = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [], {}
+            listed = np.zeros(0, np.uint64)  # sorted hashes of the segments that have been seen
             for piece in slices(iter([part]), 1, CUT_BYTES):
                 whole, codes, starts, count = cutter.cut(piece.column(1).to_pylist())
                 ends = np.append(starts[1:], len(codes))[: len(starts)]
                 own = span_hashes(values[codes], starts, ends, BYTE_BASE)
                 mark.update(codes.tobytes())
                 hashes.append(own)
+                sizes.append(ends - starts)
                 counts.append(count)
-                distinct, seen = np.unique(own, return_index=True)
-                for h, lo, hi in zip(distinct.tolist(), starts[seen].tolist(), ends[seen].tolist()):
-                    if h not in known:
-                        known[h] = whole[lo:hi]
-            hashes, counts = np.concatenate(hashes), np.concatenate(counts)
+                at = np.arange(len(own)) if wanted == "ask" else np.flatnonzero(sizes[-1] > LONGEST)
+                fresh, seen = np.unique(own[at], return_index=True)
+                if len(listed) and len(fresh):
+                    new = listed[np.minimum(np.searchsorted(listed, fresh), len(listed) - 1)] != fresh
+                    fresh, seen = fresh[new], seen[new]
+                listed = np.sort(np.concatenate([listed, fresh]))
+                seen = at[seen]
+                known.update(zip(fresh.tolist(), [whole[a:b] for a, b in zip(starts[seen].tolist(), ends[seen].tolist())]))
+            hashes, sizes, counts = np.concatenate(hashes), np.concatenate(sizes), np.concatenate(counts)
             mark.update(counts.tobytes())
             unit = mark.intdigest() >> 1
-            distinct, which, often = np.unique(hashes, return_inverse=True, return_counts=True)
-            order = np.argsort(-often, kind="stable")  # the most frequent first
-            segments = [known[h] for h in distinct[order].tolist()]
-            size = np.fromiter(map(len, segments), np.int64, len(segments))
-            bucket = np.where(size <= LONGEST, (distinct[order] % np.uint64(BUCKETS)).astype(np.int64), BUCKETS)  # the last one is not asked
+            by_hash = np.argsort(hashes)
+            ranked = hashes[by_hash]
+            new = np.concatenate([[True], ranked[1:] != ranked[:-1]])[: len(ranked)]
+            heads = np.flatnonzero(new)
+            order = np.argsort(-np.diff(np.append(heads, len(ranked))), kind="stable")  # the most frequent first
+            distinct, size = ranked[heads[order]], sizes[by_hash[heads[order]]]
+            bucket = np.where(size <= LONGEST, (distinct % np.uint64(BUCKETS)).astype(np.int64), BUCKETS)  # the last one is not asked
             if wanted == "ask":
                 dealt = np.argsort(bucket, kind="stable")[: int((bucket < BUCKETS).sum())]
                 cuts = np.flatnonzero(np.diff(bucket[dealt], prepend=-1, append=BUCKETS)) if len(dealt) else np.zeros(1, np.int64)
-                rows = []
+                rows, segments = [], [known[h] for h in distinct[dealt].tolist()]
                 for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                    own = dealt[lo:hi]
-                    rows.append((int(bucket[own[0]]), _squeeze((size[own].astype(np.uint8).tobytes(), "".join([segments[i] for i in own.tolist()])))))
+                    rows.append((int(bucket[dealt[lo]]), _squeeze((size[dealt[lo:hi]].astype(np.uint8).tobytes(), "".join(segments[lo:hi])))))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b for b, _ in rows], pa.int32()), pa.array(np.full(len(rows), unit)), pa.array([x for _, x in rows], pa.binary())],
                     names=["bucket", "unit", "pack"])
                 continue
-            long = {i: plain_merges(model, segments[i]) for i in np.flatnonzero(bucket == BUCKETS).tolist()}
+            long = {i: plain_merges(model, known[int(distinct[i])]) for i in np.flatnonzero(bucket == BUCKETS).tolist()}
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
-            planes = place[which].view(np.uint8).reshape(-1, 4).T.tobytes()  # low bytes first: they compress apart from high ones
+            places = np.empty(len(ranked), np.uint32)
+            places[by_hash] = place[np.cumsum(new) - 1]
+            planes = places.view(np.uint8).reshape(-1, 4).T.tobytes()  # low bytes first: they compress apart from high ones
             ids = part.column(0)
             packed = _squeeze((ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), counts, planes, long, bucket.astype(np.uint16)))
             yield pa.RecordBatch.from_arrays(
@@ -515,9 +531,11 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from solve(packs, answers)
 
 
-def encode(docs: DataFrame, model: Model) -> DataFrame:
+def encode(docs: DataFrame, model: Model, text: bool = False) -> DataFrame:
     """``doc_id, ids`` for every row of ``docs (doc_id, text)``: the ids that the model gives the whole text.
 
+    With ``text``, the text decoded again from the ids follows.
+
     A blank is put before each text, and blanks are the model's blank sign, as
     the model asks for. Null and empty texts have no ids; a null or repeated id
     keeps its rows. Texts of any length are encoded whole. ``docs`` is read
@@ -532,38 +550,56 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     asked = map_batches(docs, _packer(model, "ask"), "bucket int, unit long, pack binary").repartition("bucket")
     answers = (path_answers if model.unigram else merge_answers)(asked, piece_table(spark, model), model)
     rows = map_batches(docs, _packer(model, "pack"), ANSWERS).unionByName(answers)
-    return map_batches(rows.repartition("unit").sortWithinPartitions("unit", "place"), _assemble, "doc_id long, ids array<int>")
+    dealt = rows.repartition("unit").sortWithinPartitions("unit", "place")
+    if not text:
+        return map_batches(dealt, _assemble, "doc_id long, ids array<int>")
+
+    def both_ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(model)
+        for batch in _assemble(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoder(batch.column(1))], names=["doc_id", "ids", "text"])
+
+    return map_batches(dealt, both_ways, "doc_id long, ids array<int>, text string")
+
+
+class Decoder:
+    """Texts from lists of ids."""
+
+    def __init__(self, model: Model):
+        outputs = model.outputs()
+        self.data = np.frombuffer(b"".join(outputs), np.uint8)
+        self.size = np.fromiter(map(len, outputs), np.int64, len(outputs))
+        self.begin = np.cumsum(self.size) - self.size
+
+    def __call__(self, column: pa.Array) -> pa.Array:
+        made = [pa.array([], pa.string())]
+        for lo in range(0, len(column), 200):
+            part = column.slice(lo, 200).cast(pa.large_list(pa.int32()))
+            nulls = part.is_null().to_numpy(zero_copy_only=False)
+            counts = np.where(nulls, 0, np.diff(part.offsets.to_numpy()))
+            flat = part.flatten().to_numpy(zero_copy_only=False)
+            lengths = self.size[flat]
+            until = np.cumsum(lengths)
+            whole = self.data[np.repeat(self.begin[flat] - (until - lengths), lengths) + np.arange(int(until[-1]) if len(until) else 0)].tobytes()
+            bounds = np.concatenate([[0], until])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+            texts = [None if n else whole[a:b].removeprefix(b" ").decode("utf-8", "replace") for a, b, n in zip(bounds, bounds[1:], nulls.tolist())]
+            made.append(pa.array(texts, pa.string()))
+        return pa.concat_arrays(made)
 
 
 def decode(df: DataFrame, model: Model, ids: str = "ids", name: str = "text") -> DataFrame:
     """Append the text that a list of ids stands for. A null list decodes to null, an empty one to an empty text."""
     place = df.columns.index(ids)
-    outputs = model.outputs()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = np.frombuffer(b"".join(outputs), np.uint8)
-        size = np.fromiter(map(len, outputs), np.int64, len(outputs))
-        begin = np.cumsum(size) - size
+        decoder = Decoder(model)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                column = part.column(place).cast(pa.large_list(pa.int32()))
-                counts = np.diff(column.offsets.to_numpy())
-                nulls = column.is_null().to_numpy(zero_copy_only=False)
-                flat = column.flatten().to_numpy(zero_copy_only=False)
-                counts = np.where(nulls, 0, counts)
-                lengths = size[flat]
-                until = np.cumsum(lengths)
-                whole = data[np.repeat(begin[flat] - (until - lengths), lengths) + np.arange(int(until[-1]) if len(until) else 0)]
-                offsets = np.concatenate([[0], until])[np.concatenate([[0], np.cumsum(counts)])]
-                texts = [None if n else whole[a:b].tobytes().removeprefix(b" ").decode("utf-8", "replace") for a, b, n in zip(offsets[:-1].tolist(), offsets[1:].tolist(), nulls.tolist())]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoder(batch.column(place))], names=[*batch.schema.names, name])
 
     return map_batches(df, run, StructType([*df.schema.fields, StructField(name, StringType())]))
 
 
 def encode_decode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """``doc_id, n_pieces, ids, text``: every text encoded whole, and decoded again from its ids."""
-    model = load(path)
-    out = decode(encode(docs, model), model)
+    out = encode(docs, load(path), text=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "text")
