@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import isolation, pieces, pii, simhash
+from tallyhouse.llm import chat, decontaminate, isolation, pagetext, pieces, pii, repeats, ruleset, scoring, simhash
 from tallyhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,38 @@ def op8_deobfuscated_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_piece_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_decode(table(spark, folder, "documents"))
+
+
+@query
+def op10_aligned_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.copies(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op5_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
+    return ruleset.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op6_chat_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one more, whose texts are made of control strings."""
+    hostile = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(hostile, "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_conversations(turns.unionByName(more)))
+
+
+@query
+def op4_sketched_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op1_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.cross_entropy_difference(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op2_host_suffix_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pagetext.main_text(table(spark, folder, "pages"))
