@@ -25,14 +25,14 @@ from tallyhouse.llm.words import WORD_BASE, Words, mix, powers, words_in, words_
 
 WINDOW, ANCHOR = 35, 8
 #: Texts are packed into units of this many bytes; a longer text is a unit of its own.
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 2 << 20
 #: The sketch: rows, and cells per row as a power of two. Its size bounds what is broadcast: ROWS * 2**CELL_BITS bits.
-ROWS, CELL_BITS = 2, 28
+ROWS, CELL_BITS = 2, 27
 BLOCK = 32_768
 #: Sketch cells that a task holds before it passes them on.
-HELD_CELLS = 1 << 22
+HELD_CELLS = 1 << 21
 #: Windows are dealt to buckets of about this many.
-BUCKET_WINDOWS = 1 << 21
+BUCKET_WINDOWS = 1 << 20
 SECOND_BASE = 0xA24BAED4963EE407
 
 
