@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,8 @@ WORD_FLOOR, PAIR_FLOOR = 1 << 17, 1 << 21
 PAIR_WEIGHT, ADDED = 0.7, 0.5
 #: Counts that a task holds before it passes them on.
 HELD = 1 << 21
+#: The ids of the target are broadcast up to this many; beyond it they are joined by a shuffle.
+BROADCAST_IDS = 1 << 22
 
 
 class Counter:
@@ -61,14 +63,19 @@ def pair_keys(w: Words, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return number, (before * (len(vocabulary) + 2) + number).astype(np.uint64)
 
 
-def _counts(docs: DataFrame, keys) -> DataFrame:
-    """Counts of the keys of all texts of ``docs (doc_id, text, target)``, in all of them and in the target's."""
+def _counts(docs: DataFrame, keys: Callable[[Words], list[np.ndarray]]) -> DataFrame:
+    """Counts of the keys of all texts of ``docs (doc_id, text, target)``, in all of them and in the target's.
+
+    ``keys`` gives one or more lists with a key for each word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Counter()
         for part in slices(batches, 1, SLICE_BYTES):
             w = words_of(part.column(1))
-            held.add(keys(w), part.column(2).to_numpy(zero_copy_only=False)[w.text_of()])
+            target = part.column(2).to_numpy(zero_copy_only=False)[w.text_of()]
+            for some in keys(w):
+                held.add(some.view(np.uint64), target)
             if held.full():
                 yield from held.rows()
         yield from held.rows()
@@ -122,22 +129,20 @@ def fit(docs: DataFrame, word_floor: int = WORD_FLOOR, pair_floor: int = PAIR_FL
     and ``pair_floor`` pairs.
     """
     total = map_batches(docs, _word_totals, "n long").agg(F.sum("n")).first()[0] or 0
-    found = _counts(docs, lambda w: w.hashes()).where(F.col("n") * word_floor >= total).toArrow()
+    found = _counts(docs, lambda w: [w.hashes()]).where(F.col("n") * word_floor >= total).toArrow()
     vocabulary = np.sort(found.column("key").to_numpy().view(np.uint64))
-
-    counted = _counts(docs, lambda w: pair_keys(w, vocabulary)[1])
     base = len(vocabulary) + 2
-    kept = counted.where(F.col("n") * pair_floor >= total).select("key", "n", "t")
-    word = counted.groupBy((F.col("key") % base).alias("word")).agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    context = counted.groupBy(F.expr(f"key div {base}").alias("before")).agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    everything = kept.select(F.lit(0).alias("kind"), "key", "n", "t").unionByName(
-        word.select(F.lit(1).alias("kind"), F.col("word").alias("key"), "n", "t")).unionByName(
-        context.select(F.lit(2).alias("kind"), F.col("before").alias("key"), "n", "t")).toArrow()
-    kind, key, n, t = (everything.column(i).to_numpy() for i in range(4))
+
+    def keys(w: Words) -> list[np.ndarray]:
+        number, pairs = pair_keys(w, vocabulary)
+        return [pairs, -1 - number, -1 - base - (pairs // np.uint64(base)).astype(np.int64)]  # pairs, words, and words before
+
+    kept = _counts(docs, keys).where((F.col("n") * pair_floor >= total) | (F.col("key") < 0)).toArrow()
+    key, n, t = (kept.column(i).to_numpy() for i in range(3))
     singles, contexts = np.zeros((2, base - 1)), np.zeros((2, base))
-    singles[:, key[kind == 1]] = t[kind == 1], n[kind == 1]
-    contexts[:, key[kind == 2]] = t[kind == 2], n[kind == 2]
-    own = kind == 0
+    word, before, own = (key < 0) & (key >= -base), key < -base, key >= 0
+    singles[:, -1 - key[word]] = t[word], n[word]
+    contexts[:, -1 - base - key[before]] = t[before], n[before]
     order = np.argsort(key[own])
     pairs = key[own][order].astype(np.uint64)
     return Models(vocabulary, singles, contexts, pairs, np.stack([t[own][order], n[own][order]]).astype(float))
@@ -180,5 +185,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("good")).where("good is not null").distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if good.count() <= BROADCAST_IDS:
+        good = F.broadcast(good)
     marked = rows.join(good, rows["doc_id"] == good["good"], "left").select("doc_id", "text", F.col("good").isNotNull().alias("target"))
     return score(rows, fit(marked)).drop("text")
