@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from tallyhouse.llm.common import documents, map_batches, slices
 from tallyhouse.llm.words import WORD_BASE, Words, mix, powers, text_bytes, words_in
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Test items are taken in blocks of about this many characters; each block is one pass over the corpus.
 BLOCK_CHARS = 8 << 20
 #: A seed is the shortest of these n-grams that chance would bring to the corpus at most RARE times.

@@ -28,11 +28,11 @@ from tallyhouse.llm.words import BYTE_BASE, mix, span_hashes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Texts are packed into units of this many bytes; a longer text is a unit of its own.
-UNIT_BYTES = 8 << 20
+UNIT_BYTES = 4 << 20
 #: Segments are dealt to this many buckets by their hash; what a unit asks of a bucket is one row.
 BUCKETS = 1024
 #: Bytes of text that are cut into segments at a time.
-CUT_BYTES = 1 << 20
+CUT_BYTES = 1 << 19
 #: Edges that are folded at a time.
 FOLD_ROWS = 200_000
 #: The fold keeps the ends of pieces as bits of a long. Longer segments are merged when they are packed.

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from tallyhouse.llm.common import documents, map_batches, slices
 
 KINDS = ("email", "ip", "card", "phone")
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: A match starts where a run of digits starts: later starts in the run would fail or end as the first one does.

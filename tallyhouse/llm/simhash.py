@@ -21,7 +21,7 @@ PIVOTS = 32
 #: 64 bits are cut into BLOCKS blocks; two fingerprints that differ in at most
 #: BLOCKS - AGREE bits agree on AGREE blocks at least.
 BLOCKS, AGREE = 6, 2
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: From this many distinct fingerprints on, a bucket is first joined by single flipped bits.
 DENSE = 2_048
 PAIRS_AT_ONCE = 1 << 22

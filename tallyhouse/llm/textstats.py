@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from tallyhouse.llm.common import map_batches, slices
 from tallyhouse.llm.words import BYTE_BASE, BYTE_VALUES, WORD_BASE, later_copies, mix, per_text, repeated, span_hashes, words_of
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 REPEAT_WINDOW = 8
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = (
