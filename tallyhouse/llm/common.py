@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -37,12 +39,35 @@ def fresh(df: DataFrame, name: str) -> str:
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str
 ) -> DataFrame:
-    """``mapInArrow`` whose workers look for this package where the driver has found it, besides their own path."""
+    """``mapInArrow`` whose workers look for this package where the driver has found it, besides their own path.
+
+    A worker gives free memory back when a task ends, since it lives on and
+    the next task may run beside it in another worker.
+    """
     env = df.sparkSession.sparkContext.environment
     known = env.get("PYTHONPATH", "")
     if ROOT not in known.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [known, ROOT]))
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    from tallyhouse.llm import words
+
+    words.forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int | str, limit: int) -> Iterator[pa.RecordBatch]:

@@ -46,6 +46,11 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return known
 
 
+def forget() -> None:
+    """Drop the powers that are kept."""
+    _POWERS.clear()
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """A 64-bit hash of ``values[start:end]`` for every span, from prefix sums."""
     up, down = powers(base, max(1, len(values)))
