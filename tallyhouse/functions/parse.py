@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,12 +86,14 @@ def utc_instant(column: str | Column) -> Column:
     return F.when(complete, F.try_to_timestamp(text))
 
 
+RFC_3339 = re.compile(r"\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d{1,6})?([Zz]|[+-]\d{2}:\d{2})")
+
+
 def parse_instant(text: str) -> dt.datetime:
-    """A bound given by the caller. It must carry a time zone offset."""
-    moment = dt.datetime.fromisoformat(text)
-    if moment.tzinfo is None or "T" not in text.upper():
+    """A bound given by the caller: an RFC 3339 time with its offset, no finer than microseconds."""
+    if not RFC_3339.fullmatch(text):
         raise ValueError(f"{text!r} must be an RFC 3339 timestamp with a time zone offset")
-    return moment.astimezone(dt.timezone.utc)
+    return dt.datetime.fromisoformat(text.upper()).astimezone(dt.timezone.utc)
 
 
 def instant_literal(df: DataFrame, column: str, moment: dt.datetime | Column) -> Column:

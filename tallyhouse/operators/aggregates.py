@@ -138,9 +138,9 @@ def storage_by_owner(storage: DataFrame) -> DataFrame:
     )
 
 
-def status_map(runs: DataFrame, key: str = "job_id", limit: int = NEWEST_RUNS) -> DataFrame:
-    """Run number to status for the newest ``limit`` runs of each job."""
-    newest = page_per_group(runs, [key], [F.desc("run_number")], limit)
+def status_map(runs: DataFrame, key: str = "job_id", limit: int | None = None) -> DataFrame:
+    """Run number to status for the runs of each job, or for the newest ``limit`` of them."""
+    newest = runs if limit is None else page_per_group(runs, [key], [F.desc("run_number")], limit)
     entries = F.sort_array(F.collect_list(F.struct("run_number", "status")))
     return newest.groupBy(key).agg(F.map_from_entries(entries).alias("statuses"))
 

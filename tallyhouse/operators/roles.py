@@ -260,10 +260,10 @@ def effective_readers(audiences: DataFrame, closure: DataFrame, users: DataFrame
 
 
 def object_grantees(df: DataFrame) -> DataFrame:
-    """Grants on an object by folded type, name and privilege."""
-    return order_folded(
-        df.select("grantee_name", "grantee_type", "privilege"), ["grantee_type", "grantee_name", "privilege"]
-    )
+    """Grants on an object by folded type, folded name, name and folded privilege; what is left ties by its own text."""
+    rows = df.select("grantee_name", "grantee_type", "privilege")
+    keys = [F.lower("grantee_type"), F.lower("grantee_name"), "grantee_name", F.lower("privilege"), "grantee_type", "privilege"]
+    return rows.orderBy(*keys)
 
 
 def list_users(

@@ -96,11 +96,12 @@ def rename_snapshot(catalog: DataFrame, snapshot_id: str, name: str) -> DataFram
 def expired_snapshots(catalog: DataFrame, databases: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     """Unnamed snapshots older than their database's retention.
 
-    A retention that is no number of days never expires anything.
+    A retention that is no number of days never expires anything. Of a
+    database that is listed more than once the longest retention counts.
     """
     days = databases.select(
         F.lower("database_name").alias("__db"), retention_days("historical_snapshot_retention").alias("__days")
-    ).filter(F.col("__days").isNotNull())
+    ).filter(F.col("__days").isNotNull()).groupBy("__db").agg(F.max("__days").alias("__days"))
     unnamed = catalog.filter(F.coalesce("snapshot_name", F.lit("")) == "").withColumn("__db", F.lower("database_name"))
     moment = instant_literal(catalog, "created_ts", as_of)
     limit = moment - F.make_dt_interval(F.col("__days").cast("int"))

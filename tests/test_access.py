@@ -107,15 +107,17 @@ def test_usage_between_is_inclusive_text(usage):
     assert [tuple(r) for r in got] == [("2026-01-01", "42")]
 
 
+AUDIENCES = ("role:night shift", "user:night shift", "user:kim", "organization:EVERYONE", "domain:ANYONE")
+
+
+def subsets(some):
+    return [[a for k, a in enumerate(some) if n >> k & 1] for n in range(2 ** len(some))]
+
+
+#: Every set of actual audiences against every set of expected ones, with what each side lacks.
 CASES = {
-    "missing role": (["user:svc_reader"], ["role:analytics_readers"], ["role:analytics_readers"], ["user:svc_reader"]),
-    "organization": (
-        ["organization:ENTIRE_ORGANIZATION"], ["role:analytics_readers"], ["role:analytics_readers"], ["organization:ENTIRE_ORGANIZATION"],
-    ),
-    "public": (["domain:ALL_USERS"], ["role:analytics_readers"], ["role:analytics_readers"], ["domain:ALL_USERS"]),
-    "empty actual": ([], ["role:analytics_readers"], ["role:analytics_readers"], []),
-    "same name, other type": (["role:same_name"], ["user:same_name"], ["user:same_name"], ["role:same_name"]),
-    "empty both": ([], [], [], []),
+    f"{i}/{j}": (held, wanted, sorted(set(wanted) - set(held)), sorted(set(held) - set(wanted)))
+    for i, held in enumerate(subsets(AUDIENCES[:3])) for j, wanted in enumerate(subsets(AUDIENCES[1:]))
 }
 
 
@@ -128,18 +130,17 @@ def test_share_audit_cases(spark):
     want = sorted(((n, c[2], c[3], not c[2] and not c[3]) for n, c in CASES.items()), key=repr)
     assert rows(audit.drop("part")) == want
     assert rows(roles.compliant(audit)) == [(False,)]
-    assert rows(roles.compliant(audit.filter("share_name = 'empty both'"))) == [(True,)]
+    assert rows(roles.compliant(audit.filter("share_name = '0/0'"))) == [(True,)]
 
 
 def role_case(spark, extra=False, direct="true"):
-    expected = spark.createDataFrame(
-        [("team", ["user:alice", "role:child"], ["builder"])], "role_name string, members array<string>, inherits array<string>"
-    )
-    members = [("team", "user:alice"), ("team", "role:child")] + ([("team", "user:unexpected")] if extra else [])
+    expected = spark.createDataFrame([("crew", ["role:deck", "user:kim"], ["sailor"])], "role_name string, members array<string>, inherits array<string>")
+    members = [("crew", "user:kim"), ("crew", "role:deck")] + ([("crew", "user:stowaway")] if extra else [])
+    held = [("crew", "harbour", "false"), ("crew", "sailor", direct)]
     audit = roles.audit_roles(
         expected,
         spark.createDataFrame(members, "role_name string, member string"),
-        spark.createDataFrame([("team", "builder", direct), ("team", "explorer", "false")], "role_name string, holds string, is_direct string"),
+        spark.createDataFrame(held, "role_name string, holds string, is_direct string"),
     )
     return audit.drop("part")
 
@@ -155,9 +156,9 @@ def test_long_audit_lists_go_on_in_parts(spark):
 
 
 def test_role_audit_cases(spark):
-    assert rows(role_case(spark)) == [("team", [], [], [], [], ["explorer"], True)]
-    assert rows(role_case(spark, extra=True)) == [("team", [], ["user:unexpected"], [], [], ["explorer"], False)]
-    assert rows(role_case(spark, direct="false")) == [("team", [], [], ["builder"], [], ["builder", "explorer"], False)]
+    assert rows(role_case(spark)) == [("crew", [], [], [], [], ["harbour"], True)]
+    assert rows(role_case(spark, extra=True)) == [("crew", [], ["user:stowaway"], [], [], ["harbour"], False)]
+    assert rows(role_case(spark, direct="false")) == [("crew", [], [], ["sailor"], [], ["harbour", "sailor"], False)]
     with pytest.raises(PySparkException, match="directness"):
         role_case(spark, direct=None).collect()
 

@@ -1,7 +1,10 @@
 """Scalar functions against stated values and DuckDB."""
 
 import datetime as dt
+import hashlib
 import json
+import urllib.parse
+import uuid
 
 import duckdb
 import pytest
@@ -46,17 +49,14 @@ def test_interval_text_of_the_smallest_value_and_null(spark):
 
 def test_rows_json_keeps_every_value_exact(spark):
     df = spark.sql(
-        """SELECT array(X'AA') AS blobs, named_struct('wait', INTERVAL '7' DAY, 'amount', CAST(1.5 AS DECIMAL(10,2)), 'raw', X'AA') AS details,
-        map('k', CAST(12.25 AS DECIMAL(10,2))) AS amounts, CAST('12345678901234567.89' AS DECIMAL(38,2)) AS big_amount,
-        INTERVAL '7' DAY AS retention, array(INTERVAL '1' DAY) AS waits, INTERVAL '14' MONTH AS span, CAST(NULL AS STRING) AS nothing,
-        9007199254740993 AS exact, '170141183460469231731687303715884105727' AS huge, TIMESTAMP_NTZ '2026-11-01 10:00:00.120000' AS At,
-        INTERVAL '-1 02:03:04.5' DAY TO SECOND AS back"""
+        f"""SELECT {2**62 + 1} AS whole, CAST('{10**30 + 7}.25' AS DECIMAL(38,2)) AS wide, map('north', CAST(0.75 AS DECIMAL(6,2))) AS rates,
+        named_struct('token', X'0FF1', 'pause', INTERVAL '3' DAY) AS inner, array(X'01', X'FE') AS bytes, TIMESTAMP_NTZ '2024-02-29 06:07:08.25' AS Seen,
+        INTERVAL '25' MONTH AS term, INTERVAL '0 00:00:01.5' DAY TO SECOND AS lag, CAST(NULL AS INT) AS gone"""
     )
     got = render.rows_json(df).first()["row_json"]
     assert got == (
-        '{"amounts":{"k":12.25},"at":"2026-11-01T10:00:00.12Z","back":"-1 day -02:03:04.5","big_amount":12345678901234567.89,"blobs":["aa"],'
-        '"details":{"amount":1.50,"raw":"aa","wait":"7 days"},"exact":9007199254740993,"huge":"170141183460469231731687303715884105727",'
-        '"nothing":null,"retention":"7 days","span":"1 year 2 months","waits":["1 day"]}'
+        '{"bytes":["01","fe"],"gone":null,"inner":{"pause":"3 days","token":"0ff1"},"lag":"00:00:01.5","rates":{"north":0.75},'
+        f'"seen":"2024-02-29T06:07:08.25Z","term":"2 years 1 month","whole":{2**62 + 1},"wide":{10**30 + 7}.25}}'
     )
     json.loads(got)
 
@@ -78,33 +78,35 @@ def test_uuid_blob_and_time(spark):
 @pytest.mark.parametrize(
     "raw,want",
     [
-        ("", None), ("null", None), (None, None), ('"escaped\\ntext"', "escaped\ntext"), (' "padded" ', "padded"),
-        ("9007199254740993", "9007199254740993"), ("1.2300", "1.2300"), (" true ", " true "),
-        ('{"nested":[1,false]}', '{"nested":[1,false]}'), ('["text",null]', '["text",null]'),
+        ('[1, {"k": null}]', '[1, {"k": null}]'), ("-0.50", "-0.50"), ("false", "false"), (None, None), ('"tab\\there"', "tab\there"),
+        (f"{2**70}", f"{2**70}"), ('  "x y"', "x y"), ("null", None), ("", None), ('"\\u00e9"', "é"),
     ],
 )
 def test_json_text(spark, raw, want):
     assert apply(spark, parse.json_text, [raw]) == [want]
 
 
-SHARE = "0a9a026ec5a55946a9de39851087ed81"
-DASHED = "0a9a026e-c5a5-5946-a9de-39851087ed81"
+TOKEN = hashlib.md5(b"own token").hexdigest()
+TOKENS = (TOKEN, TOKEN.upper(), str(uuid.UUID(hex=TOKEN)))
 RED = parse.REDACTED
-REDACTIONS = [
-    (f"Share: 'md:_share/it' s/{SHARE}' not found.", f"Share: '{RED}' not found."),
-    (f"could not resolve md:_share/a b/{SHARE} here", f"could not resolve {RED} here"),
-    (f'share "md:_share/team data/{SHARE}" missing', f'share "{RED}" missing'),
-    (f"could not resolve md:_share/a b/{DASHED}.", f"could not resolve {RED}."),
-    (f"could not resolve MD:_SHARE/A B/{SHARE.upper()}.", f"could not resolve {RED}."),
-    (f"GET md%3A_share%2Fa%20b%2F{SHARE} failed", f"GET {RED} failed"),
-    (f"md:_share/a b/{SHARE} and md:_share/c d/{DASHED}", f"{RED} and {RED}"),
-    (f"'md:_share/a/{SHARE}' and 'md:_share/b'c/{SHARE}'", f"'{RED}' and '{RED}'"),
-    (f"share 'md:_share/o'brien/{SHARE}", f"share '{RED}"),
-    ("Share 'o'brien' not found", "Share 'o'brien' not found"),
-    ("see 'md:_share/o'brien latest' now", f"see '{RED}' now"),
-    ("see md:_share/tenant/abc, please", f"see {RED}, please"),
-    (None, None),
-]
+
+
+def messages():
+    """Addresses of several names and token forms, bare, quoted and percent-encoded, with the text around them."""
+    for name in ("north", "two words", "x+y"):
+        for token in TOKENS:
+            address = f"md:_share/{name}/{token}"
+            yield f"opening {address} took long", f"opening {RED} took long"
+            for mark in "'\"":
+                yield f"no access to {mark}{address}{mark}; retry", f"no access to {mark}{RED}{mark}; retry"
+            yield f"first {address} and then {address}.", f"first {RED} and then {RED}."
+        yield f"call {urllib.parse.quote(f'md:_share/{name}/{TOKEN}', safe='')} ended", f"call {RED} ended"
+    yield "try md:_share/alpha/beta, again", f"try {RED}, again"
+    yield "nothing to hide in 'this' text", "nothing to hide in 'this' text"
+    yield None, None
+
+
+REDACTIONS = list(messages())
 
 
 def test_redaction(spark):

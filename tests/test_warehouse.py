@@ -33,19 +33,17 @@ from tallyhouse.sources.tables import (
     read_share,
 )
 
-DAY = dt.date(2026, 1, 1)
+DAY = dt.date(2025, 3, 14)
 ORDERS = "order_id string, order_date date, amount decimal(18,2), status string"
 SIMPLE = [
-    ("o1", DAY, Decimal("100.00"), "completed"),
-    ("o2", DAY, Decimal("25.00"), "completed"),
-    ("o3", dt.date(2026, 1, 2), Decimal("50.00"), "cancelled"),
-]
-VERSIONED = [
-    ("o1", DAY, Decimal("100.00"), "completed", 1),
-    ("o1", DAY, Decimal("120.00"), "completed", 2),
-    ("o2", DAY, Decimal("25.00"), "completed", 1),
-    ("o3", dt.date(2026, 1, 2), Decimal("50.00"), "cancelled", 1),
+    ("k2", DAY, Decimal("8.25"), "completed"),
+    ("z9", DAY + dt.timedelta(days=40), Decimal("77.10"), "cancelled"),
+    ("b7", DAY, Decimal("31.40"), "completed"),
 ]
+#: The first order again, revised.
+VERSIONED = [(*SIMPLE[0][:2], SIMPLE[0][2] + Decimal("1.50"), "completed", 5)] + [(*r, 3) for r in SIMPLE]
+TOTAL = sum(r[2] for r in SIMPLE if r[3] == "completed")
+LATEST = TOTAL + Decimal("1.50")
 
 
 def versioned(spark, data=VERSIONED):
@@ -54,28 +52,28 @@ def versioned(spark, data=VERSIONED):
 
 def test_daily_revenue(spark):
     got = daily_revenue(spark.createDataFrame(SIMPLE, ORDERS))
-    assert rows(got) == [(DAY, 2, Decimal("125.00"))]
+    assert rows(got) == [(DAY, 2, TOTAL)]
     assert got.schema["revenue"].dataType.simpleString() == "decimal(18,2)"
 
 
 def test_daily_revenue_skips_bad_rows(spark):
     bad = [("x", None, Decimal("1.00"), "completed"), ("y", DAY, Decimal("-1.00"), "completed"), ("z", DAY, None, "completed")]
-    assert rows(daily_revenue(spark.createDataFrame(SIMPLE + bad, ORDERS))) == [(DAY, 2, Decimal("125.00"))]
+    assert rows(daily_revenue(spark.createDataFrame(SIMPLE + bad, ORDERS))) == [(DAY, 2, TOTAL)]
 
 
 def test_layered_mart_uses_latest_revision_whatever_the_input_order(spark):
     for data in (VERSIONED, VERSIONED[::-1]):
-        assert rows(daily_revenue_mart(versioned(spark, data))) == [(DAY, 2, Decimal("145.00"))]
+        assert rows(daily_revenue_mart(versioned(spark, data))) == [(DAY, 2, LATEST)]
 
 
 def test_refresh_is_repeatable_and_empty_input_empties_the_mart(spark, folder):
     mart = VersionedTable(spark, f"{folder}/mart")
     for _ in range(2):
-        assert rows(refresh_marts(versioned(spark), mart)) == [(DAY, 2, Decimal("145.00"))]
+        assert rows(refresh_marts(versioned(spark), mart)) == [(DAY, 2, LATEST)]
     emptied = refresh_marts(versioned(spark, []), mart)
     assert emptied.count() == 0
     assert emptied.schema.simpleString() == "struct<order_date:date,order_count:bigint,revenue:decimal(18,2)>"
-    assert rows(mart.read(3)) == [(DAY, 2, Decimal("145.00"))]
+    assert rows(mart.read(3)) == [(DAY, 2, LATEST)]
 
 
 def test_customer_without_events_keeps_a_row(spark):

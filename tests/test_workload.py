@@ -12,7 +12,7 @@ from tools.compare import TABLES, compare
 FOLDER = "/root/testdata/sf0.001"
 SAMPLE = (
     "a2_daily_revenue_mart", "a7_name_list", "c2_column_changes", "c15_table_diff", "f9_interval_text", "f19_redact_addresses",
-    "f25_number_order", "g6_audit_shares", "j2_customer_event_summary", "j7_gate_on_success", "l1_deep_page", "l6_log_tail_offset",
+    "f25_number_order", "g6_audit_shares", "g7_audit_roles", "g7_role_differences", "a14_status_map", "f10_blob_text", "g9_object_grantees", "j2_customer_event_summary", "j7_gate_on_success", "l1_deep_page", "l6_log_tail_offset",
     "n3_snapshot_status", "p6_usage_between", "p17_split_valid", "s9_rows_json", "u1_compute_usage", "u5_usage_windows_hour",
     "v2_mask_column", "v7_visible_counts", "w1_latest_revision", "w2_with_match_count", "w5_storage_growth", "x2_dedupe_first",
 )

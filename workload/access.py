@@ -270,12 +270,12 @@ def audit_shares(spark, sf):
 ROLE_FACTS = f"""e AS (SELECT DISTINCT * FROM {ROLE_EDGES}),
 expected(role_name, kind, item) AS (SELECT 'sup_' || s_suppkey, 'member', 'role:sup_' || (s_suppkey * 4 + 1) FROM supplier
     UNION SELECT 'sup_' || s_suppkey, 'role', 'nation_' || (s_nationkey - s_nationkey % 2) FROM supplier),
-held(role_name, kind, item) AS (SELECT role_name, 'member', member_type || ':' || member_name FROM e WHERE role_name LIKE 'sup%'
-    UNION SELECT member_name, 'role', role_name FROM closure WHERE member_type = 'role' AND is_direct AND member_name LIKE 'sup%'),
+held(role_name, kind, item) AS (SELECT role_name, 'member', member_type || ':' || member_name FROM e WHERE role_name IN (SELECT role_name FROM expected)
+    UNION SELECT member_name, 'role', role_name FROM closure WHERE member_type = 'role' AND is_direct AND member_name IN (SELECT role_name FROM expected)),
 diff AS (SELECT coalesce(x.role_name, h.role_name) AS role_name, coalesce(x.kind, h.kind) AS kind, coalesce(x.item, h.item) AS item,
     CASE WHEN h.item IS NULL THEN 'missing' WHEN x.item IS NULL THEN 'unexpected' ELSE 'matched' END AS status
     FROM expected AS x FULL OUTER JOIN held AS h ON x.role_name = h.role_name AND x.kind = h.kind AND x.item = h.item
-    UNION ALL SELECT member_name, 'inherited', role_name, 'inherited' FROM closure WHERE member_type = 'role' AND NOT is_direct AND member_name LIKE 'sup%')"""
+    UNION ALL SELECT member_name, 'inherited', role_name, 'inherited' FROM closure WHERE member_type = 'role' AND NOT is_direct AND member_name IN (SELECT role_name FROM expected))"""
 ROLE_AUDIT = CLOSURE + ", " + ROLE_FACTS.replace("e AS (SELECT DISTINCT * FROM " + ROLE_EDGES + "),\n", "", 1)
 
 

@@ -175,8 +175,7 @@ def storage_by_owner(spark, sf):
 
 @query(
     "a14_status_map",
-    f"""SELECT job_id, string_agg(run_number || '=' || status, ';' ORDER BY run_number) AS statuses FROM (SELECT *, row_number() OVER
-    (PARTITION BY job_id ORDER BY run_number DESC) AS rn FROM {RUNS}) WHERE rn <= 50 GROUP BY job_id""",
+    f"""SELECT job_id, string_agg(run_number || '=' || status, ';' ORDER BY run_number) AS statuses FROM {RUNS} GROUP BY job_id""",
 )
 def status_map(spark, sf):
     pairs = F.transform(F.map_entries("statuses"), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"]))

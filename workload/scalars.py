@@ -91,9 +91,9 @@ def interval_text(spark, sf):
     )
 
 
-@query("f10_blob_text", "SELECT doc_id, lower(hex(left(text, 100))) AS blob FROM documents")
+@query("f10_blob_text", "SELECT doc_id, lower(hex(text)) AS blob FROM documents")
 def blob_text(spark, sf):
-    blob = F.substring("text", 1, 100).cast("binary")
+    blob = F.col("text").cast("binary")
     return table(spark, sf, "documents").select("doc_id", render.blob_text(blob).alias("blob"))
 
 
