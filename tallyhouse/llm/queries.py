@@ -71,3 +71,27 @@ def op1_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_host_suffix_text(spark: SparkSession, folder: str) -> DataFrame:
     return pagetext.main_text(table(spark, folder, "pages"))
+
+
+ORACLES["op4_sketched_repeats"] = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+k AS (SELECT doc_id, n, i, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS run FROM p),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY run) > 1 AS twice FROM k WHERE i <= n - 34),
+m AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM r WHERE twice),
+s AS (SELECT doc_id, count(m.i) AS n_removed, coalesce(string_agg(CASE WHEN m.i IS NULL THEN word END, ' ' ORDER BY p.i), '') AS kept
+    FROM p LEFT JOIN m USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN s ON s.doc_id = w.doc_id"""
+
+_CONTROL = r"[<\[]\\*(s>|/s>|INST\]|/INST\])"
+ORACLES["op6_chat_bytes"] = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, length(role) + length(text) + len(regexp_extract_all(role, '{_CONTROL}')) + len(regexp_extract_all(text, '{_CONTROL}'))
+    + {len(chat.OPEN + chat.MIDDLE + chat.CLOSE)} AS size FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
