@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.parse import is_failure, run_status
-from tallyhouse.operators.ordering import NEWEST_RUNS
 from tallyhouse.operators.ranking import LIST_PART, in_parts, latest_revision, page_per_group
 
 MONEY = "decimal(18,2)"

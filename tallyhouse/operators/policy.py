@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.joins import entitled_rows, salted_join, sized_join
+from tallyhouse.operators.joins import entitled_rows, sized_join
 
 # Fixed value: longest list of include patterns, in characters.
 PATTERN_CHARACTERS = 16_384
@@ -161,8 +161,3 @@ def offboard(
     """Facts and entitlements without the tenant. Rows without a tenant stay."""
     others = ~F.col(tenant).eqNullSafe(F.lit(tenant_value))
     return facts.filter(others), entitlements.filter(others)
-
-
-def entitled_for_all(facts: DataFrame, entitlements: DataFrame, tenant: str = "tenant_id") -> DataFrame:
-    """Facts beside every reader entitled to them. A large tenant is salted."""
-    return salted_join(facts, entitlements, [tenant])
