@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.parse import is_failure, run_status
-from tallyhouse.operators.ranking import LIST_PART, in_parts, latest_revision, page_per_group
+from tallyhouse.operators.ranking import in_order, in_parts, latest_revision, page_per_group, place_numbers
 
 MONEY = "decimal(18,2)"
 UNITS = "decimal(38,9)"
@@ -67,17 +67,23 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def name_list(
-    df: DataFrame, column: str, sep: str = ", ", keys: Sequence[str] = (), part_size: int = LIST_PART
+    df: DataFrame, column: str, sep: str = ", ", keys: Sequence[str] = (), *, part_size: int
 ) -> DataFrame:
-    """Names joined into one text in order; no names give an empty text.
+    """Names joined into texts in order, ``part_size`` names to a ``part``; no names give an empty text.
 
-    Equal names are counted before they are ordered. A key with more than
-    ``part_size`` different names continues in the next ``part``.
+    Equal names are counted before they are ordered, and the copies of a name
+    are split between parts like different names.
     """
     keys = list(keys)
     names = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("__n"))
-    repeated = F.array_join(F.array_repeat(F.col(column), F.col("__n").cast("int")), sep)
-    names = in_parts(names.withColumn("__text", repeated), keys, [column], part_size)
+    placed = in_order(names, [F.col(c).asc_nulls_first() for c in (*keys, column)])
+    ends = place_numbers(placed, "__end", keys, "__n").withColumn("__start", F.col("__end") - F.col("__n"))
+    own_parts = F.expr(f"sequence(__start div {int(part_size)}, (__end - 1) div {int(part_size)})")
+    low, high = F.col("part") * F.lit(part_size), (F.col("part") + 1) * F.lit(part_size)
+    copies = (F.least("__end", high) - F.greatest("__start", low)).cast("int")
+    names = ends.withColumn("part", F.explode(own_parts)).withColumn(
+        "__text", F.array_join(F.array_repeat(F.col(column), copies), sep)
+    )
     ordered = F.sort_array(F.collect_list(F.struct(F.col(column).alias("name"), F.col("__text").alias("text"))))
     text = F.array_join(F.transform(ordered, lambda e: e["text"]), sep)
     listed = names.groupBy(*keys, "part").agg(text.alias("names"))
@@ -145,9 +151,9 @@ def status_map(runs: DataFrame, key: str = "job_id", limit: int | None = None) -
 
 
 def collect_sorted(
-    df: DataFrame, keys: Sequence[str], column: str, name: str | None = None, part_size: int = LIST_PART
+    df: DataFrame, keys: Sequence[str], column: str, name: str | None = None, *, part_size: int
 ) -> DataFrame:
-    """Sorted set of values per key, in parts of bounded length.
+    """Sorted set of values per key, ``part_size`` values to a ``part``.
 
     Copies are removed before values meet.
     """

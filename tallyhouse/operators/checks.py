@@ -70,8 +70,8 @@ def slug_collisions(tenants: DataFrame, preferred: str = "slug", key: str = "ten
     return counts.filter("tenants > 1")
 
 
-def colliding_tenants(tenants: DataFrame, preferred: str = "slug", key: str = "tenant_id") -> DataFrame:
-    """The tenants behind each collision, as a sorted list."""
+def colliding_tenants(tenants: DataFrame, preferred: str = "slug", key: str = "tenant_id", *, part_size: int) -> DataFrame:
+    """The tenants behind each collision, as sorted lists of ``part_size``."""
     named = tenants.select(slug(preferred, F.col(key).cast("string")).alias("slug"), F.col(key).cast("string").alias("tenant_id"))
     clashing = slug_collisions(tenants, preferred, key).select("slug")
-    return collect_sorted(named.join(clashing, "slug", "left_semi"), ["slug"], "tenant_id", "tenants")
+    return collect_sorted(named.join(clashing, "slug", "left_semi"), ["slug"], "tenant_id", "tenants", part_size=part_size)

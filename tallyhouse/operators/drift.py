@@ -126,7 +126,7 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     )
 
 
-def leftovers(objects: DataFrame, prefix: str) -> DataFrame:
-    """Names with a test prefix per kind, as one text; a clean kind shows an empty one."""
+def leftovers(objects: DataFrame, prefix: str, *, part_size: int) -> DataFrame:
+    """Names with a test prefix per kind, ``part_size`` names to a text; a clean kind shows an empty one."""
     marked = objects.select("kind", F.when(F.col("name").startswith(prefix), F.col("name")).alias("name"))
-    return name_list(marked, "name", ", ", ["kind"])
+    return name_list(marked, "name", ", ", ["kind"], part_size=part_size)

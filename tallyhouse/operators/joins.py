@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-# At most this many keys are treated as heavy. Every other key then holds less
-# than 1/HEAVY_KEYS of the rows, so an ordinary shuffle spreads them.
-HEAVY_KEYS = 1_000
+# At most this many keys are salted. Every other key then holds less than
+# 1/HEAVY_KEYS of the rows. Salting changes where rows meet, never the result.
+HEAVY_KEYS = 100_000
 HEAVY_ROWS = 100_000
 SALTS = 64
 
@@ -57,14 +57,6 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None)
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
-def split_by_key(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of the hot keys with ``__rows``, and all other rows. Null is a key like any other."""
-    renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
-    on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
-    listed = F.broadcast(hot.withColumnsRenamed(renamed))
-    return df.join(listed, on, "inner").drop(*renamed.values()), df.join(listed, on, "left_anti")
-
-
 def salted_join(
     left: DataFrame,
     right: DataFrame,

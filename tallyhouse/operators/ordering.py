@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.operators.ranking import SHORT_PREFIX, numbered_rows
+from tallyhouse.operators.ranking import SHORT_PREFIX, numbered_rows, total_order
 
 # Rows returned when no limit is given.
 NEWEST_RUNS = 50
@@ -27,7 +27,7 @@ def as_order(key: str | Column | tuple[str, bool], nulls: str = "last") -> Colum
 
 
 def page(df: DataFrame, order: Sequence, limit: int | None = None, offset: int | None = None) -> DataFrame:
-    """Rows in ``order``, cut to a window. ``order`` must be total.
+    """Rows in ``order``, cut to a window. Rows that tie are ordered by their other columns.
 
     A short window is a top-k, in which each task keeps ``limit + offset`` rows.
     A deep window is cut from exact row numbers, so no task holds the skipped
@@ -35,7 +35,7 @@ def page(df: DataFrame, order: Sequence, limit: int | None = None, offset: int |
     """
     if (limit is not None and limit < 0) or (offset is not None and offset < 0):
         raise ValueError("limit and offset must not be negative")
-    by = [as_order(k) for k in order]
+    by = total_order(df, [as_order(k) for k in order])
     skip = offset or 0
     if limit == 0:
         return df.limit(0)

@@ -11,14 +11,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyhouse.operators.joins import heavy_keys, same, split_by_key
+from tallyhouse.operators.joins import same
 from tallyhouse.settings import cut_lineage
 
 # Up to this many leading rows per key the plan keeps a bounded prefix per task.
 SHORT_PREFIX = 1_000
-# Most elements one list value holds. A longer list goes on in the next part.
-LIST_PART = 100_000
 
 
 def latest_revision(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -41,43 +40,34 @@ def latest_storage(history: DataFrame) -> DataFrame:
     return latest_revision(history, ["database_id"], ["computed_ts"])
 
 
-def with_match_count(
-    df: DataFrame, keys: Sequence[str], name: str = "match_count", min_rows: int | None = None
-) -> DataFrame:
-    """Each row beside the number of rows that share its keys.
+def with_match_count(df: DataFrame, keys: Sequence[str], name: str = "match_count") -> DataFrame:
+    """Each row beside the number of rows that share its keys. Null is a key like any other.
 
-    Rows of heavy keys take the count that found them heavy, by broadcast. All
-    other keys are small enough for a window.
+    Counts combine on the map side and are joined back. No row has to meet the
+    others of its key, so adaptive execution may split a heavy key.
     """
-    counted = F.count("*").over(Window.partitionBy(*keys))
-    hot = heavy_keys(df, keys, min_rows)
-    if hot is None:
-        return df.withColumn(name, counted)
-    large, small = split_by_key(df, keys, hot)
-    return large.withColumnRenamed("__rows", name).unionByName(small.withColumn(name, counted))
+    renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
+    counts = df.groupBy(*[F.col(k).alias(r) for k, r in renamed.items()]).agg(F.count("*").alias(name))
+    on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
+    return df.join(counts, on, "left").select(*df.columns, name)
 
 
 def numbered_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "row_number", min_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "row_number"
 ) -> DataFrame:
-    """Exact ``row_number`` per key for keys of any size.
+    """Exact ``row_number`` per key for keys of any size and number.
 
-    Rows of heavy keys, at most a thousand keys, are range partitioned over key
-    and order, so such a key spans many tasks, and numbered from their place.
-    All other keys are small enough for a window. Without keys every row is
-    numbered from its place.
+    Rows are range partitioned over key and order, so a large key spans many
+    tasks, and numbered from their place.
     """
-    keys = list(keys)
-    if not keys:
-        return place_numbers(in_order(df, order), name)
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-    hot = heavy_keys(df, keys, min_rows)
-    if hot is None:
-        return df.withColumn(name, position)
-    large, small = split_by_key(df, keys, hot)
     by_key = [F.col(k).asc_nulls_first() for k in keys]
-    numbered = place_numbers(in_order(large.drop("__rows"), [*by_key, *order]), name, keys)
-    return numbered.unionByName(small.withColumn(name, position))
+    return place_numbers(in_order(df, [*by_key, *total_order(df, order)]), name, keys)
+
+
+def total_order(df: DataFrame, order: Sequence[Column]) -> list[Column]:
+    """``order`` and after it every plain column, so that only equal rows tie."""
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    return [*order, *[F.col(f"`{c}`").asc_nulls_first() for c in plain]]
 
 
 def in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -85,91 +75,112 @@ def in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
 
 
-def place_numbers(placed: DataFrame, name: str = "row_number", keys: Sequence[str] = ()) -> DataFrame:
-    """Number rows that are materialised in order, per key.
+def with_places(placed: DataFrame) -> DataFrame:
+    return placed.withColumn("__part", F.spark_partition_id()).withColumn("__pos", F.monotonically_increasing_id())
+
+
+def end_rows(marked: DataFrame, which: str, *columns: Column) -> DataFrame:
+    """The ``first`` or ``last`` row of each partition: one row per partition, so it may be broadcast."""
+    at = F.min("__pos") if which == "first" else F.max("__pos")
+    ends = marked.groupBy(F.col("__part").alias("__p")).agg(at.alias("__end"))
+    found = marked.join(F.broadcast(ends), (F.col("__part") == F.col("__p")) & (F.col("__pos") == F.col("__end")))
+    return found.select("__p", *columns)
+
+
+def place_numbers(
+    placed: DataFrame, name: str = "row_number", keys: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
+    """Number rows that are materialised in order, per key; or add up ``weight`` instead.
 
     ``placed`` must come from :func:`cut_lineage`, so that partition numbers and
-    row order are the same each time it is read. Each partition only needs to
-    know how many rows lie before it. That table has one row per partition and
-    key, and callers pass at most a thousand keys, so it is broadcast and the
-    rows are not shuffled again.
+    row order are the same each time it is read. Rows are numbered inside their
+    partition. Only the first key of a partition can have rows before it, in
+    partitions that end with the same key, so the table of what lies ahead has
+    one row per partition and is broadcast.
     """
-    marked = placed.withColumn("__part", F.spark_partition_id()).withColumn(
-        "__pos", F.monotonically_increasing_id()
+    marked = with_places(placed)
+    size = F.lit(1).cast("bigint") if weight is None else F.col(weight)
+    key = F.struct(*(F.col(f"`{k}`") for k in keys)) if keys else F.struct(F.lit(0).alias("all"))
+    first, last = (end_rows(marked, which, key.alias("__key")) for which in ("first", "last"))
+    tail = (
+        marked.join(F.broadcast(last), (F.col("__part") == F.col("__p")) & same(key, F.col("__key")))
+        .groupBy("__p", "__key")
+        .agg(F.sum(size).alias("__n"))
     )
-    keys = list(keys)
-    runs = marked.groupBy("__part", *keys).agg(F.min("__pos").alias("__first"), F.count("*").alias("__n"))
-    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = runs.withColumn("__ahead", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
-    renamed = {"__part": "__p", **{k: f"__k{i}" for i, k in enumerate(keys)}}
-    on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
+    flow = first.select("__p", "__key", F.lit(0).cast("bigint").alias("__n"), F.lit(0).alias("__at")).unionByName(
+        tail.withColumn("__at", F.lit(1))
+    )
+    ahead = (
+        flow.withColumn("__ahead", F.sum("__n").over(Window.partitionBy("__key").orderBy("__p", "__at")))
+        .filter("__at = 0")
+        .select("__p", "__key", "__ahead")
+    )
+    if keys or weight:
+        inside = Window.partitionBy("__part", *keys).orderBy("__pos")
+        counted = F.row_number().over(inside) if weight is None else F.sum(size).over(inside)
+        local = marked.withColumn("__local", counted)
+    else:  # a place in the partition is the number itself
+        begin = end_rows(marked, "first", F.col("__pos").alias("__begin")).withColumnRenamed("__p", "__b")
+        local = marked.join(F.broadcast(begin), F.col("__part") == F.col("__b")).withColumn(
+            "__local", F.col("__pos") - F.col("__begin") + 1
+        )
+    behind = F.when(same(key, F.col("__key")), F.col("__ahead")).otherwise(F.lit(0))
     return (
-        marked.join(F.broadcast(ahead.withColumnsRenamed(renamed)), on, "inner")
-        .withColumn(name, F.col("__ahead") + F.col("__pos") - F.col("__first") + F.lit(1))
+        local.join(F.broadcast(ahead), F.col("__part") == F.col("__p"))
+        .withColumn(name, (F.col("__local") + behind).cast("bigint"))
         .select(*placed.columns, name)
     )
 
 
-def in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = LIST_PART) -> DataFrame:
-    """Rows with the ``part`` of their key's ordered list that they belong to.
+def in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int) -> DataFrame:
+    """Rows with the ``part`` of their key's ordered list that they belong to, ``size`` rows each.
 
-    A list built per key and part is bounded, and the parts in order are the
-    whole list. Nearly all keys have only part 0.
+    A list built per key and part is bounded, and the parts in order are the whole list.
     """
     ranked = numbered_rows(df, keys, [F.col(c) for c in order], "__rn")
-    before = F.col("__rn") - F.lit(1)
-    return ranked.withColumn("part", ((before - before % F.lit(size)) / F.lit(size)).cast("bigint")).drop("__rn")
+    return ranked.withColumn("part", F.expr(f"(__rn - 1) div {int(size)}")).drop("__rn")
 
 
 def page_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int, offset: int = 0
 ) -> DataFrame:
-    """Rows ``offset + 1`` to ``offset + limit`` of every key."""
+    """Rows ``offset + 1`` to ``offset + limit`` of every key; ties are ordered by the other columns."""
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must not be negative")
     if limit == 0:
         return df.limit(0)
     if limit + offset <= SHORT_PREFIX:
-        position = Window.partitionBy(*keys).orderBy(*order)
+        position = Window.partitionBy(*keys).orderBy(*total_order(df, order))
         ranked = df.withColumn("__rn", F.row_number().over(position)).filter(F.col("__rn") <= limit + offset)
     else:
         ranked = numbered_rows(df, keys, order, "__rn").filter(F.col("__rn") <= limit + offset)
     return ranked.filter(F.col("__rn") > offset).drop("__rn")
 
 
-def previous_by_unit(df: DataFrame, key: str, at: str, measure: str, name: str, unit: str) -> DataFrame:
-    """The previous value of a key whose history is too long for one task.
-
-    Rows are compared inside (key, calendar unit). The first row of a unit takes
-    its predecessor from a table with one row per key and unit.
-    """
-    cut = df.withColumn("__unit", F.date_trunc(unit, F.col(at)))
-    inside = Window.partitionBy(key, "__unit").orderBy(at)
-    local = cut.withColumn("__rn", F.row_number().over(inside)).withColumn("__prev", F.lag(measure).over(inside))
-    last = cut.groupBy(key, "__unit").agg(F.max_by(measure, at).alias("__last"))
-    carry = last.withColumn("__carry", F.lag("__last").over(Window.partitionBy(key).orderBy("__unit"))).drop("__last")
-    renamed = {key: "__k", "__unit": "__u"}
-    on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
-    value = F.when(F.col("__rn") == 1, F.col("__carry")).otherwise(F.col("__prev"))
-    return local.join(carry.withColumnsRenamed(renamed), on, "left").select(*df.columns, value.alias(name))
-
-
 def storage_growth(
-    history: DataFrame,
-    key: str = "database_id",
-    at: str = "computed_ts",
-    measure: str = "active_bytes",
-    unit: str = "day",
-    min_rows: int | None = None,
+    history: DataFrame, key: str = "database_id", at: str = "computed_ts", measure: str = "active_bytes"
 ) -> DataFrame:
-    """Change of ``measure`` since the previous computation of the same key."""
+    """Change of ``measure`` since the previous computation of the same key.
+
+    Unknown times come first; rows of one time are ordered by the measure, then
+    by the other columns. Rows are range partitioned over key and time, so a
+    long history spans many tasks: the first row of a partition takes its
+    predecessor from the last row of the partition before.
+    """
     previous = f"previous_{measure}"
-    lagged = F.lag(measure).over(Window.partitionBy(key).orderBy(at))
-    hot = heavy_keys(history, [key], min_rows)
-    if hot is None:
-        rows = history.withColumn(previous, lagged)
-    else:
-        large, small = split_by_key(history, [key], hot)
-        by_unit = previous_by_unit(large.drop("__rows"), key, at, measure, previous, unit)
-        rows = by_unit.unionByName(small.withColumn(previous, lagged))
+    order = total_order(history, [F.col(c).asc_nulls_first() for c in (key, at, measure)])
+    marked = with_places(in_order(history, order))
+    last = end_rows(marked, "last", F.col(key).alias("__k"), F.col(measure).alias("__v"))
+    # One row per partition. The first partition with rows has none before it.
+    carry = F.lag(F.struct("__k", "__v")).over(Window.orderBy("__p"))
+    before = last.select("__p", carry.alias("__before"))
+    inside = Window.partitionBy("__part", key).orderBy("__pos")
+    continued = F.col("__before").isNotNull() & same(F.col("__before.__k"), F.col(key))
+    value = F.when(F.col("__rn") > 1, F.col("__lag")).when(continued, F.col("__before.__v"))
+    rows = (
+        marked.withColumn("__rn", F.row_number().over(inside))
+        .withColumn("__lag", F.lag(measure).over(inside))
+        .join(F.broadcast(before), F.col("__part") == F.col("__p"))
+        .select(*history.columns, value.alias(previous))
+    )
     return rows.withColumn("growth", F.col(measure) - F.col(previous))

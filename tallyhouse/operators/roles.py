@@ -12,7 +12,7 @@ from tallyhouse.operators.aggregates import all_true
 from tallyhouse.operators.filters import filter_optional
 from tallyhouse.operators.joins import measured, sized_join
 from tallyhouse.operators.ordering import order_folded
-from tallyhouse.operators.ranking import LIST_PART, in_parts
+from tallyhouse.operators.ranking import in_parts
 from tallyhouse.operators.sets import differences
 from tallyhouse.settings import cut_lineage
 
@@ -143,11 +143,12 @@ def listed_when(condition: Column, value: str) -> Column:
     return F.sort_array(F.collect_list(F.when(condition, F.col(value))))
 
 
-def audit_shares(expected: DataFrame, actual: DataFrame, part_size: int = LIST_PART) -> DataFrame:
+def audit_shares(expected: DataFrame, actual: DataFrame, *, part_size: int) -> DataFrame:
     """Missing and unexpected audiences per share, and whether it complies.
 
-    Only differences enter the lists. A share with more than ``part_size`` of
-    them continues in the next ``part``.
+    Only differences enter the lists, ``part_size`` of them to a ``part``. Every
+    part says whether the whole share complies. :func:`share_differences` is
+    the same audit as one row per audience.
     """
     differing = cut_lineage(share_differences(expected, actual).filter("status <> 'matched'"))
     found = (
@@ -199,12 +200,12 @@ def role_differences(expected: DataFrame, members: DataFrame, roles: DataFrame)
 
 
 def audit_roles(
-    expected: DataFrame, members: DataFrame, roles: DataFrame, part_size: int = LIST_PART
+    expected: DataFrame, members: DataFrame, roles: DataFrame, *, part_size: int
 ) -> DataFrame:
     """Missing and unexpected members and direct roles per role, and its inherited roles.
 
-    Lists are cut into parts as in :func:`audit_shares`; a role complies when
-    all its parts do.
+    Lists are cut into parts as in :func:`audit_shares`, and every part says
+    whether the whole role complies.
     """
     is_member, is_role = F.col("kind") == "member", F.col("kind") == "role"
     missing, extra = F.col("status") == "missing", F.col("status") == "unexpected"
@@ -219,16 +220,15 @@ def audit_roles(
     found = (
         in_parts(differing, ["role_name"], ["kind", "item"], part_size)
         .groupBy("role_name", "part")
-        .agg(
-            *[listed_when(c, "item").alias(n) for n, c in lists.items()],
-            all_true(F.col("status") == "inherited").alias("compliant"),
-        )
+        .agg(*[listed_when(c, "item").alias(n) for n, c in lists.items()])
     )
+    verdicts = differing.groupBy("role_name").agg(all_true(F.col("status") == "inherited").alias("compliant"))
     none = F.array().cast("array<string>")
     return (
         expected.select("role_name")
         .distinct()
         .join(found, "role_name", "left")
+        .join(verdicts, "role_name", "left")
         .select(
             "role_name",
             F.coalesce("part", F.lit(0)).cast("bigint").alias("part"),

@@ -126,7 +126,7 @@ def test_share_audit_cases(spark):
     actual = spark.createDataFrame(
         [(n, a) for n, c in CASES.items() for a in c[0]] + [("not audited", "user:x")], "share_name string, audience string"
     )
-    audit = roles.audit_shares(expected, actual)
+    audit = roles.audit_shares(expected, actual, part_size=9)
     want = sorted(((n, c[2], c[3], not c[2] and not c[3]) for n, c in CASES.items()), key=repr)
     assert rows(audit.drop("part")) == want
     assert rows(roles.compliant(audit)) == [(False,)]
@@ -141,6 +141,7 @@ def role_case(spark, extra=False, direct="true"):
         expected,
         spark.createDataFrame(members, "role_name string, member string"),
         spark.createDataFrame(held, "role_name string, holds string, is_direct string"),
+        part_size=9,
     )
     return audit.drop("part")
 
@@ -155,6 +156,14 @@ def test_long_audit_lists_go_on_in_parts(spark):
     assert [a for r in audit.collect() for a in r["missing"]] == [f"user:{i:02d}" for i in range(1, 7)]
 
 
+def test_every_part_of_a_role_audit_says_whether_the_role_complies(spark):
+    expected = spark.createDataFrame([("r", [], [])], "role_name string, members array<string>, inherits array<string>")
+    members = spark.createDataFrame([("r", "user:new")], "role_name string, member string")
+    held = spark.createDataFrame([("r", f"up{i}", "false") for i in range(3)], "role_name string, holds string, is_direct string")
+    audit = roles.audit_roles(expected, members, held, part_size=2)
+    assert rows(audit, "part", "inherited_roles", "compliant") == [(0, ["up0", "up1"], False), (1, ["up2"], False)]
+
+
 def test_role_audit_cases(spark):
     assert rows(role_case(spark)) == [("crew", [], [], [], [], ["harbour"], True)]
     assert rows(role_case(spark, extra=True)) == [("crew", [], ["user:stowaway"], [], [], ["harbour"], False)]

@@ -4,6 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -120,15 +121,14 @@ def test_latest_revision_drops_null_keys(spark):
 
 def test_match_count_with_heavy_and_null_keys(spark):
     data = [("hot", i) for i in range(500)] + [("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)]
-    for min_rows in (100, 10_000, 1):
-        got = ranking.with_match_count(shuffled(spark, data, "k string, v int", 7), ["k"], min_rows=min_rows)
-        counts = {k: {r["match_count"] for r in got.collect() if r["k"] == k} for k in ("hot", "a", "b", None)}
-        assert got.count() == 505 and counts == {"hot": {500}, "a": {2}, "b": {1}, None: {2}}
+    got = ranking.with_match_count(shuffled(spark, data, "k string, v int", 7), ["k"])
+    counts = {k: {r["match_count"] for r in got.collect() if r["k"] == k} for k in ("hot", "a", "b", None)}
+    assert got.count() == 505 and counts == {"hot": {500}, "a": {2}, "b": {1}, None: {2}}
 
 
 def test_numbered_rows_of_a_heavy_key(spark):
     df = spark.range(9_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 10).cast("string")).alias("k"), "id").repartition(9)
-    got = ranking.numbered_rows(df, ["k"], [F.desc("id")], min_rows=1_000)
+    got = ranking.numbered_rows(df, ["k"], [F.desc("id")])
     window = {}
     for r in sorted(got.collect(), key=lambda r: (r["k"], -r["id"])):
         window[r["k"]] = window.get(r["k"], 0) + 1
@@ -143,12 +143,28 @@ def test_page_per_group(spark, limit, offset):
     assert rows(ranking.page_per_group(df, ["k"], [F.desc("n")], limit, offset)) == want
 
 
+def test_numbers_and_growth_agree_with_windows_on_many_repeated_keys(spark):
+    """1,500 keys of several rows, a key of a third of all rows, null keys, null and equal times."""
+    n = F.col("id")
+    df = spark.range(9_000).select(
+        F.when(n % 3 == 0, -1).when(n % 50 != 1, n % 1_500).alias("k"),
+        F.when(n % 7 > 0, F.timestamp_seconds(1_700_000_000 + (n * 7_919) % 997)).alias("t"),
+        F.when(n % 11 > 0, n).alias("v"),
+    ).repartition(6)
+    by = [F.col(c).asc_nulls_first() for c in ("t", "v")]
+    inside = Window.partitionBy("k").orderBy(*by)
+    want = df.withColumn("row_number", F.row_number().over(inside).cast("bigint"))
+    assert rows(ranking.numbered_rows(df, ["k"], by)) == rows(want)
+    lagged = df.withColumn("previous_v", F.lag("v").over(inside)).withColumn("growth", F.col("v") - F.col("previous_v"))
+    assert rows(ranking.storage_growth(df, "k", "t", "v")) == rows(lagged)
+    assert ranking.storage_growth(df.limit(0), "k", "t", "v").count() == 0
+
+
 def test_growth_crosses_units(spark):
     data = [("d", f"2026-0{m}-{d:02d} 00:00:00", m * 100 + d) for m in (1, 2, 4) for d in (1, 15)]
     df = shuffled(spark, data, "database_id string, t string, active_bytes int", 4).withColumn("computed_ts", F.col("t").cast("timestamp_ntz"))
-    for min_rows in (1, 100):
-        got = sorted(rows(ranking.storage_growth(df, min_rows=min_rows), "active_bytes", "previous_active_bytes", "growth"))
-        assert got == [(101, None, None), (115, 101, 14), (201, 115, 86), (215, 201, 14), (401, 215, 186), (415, 401, 14)]
+    got = sorted(rows(ranking.storage_growth(df), "active_bytes", "previous_active_bytes", "growth"))
+    assert got == [(101, None, None), (115, 101, 14), (201, 115, 86), (215, 201, 14), (401, 215, 186), (415, 401, 14)]
 
 
 def test_dedupe_keeps_the_first_copy(spark):

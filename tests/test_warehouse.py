@@ -244,11 +244,15 @@ def test_slugs(spark):
 
 def test_name_list(spark):
     data = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "name string")
-    assert rows(name_list(data, "name")) == [(0, "a, b, b")]
-    assert rows(name_list(data.filter("false"), "name")) == [(0, "")]
-    assert rows(name_list(data, "name", part_size=1)) == [(0, "a"), (1, "b, b")]
+    assert rows(name_list(data, "name", part_size=9)) == [(0, "a, b, b")]
+    assert rows(name_list(data.filter("false"), "name", part_size=9)) == [(0, "")]
+    assert rows(name_list(data, "name", part_size=2)) == [(0, "a, b"), (1, "b")]
+    keyed = spark.createDataFrame([("x", n) for n in "ca"] + [("y", "b")] * 5 + [("y", "a"), (None, "d"), ("z", None)], "k string, name string")
+    assert rows(name_list(keyed, "name", "+", ["k"], part_size=4)) == [
+        ("x", 0, "a+c"), ("y", 0, "a+b+b+b"), ("y", 1, "b+b"), ("z", 0, ""), (None, 0, "d"),
+    ]
     tenants = spark.createDataFrame([("A b", 1), ("a-b", 2), ("c", 3)], "slug string, tenant_id int")
-    assert rows(colliding_tenants(tenants)) == [("a_b", 0, ["1", "2"])]
+    assert rows(colliding_tenants(tenants, part_size=5)) == [("a_b", 0, ["1", "2"])]
 
 
 def test_files(spark, folder):

@@ -257,14 +257,15 @@ def share_differences(spark, sf):
 
 @query(
     "g6_audit_shares",
-    f"""SELECT s.share_name, coalesce(string_agg(CASE WHEN status = 'missing' THEN audience END, ',' ORDER BY audience), '') AS missing,
+    f"""WITH d AS (SELECT *, (row_number() OVER (PARTITION BY share_name ORDER BY audience) - 1) // 5 AS part FROM {SHARE_DIFF} WHERE status <> 'matched')
+    SELECT s.share_name, coalesce(d.part, 0) AS part, coalesce(string_agg(CASE WHEN status = 'missing' THEN audience END, ',' ORDER BY audience), '') AS missing,
     coalesce(string_agg(CASE WHEN status = 'unexpected' THEN audience END, ',' ORDER BY audience), '') AS unexpected,
-    coalesce(bool_and(d.status = 'matched'), true) AS compliant
-    FROM {SHARES} AS s LEFT JOIN {SHARE_DIFF} AS d ON d.share_name = s.share_name GROUP BY s.share_name""",
+    count(d.share_name) = 0 AS compliant
+    FROM (SELECT DISTINCT share_name FROM {SHARES}) AS s LEFT JOIN d ON d.share_name = s.share_name GROUP BY s.share_name, d.part""",
 )
 def audit_shares(spark, sf):
-    audit = roles.audit_shares(expected_audiences(spark, sf), actual_audiences(spark, sf))
-    return audit.drop("part").withColumns({"missing": joined("missing"), "unexpected": joined("unexpected")})
+    audit = roles.audit_shares(expected_audiences(spark, sf), actual_audiences(spark, sf), part_size=5)
+    return audit.withColumns({"missing": joined("missing"), "unexpected": joined("unexpected")})
 
 
 ROLE_FACTS = f"""e AS (SELECT DISTINCT * FROM {ROLE_EDGES}),
@@ -307,14 +308,16 @@ def listed(condition: str) -> str:
 
 @query(
     "g7_audit_roles",
-    f"""{ROLE_AUDIT} SELECT role_name, {listed("kind = 'member' AND status = 'missing'")} AS missing_members,
+    f"""{ROLE_AUDIT}, v AS (SELECT role_name, bool_and(status IN ('matched', 'inherited')) AS compliant FROM diff GROUP BY role_name),
+    n AS (SELECT *, (row_number() OVER (PARTITION BY role_name ORDER BY kind, item) - 1) // 2 AS part FROM diff WHERE status <> 'matched')
+    SELECT v.role_name, coalesce(n.part, 0) AS part, {listed("kind = 'member' AND status = 'missing'")} AS missing_members,
     {listed("kind = 'member' AND status = 'unexpected'")} AS unexpected_members, {listed("kind = 'role' AND status = 'missing'")} AS missing_roles,
     {listed("kind = 'role' AND status = 'unexpected'")} AS unexpected_roles, {listed("status = 'inherited'")} AS inherited_roles,
-    bool_and(status IN ('matched', 'inherited')) AS compliant FROM diff GROUP BY role_name""",
+    v.compliant FROM v LEFT JOIN n ON n.role_name = v.role_name GROUP BY v.role_name, n.part, v.compliant""",
 )
 def audit_roles(spark, sf):
-    audit = roles.audit_roles(*role_audit_inputs(spark, sf)).drop("part")
-    lists = [c for c in audit.columns if c not in ("role_name", "compliant")]
+    audit = roles.audit_roles(*role_audit_inputs(spark, sf), part_size=2)
+    lists = [c for c in audit.columns if c not in ("role_name", "part", "compliant")]
     return audit.withColumns({c: joined(c) for c in lists})
 
 

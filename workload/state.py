@@ -266,14 +266,16 @@ def table_diff(spark, sf):
 
 @query(
     "c16_leftovers",
-    """SELECT 'kind_' || (p_partkey // 50) AS kind, coalesce(string_agg(CASE WHEN starts_with(p_brand, 'Brand#2') THEN p_brand || '/' || p_partkey END, ', '
-    ORDER BY p_brand || '/' || p_partkey), '') AS names FROM part GROUP BY ALL""",
+    """WITH p AS (SELECT 'kind_' || (p_partkey // 50) AS kind, p_brand || '/' || p_partkey AS name FROM part),
+    n AS (SELECT *, (row_number() OVER (PARTITION BY kind ORDER BY name) - 1) // 4 AS part FROM p WHERE starts_with(name, 'Brand#2'))
+    SELECT k.kind, coalesce(n.part, 0) AS part, coalesce(string_agg(n.name, ', ' ORDER BY n.name), '') AS names
+    FROM (SELECT DISTINCT kind FROM p) AS k LEFT JOIN n ON n.kind = k.kind GROUP BY k.kind, n.part""",
 )
 def leftovers(spark, sf):
     key = F.col("p_partkey")
     kind = F.concat(F.lit("kind_"), text(((key - key % 50) / 50).cast("bigint")))
     rows = table(spark, sf, "part").select(kind.alias("kind"), F.concat("p_brand", F.lit("/"), text(key)).alias("name"))
-    return drift.leftovers(rows, "Brand#2").drop("part")
+    return drift.leftovers(rows, "Brand#2", part_size=4)
 
 
 @query(
