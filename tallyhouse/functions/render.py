@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,17 +70,38 @@ def interval_text(months: Column, days: Column, micros: Column) -> Column:
     return F.when(known & (text == ""), F.lit("00:00:00")).when(known, text)
 
 
-def _normalised(column: Column, kind: T.DataType) -> Column:
-    """The column with every nested value in the form the JSON text shows."""
+def decimal_text(column: Column, scale: int) -> Column:
+    """The exact decimal without exponent and without trailing zeros."""
+    if scale <= 0:
+        return column.cast("string")
+    if scale == 38:  # no room for a digit before the point
+        return F.regexp_replace(column.cast("string"), r"\.?0+$", "")
+    size = F.abs(column)
+    one_more = ((size % F.lit(1)).cast(f"decimal({scale + 1},{scale})") + F.lit(1)).cast(f"decimal({scale + 1},{scale})")
+    sign = F.when(column < 0, F.lit("-")).otherwise(F.lit(""))  # from one on, no text has an exponent
+    fraction = F.regexp_replace(F.substr(one_more.cast("string"), F.lit(2)), r"\.?0+$", "")
+    return F.concat(sign, F.floor(size).cast("decimal(38,0)").cast("string"), fraction)
+
+
+def utc_text(column: Column, kind: T.DataType) -> Column:
+    """RFC 3339 text in UTC, whatever the zone of the session. A time without a zone holds UTC."""
+    if isinstance(kind, T.TimestampType):
+        seconds = (F.unix_micros(column) * F.lit(Decimal("0.000001"))).cast("decimal(18,6)")
+        column = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.concat(F.replace(column.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+
+
+def value_text(column: Column, kind: T.DataType) -> Column:
+    """The value as it stands in a JSON text, without the quotes of a string; null stays null."""
     zero = F.lit(0).cast("bigint")
     if isinstance(kind, T.BinaryType):
         return blob_text(column)
-    if isinstance(kind, T.TimestampType):
-        return time_text(column)
-    if isinstance(kind, T.TimestampNTZType):
-        return time_text(column)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return utc_text(column, kind)
     if isinstance(kind, T.DateType):
-        return F.when(column.isNotNull(), F.concat(column.cast("string"), F.lit("T00:00:00Z")))
+        return F.concat(column.cast("string"), F.lit("T00:00:00Z"))
+    if isinstance(kind, T.DecimalType):
+        return decimal_text(column, kind.scale)
     if isinstance(kind, T.DayTimeIntervalType):
         seconds = column.cast(T.DayTimeIntervalType(0, 3))
         micros = F.extract(F.lit("SECOND"), seconds) * 1_000_000 + (
@@ -88,30 +112,51 @@ def _normalised(column: Column, kind: T.DataType) -> Column:
         spread = column.cast(T.YearMonthIntervalType(0, 1))
         months = F.extract(F.lit("YEAR"), spread) * 12 + F.extract(F.lit("MONTH"), spread)
         return interval_text(months, zero, zero)
-    if isinstance(kind, T.ArrayType):
-        return F.transform(column, lambda v: _normalised(v, kind.elementType))
-    if isinstance(kind, T.MapType):
-        return F.transform_values(column, lambda _, v: _normalised(v, kind.valueType))
-    if isinstance(kind, T.StructType):
-        fields = sorted(kind.fields, key=lambda f: f.name)
-        inner = F.struct(*[_normalised(column[f.name], f.dataType).alias(f.name) for f in fields])
-        return F.when(column.isNotNull(), inner)
-    return column
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.when(column.isNotNull(), json_value(column, kind))
+    return column.cast("string")
 
 
-def normalised_rows(df: DataFrame) -> DataFrame:
-    """Columns lower-cased and in name order; of two that collide the later one wins."""
-    latest: dict[str, int] = {}
-    for position, field in enumerate(df.schema.fields):
-        latest[field.name.lower()] = position
-    unique = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return unique.select(
-        *[_normalised(F.col(f"c{i}"), df.schema.fields[i].dataType).alias(name) for name, i in sorted(latest.items())]
-    )
+def _leaf(column: Column) -> Column:
+    """A number, boolean or string as JSON: what Spark writes for it inside an object."""
+    whole = F.to_json(F.struct(column.alias("v")), {"ignoreNullFields": "false"})
+    return F.substr(whole, F.lit(6), F.length(whole) - 6)
+
+
+def _comma(items: Column, left: str, right: str) -> Column:
+    return F.concat(F.lit(left), F.array_join(items, ","), F.lit(right))
+
+
+def json_value(column: Column, kind: T.DataType) -> Column:
+    """The value as JSON text, never null. Fields of a struct are in name order, entries of a map in their own."""
+    if isinstance(kind, T.ArrayType):
+        text = _comma(F.transform(column, lambda v: json_value(v, kind.elementType)), "[", "]")
+    elif isinstance(kind, T.MapType):
+        def entry(e: Column) -> Column:
+            return F.concat(_leaf(value_text(e["key"], kind.keyType)), F.lit(":"), json_value(e["value"], kind.valueType))
+
+        text = _comma(F.transform(F.map_entries(column), entry), "{", "}")
+    elif isinstance(kind, T.StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        pairs = [F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ":"), json_value(column[f.name], f.dataType)) for f in fields]
+        text = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+    elif isinstance(kind, T.VariantType):
+        text = F.to_json(column)
+    elif isinstance(kind, (T.DecimalType, T.IntegralType)):
+        text = value_text(column, kind)
+    elif isinstance(kind, (T.BooleanType, T.FractionalType)):
+        text = _leaf(column)
+    else:
+        text = _leaf(value_text(column, kind))
+    return F.when(column.isNull(), F.lit("null")).otherwise(text)
 
 
 def rows_json(df: DataFrame) -> DataFrame:
-    """One JSON object per row: exact decimals, RFC 3339 times, hex blobs, nulls kept."""
-    rows = normalised_rows(df)
-    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"})
-    return rows.select(text.alias("row_json"))
+    """One JSON object per row: exact decimals, RFC 3339 times, hex blobs, nulls kept.
+
+    Columns are lower-cased and in name order; of two that collide the later one wins.
+    """
+    latest = {field.name.lower(): i for i, field in enumerate(df.schema.fields)}
+    unique = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    row = T.StructType([T.StructField(name, df.schema.fields[i].dataType) for name, i in latest.items()])
+    return unique.select(json_value(F.struct(*[F.col(f"c{i}").alias(name) for name, i in latest.items()]), row).alias("row_json"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.parse import is_failure, run_status
+from tallyhouse.operators.joins import same
 from tallyhouse.operators.ranking import in_order, in_parts, latest_revision, page_per_group, place_numbers
 
 MONEY = "decimal(18,2)"
@@ -88,7 +89,9 @@ def name_list(
     text = F.array_join(F.transform(ordered, lambda e: e["text"]), sep)
     listed = names.groupBy(*keys, "part").agg(text.alias("names"))
     if keys:
-        found = df.select(*keys).distinct().join(listed, keys, "left")
+        renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
+        on = [same(F.col(k), F.col(r)) for k, r in renamed.items()]
+        found = df.select(*keys).distinct().join(listed.withColumnsRenamed(renamed), on, "left")
     else:
         found = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("part")).join(listed, "part", "full_outer")
     return found.select(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.parse import instant_literal
+from tallyhouse.functions.render import value_text
 from tallyhouse.operators.joins import sized_join
 
 
@@ -19,11 +20,12 @@ def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def typed_rows(df: DataFrame, spec: Mapping[str, str | None]) -> DataFrame:
-    """Text rows: output name to source column. A source the rows lack gives null."""
+    """Text rows: output name to source column, values as the JSON rows show them. A source the rows lack gives null."""
     def value(name: str, source: str | None) -> Column:
         source = source or name
-        found = F.col(f"`{source}`") if source in df.columns else F.lit(None)
-        return found.cast("string").alias(name)
+        if source not in df.columns:
+            return F.lit(None).cast("string").alias(name)
+        return value_text(F.col(f"`{source}`"), df.schema[source].dataType).alias(name)
 
     return df.select(*[value(n, s) for n, s in spec.items()])
 
@@ -77,7 +79,7 @@ def filter_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
 
 
 def bridge_finish_time(df: DataFrame) -> DataFrame:
-    """Give rows of either schema generation both names of the finish time."""
+    """Give rows of either schema generation both names of the finish time. Rows that have both stay as they are."""
     has_end, has_finished = "end_time" in df.columns, "run_finished_ts" in df.columns
     if has_end and not has_finished:
         return df.withColumn("run_finished_ts", F.col("end_time"))
@@ -85,8 +87,7 @@ def bridge_finish_time(df: DataFrame) -> DataFrame:
         return df.withColumn("end_time", F.col("run_finished_ts"))
     if not has_end:
         raise ValueError("Usage rows need end_time or run_finished_ts")
-    end, finished = F.coalesce("end_time", "run_finished_ts"), F.coalesce("run_finished_ts", "end_time")
-    return df.withColumns({"end_time": end, "run_finished_ts": finished})
+    return df
 
 
 def filter_in(df: DataFrame, column: str, values: Sequence | DataFrame) -> DataFrame:
@@ -102,25 +103,24 @@ def topic_subtree(df: DataFrame, prefix: str, column: str = "topic") -> DataFram
     return df.filter((F.col(column) == prefix) | F.col(column).startswith(prefix + "/"))
 
 
-REFERENCE_FIELDS = ("type", "url", "schema", "table", "column", "view", "macro", "uuid")
+# Types of things that have a uuid, and the scheme of a catalog's url.
+UUID_TYPES = ("dive", "flight", "guide")
+CATALOG_SCHEME = "md:"
+# What a catalog reference may name below its url.
+CATALOG_PATHS = ("", "schema", "schema table", "schema table column", "schema view", "schema macro")
 
 
 def check_reference(ref: Mapping[str, str | None]) -> None:
-    """Refuse field combinations that name nothing."""
-    is_set = {f for f in REFERENCE_FIELDS if ref.get(f)}
+    """Refuse references of other types, and field combinations that name nothing."""
     kind = ref.get("type")
     if kind == "catalog":
-        narrowed = is_set & {"table", "view", "macro"}
-        if "url" not in is_set:
-            raise ValueError("a catalog reference needs a url")
-        if len(narrowed) > 1:
-            raise ValueError("a catalog reference names at most one of table, view and macro")
-        if "column" in is_set and "table" not in is_set:
-            raise ValueError("a column reference needs its table")
-        if narrowed and "schema" not in is_set:
-            raise ValueError("a table, view or macro reference needs its schema")
-    elif kind is None:
-        raise ValueError("a reference needs a type")
+        if not (ref.get("url") or "").startswith(CATALOG_SCHEME):
+            raise ValueError(f"a catalog reference needs a url that starts with {CATALOG_SCHEME}")
+        named = {f for path in CATALOG_PATHS for f in path.split() if ref.get(f)}
+        if named not in [set(path.split()) for path in CATALOG_PATHS]:
+            raise ValueError(f"a catalog reference cannot name {sorted(named)}; it names one of {CATALOG_PATHS[1:]}")
+    elif kind not in UUID_TYPES:
+        raise ValueError(f"a reference has one of the types catalog, {', '.join(UUID_TYPES)}")
     elif ref.get("uuid") is None:
         raise ValueError(f"a {kind} reference needs a uuid")
 

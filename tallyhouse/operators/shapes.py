@@ -92,7 +92,8 @@ def needs_rebuild(changes: DataFrame, current: DataFrame, contracts: DataFrame)
     """Tables whose change cannot be made in place, with the reasons.
 
     ``contracts`` has ``table_name``, ``planned_key``, ``current_key`` and
-    ``planned_order`` arrays. A null planned key or order keeps the current one.
+    ``planned_order`` arrays. A null planned key or order keeps the current one;
+    a current key or order that is not known is no reason to rebuild.
     """
     by_table = changes.groupBy("table_name").agg(
         F.bool_or(F.col("change") == "type_changed").alias("type_changed"),
@@ -106,12 +107,13 @@ def needs_rebuild(changes: DataFrame, current: DataFrame, contracts: DataFrame)
         .groupBy("table_name")
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("position", "column_name"))), lambda e: e["column_name"]).alias("__after"))
     )
-    facts = contracts.join(by_table, "table_name").join(after, "table_name", "left")
+    known = current.select("table_name").distinct().withColumn("__known", F.lit(True))
+    facts = contracts.join(by_table, "table_name").join(after, "table_name", "left").join(known, "table_name", "left")
     reasons = {
         "type_changed": F.col("type_changed"),
         "key_dropped": F.arrays_overlap(F.coalesce("current_key", F.array().cast("array<string>")), F.col("__dropped")),
-        "key_changed": F.col("planned_key").isNotNull() & ~F.col("planned_key").eqNullSafe(F.col("current_key")),
-        "order_changed": F.col("planned_order").isNotNull() & ~F.col("planned_order").eqNullSafe(F.col("__after")),
+        "key_changed": F.col("planned_key") != F.col("current_key"),
+        "order_changed": F.col("__known") & F.col("planned_order").isNotNull() & ~F.col("planned_order").eqNullSafe(F.col("__after")),
     }
     listed = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in reasons.items()]), lambda r: r.isNotNull())
     return facts.select("table_name", listed.alias("reasons"), (F.size(listed) > 0).alias("needs_rebuild"))

@@ -3,7 +3,8 @@
 A table is a folder with ``data/<unique>`` folders and a ``log`` of versions.
 Data is written first. A version exists once its log row is committed, so a
 failed job leaves no trace a reader could see, and a table can be read while it
-is refreshed. One publisher writes a table at a time.
+is refreshed. A log row is moved to the place of its version, which only the
+first of several writers can do.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +34,7 @@ class VersionedTable:
     def log(self) -> DataFrame | None:
         """The version log, or nothing when the table was never written."""
         try:
-            return self.spark.read.schema(LOG).parquet(f"{self.path}/log")
+            return self.spark.read.schema(LOG).option("recursiveFileLookup", "true").parquet(f"{self.path}/log")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -44,9 +46,7 @@ class VersionedTable:
         if log is None:
             return None
         rows = log if version is None else log.filter(F.col("version") == version)
-        newest = rows.orderBy(F.desc("version")).limit(2).collect()
-        if len(newest) == 2 and newest[0]["version"] == newest[1]["version"]:
-            raise RuntimeError(f"two publishers wrote version {newest[0]['version']} of {self.path}")
+        newest = rows.orderBy(F.desc("version")).limit(1).collect()
         return newest[0] if newest else None
 
     def version(self) -> int:
@@ -73,16 +73,35 @@ class VersionedTable:
         """Make the folders the next version after ``base``, by default after the newest.
 
         A writer that read version ``base`` commits on top of it. If another one
-        did the same meanwhile, the log shows the version twice.
+        did so meanwhile, this one fails and the table stays as the other left it.
         """
         version = (self.version() if base is None else base) + 1
         row = self.spark.createDataFrame(
             [(version, schema.json(), list(paths), note)],
             "version bigint, schema_json string, paths array<string>, note string",
         ).select("version", F.current_timestamp().alias("committed_at"), "schema_json", "paths", "note")
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        staged = f"{self.path}/staged/{uuid.uuid4().hex}"
+        row.coalesce(1).write.mode("errorifexists").parquet(staged)
+        if not self.place(staged, f"{self.path}/log/{version:012d}"):
+            raise RuntimeError(f"another writer committed version {version} of {self.path}")
         return version
 
+    def place(self, staged: str, target: str) -> bool:
+        """Move a written folder to a place that must be free. File systems with an atomic rename let one writer win."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        files = hadoop.FileContext.getFileContext(hadoop.Path(target).toUri(), self.spark._jsc.hadoopConfiguration())
+        option = getattr(hadoop, "Options$Rename")
+        how = self.spark.sparkContext._gateway.new_array(option, 1)
+        how[0] = option.NONE
+        files.mkdir(hadoop.Path(target).getParent(), None, True)
+        try:
+            files.rename(hadoop.Path(staged), hadoop.Path(target), how)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+
     def create(self, schema: T.StructType) -> int:
         """An empty table with this definition."""
         return self.commit([], schema, "create")

@@ -233,8 +233,10 @@ def test_typed_rows_and_bridge(spark):
     new = spark.createDataFrame([("2026-11-03T09:59:00Z", "2026-11-03T10:05:00Z")], "start_time string, end_time string")
     assert rows(bridge_finish_time(old), "end_time") == [("2026-11-03T10:00:00Z",)]
     assert rows(bridge_finish_time(new), "run_finished_ts", "start_time") == [("2026-11-03T10:05:00Z", "2026-11-03T09:59:00Z")]
-    both = bridge_finish_time(old.unionByName(new, allowMissingColumns=True))
-    assert both.filter("end_time IS NULL OR run_finished_ts <> end_time").count() == 0
+    running = spark.createDataFrame([(None, "2026-11-03T10:05:00Z")], "end_time string, run_finished_ts string")
+    assert rows(bridge_finish_time(running)) == [(None, "2026-11-03T10:05:00Z")]
+    values = spark.sql("SELECT TIMESTAMP_NTZ '2024-05-06 07:08:09.10' AS at, X'0AFF' AS raw, array(1, NULL) AS list, CAST(0.5 AS DECIMAL(9,3)) AS part")
+    assert rows(typed_rows(values, dict.fromkeys(["at", "raw", "list", "part"]))) == [("2024-05-06T07:08:09.1Z", "0aff", "[1,null]", "0.5")]
 
 
 def test_optional_flags_are_three_valued(spark):
@@ -251,7 +253,11 @@ def test_references(spark):
     assert rows(filter_by_reference(data, {"type": "catalog", "url": "md:a"}), "id") == [(1,)]
     assert rows(filter_by_reference(data, {"type": "guide", "uuid": "u1"}), "id") == [(2,)]
     assert filter_by_reference(data, {}).count() == 3
-    for bad in ({"url": "md:a"}, {"type": "catalog"}, {"type": "guide"}, {"type": "catalog", "url": "md:a", "table": "t"}):
+    at = {"type": "catalog", "url": "md:a"}
+    for good in ({"schema": "s"}, {"schema": "s", "table": "t", "column": "c"}, {"schema": "s", "macro": "m", "view": ""}):
+        check_reference(at | good)
+    wrong = ({"table": "t"}, {"schema": "s", "column": "c"}, {"schema": "s", "table": "t", "view": "v"}, {"url": "a"})
+    for bad in ({"url": "md:a"}, {"type": "catalog"}, {"type": "guide"}, {"type": "page", "uuid": "u"}, *[at | w for w in wrong]):
         with pytest.raises(ValueError):
             check_reference(bad)
 

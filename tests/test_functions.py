@@ -61,6 +61,27 @@ def test_rows_json_keeps_every_value_exact(spark):
     json.loads(got)
 
 
+def test_rows_json_of_small_numbers_and_keys(spark):
+    df = spark.sql(
+        """SELECT CAST(0 AS DECIMAL(38,9)) AS zero, CAST(0.000000001 AS DECIMAL(38,9)) AS tiny, CAST(-120.50 AS DECIMAL(9,2)) AS trimmed,
+        CAST(700 AS DECIMAL(9,0)) AS whole, map(X'0A', 1) AS raw, map(TIMESTAMP_NTZ '2024-01-01 00:00:00', CAST(NULL AS INT)) AS times,
+        map(CAST(1.50 AS DECIMAL(9,2)), 'a"b') AS rates, named_struct('b', CAST(NULL AS STRING), 'a', array(0.25D, NULL)) AS pair"""
+    )
+    assert render.rows_json(df).first()["row_json"] == (
+        '{"pair":{"a":[0.25,null],"b":null},"rates":{"1.5":"a\\"b"},"raw":{"0a":1},"times":{"2024-01-01T00:00:00Z":null},'
+        '"tiny":0.000000001,"trimmed":-120.5,"whole":700,"zero":0}'
+    )
+
+
+def test_json_times_are_utc_in_any_session(spark):
+    df = spark.sql("SELECT timestamp_micros(1704067200250000) AS at, TIMESTAMP_NTZ '2024-03-10 02:30:00' AS wall")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert render.rows_json(df).first()["row_json"] == '{"at":"2024-01-01T00:00:00.25Z","wall":"2024-03-10T02:30:00Z"}'
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_the_later_of_two_colliding_columns_wins(spark):
     df = spark.range(1).select(F.lit(1).alias("X"), F.lit(2).alias("x"))
     assert render.rows_json(df).first()["row_json"] == '{"x":2}'

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
@@ -81,8 +82,14 @@ def test_rebuild_reasons(spark):
         "table_name string, planned_key array<string>, current_key array<string>, planned_order array<string>",
     )
     assert rows(shapes.needs_rebuild(changes, current, contracts)) == [
-        ("t", [], False), ("u", ["type_changed"], True), ("v", ["key_dropped"], True), ("w", ["type_changed", "key_changed"], True),
+        ("t", [], False), ("u", ["type_changed"], True), ("v", ["key_dropped"], True), ("w", ["type_changed"], True),
     ]
+    keyed = contracts.withColumn("current_key", F.array(F.lit("id")))
+    assert rows(shapes.needs_rebuild(changes, current, keyed.filter("table_name = 'w'")), "reasons") == [(["type_changed", "key_changed"],)]
+    unknown = current.filter("table_name <> 't'")
+    added = shapes.column_changes(planned, unknown)
+    ordered = contracts.filter("table_name = 't'").selectExpr("table_name", "planned_key", "current_key", "array('z') AS planned_order")
+    assert rows(shapes.needs_rebuild(added, unknown, ordered), "reasons") == [([],)]
     moved = contracts.filter("table_name = 't'").selectExpr("table_name", "planned_key", "current_key", "array('b', 'id', 'z', 'a') AS planned_order")
     assert rows(shapes.needs_rebuild(changes, current, moved), "reasons") == [(["order_changed"],)]
 
@@ -126,7 +133,7 @@ def test_table_diff(spark):
 
 def test_leftovers(spark):
     objects = spark.createDataFrame([("share", "tf_b"), ("share", "tf_a"), ("share", "tfx"), ("database", "prod")], "kind string, name string")
-    assert rows(drift.leftovers(objects, "tf_"), "kind", "names") == [("database", ""), ("share", "tf_a, tf_b")]
+    assert rows(drift.leftovers(objects, "tf_", part_size=9), "kind", "names") == [("database", ""), ("share", "tf_a, tf_b")]
 
 
 def test_snapshot_life(spark, folder):

@@ -195,14 +195,18 @@ def test_ledger_counts_rows(spark, folder):
     assert rows(log.read(), "run_id", "status", "rows") == [("r1", "succeeded", 7), ("r2", "skipped", 0)]
 
 
-def test_two_publishers_are_noticed(spark, folder):
+def test_of_two_publishers_the_second_fails(spark, folder):
     table = VersionedTable(spark, f"{folder}/t")
     table.replace(spark.range(1))
     base = table.version()
-    for n in (2, 3):
-        table.commit([table.stage(spark.range(n))], spark.range(1).schema, "race", base)
-    with pytest.raises(RuntimeError, match="two publishers"):
-        VersionedTable(spark, f"{folder}/t").read()
+    schema = spark.range(1).schema
+    table.commit([table.stage(spark.range(2))], schema, "race", base)
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.commit([table.stage(spark.range(3))], schema, "race", base)
+    again = VersionedTable(spark, f"{folder}/t")
+    assert (again.version(), again.read().count(), again.read(base).count()) == (base + 1, 2, 1)
+    again.append(spark.range(4))
+    assert again.read().count() == 6
 
 
 def test_manual_share_shows_the_published_copy(spark, folder):

@@ -40,6 +40,23 @@ def typed_rows(spark, sf):
     )
 
 
+@query(
+    "p2_typed_values",
+    """SELECT CAST(event_id AS VARCHAR) AS id, regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '\\.?0+$', '') || 'Z' AS at, lower(hex(event_type)) AS raw,
+    '["' || event_type || '",null]' AS tags, regexp_replace(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '\\.?0+$', '') AS amount FROM events""",
+)
+def typed_values(spark, sf):
+    """Times, bytes, lists and decimals as text."""
+    rows = table(spark, sf, "events").select(
+        F.col("event_id").alias("id"),
+        F.col("ts").alias("at"),
+        F.col("event_type").cast("binary").alias("raw"),
+        F.array(F.col("event_type"), F.lit(None)).alias("tags"),
+        F.col("value").cast("decimal(18,2)").alias("amount"),
+    )
+    return filters.typed_rows(rows, {"id": None, "at": None, "raw": None, "tags": None, "amount": None})
+
+
 @query(
     "p3_repository_metrics",
     "SELECT p_name || '/' || p_partkey AS repo, p_partkey AS stars, CAST(p_size AS BIGINT) AS forks, p_partkey + p_size AS engagement FROM part",

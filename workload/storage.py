@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.operators.aggregates import daily_revenue_mart
-from tallyhouse.functions.render import rows_json
+from tallyhouse.functions.render import json_value, rows_json
 from tallyhouse.plans.warehouse import refresh_marts
 from tallyhouse.settings import scratch_path
 from tallyhouse.sources import readers
@@ -135,7 +138,7 @@ def ledger(spark, sf):
 
 @query(
     "s9_rows_json",
-    """SELECT event_id, '{"amount":' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || ',"id":' || event_id
+    """SELECT event_id, '{"amount":' || regexp_replace(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '\\.?0+$', '') || ',"id":' || event_id
     || ',"kind":"' || event_type || '","note":' || CASE WHEN event_id % 2 = 0 THEN 'null' ELSE '"odd"' END
     || ',"occurred_at":"' || regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '\\.?0+$', '') || 'Z"'
     || ',"raw":"' || lower(hex(event_type)) || '","tags":["' || event_type || '",null]}' AS row_json FROM events""",
@@ -154,6 +157,24 @@ def json_rows(spark, sf):
     return rows_json(rows).select(F.get_json_object("row_json", "$.id").cast("bigint").alias("event_id"), "row_json")
 
 
+@query(
+    "s9_nested_json",
+    """SELECT event_id, '{"by_code":{"' || lower(hex(event_type)) || '":' || event_id || '},"by_time":{"'
+    || regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '\\.?0+$', '') || 'Z":null},"share":'
+    || regexp_replace(CAST(CAST(event_id AS DECIMAL(38,9)) / 1000000000 AS DECIMAL(38,9))::VARCHAR, '\\.?0+$', '') || '}' AS row_json FROM events""",
+)
+def nested_json(spark, sf):
+    """Rows whose maps have binary and time keys, and decimals down to a billionth."""
+    rows = table(spark, sf, "events").select(
+        "event_id",
+        F.create_map(F.col("event_type").cast("binary"), "event_id").alias("by_code"),
+        F.create_map("ts", F.lit(None).cast("int")).alias("by_time"),
+        (F.col("event_id").cast("decimal(20,0)") * F.lit(Decimal("0.000000001"))).cast("decimal(38,9)").alias("share"),
+    )
+    inner = [f for f in rows.schema.fields if f.name != "event_id"]
+    return rows.select("event_id", json_value(F.struct(*[f.name for f in inner]), T.StructType(inner)).alias("row_json"))
+
+
 @query("s10_list_files", "SELECT DISTINCT 'usage_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS name, 'folder' AS type FROM events")
 def list_files(spark, sf):
     """Events written to a folder per day; the folders of the listing."""
