@@ -11,6 +11,7 @@ from tallyhouse.operators.aggregates import daily_revenue_mart
 from tallyhouse.operators.checks import require_checks, run_checks
 from tallyhouse.operators.filters import repository_metrics
 from tallyhouse.operators.shapes import rebuild_model
+from tallyhouse.settings import cut_lineage
 from tallyhouse.sources.tables import VersionedTable, append_ledger, merge_into, refresh_table
 
 DAILY_REVENUE = T.StructType(
@@ -40,8 +41,9 @@ def refresh_marts(
 
 
 def ingest(raw: VersionedTable, batch: DataFrame, keys: Sequence[str], ledger: VersionedTable, run_id: str) -> DataFrame:
-    """Merge a batch into the raw table and record the load."""
+    """Merge a batch into the raw table and record the load. The batch is read once and kept for both."""
     try:
+        batch = cut_lineage(batch)
         rows = merge_into(raw, batch, keys)
     except Exception:
         append_ledger(ledger, run_id, 0, "failed")

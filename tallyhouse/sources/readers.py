@@ -57,6 +57,12 @@ def generate_rows(spark: SparkSession, n: int, label: str) -> DataFrame:
     return spark.range(n).select(F.col("id"), F.lit(label).alias("label"))
 
 
+def generate_per_row(df: DataFrame, key: str, count: str, label: str) -> DataFrame:
+    """``count`` numbered rows for each row of a table; none where the count is null or below one."""
+    numbers = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(count).cast("bigint")))
+    return df.filter(F.col(count) >= 1).select(key, numbers.alias("id"), F.lit(label).alias("label"))
+
+
 def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Files and folders below ``path``: name, type, size, last_modified.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import policy, roles
 from tallyhouse.operators.aggregates import all_true
 from tallyhouse.settings import scratch_path
+from workload.ranks import positioned
 from workload.registry import query
 from workload.relations import (
     AUDIENCES,
@@ -339,16 +340,20 @@ def effective_readers(spark, sf):
     return roles.effective_readers(audiences, roles.role_closure(role_edges(spark, sf)), users)
 
 
-@query("g9_object_grantees", f"SELECT grantee_name, grantee_type, privilege FROM {GRANTS}")
+@query(
+    "g9_object_grantees",
+    f"""SELECT grantee_name, grantee_type, privilege, row_number() OVER (ORDER BY lower(grantee_type), lower(grantee_name), grantee_name, lower(privilege),
+    grantee_type, privilege) AS position FROM {GRANTS}""",
+)
 def object_grantees(spark, sf):
-    return roles.object_grantees(grants(spark, sf))
+    return positioned(roles.object_grantees(grants(spark, sf)))
 
 
 @query(
     "g10_list_users",
     """SELECT c_custkey AS id, c_name AS username, c_acctbal < 0 AS is_service_account,
-    CASE WHEN c_mktsegment < 'nation_' || c_nationkey THEN c_mktsegment || ',nation_' || c_nationkey ELSE 'nation_' || c_nationkey || ',' || c_mktsegment END AS roles
-    FROM customer WHERE c_acctbal >= 0 AND c_nationkey % 2 = 0""",
+    CASE WHEN c_mktsegment < 'nation_' || c_nationkey THEN c_mktsegment || ',nation_' || c_nationkey ELSE 'nation_' || c_nationkey || ',' || c_mktsegment END AS roles,
+    row_number() OVER (ORDER BY c_name, c_custkey) AS position FROM customer WHERE c_acctbal >= 0 AND c_nationkey % 2 = 0""",
 )
 def list_users(spark, sf):
     rows = table(spark, sf, "customer").select(
@@ -359,4 +364,4 @@ def list_users(spark, sf):
         F.array(F.concat(F.lit("nation_"), text("c_nationkey")), F.col("c_mktsegment")).alias("roles"),
     )
     users = roles.list_users(rows, is_service_account=False, is_deprovisioned=False)
-    return users.drop("is_deprovisioned").withColumn("roles", joined("roles"))
+    return positioned(users.drop("is_deprovisioned")).withColumn("roles", joined("roles"))

@@ -92,6 +92,12 @@ def generate_rows(spark, sf):
     return readers.generate_rows(spark, table(spark, sf, "orders").count(), "seed")
 
 
+@query("s5_generate_per_row", "SELECT p_partkey, unnest(range(1, p_size + 1)) AS id, 'seed' AS label FROM part")
+def generate_per_row(spark, sf):
+    """As many rows for each part as its size says."""
+    return readers.generate_per_row(table(spark, sf, "part"), "p_partkey", "p_size", "seed")
+
+
 @query(
     "s6_refresh_table",
     f"""SELECT CAST(order_date AS VARCHAR) AS order_date, count(*) AS order_count, CAST(sum(amount) AS DOUBLE) AS revenue
