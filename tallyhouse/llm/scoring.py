@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -10,13 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyhouse.llm.common import map_batches, slices
-from tallyhouse.llm.words import Words, words_of
+from tallyhouse.llm.common import cut_lineage, map_batches, slices
+from tallyhouse.llm.words import WORD_BASE, Words, mix, words_of
 
 SLICE_BYTES = 4 << 20
-#: A word is in the vocabulary if it makes up one in WORD_FLOOR words at least, and a pair has counts of its own if it
-#: makes up one in PAIR_FLOOR; so there are at most that many of them, whatever the size of the corpus.
-WORD_FLOOR, PAIR_FLOOR = 1 << 17, 1 << 21
+#: Words and pairs that make up one in so many are broadcast; all others are joined by a shuffle, where none of them is
+#: frequent enough to fill a task. Which way a count takes does not change the result.
+HOT_WORDS, HOT_PAIRS = 1 << 16, 1 << 20
+#: What the first word of a text follows.
+START = np.uint64(0x8F1BBCDCBFA53E0B)
 #: Weight of pairs against single words, and what is added to the count of each word.
 PAIR_WEIGHT, ADDED = 0.7, 0.5
 #: Counts that a task holds before it passes them on.
@@ -120,14 +123,9 @@ class Models:
         return both[0], both[1]
 
 
-def fit(docs: DataFrame, word_floor: int = WORD_FLOOR, pair_floor: int = PAIR_FLOOR) -> Models:
-    """Count words and pairs over all texts of ``docs (doc_id, text, target)``.
-
-    All texts are the background; those marked are the target as well. Counts
-    are exact and cover every text. The driver gets the words and pairs above
-    the floors, which are shares of the corpus: at most ``word_floor`` words
-    and ``pair_floor`` pairs.
-    """
+def bounded(docs: DataFrame, word_floor: int, pair_floor: int) -> Models:
+    """Models of the words and pairs above the floors, which are shares of the corpus: at most ``word_floor`` words and
+    ``pair_floor`` pairs, which the driver gets. See ``fit``."""
     total = map_batches(docs, _word_totals, "n long").agg(F.sum("n")).first()[0] or 0
     found = _counts(docs, lambda w: [w.hashes()]).where(F.col("n") * word_floor >= total).toArrow()
     vocabulary = np.sort(found.column("key").to_numpy().view(np.uint64))
@@ -148,6 +146,102 @@ def fit(docs: DataFrame, word_floor: int = WORD_FLOOR, pair_floor: int = PAIR_FL
     return Models(vocabulary, singles, contexts, pairs, np.stack([t[own][order], n[own][order]]).astype(float))
 
 
+def pairs_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of the word before each word, or ``START``, and that of the word itself."""
+    word = w.hashes()
+    before = np.empty_like(word)
+    before[1:] = word[:-1]
+    before[w.first[:-1][w.counts > 0]] = START
+    return before, word
+
+
+def keys_of(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(before * np.uint64(WORD_BASE) + word)
+
+
+@dataclass
+class PairCosts:
+    """What every pair of the corpus costs the target and the background model.
+
+    ``costs (key, target_cost, background_cost)`` has all pairs but the hot
+    ones, which are arrays sorted by key.
+    """
+
+    costs: DataFrame
+    hot: np.ndarray
+    hot_costs: np.ndarray
+
+
+def _pair_counts(docs: DataFrame) -> DataFrame:
+    """``before, word, n, t`` of all pairs of ``docs (doc_id, text, target)``."""
+
+    def rows(before: list[np.ndarray], word: list[np.ndarray], target: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if before:
+            b, w, t = map(np.concatenate, (before, word, target))
+            _, at, which = np.unique(keys_of(b, w), return_index=True, return_inverse=True)
+            n = np.bincount(which, minlength=len(at))
+            of_target = np.bincount(which, weights=t, minlength=len(at)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(b[at].view(np.int64)), pa.array(w[at].view(np.int64)), pa.array(n), pa.array(of_target)], names=["before", "word", "n", "t"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[list, list, list] = ([], [], [])
+        for part in slices(batches, 1, SLICE_BYTES):
+            w = words_of(part.column(1))
+            for store, some in zip(held, (*pairs_of(w), part.column(2).to_numpy(zero_copy_only=False)[w.text_of()])):
+                store.append(some)
+            if sum(map(len, held[0])) > HELD:
+                yield from rows(*held)
+                held = ([], [], [])
+        yield from rows(*held)
+
+    return map_batches(docs, run, "before long, word long, n long, t long").groupBy("before", "word").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+def _attach(pairs: DataFrame, counts: DataFrame, side: str, least: float) -> DataFrame:
+    """Join counts of single words to pairs. Words of ``least`` occurrences are broadcast, since one task may not hold all their pairs."""
+    hot = F.broadcast(counts.where(F.col(f"{side}_n") >= least))
+    rest = pairs.join(hot.select(side), side, "left_anti").join(counts.where(F.col(f"{side}_n") < least), side)
+    return pairs.join(hot, side).unionByName(rest)
+
+
+def fit(docs: DataFrame, word_floor: int | None = None, pair_floor: int | None = None) -> PairCosts | Models:
+    """Count words and pairs over all texts of ``docs (doc_id, text, target)``.
+
+    All texts are the background; those marked are the target as well. Counts
+    are exact and cover every text, and every word and pair is kept, however
+    rare: they are Spark tables that grow with the corpus. The driver gets no
+    more than the ``HOT_PAIRS`` most frequent. A caller that names floors gets
+    the models of ``bounded`` instead.
+    """
+    if word_floor is not None and pair_floor is not None:
+        return bounded(docs, word_floor, pair_floor)
+    pairs = cut_lineage(_pair_counts(docs))
+    sums = lambda side: pairs.groupBy(side).agg(F.sum("n").alias(f"{side}_n"), F.sum("t").alias(f"{side}_t"))
+    words, contexts = cut_lineage(sums("word")), cut_lineage(sums("before"))
+    size, *totals = words.agg(F.count("*"), F.sum("word_n"), F.sum("word_t")).first()
+    everything, of_target = (x or 0 for x in totals)
+    known = _attach(_attach(pairs, words, "word", everything / HOT_WORDS), contexts, "before", everything / HOT_WORDS)
+
+    def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = {name: batch.column(name).to_numpy() for name in batch.schema.names}
+            losses = []
+            for sign, total in (("t", of_target), ("n", everything)):
+                single = (c[f"word_{sign}"] + ADDED) / (total + ADDED * (size + 1))
+                context = c[f"before_{sign}"]
+                share = np.where(context > 0, c[sign] / np.maximum(context, 1), single)
+                losses.append(pa.array(-np.log2(PAIR_WEIGHT * share + (1 - PAIR_WEIGHT) * single)))
+            keys = keys_of(c["before"].view(np.uint64), c["word"].view(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("n"), *losses], names=["key", "n", "target_cost", "background_cost"])
+
+    costs = cut_lineage(map_batches(known, cost, "key long, n long, target_cost double, background_cost double"))
+    is_hot = F.col("n") >= everything / HOT_PAIRS
+    found = costs.where(is_hot).drop("n").toArrow()
+    keys, *both = (found.column(i).to_numpy() for i in range(3))
+    order = np.argsort(keys.view(np.uint64))
+    return PairCosts(costs.where(~is_hot).drop("n"), keys.view(np.uint64)[order], np.stack(both)[:, order])
+
+
 def _word_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = sum(len(words_of(part.column(1)).starts) for part in slices(batches, 1, SLICE_BYTES))
     yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
@@ -175,6 +269,42 @@ def score(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
     return map_batches(docs, run, StructType([*docs.schema.fields, *added.fields]))
 
 
+def score_whole(docs: DataFrame, models: PairCosts) -> DataFrame:
+    """``doc_id, n_words`` and the losses of ``score`` for every row of ``docs (doc_id, text)``.
+
+    Hot pairs are summed where the texts are; of all others each row sends its
+    distinct pairs to the table of costs, and a row of its own with the sums.
+    """
+    hot, (hot_target, hot_background) = models.hot, models.hot_costs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1, SLICE_BYTES):
+            w = words_of(part.column(1))
+            row, text, n = part.column(2).to_numpy(), w.text_of(), part.num_rows
+            keys = keys_of(*pairs_of(w))
+            at = np.minimum(np.searchsorted(hot, keys), max(len(hot) - 1, 0))
+            known = hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
+            sums = [np.bincount(text[known], weights=x[at[known]], minlength=n) for x in (hot_target, hot_background)]
+            text, keys = text[~known], keys[~known]
+            order = np.lexsort((keys, text))
+            text, keys = text[order], keys[order]
+            starts = np.flatnonzero(np.concatenate([[True], (np.diff(text) != 0) | (keys[1:] != keys[:-1])])) if len(keys) else np.zeros(0, np.int64)
+            times = np.diff(np.append(starts, len(keys)))
+            blank = np.zeros(len(starts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([row, row[text[starts]]])), pa.concat_arrays([part.column(0), pa.nulls(len(starts), pa.int64())]),
+                 pa.array(np.concatenate([mix(row.view(np.uint64)), keys[starts]]).view(np.int64)), pa.array(np.concatenate([np.zeros(n, np.int64), times])),
+                 pa.array(np.concatenate([w.counts.astype(np.int64), np.zeros(len(starts), np.int64)])), *(pa.array(np.concatenate([x, blank])) for x in sums)],
+                names=["row", "doc_id", "key", "times", "n_words", "t", "b"])
+
+    sent = map_batches(docs.withColumn("row", F.monotonically_increasing_id()), run, "row long, doc_id long, key long, times long, n_words long, t double, b double")
+    joined = sent.join(models.costs, "key", "left")  # a text's own row has a key that spreads it, and times 0
+    mean = lambda own, cost: F.sum(F.col(own) + F.coalesce(F.col("times") * F.col(cost), F.lit(0.0))) / F.greatest(F.sum("n_words"), F.lit(1))
+    found = joined.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"),
+                                      mean("t", "target_cost").alias("target_loss"), mean("b", "background_cost").alias("background_loss"))
+    return found.drop("row").withColumn("difference", F.col("target_loss") - F.col("background_loss"))
+
+
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score every document against documents labelled good.
 
@@ -188,4 +318,5 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
     marked = rows.join(good, rows["doc_id"] == good["good"], "left").select("doc_id", "text", F.col("good").isNotNull().alias("target"))
-    return score(rows, fit(marked)).drop("text")
+    models = fit(marked)
+    return score_whole(rows, models) if isinstance(models, PairCosts) else score(rows, models).drop("text")

@@ -76,3 +76,22 @@ def test_no_target_and_no_rows(spark):
     assert len(got) == len(rows()) and all(math.isfinite(r.difference) for r in got)
     assert scoring.cross_entropy_difference(docs.limit(0), labels).count() == 0
     assert scoring.cross_entropy_difference(docs.limit(0), labels).columns == ["doc_id", "n_words", "target_loss", "background_loss", "difference"]
+
+
+@pytest.mark.parametrize("hot, held", [((1 << 16, 1 << 20), scoring.HELD), ((20, 30), 10), ((1, 1), 10)])
+def test_all_words_and_pairs_are_kept(spark, monkeypatch, hot, held):
+    """A corpus of more words than a share of 1 in 2**17 lets through: rare words and pairs keep their own counts."""
+    monkeypatch.setattr(scoring, "HOT_WORDS", hot[0])
+    monkeypatch.setattr(scoring, "HOT_PAIRS", hot[1])
+    monkeypatch.setattr(scoring, "HELD", held)
+    monkeypatch.setattr(scoring, "SLICE_BYTES", 500 if held == 10 else scoring.SLICE_BYTES)
+    filler = [(500, "mat " * 400_000, "x", 1)] if held != 10 else []
+    docs, good = rows() + filler, set(range(30))
+    labels = spark.createDataFrame([(i, 1, 0) for i in good], LABELS)
+    got = scoring.cross_entropy_difference(spark.createDataFrame(docs, DOCUMENTS), labels).collect()
+    want = plain_losses(docs, good, 1 << 60, 1 << 60)
+    assert len(got) == len(want)
+    key = lambda r: (str(r[0]), round(r[1], 5), round(r[2], 5))
+    for a, b in zip(sorted(((r.doc_id, r.target_loss, r.background_loss) for r in got), key=key), sorted(((d, *w) for (d, *_), w in zip(docs, want)), key=key)):
+        assert a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=1e-6)
+    assert sorted(r.n_words for r in got if r.doc_id == 9) == [3, 20]
