@@ -111,9 +111,9 @@ def fit(docs: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_LOSS, fit_
     """Grow the forest from labelled clean rows and calibrate its threshold.
 
     The forest sees at most ``fit_rows`` rows of quality 1, picked by a hash of
-    their id. The threshold is the lowest one that rejects at most
-    ``clean_loss`` of *all* labelled rows of quality 1 that pass the base
-    rules, and never one below which no row of quality 0 lies.
+    their id. The threshold weighs *all* labelled rows of both qualities that
+    pass the base rules, and rejects at most ``clean_loss`` of those of quality
+    1, or one of fewer rows. See ``threshold_of``.
 
     Labels that are null, or whose document is missing, are not used; a
     document labelled twice counts once for each quality. Without a labelled
@@ -137,9 +137,25 @@ def fit(docs: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_LOSS, fit_
     counted = map_batches(known, binned, "quality int, bin long").groupBy("bin").agg(
         F.count_if(F.col("quality") == 1).alias("clean"), F.count_if(F.col("quality") == 0).alias("junk"))
     found = counted.orderBy("bin").toPandas()  # at most 1 / BIN rows
-    above = found["clean"].to_numpy()[::-1].cumsum()[::-1] - found["clean"].to_numpy()
-    allowed = found["bin"].to_numpy()[above <= clean_loss * found["clean"].sum()]
-    return QualityRules(forest, float((allowed.min() + 1) * BIN))
+    return QualityRules(forest, threshold_of(*(found[c].to_numpy() for c in ("bin", "clean", "junk")), clean_loss))
+
+
+def threshold_of(bins: np.ndarray, clean: np.ndarray, junk: np.ndarray, clean_loss: float) -> float:
+    """The threshold with the least error, from the labelled rows of every bin of anomalies, in order.
+
+    The error is the share of the clean rows above plus the share of the junk
+    below. At most ``clean_loss`` of the clean rows may be above, or one row of
+    fewer: else a single wrong label would set the threshold. Where no label
+    tells thresholds apart, the middle one is taken; without junk, the lowest.
+    """
+    lost, kept = clean.sum() - clean.cumsum(), junk.cumsum()
+    allowed = lost <= max(1 if junk.any() else 0, clean_loss * clean.sum())
+    if not junk.any():
+        return float((bins[allowed].min() + 1) * BIN)
+    error = np.where(allowed, lost / max(clean.sum(), 1) + kept / junk.sum(), np.inf)
+    best = int(error.argmin())
+    after = bins[best + 1] if best + 1 < len(bins) else bins[best] + 1
+    return float((bins[best] + 1 + after) / 2 * BIN)
 
 
 def judge(docs: DataFrame, rules: QualityRules, text: str = "text", prefix: str = "") -> DataFrame:

@@ -54,3 +54,18 @@ def test_path_lengths():
     forest = isolation.grow(np.random.default_rng(0).normal(size=(500, 2)))
     near, far = forest.score(np.array([[0.0, 0.0], [30.0, 30.0]]))
     assert far > 0.6 > near
+
+
+def test_one_wrong_label_does_not_set_the_threshold(spark):
+    rows, labels = corpus(spark)
+    wrong = labels.union(spark.createDataFrame([(1001, 1, 0)], labels.schema))
+    got = {r.doc_id: r for r in isolation.quality_rules(spark.createDataFrame(rows, DOCUMENTS), wrong).collect()}
+    assert all(got[i].kept for i in range(120))
+    assert not any(got[1000 + i].kept for i in range(10))
+
+
+def test_threshold_weighs_both_labels():
+    bins, clean, junk = np.array([300, 400, 500, 700]), np.array([200, 100, 0, 1]), np.array([0, 0, 20, 10])
+    assert isolation.threshold_of(bins, clean, junk, 0.001) == pytest.approx(0.4505)
+    assert isolation.threshold_of(bins, clean, 0 * junk, 0.001) == pytest.approx(0.701)
+    assert isolation.threshold_of(bins, np.array([200, 90, 10, 1]), np.array([0, 0, 1, 10]), 0.001) == pytest.approx(0.6005)
