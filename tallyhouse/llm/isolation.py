@@ -15,8 +15,9 @@ from tallyhouse.llm.textstats import COUNTS, measure
 #: Bounded sample of labelled clean rows that the forest is grown from.
 FIT_ROWS = 8_192
 TREES, TREE_ROWS = 200, 256
-#: Statistics that the forest splits. Those that depend on length alone are left out: short is not odd.
-STATISTICS = ("mean_word", "symbols_per_word", "bang_share", "upper_share", "repeat_share", "short_share")
+#: Statistics that the forest splits. Those that depend on length alone are left out: short is not odd. So are the shares of
+#: digits, stops and repeated lines: as each tree splits at random, they hide what the others show (figures in the README).
+STATISTICS = ("mean_word", "symbols_per_word", "bang_share", "upper_share", "repeat_share", "short_share", "same_share", "vocabulary")
 #: The threshold may reject at most this share of the labelled clean rows.
 CLEAN_LOSS = 0.001
 #: Anomalies are counted in bins of this width when the threshold is set.

@@ -19,6 +19,8 @@ FEATURES = (
     "log_words", "mean_word", "symbols_per_word", "repeat_share", "dup_line_share", "distinct_share",
     "upper_share", "digit_share", "stop_share", "bang_share", "words_per_line", "short_share",
 )
+#: Further shares, for rules: words equal to the word before them, and the vocabulary adjusted to the length of the text.
+EXTRA = ("same_share", "vocabulary")
 
 
 def _marked(characters: str) -> np.ndarray:
@@ -67,6 +69,8 @@ def measure_texts(column: pa.Array) -> dict[str, np.ndarray]:
     np.add.at(depth, hits, 1)
     np.add.at(depth, hits + REPEAT_WINDOW, -1)
     counts["n_repeat_words"] = per_text(np.cumsum(depth[:-1]) > 0, w.first)
+    same = np.zeros(len(own), bool)
+    same[1:] = (own[1:] == own[:-1]) & (doc[1:] == doc[:-1])
     distinct = per_text(~later_copies(mix(own ^ mix(doc.astype(np.uint64)))), w.first)
 
     words = np.maximum(counts["n_words"], 1)
@@ -84,6 +88,8 @@ def measure_texts(column: pa.Array) -> dict[str, np.ndarray]:
         "bang_share": per_text(BANG[data], offsets) / words,
         "words_per_line": np.log1p(counts["n_words"] / np.maximum(lines, 1)),
         "short_share": per_text((w.ends - w.starts) <= 2, w.first) / words,
+        "same_share": per_text(same, w.first) / words,
+        "vocabulary": np.log1p(distinct) / np.log1p(words),
     }
     return counts | features
 
@@ -103,7 +109,7 @@ def measure(
     measures of each row is appended as ``score``.
     """
     place = df.columns.index(text)
-    added = [*COUNTS, *FEATURES, *(["score"] if score else [])]
+    added = [*COUNTS, *FEATURES, *EXTRA, *(["score"] if score else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, place, SLICE_BYTES):

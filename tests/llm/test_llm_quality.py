@@ -69,3 +69,15 @@ def test_threshold_weighs_both_labels():
     assert isolation.threshold_of(bins, clean, junk, 0.001) == pytest.approx(0.4505)
     assert isolation.threshold_of(bins, clean, 0 * junk, 0.001) == pytest.approx(0.701)
     assert isolation.threshold_of(bins, np.array([200, 90, 10, 1]), np.array([0, 0, 1, 10]), 0.001) == pytest.approx(0.6005)
+
+
+def test_words_said_many_times_in_a_row_go(spark):
+    rng = np.random.default_rng(4)
+    pool = ["".join(rng.choice(list("abcdefghij"), int(rng.integers(1, 12))).tolist()).capitalize() + "!" * (i % 5 == 0) for i in range(400)]
+    pool = sorted(set(pool))
+    clean = [(i, " ".join(rng.choice(rng.permutation(pool), int(rng.integers(40, 90))).tolist()), "en", "s", 1) for i in range(300)]
+    stutter = [(2000 + i, " ".join(w for x in rng.choice(pool, 14, replace=False).tolist() for w in [x] * int(rng.integers(4, 7))), "en", "s", 1) for i in range(20)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)] + [(2000 + i, 0, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in isolation.quality_rules(spark.createDataFrame(clean + stutter, DOCUMENTS), labels).collect()}
+    assert sum(got[i].kept for i in range(300) if not got[i].base_failed) >= sum(not got[i].base_failed for i in range(300)) - 1
+    assert not any(got[2000 + i].kept or got[2000 + i].base_failed for i in range(20))
