@@ -22,6 +22,8 @@ SEED_WORDS, RARE = (3, 5, 8), 1.0
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: A passage is a copy from this share of the item's own score on, and this many equal words (or all of a shorter item's).
 LEAST_SCORE, LEAST_WORDS = 0.5, 8
+#: So is one of any share that has this many equal words in a row, or scores as much with this share of its words equal.
+PASSAGE_WORDS, PASSAGE_EQUAL = 13, 0.9
 FILTER_BITS = 22
 
 _SEPARATOR = np.zeros(256, bool)
@@ -64,6 +66,15 @@ def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def longest_run(a: np.ndarray, b: np.ndarray) -> int:
+    """The most consecutive words that two word sequences share."""
+    best, row = 0, np.zeros(len(b) + 1, np.int64)
+    for x in a:
+        row[1:] = np.where(b == x, row[:-1] + 1, 0)
+        best = max(best, int(row.max()))
+    return best
+
+
 @dataclass
 class Items:
     """Test items of a block: word hashes, and seeds as sorted hashes with the item and place of each."""
@@ -95,41 +106,91 @@ class Items:
         found = np.concatenate(hits) if hits else np.zeros((0, 4), np.int64)
         if not len(found):
             return out
-        found = np.unique(found[:, :3], axis=0)
+        found = np.unique(found, axis=0)
         cut = np.flatnonzero((np.diff(found[:, :2], axis=0) != 0).any(axis=1)) + 1
         for group in np.split(found, cut):
             doc, item = int(group[0, 0]), int(group[0, 1])
-            best = self._best(words[first[doc] : first[doc + 1]], item, group[:, 2] - first[doc])
+            best = self._best(words[first[doc] : first[doc + 1]], item, group[:, 2] - first[doc], group[:, 3] - first[doc])
             if best:
                 out[doc].append(best)
         return out
 
-    def _best(self, text: np.ndarray, item: int, begins: np.ndarray) -> tuple | None:
+    def _best(self, text: np.ndarray, item: int, begins: np.ndarray, seeds: np.ndarray) -> tuple | None:
         own = self.words[item]
         n = len(own)
         pad = max(4, n // 2)
-        best = (0, 0, 0, 0)
-        lo, hi = int(begins[0]) - pad, int(begins[0]) + n + pad
         spans = []
+        lo, hi = int(begins[0]) - pad, int(begins[0]) + n + pad
         for b in begins[1:].tolist():
             if b - pad <= hi:
                 hi = b + n + pad
             else:
                 spans.append((lo, hi))
                 lo, hi = b - pad, b + n + pad
-        for lo, hi in [*spans, (lo, hi)]:
-            lo, hi = max(lo, 0), min(hi, len(text))
-            score, end_a, end_b = smith_waterman(own, text[lo:hi])
-            if score > best[0]:
-                best = (score, end_a, lo + end_b, lo)
-        score, end_a, end_b, lo = best
-        if score < LEAST_SCORE * MATCH * n:
-            return None
-        _, back_a, back_b = smith_waterman(own[:end_a][::-1], text[lo:end_b][::-1])
-        equal = _equal_words(own[end_a - back_a : end_a], text[end_b - back_b : end_b])
-        if equal < min(LEAST_WORDS, n):
+        spans = [(max(lo, 0), min(hi, len(text))) for lo, hi in [*spans, (lo, hi)]]
+        aligned = [smith_waterman(own, text[lo:hi]) for lo, hi in spans]
+        first = max(range(len(spans)), key=lambda k: aligned[k][0])
+        if not aligned[first][0]:
             return None
-        return (self.ids[item], score / (MATCH * n), equal, end_b - back_b, end_b)
+        best = _part(own, text, aligned[first], spans[first][0])
+        if best.score >= LEAST_SCORE * MATCH * n and best.equal >= min(LEAST_WORDS, n):
+            return (self.ids[item], best.score / (MATCH * n), best.equal, best.lo, best.hi)
+        parts = self._parts(own, text, spans, seeds, best)
+        score, equal = sum(p.score for p in parts), sum(p.equal for p in parts)
+        if len(parts) > 1 and score >= LEAST_SCORE * MATCH * n and equal >= min(LEAST_WORDS, n):
+            return (self.ids[item], score / (MATCH * n), equal, min(p.lo for p in parts), max(p.hi for p in parts))
+        if best.score >= MATCH * PASSAGE_WORDS:
+            alike = best.equal >= PASSAGE_EQUAL * max(best.own_hi - best.own_lo, best.hi - best.lo)
+            if alike or longest_run(own[best.own_lo : best.own_hi], text[best.lo : best.hi]) >= PASSAGE_WORDS:
+                return (self.ids[item], best.score / (MATCH * n), best.equal, best.lo, best.hi)
+        return None
+
+    @staticmethod
+    def _parts(own: np.ndarray, text: np.ndarray, spans: list[tuple[int, int]], seeds: np.ndarray, best: Part) -> list[Part]:
+        """The best part of an item in a text and further ones, wherever a seed stands outside of those before. No word
+        of the item counts twice."""
+        parts, seeds = [best], np.unique(seeds)
+        left = np.ones(len(own), bool)
+        left[best.own_lo : best.own_hi] = False
+        rest = [x for lo, hi in spans for x in ([(lo, best.lo), (best.hi, hi)] if lo <= best.lo < hi else [(lo, hi)])]
+        while rest:
+            lo, hi = rest.pop()
+            if lo >= hi or np.searchsorted(seeds, lo) == np.searchsorted(seeds, hi):
+                continue
+            found = None
+            edges = np.flatnonzero(np.diff(left.astype(np.int8), prepend=0, append=0))
+            for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                aligned = smith_waterman(own[a:b], text[lo:hi])
+                if aligned[0] >= MATCH * SEED_WORDS[0] and (found is None or aligned[0] > found[0][0]):
+                    found = aligned, a, b
+            if found is None:
+                continue
+            aligned, a, b = found
+            part = _part(own[a:b], text, aligned, lo)
+            left[a + part.own_lo : a + part.own_hi] = False
+            parts.append(part)
+            rest += [(lo, part.lo), (part.hi, hi)]
+        return parts
+
+
+@dataclass
+class Part:
+    """An alignment: its score, its equal words, and the words from ``own_lo`` and ``lo`` on that it has of the item and the text."""
+
+    score: int
+    equal: int
+    own_lo: int
+    own_hi: int
+    lo: int
+    hi: int
+
+
+def _part(own: np.ndarray, text: np.ndarray, aligned: tuple[int, int, int], lo: int) -> Part:
+    """The part that ends where ``smith_waterman`` says for the text from ``lo`` on."""
+    score, end_a, end_b = aligned[0], aligned[1], lo + aligned[2]
+    _, back_a, back_b = smith_waterman(own[:end_a][::-1], text[lo:end_b][::-1])
+    equal = _equal_words(own[end_a - back_a : end_a], text[end_b - back_b : end_b])
+    return Part(score, equal, end_a - back_a, end_a, end_b - back_b, end_b)
 
 
 def _equal_words(a: np.ndarray, b: np.ndarray) -> int:
@@ -221,7 +282,9 @@ def with_copies(df: DataFrame, docs: DataFrame, benchmark: DataFrame, name: str,
     n-grams are rare; ``df`` has its texts and any further columns. Rare seeds
     of the items are looked up in every text. Where one is found, the passage
     around it is aligned with the whole item, and it is a copy if the score of
-    the alignment reaches ``LEAST_SCORE`` of the item's own. An edited copy is
+    the alignment reaches ``LEAST_SCORE`` of the item's own. So are parts that
+    stand apart in one text if their scores together reach it, and a passage of
+    ``PASSAGE_WORDS`` words whatever share of the item it is. An edited copy is
     found as long as one seed is left whole.
 
     Null and empty texts and items have no copies; repeated rows are searched

@@ -78,3 +78,27 @@ def test_words():
     w = d.plain_words(pa.array(["Été, dON'T 3x", None, "×÷ ÀÞ"]))
     data = w.data.tobytes()
     assert [data[a:b].decode() for a, b in zip(w.starts, w.ends)] == ["été", "don", "t", "3x", "×÷", "àþ"]
+
+
+def test_passages_of_long_items_and_parts_that_stand_apart(spark):
+    rng = random.Random(4)
+    words = [f"word{i}" for i in range(5000)]
+
+    def prose(n):
+        return [rng.choice(words) for _ in range(n)]
+
+    long, short = prose(200), prose(60)
+    rows = [(i, prose(300)) for i in range(40)]
+    rows += [(100, prose(80) + long[50:75] + prose(80)), (101, prose(80) + long[50:149] + prose(80)), (102, prose(80) + long[10:18] + prose(80))]
+    rows += [(103, prose(40) + short[5:17] + prose(150) + short[20:32] + prose(150) + short[40:52] + prose(40)), (104, short[40:52] + prose(8) + short[20:32] + prose(8) + short[5:17])]
+    rows += [(105, prose(40) + short[5:17] + prose(150) + short[5:17] + prose(150) + short[5:17] + prose(40))]
+    docs = spark.createDataFrame([(i, " ".join(w), "x", 1) for i, w in rows], DOCUMENTS)
+    bench = spark.createDataFrame([(1, " ".join(long), "x"), (2, " ".join(short), "x")], ITEMS)
+    got = {(r.doc_id, r.item_id): r for r in d.copies(docs, bench).collect()}
+    assert set(got) == {(100, 1), (101, 1), (103, 2), (104, 2)}
+    assert (got[100, 1].first_word, got[100, 1].end_word, got[100, 1].n_equal, got[100, 1].similarity) == (80, 105, 25, 0.125)
+    assert got[103, 2].n_equal == 36 and (got[103, 2].first_word, got[103, 2].end_word) == (40, 40 + 12 * 3 + 300)
+
+
+def test_longest_run():
+    assert d.longest_run(np.array([1, 2, 3, 9, 4]), np.array([7, 2, 3, 9, 1, 2])) == 3 and d.longest_run(np.array([1]), np.array([2])) == 0
