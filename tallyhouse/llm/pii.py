@@ -45,7 +45,7 @@ SPELLED = {
 PLUS_WORDS = ("plus", "más")
 DOT_WORDS = ("dot", "punkt", "point", "punto")
 AT_WORDS = ("at", "arroba", "arobase", "klammeraffe")
-#: A row of fewer spelled digits is left alone.
+#: A row with dots and fewer spelled digits has to be an address as a whole; numbers with few of them are common.
 LEAST_SPELLED = 4
 
 _ALT = "|".join(sorted(SPELLED, key=len, reverse=True))
@@ -57,7 +57,9 @@ _WORD = r"[A-Za-z0-9_%+-]+"
 SPELLED_ROW = re.compile(
     rf"(?i)(?<![\w])(?:(?:{'|'.join(PLUS_WORDS)})[\x20-]+)?{_DIGIT}(?:(?:[\x20,-]{{1,3}}|[\x20]?[\[(]?(?:{_DOTS})[\])]?[\x20]?|[\x20](?:{_DOTS})[\x20]|\.){_DIGIT})+(?![\w])")
 _TOKEN = re.compile(rf"(?i)(?P<plus>(?:{'|'.join(PLUS_WORDS)})[\x20-]+)|(?P<dot>[\x20]*[\[(]?(?:{_DOTS})[\])]?[\x20]*)|(?P<digit>{_ALT})|(?P<number>[0-9]+)|(?P<gap>[\x20,-]+)|(?P<point>\.)")
-_ANY_SPELLED = re.compile(rf"(?i)(?<!\w)(?:{_ALT})[\x20,.-]+(?:[\[(]?(?:{_DOTS})[\])]?[\x20]+)?(?:{_ALT}|[0-9])(?!\w)")
+_BETWEEN = rf"[\x20,.-]+(?:[\[(]?(?:{_DOTS})[\])]?[\x20]+)?"
+#: A spelled digit beside another one or beside a number.
+_ANY_SPELLED = re.compile(rf"(?i)(?<!\w)(?:{_ALT}){_BETWEEN}(?:(?:{_ALT})(?!\w)|[0-9])|[0-9]{_BETWEEN}(?:{_ALT})(?!\w)")
 #: A name, a disguised at sign, and a host with a plain or disguised dot.
 _BRACKET_AT = rf"[\x20]?[\[({{<][\x20]?(?:{_ATS}|@)[\x20]?[\])}}>][\x20]?"
 _BRACKET_DOT = rf"[\x20]?[\[({{<][\x20]?(?:{_DOTS}|\.)[\x20]?[\])}}>][\x20]?"
@@ -65,16 +67,26 @@ _WORD_DOT = rf"[\x20](?:{_DOTS})[\x20]"
 DISGUISED = re.compile(
     rf"(?i)(?<![\w.%+-]){_WORD}(?:(?:\.|{_BRACKET_DOT}|{_WORD_DOT}){_WORD})*"
     rf"(?:{_BRACKET_AT}[A-Za-z0-9-]+(?:(?:\.|{_BRACKET_DOT}|{_WORD_DOT})[A-Za-z0-9-]+)+"
-    rf"|(?:[\x20](?:{_ATS})[\x20]|[\x20]?@[\x20]?)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:{_BRACKET_DOT}|{_WORD_DOT})[A-Za-z0-9-]+(?:(?:\.|{_BRACKET_DOT}|{_WORD_DOT})[A-Za-z0-9-]+)*)")
+    rf"|(?:[\x20](?:{_ATS})[\x20]|[\x20]?@[\x20]?)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:{_BRACKET_DOT}|{_WORD_DOT})[A-Za-z0-9-]+(?:(?:\.|{_BRACKET_DOT}|{_WORD_DOT})[A-Za-z0-9-]+)*"
+    rf"|(?:[\x20](?:{_ATS})[\x20]|[\x20]@[\x20]?|@[\x20])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
 _AT_PART = re.compile(rf"(?i){_BRACKET_AT}|[\x20](?:{_ATS})[\x20]|[\x20]?@[\x20]?")
 _DOT_PART = re.compile(rf"(?i){_BRACKET_DOT}|{_WORD_DOT}")
-# Last labels with which a bare word may stand for the at sign.
+# Last labels with which a bare word may stand for the at sign before a host with plain dots.
 TOP_LABELS = (
     "com org net edu gov mil int info biz name io co ai app dev me tv eu uk us ca au nz ie in de at ch fr be lu es pt it nl se no dk fi pl cz ru ua tr "
     "gr ro hu br mx ar cl jp cn kr tw hk sg za example test invalid"
 ).split()
 _TOP = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:{'|'.join(TOP_LABELS)})$")
-_HINT = re.compile(rf"(?i)(?:[\[({{<][\x20]?(?:{_ATS}|@|{_DOTS}|\.)[\x20]?[\])}}>])|[\x20](?:{_DOTS})[\x20]")
+# Words that are no host of their own, and words before a bare "at" that name a place and no mailbox ("visit us at example.com").
+NO_HOSTS = frozenset("a an the this that these those each every any some his her its my our your their der die das dem den le la les el los".split())
+NO_NAMES = frozenset(
+    "us me it them him her you we they he she i one more here there online available look looked looking visit visited found find website site page pages "
+    "information details read see seen shop shopping store stores buy bought sold order sign register registered based located hosted listed posted published "
+    "written work works worked working is are was were be been live lives lived stay arrive arrived not and or but also only now today directly out up down over "
+    "back in on off this that article blog post video profile account web url link tickets project code source download downloaded research hosting".split())
+_HINT = re.compile(
+    rf"(?i)(?:[\[({{<][\x20]?(?:{_ATS}|@|{_DOTS}|\.)[\x20]?[\])}}>])|[\x20](?:{_DOTS})[\x20]|[\x20]@[\x20]?[A-Za-z0-9]|@[\x20][A-Za-z0-9]"
+    rf"|[\x20](?:{_ATS})[\x20][A-Za-z0-9-]+\.[A-Za-z]")
 #: Letters for digits inside a number: at least half of its characters are digits.
 _MIXED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl|](?:[\x20.-]?[0-9OoIl|]){6,}(?![A-Za-z0-9])")
 _AS_DIGIT = str.maketrans("OoIl|", "00111")
@@ -138,22 +150,44 @@ def fold_spelled(m: Mapped) -> Mapped:
     changes = []
     for row in SPELLED_ROW.finditer(m.text):
         parts = list(_TOKEN.finditer(m.text, row.start(), row.end()))
-        if sum(p.lastgroup == "digit" for p in parts) < LEAST_SPELLED:
+        spelled = sum(p.lastgroup == "digit" for p in parts)
+        if not spelled:
             continue
-        gap = "" if any(p.lastgroup in ("dot", "point") for p in parts) else " "
-        for p in parts:
-            new = {"plus": "+", "dot": ".", "digit": SPELLED.get(p.group().lower()), "gap": gap}.get(p.lastgroup)
-            if new is not None and new != p.group():
-                changes.append((p.start(), p.end(), new))
+        dotted = any(p.lastgroup in ("dot", "point") for p in parts)
+        new = {"plus": "+", "dot": ".", "gap": "" if dotted else " "}
+        made = [(p, SPELLED[p.group().lower()] if p.lastgroup == "digit" else new.get(p.lastgroup, p.group())) for p in parts]
+        if dotted and spelled < LEAST_SPELLED:
+            whole = "".join(x for _, x in made)
+            if (0, len(whole)) not in identifiers(whole)["ip"]:
+                continue
+        changes += [(p.start(), p.end(), x) for p, x in made if x != p.group()]
     return m.rewrite(changes)
 
 
+def reads_as_address(name: str, sign: str, host: str) -> bool:
+    """Whether a name, a sign that may stand for the at sign, and a host make an address.
+
+    Brackets say so. Before a host with plain dots a blank beside the sign
+    needs a last label of letters (``3 @ 1.99``), and a bare word one that is
+    known and a name that is none of ``NO_NAMES``. After a disguised dot any
+    label of three letters will do, unless the host is an article or the like.
+    """
+    if sign.strip() not in ("@", sign.strip().strip("[({<])}>")):
+        return True
+    labels = _DOT_PART.sub(".", host).split(".")
+    if not sign.strip().isalpha():
+        return labels[-1].isalpha() or _DOT_PART.search(host) is not None
+    if not _DOT_PART.search(host):
+        return _TOP.search(host) is not None and name.lower() not in NO_NAMES and labels[0].lower() != "www"
+    return _TOP.search(host) is not None or len(labels[-1]) > 2 and labels[-1].isalpha() and labels[0].lower() not in NO_HOSTS
+
+
 def fold_signs(m: Mapped) -> Mapped:
     """The transducer for disguised at signs and dots inside what reads as an address."""
     changes = []
     for found in DISGUISED.finditer(m.text):
         at = _AT_PART.search(m.text, found.start(), found.end())
-        if at.group().strip().isalpha() and not _TOP.search(found.group()):
+        if not reads_as_address(m.text[found.start() : at.start()], at.group(), m.text[at.end() : found.end()]):
             continue
         dots = [d for d in _DOT_PART.finditer(m.text, found.start(), found.end()) if d.end() <= at.start() or d.start() >= at.end()]
         changes += sorted([(at.start(), at.end(), "@"), *((d.start(), d.end(), ".") for d in dots)])

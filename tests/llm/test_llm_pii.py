@@ -107,3 +107,28 @@ def test_redact(spark):
     got = pii.redact(spark.createDataFrame(rows, DOCUMENTS))
     assert got.columns == ["doc_id", "text", "spans", "kind"]
     assert [tuple(r)[:2] for r in got.orderBy("doc_id").collect()] == [(1, "to [EMAIL] or [PHONE]."), (2, None), (3, "")]
+
+
+@pytest.mark.parametrize("source, kind", [
+    ("alice @ example.com", "email"),
+    ("alice @example.com", "email"),
+    ("alice at example.com", "email"),
+    ("jane at firm dot online", "email"),
+    ("+49 30 one two three 4567", "phone"),
+    ("+49 30 12345 six 7", "phone"),
+    ("+44 seven 700 nine 00 one 23 four", "phone"),
+    ("192.168.one.7", "ip"),
+])
+def test_common_disguises(source, kind):
+    text = f"Ask für: {source}, or not."
+    at = text.index(source)
+    assert (at, at + len(source)) in pii.spans(text)[1][kind]
+    assert (0, len(source)) in pii.spans(source)[1][kind]
+
+
+@pytest.mark.parametrize("text", [
+    "Visit us at example.com.", "Read more at www.example.com.", "Apples @ 1.99 each, pears @ 2.50.", "She looked at the dot matrix printer.", "We ended at half.Then we left.",
+    "In 2.5 to one point five cases", "One 2.3 4.5", "chapter 12 one",
+])
+def test_places_prices_and_numbers_are_left_alone(text):
+    assert not any(pii.spans(text)[1].values())
