@@ -43,6 +43,12 @@ def test_every_operator_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("name, least", [("l2_order_by_all_rows", 200), ("c1_column_catalog_all", 63), ("s10_list_file_rows", 50)])
+def test_whole_inputs(spark, con, name, least):
+    message, _, good = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], FOLDER)
+    assert good and int(message.split()[1]) >= least, message
+
+
 def test_entry(spark, con):
     rows = entry.entry(spark)
     assert rows.columns == ["order_date", "order_count", "revenue"] and rows.count() > 0

@@ -137,6 +137,14 @@ def order_by_all(spark, sf):
     return ordering.order_by_all(table(spark, sf, "part").select("p_brand", "p_type", "p_partkey"), 50, 10)
 
 
+@query(
+    "l2_order_by_all_rows",
+    "SELECT p_brand, p_type, p_partkey, row_number() OVER (ORDER BY p_brand NULLS LAST, p_type NULLS LAST, p_partkey NULLS LAST) AS position FROM part",
+)
+def order_by_all_rows(spark, sf):
+    return positioned(ordering.order_by_all(table(spark, sf, "part").select("p_brand", "p_type", "p_partkey")))
+
+
 @query(
     "l3_stable_sort",
     """SELECT event_id, event_type, score, row_number() OVER (ORDER BY score DESC NULLS LAST, event_type ASC NULLS FIRST, CAST(event_id AS VARCHAR)) AS position

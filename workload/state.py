@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,6 +109,47 @@ def column_catalog(spark, sf):
     return rows.join(counts[0].unionByName(counts[1]).unionByName(counts[2]), "table_name")
 
 
+#: The columns of all given tables, and the key of each.
+GIVEN = {
+    "region": ("r_regionkey int, r_name string", "r_regionkey"),
+    "nation": ("n_nationkey int, n_name string, n_regionkey int", "n_nationkey"),
+    "customer": ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", "c_custkey"),
+    "supplier": ("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double", "s_suppkey"),
+    "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double", "p_partkey"),
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string", "o_orderkey"),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz", "l_orderkey l_linenumber"),
+    "events": ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string", "event_id"),
+    "documents": ("doc_id bigint, text string, lang string, source string, n_chars bigint", "doc_id"),
+    "embeddings": ("vec_id bigint, embedding array<float>, label int", "vec_id"),
+    "pages": ("page_id bigint, url string, html string", "page_id"),
+    "benchmark": ("item_id bigint, text string", "item_id"),
+    "labels": ("doc_id bigint, quality int, toxic int", "doc_id"),
+    "conversations": ("conv_id bigint, turn bigint, role string, text string", "conv_id turn"),
+}
+
+
+def given_sql() -> str:
+    rows = []
+    for name, (columns, key) in GIVEN.items():
+        for position, (column, kind) in enumerate((c.split() for c in columns.split(", ")), start=1):
+            place = key.split().index(column) + 1 if column in key.split() else "NULL"
+            rows.append(f"('{name}', '{column}', {position}, '{kind}', true, {place})")
+    counts = " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in GIVEN)
+    return f"""SELECT c.*, n.row_count FROM (VALUES {", ".join(rows)}) AS c(table_name, column_name, position, data_type, nullable, key_position)
+    JOIN ({counts}) AS n ON n.table_name = c.table_name"""
+
+
+@query("c1_column_catalog_all", given_sql())
+def column_catalog_all(spark, sf):
+    """Columns of all given tables with type, nullability and key, beside the row count of each table."""
+    tables = {name: table(spark, sf, name) for name in GIVEN}
+    counts = [df.agg(F.count("*").alias("row_count")).withColumn("table_name", F.lit(n)) for n, df in tables.items()]
+    rows = shapes.column_catalog(spark, tables, {name: key.split() for name, (_, key) in GIVEN.items()})
+    return rows.join(reduce(DataFrame.unionByName, counts), "table_name")
+
+
 @query(
     "c6_not_null_violations",
     """SELECT 'user_id' AS column_name, count(*) FILTER (WHERE user_id IS NULL) AS violations FROM events

@@ -190,6 +190,22 @@ def list_files(spark, sf):
     return readers.list_files(spark, path).select("name", "type").filter("type = 'folder'")
 
 
+@query(
+    "s10_list_file_rows",
+    """SELECT 'usage_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) || '/part=' || CAST(event_id % 8 AS VARCHAR) || '/' AS folder, 'file' AS type,
+    CAST(sum(strlen(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS size, true AS written_since FROM events GROUP BY ALL""",
+)
+def list_file_rows(spark, sf):
+    """Event ids written as lines to eight files per day; the files of the listing, each in a folder of its own."""
+    path = scratch_path(spark, "lines")
+    ids = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("value"), F.to_date("ts").alias("usage_date"), (F.col("event_id") % 8).alias("part"))
+    began = spark.sql("SELECT date_trunc('second', current_timestamp())").first()[0]
+    ids.repartition("usage_date", "part").write.partitionBy("usage_date", "part").text(path)
+    files = readers.list_files(spark, path, recursive=True).filter("type = 'file'")
+    folder = F.regexp_extract("name", "^(.*/)part-[^/]*$", 1)
+    return files.select(folder.alias("folder"), "type", "size", (F.col("last_modified") >= F.lit(began)).alias("written_since"))
+
+
 @query("s11_data_files", "SELECT 'lineitem.parquet' AS file_name, count(*) AS rows FROM lineitem")
 def data_files(spark, sf):
     files = readers.data_files(table(spark, sf, "lineitem"))
