@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import chat, decontaminate, isolation, pagetext, pieces, pii, repeats, ruleset, scoring, simhash
+from tallyhouse.llm import chat, decontaminate, isolation, middle, pagetext, phrases, pieces, pii, repeats, ruleset, scoring, simhash, variants
 from tallyhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,21 @@ def op2_host_suffix_text(spark: SparkSession, folder: str) -> DataFrame:
     return pagetext.main_text(table(spark, folder, "pages"))
 
 
+@query
+def op11_phrase_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.phrase_fingerprints(table(spark, folder, "documents"))
+
+
+@query
+def op12_chunked_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return middle.digests(middle.fill_in_middle(table(spark, folder, "documents")))
+
+
+@query
+def op13_trie_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, folder, "documents"))
+
+
 ORACLES["op4_sketched_repeats"] = r"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS ws FROM documents),
 p AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
@@ -95,3 +110,18 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
     sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
+
+_UNIT = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+ORACLES["op12_chunked_middle"] = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '{_UNIT}') AS u,
+    sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+d AS (SELECT *, CAST(len(u) AS BIGINT) AS n, [CAST('0x' || substr(h, i, 8) AS BIGINT) for i in [1, 9, 17, 25]] AS r FROM t),
+f AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS lo, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS hi,
+    CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR r[3] % 100 >= 50 THEN 'plain'
+        WHEN r[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, coalesce(array_to_string(u[1:lo], ''), '') AS a, coalesce(array_to_string(u[lo + 1:hi], ''), '') AS m,
+    coalesce(array_to_string(u[hi + 1:], ''), '') AS z FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256,
+    sha256(x) AS restored_sha256
+FROM p"""
