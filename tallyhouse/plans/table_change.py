@@ -30,9 +30,9 @@ def change_table(
     """
     rows = evolve(table.read(), planned, key)
     staged = table.stage(rows)
-    written = table.spark.read.schema(rows.schema).parquet(staged)
+    written = table.rows_of(staged, rows.schema)
     if not_null:
         broken = {r["column_name"]: r["violations"] for r in not_null_violations(written, not_null).collect()}
         if any(broken.values()):
             raise ValueError(f"columns hold nulls: {sorted(c for c, n in broken.items() if n)}")
-    return table.read(table.commit([staged], rows.schema, "change"))
+    return table.read(table.commit(staged, rows.schema, "change"))

@@ -66,7 +66,7 @@ class SnapshotStore:
     def restore(self, database: str, name: str, target: VersionedTable) -> DataFrame:
         """Make the snapshot the current version of a table."""
         rows = self.read(database, name)
-        return target.read(target.commit([target.stage(rows)], rows.schema, f"restore {name}"))
+        return target.read(target.commit(target.stage(rows), rows.schema, f"restore {name}"))
 
     def newest(self) -> DataFrame:
         """The latest snapshot of each database."""

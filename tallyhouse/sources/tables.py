@@ -5,17 +5,25 @@ Data is written first. A version exists once its log row is committed, so a
 failed job leaves no trace a reader could see, and a table can be read while it
 is refreshed. A log row is moved to the place of its version, which only the
 first of several writers can do.
+
+A log row names the folders a version adds and those it takes away; now and
+then a row names all of them, so a version is read from few rows and a commit
+does not repeat what has been there before. A table may be laid out by key: its
+rows then lie in one folder per bucket of the key's hash.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from typing import NamedTuple
+from urllib.parse import urlparse
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +31,26 @@ from tallyhouse.operators.joins import sized_join
 from tallyhouse.operators.ranking import latest_revision
 from tallyhouse.sources.readers import require_key
 
-LOG = "version bigint, committed_at timestamp, schema_json string, paths array<string>, note string"
+LOG = (
+    "version bigint, committed_at timestamp, schema_json string, layout_json string, added array<string>, "
+    "removed array<string>, paths array<string>, note string"
+)
+#: Every so many versions a log row names all folders.
+WHOLE_EVERY = 32
+BUCKETS = 64
+BUCKET = "__bucket"
+#: File systems whose rename is no single step, so that two writers could both win.
+NO_ATOMIC_RENAME = ("s3", "s3a", "s3n", "gs", "oss", "cosn", "swift")
+
+
+class Layout(NamedTuple):
+    """Rows are dealt to buckets by the hash of their key, taken with the types of the table."""
+
+    keys: tuple[str, ...]
+    buckets: int
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(self.buckets)).cast("int")
 
 
 class VersionedTable:
@@ -41,13 +68,34 @@ class VersionedTable:
             return None
 
     def entry(self, version: int | None = None) -> Row | None:
-        """The log row of a version, by default the newest. Readers resolve it once."""
+        """What a version consists of, by default the newest. Readers resolve it once.
+
+        It is put together from the last log row that names all folders and
+        the rows after it.
+        """
         log = self.log()
         if log is None:
             return None
-        rows = log if version is None else log.filter(F.col("version") == version)
-        newest = rows.orderBy(F.desc("version")).limit(1).collect()
-        return newest[0] if newest else None
+        rows = log if version is None else log.filter(F.col("version") <= version)
+        steps = rows.orderBy(F.desc("version")).limit(WHOLE_EVERY).collect()
+        if not steps or version not in (None, steps[0]["version"]):
+            return None
+        paths: dict[str, None] = {}
+        for step in reversed(steps[: next(i for i, s in enumerate(steps) if s["paths"] is not None) + 1]):
+            if step["paths"] is not None:
+                paths = dict.fromkeys(step["paths"])
+            else:
+                for gone in step["removed"]:
+                    del paths[gone]
+                paths |= dict.fromkeys(step["added"])
+        last = steps[0]
+        return Row(
+            version=last["version"],
+            schema_json=last["schema_json"],
+            layout_json=last["layout_json"],
+            paths=[f"{self.path}/{p}" for p in paths],
+            note=last["note"],
+        )
 
     def version(self) -> int:
         return number_of(self.entry())
@@ -63,29 +111,54 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def stage(self, df: DataFrame) -> str:
-        """Write rows to a folder nobody reads yet."""
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        df.write.mode("errorifexists").parquet(folder)
-        return folder
+    def stage(self, df: DataFrame, layout: Layout | None = None) -> list[str]:
+        """Write rows to folders nobody reads yet, one per bucket that has rows if there is a layout.
 
-    def commit(self, paths: Sequence[str], schema: T.StructType, note: str = "", base: int | None = None) -> int:
+        A bucket's rows are written by as many tasks as their size asks for.
+        """
+        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+        if layout is None:
+            df.write.mode("errorifexists").parquet(folder)
+            return [folder]
+        dealt = df.withColumn(BUCKET, layout.bucket()).hint("rebalance", F.col(BUCKET))
+        dealt.write.mode("errorifexists").partitionBy(BUCKET).parquet(folder)
+        schema = T.StructType([*df.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        written = self.spark.read.schema(schema).parquet(folder).select(BUCKET).distinct().collect()
+        return [f"{folder}/{BUCKET}={b}" for b in sorted(r[BUCKET] for r in written)]
+
+    def commit(
+        self, paths: Sequence[str], schema: T.StructType, note: str = "", base: int | None = None, layout: Layout | None = None
+    ) -> int:
         """Make the folders the next version after ``base``, by default after the newest.
 
         A writer that read version ``base`` commits on top of it. If another one
         did so meanwhile, this one fails and the table stays as the other left it.
+        That takes a file system whose rename is one step; others are refused.
         """
-        version = (self.version() if base is None else base) + 1
-        row = self.spark.createDataFrame(
-            [(version, schema.json(), list(paths), note)],
-            "version bigint, schema_json string, paths array<string>, note string",
-        ).select("version", F.current_timestamp().alias("committed_at"), "schema_json", "paths", "note")
+        if urlparse(self.path).scheme in NO_ATOMIC_RENAME:
+            raise ValueError(f"{self.path} lies where a rename is no single step; keep tables on another file system")
+        before = None if base == 0 else self.entry(base)
+        version = number_of(before) + 1
+        layout = layout or kept_layout(before, schema)
+        held = set() if before is None else set(before["paths"])
+        wanted = set(paths)
+        added = [p for p in paths if p not in held]
+        removed = [] if before is None else [p for p in before["paths"] if p not in wanted]
+        whole = before is None or version % WHOLE_EVERY == 0 or len(added) + len(removed) >= len(paths)
+        named = [None, None, self.names(paths)] if whole else [self.names(added), self.names(removed), None]
+        line = (version, schema.json(), json.dumps(layout) if layout else None, *named, note)
+        columns = [c.strip() for c in LOG.split(",") if "committed_at" not in c]
+        row = self.spark.createDataFrame([line], ", ".join(columns)).withColumn("committed_at", F.current_timestamp())
         staged = f"{self.path}/staged/{uuid.uuid4().hex}"
         row.coalesce(1).write.mode("errorifexists").parquet(staged)
         if not self.place(staged, f"{self.path}/log/{version:012d}"):
             raise RuntimeError(f"another writer committed version {version} of {self.path}")
         return version
 
+    def names(self, paths: Iterable[str]) -> list[str]:
+        """Folders as the log names them, below the table."""
+        return [p.removeprefix(f"{self.path}/") for p in paths]
+
     def place(self, staged: str, target: str) -> bool:
         """Move a written folder to a place that must be free. File systems with an atomic rename let one writer win."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
@@ -102,9 +175,10 @@ class VersionedTable:
             return False
         return True
 
-    def create(self, schema: T.StructType) -> int:
-        """An empty table with this definition."""
-        return self.commit([], schema, "create")
+    def create(self, schema: T.StructType, keys: Sequence[str] = (), buckets: int = BUCKETS) -> int:
+        """An empty table with this definition, laid out by ``keys`` if there are any."""
+        layout = Layout(tuple(keys), buckets) if keys else None
+        return self.commit([], schema, "create", layout=layout)
 
     def conform(self, df: DataFrame, entry: Row | None) -> DataFrame:
         """Rows in the column order and types the table defines; absent columns are null."""
@@ -124,14 +198,20 @@ class VersionedTable:
     def replace(self, df: DataFrame, note: str = "replace") -> int:
         entry = self.entry()
         rows = self.conform(df, entry)
-        return self.commit([self.stage(rows)], rows.schema, note, number_of(entry))
+        return self.commit(self.stage(rows, layout_of(entry)), rows.schema, note, number_of(entry))
 
     def append(self, df: DataFrame, note: str = "append") -> int:
         """Add rows. Earlier files are kept as they are."""
         entry = self.entry()
         rows = self.conform(df, entry)
         earlier = [] if entry is None else list(entry["paths"])
-        return self.commit([*earlier, self.stage(rows)], rows.schema, note, number_of(entry))
+        return self.commit([*earlier, *self.stage(rows, layout_of(entry))], rows.schema, note, number_of(entry))
+
+    def lay_out(self, keys: Sequence[str], buckets: int = BUCKETS) -> int:
+        """Rewrite the table into buckets of a key. From then on merges and folds touch only the buckets they have to."""
+        entry, layout = self.entry(), Layout(tuple(keys), buckets)
+        rows = self.rows_of(entry["paths"], schema_of(entry))
+        return self.commit(self.stage(rows, layout), rows.schema, "layout", entry["version"], layout)
 
 
 def number_of(entry: Row | None) -> int:
@@ -142,6 +222,38 @@ def schema_of(entry: Row) -> T.StructType:
     return T.StructType.fromJson(json.loads(entry["schema_json"]))
 
 
+def layout_of(entry: Row | None) -> Layout | None:
+    if entry is None or entry["layout_json"] is None:
+        return None
+    keys, buckets = json.loads(entry["layout_json"])
+    return Layout(tuple(keys), buckets)
+
+
+def kept_layout(entry: Row | None, schema: T.StructType) -> Layout | None:
+    """The layout of a version, unless its key is not the same under another definition."""
+    layout = layout_of(entry)
+    if layout is None:
+        return None
+    types = {f.name: f.dataType for f in schema.fields}
+    return layout if all(types.get(k) == schema_of(entry)[k].dataType for k in layout.keys) else None
+
+
+def bucket_of(path: str) -> int | None:
+    """The bucket a folder holds; a folder written without a layout may hold any key."""
+    found = re.search(rf"/{BUCKET}=(\d+)$", path)
+    return int(found[1]) if found else None
+
+
+def in_buckets(paths: Iterable[str], buckets: set[int]) -> list[str]:
+    """The folders that may hold keys of these buckets."""
+    return [p for p in paths if bucket_of(p) is None or bucket_of(p) in buckets]
+
+
+def buckets_of(rows: DataFrame, layout: Layout) -> set[int]:
+    """The buckets of some rows: at most as many numbers as the layout has buckets."""
+    return {r[0] for r in rows.select(layout.bucket()).distinct().collect()}
+
+
 def append_rows(df: DataFrame, table: VersionedTable, columns: Sequence[str]) -> int:
     """Append the listed columns, matched by name; the table's other columns are null."""
     return table.append(df.select(*columns))
@@ -152,11 +264,14 @@ def refresh_table(df: DataFrame, table: VersionedTable) -> DataFrame:
     return table.read(table.replace(df, "refresh"))
 
 
-def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def merge_upsert(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = (), gone: Column | None = None
+) -> DataFrame:
     """Target with the batch upserted on its keys. Rows absent from the batch stay.
 
     A batch row without a key fails the merge. Several batch rows of one key are
     reduced to the newest by ``order``; without an order they fail the merge.
+    Keys whose batch row meets ``gone`` are removed.
     """
     keys = list(keys)
     checked = require_key(batch, keys)
@@ -173,6 +288,8 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order
             *[F.col(f"__row.{c}").alias(c) for c in others],
         )
     kept = sized_join(target, newest.select(*keys).distinct(), keys, "left_anti")
+    if gone is not None:
+        newest = newest.filter(~F.coalesce(gone, F.lit(False)))
     return kept.select(*target.columns).unionByName(newest.select(*target.columns))
 
 
@@ -181,27 +298,63 @@ def touched_parts(table: VersionedTable, entry: Row, batch: DataFrame, keys: Seq
 
     The result is bounded by the number of folders, not by rows.
     """
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "/data/([0-9a-f]{32})/", 1)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), f"/data/([0-9a-f]{{32}}(?:/{BUCKET}=[0-9]+)?)/", 1)
     held = table.rows_of(entry["paths"], schema_of(entry)).select(*keys, folder.alias("__part"))
     hits = sized_join(held, batch.select(*keys).distinct(), keys, "left_semi").select("__part").distinct()
     names = {r["__part"] for r in hits.collect()}
-    return [p for p in entry["paths"] if p.rsplit("/", 1)[-1] in names]
-
-
-def merge_into(table: VersionedTable, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    return [p for p in entry["paths"] if p.rsplit("/data/", 1)[-1] in names]
+
+
+def merge_into(
+    table: VersionedTable,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    gone: Column | None = None,
+    note: str = "merge",
+    buckets: int = BUCKETS,
+) -> DataFrame:
     """Merge a batch into a versioned table and return its new rows.
 
-    Folders without a key of the batch are kept as they are. The others are
-    rewritten as one new folder together with the batch.
+    A table that is new is laid out by the merge key. In a table laid out by it
+    only the buckets that hold a key of the batch are rewritten, each as a
+    folder of its own. In any other table the folders that hold one are
+    rewritten as one. All other folders are kept as they are.
     """
     entry = table.entry()
     rows = table.conform(batch, entry)
     paths = [] if entry is None else list(entry["paths"])
-    touched = touched_parts(table, entry, rows, keys) if paths else []
-    staged = table.stage(merge_upsert(table.rows_of(touched, rows.schema), rows, keys, order))
-    merged = [*[p for p in paths if p not in touched], staged]
-    table.commit(merged, rows.schema, "merge", number_of(entry))
-    return table.rows_of(merged, rows.schema)
+    layout = Layout(tuple(keys), buckets) if entry is None else layout_of(entry)
+    if layout is not None and layout.keys == tuple(keys):
+        touched = in_buckets(paths, buckets_of(rows, layout)) if paths else []
+    else:
+        touched = touched_parts(table, entry, rows, keys) if paths else []
+    merged = merge_upsert(table.rows_of(touched, rows.schema), rows, keys, order, gone)
+    rewritten = set(touched)
+    staged = [*[p for p in paths if p not in rewritten], *table.stage(merged, layout)]
+    table.commit(staged, rows.schema, note, number_of(entry), layout)
+    return table.rows_of(staged, rows.schema)
+
+
+def rows_with_keys(table: VersionedTable, wanted: DataFrame, version: int | None = None) -> DataFrame:
+    """The rows of a table whose key is in ``wanted``, read from the buckets of these keys only."""
+    entry = table.entry(version)
+    layout = layout_of(entry)
+    if layout is None:
+        raise ValueError(f"{table.path} is not laid out by key")
+    schema = schema_of(entry)
+    wanted = wanted.select(*[F.col(f"`{k}`").cast(schema[k].dataType).alias(k) for k in layout.keys]).distinct()
+    rows = table.rows_of(in_buckets(entry["paths"], buckets_of(wanted, layout)), schema)
+    return sized_join(rows, wanted, layout.keys, "left_semi").select(*schema.names)
+
+
+def changed_folders(table: VersionedTable, old: int, new: int) -> tuple[list[str], list[str]]:
+    """Folders that only the old and only the new version has. What both have holds no difference."""
+    before, after = table.entry(old), table.entry(new)
+    if before is None or after is None:
+        raise LookupError(f"{table.path} has no versions {old} and {new}")
+    left, right = set(before["paths"]), set(after["paths"])
+    return [p for p in before["paths"] if p not in right], [p for p in after["paths"] if p not in left]
 
 
 LEDGER = T.StructType(
@@ -230,16 +383,19 @@ def ledgered_append(table: VersionedTable, df: DataFrame, ledger: VersionedTable
     A load that fails is recorded as failed and its error goes on to the caller.
     """
     try:
-        written = table.entry(table.append(df, run_id))["paths"][-1]
+        earlier = table.version()
+        version = table.append(df, run_id)
+        written = changed_folders(table, earlier, version)[1] if earlier else table.entry(version)["paths"]
     except Exception:
         append_ledger(ledger, run_id, 0, "failed")
         raise
-    return append_ledger(ledger, run_id, table.spark.read.parquet(written).count(), "succeeded")
+    rows = table.rows_of(written, schema_of(table.entry(version)))
+    return append_ledger(ledger, run_id, rows.count(), "succeeded")
 
 
 def publish(source: DataFrame, share: VersionedTable) -> int:
     """Publish a full copy; consumers of the share see it from now on."""
-    return share.commit([share.stage(source)], source.schema, "publish")
+    return share.commit(share.stage(source), source.schema, "publish")
 
 
 def read_published(share: VersionedTable, version: int | None = None) -> DataFrame:

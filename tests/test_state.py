@@ -183,3 +183,23 @@ def test_expired_history_keeps_named_snapshots(spark):
     databases = spark.createDataFrame([("DB", "7 days"), ("forever", None), ("none", "00:00:00")], "database_name string, historical_snapshot_retention string")
     as_of = dt.datetime(2026, 1, 10, tzinfo=dt.timezone.utc)
     assert rows(snapshots.expired_snapshots(catalog, databases, as_of), "snapshot_id") == [("1",), ("5",)]
+
+
+def test_diff_by_range_joins_only_what_differs(spark):
+    old = spark.range(20_000).selectExpr("id AS k", "id % 7 AS a", "CASE WHEN id % 3 = 0 THEN 'x' END AS b")
+    new = old.filter("k <> 11").withColumn("a", F.when(F.col("k") == 500, None).otherwise(F.col("a"))).unionByName(
+        spark.sql("SELECT 20001L AS k, 1L AS a, 'y' AS b"))
+    assert rows(drift.table_diff_by_range(old, new, ["k"])) == rows(drift.table_diff(old, new, ["k"]))
+    assert len(drift.differing_ranges(old, new, ["k"])) == 3
+    one = old.withColumn("b", F.when(F.col("k") == 77, "z").otherwise(F.col("b")))
+    (only,) = drift.differing_ranges(old, one, ["k"], 64)
+    kept = drift.table_diff_by_range(old, one, ["k"], 64)
+    assert rows(kept) == [(77, "changed", ["b"])]
+    assert str(only) in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert drift.differing_ranges(old, old, ["k"]) == [] and drift.table_diff_by_range(old, old, ["k"]).count() == 0
+
+
+def test_swapped_nulls_are_a_difference(spark):
+    old = spark.createDataFrame([(1, None, 5), (2, 5, None), (3, None, None)], "k int, a int, b int")
+    new = spark.createDataFrame([(1, 5, None), (2, None, 5), (3, None, None)], "k int, a int, b int")
+    assert rows(drift.table_diff_by_range(old, new, ["k"], 1)) == [(1, "changed", ["a", "b"]), (2, "changed", ["a", "b"])]

@@ -3,8 +3,8 @@
 import datetime as dt
 
 from conftest import rows
-from tallyhouse.sources.tables import VersionedTable
-from tallyhouse.streaming.merge import stream_merge
+from tallyhouse.sources.tables import VersionedTable, bucket_of, changed_folders
+from tallyhouse.streaming.merge import crowded, fold, stream_merge
 from tallyhouse.streaming.usage import read_events, run_available, stream_dedupe, stream_usage_windows
 
 SCHEMA = "event_id int, ts timestamp_ntz, user_id int, value double"
@@ -59,7 +59,30 @@ def test_folding_keeps_the_same_rows(spark, folder):
     table = VersionedTable(spark, f"{folder}/t")
     got = stream_merge(stream(spark, folder), table, ["user_id"], ["ts", "event_id"], f"{folder}/p", most_parts=2)
     assert rows(got, "event_id", "user_id") == [(10, 8), (3, 7)]
-    assert len(table.entry()["paths"]) <= 2
+    assert crowded(table, 2) == [] and len(table.entry()["paths"]) <= 4
+
+
+def test_a_fold_leaves_other_buckets_alone(spark, folder):
+    for n in range(3):
+        write(spark, folder, f"f{n}", *[(100 * n + u, n, u, float(n)) for u in (range(40) if n == 0 else (7,))])
+    table = VersionedTable(spark, f"{folder}/t")
+    got = stream_merge(stream(spark, folder), table, ["user_id"], ["ts", "event_id"], f"{folder}/p", most_parts=9)
+    want = rows(got, "event_id", "user_id")
+    assert (207, 7) in want and len(want) == 40
+    (full,) = crowded(table, 2)
+    before = table.version()
+    fold(table, ["user_id"], ["ts", "event_id"], [full])
+    gone, come = changed_folders(table, before, table.version())
+    assert {bucket_of(p) for p in gone} == {bucket_of(p) for p in come} == {full} and (len(gone), len(come)) == (3, 1)
+    assert rows(table.read().filter("user_id = 7"), "event_id") == [(207,)] and table.read().count() == 40
+
+
+def test_a_table_without_a_layout_gets_one(spark, folder):
+    write(spark, folder, "a", (9, 50, 3, 2.0))
+    table = VersionedTable(spark, f"{folder}/t")
+    table.replace(spark.createDataFrame([(1, dt.datetime(2026, 1, 1), 3, 1.0), (2, dt.datetime(2026, 1, 1), 4, 1.0)], SCHEMA))
+    got = stream_merge(stream(spark, folder), table, ["user_id"], ["ts", "event_id"], f"{folder}/p")
+    assert rows(got, "event_id", "user_id") == [(2, 4), (9, 3)]
 
 
 def test_repeats_within_the_watermark_are_dropped(spark, folder):

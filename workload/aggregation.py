@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import aggregates
 from tallyhouse.operators.usage import uptime_seconds
+from tallyhouse.plans.warehouse import refresh_changed_marts
+from tallyhouse.settings import scratch_path
+from tallyhouse.sources.tables import VersionedTable
 from workload.registry import query
 from workload.relations import (
     AGENT_RUNS,
@@ -50,6 +53,24 @@ def daily_revenue_mart(spark, sf):
     return revenue_rows(aggregates.daily_revenue_mart(orders(spark, sf), ["customer_id"], REVISION, "F"))
 
 
+@query(
+    "a2_changed_mart",
+    f"""SELECT CAST(order_date AS VARCHAR) AS order_date, count(*) AS order_count, CAST(sum(amount) AS DOUBLE) AS revenue
+    FROM {LATEST_ORDERS} WHERE status = 'F' AND amount >= 0 AND order_date IS NOT NULL GROUP BY order_date""",
+)
+def changed_mart(spark, sf):
+    """The mart kept up by changes: orders arrive in three batches, and a customer's later order takes the place of the earlier one,
+    also where it is not completed; a batch that brings no newer revision changes nothing."""
+    rows, root = orders(spark, sf), scratch_path(spark, "changes")
+    raw, mart = VersionedTable(spark, f"{root}/raw"), VersionedTable(spark, f"{root}/mart")
+    raw.create(rows.schema, ["customer_id"], 16)
+    year = F.year("ordered_at")
+    for batch in (rows.filter(year < 1996), rows.filter((year >= 1996) & (year < 1998)), rows.filter((year >= 1998) | year.isNull())):
+        raw.append(batch)
+        mart_rows = refresh_changed_marts(raw, mart, ["customer_id"], REVISION, "F")
+    return revenue_rows(mart_rows)
+
+
 @query(
     "a3_nullable_aggregates",
     """SELECT user_id, count(CASE WHEN event_type <> 'error' THEN event_id END) AS event_count,

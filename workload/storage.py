@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.operators.aggregates import daily_revenue_mart
 from tallyhouse.functions.render import json_value, rows_json
+from tallyhouse.operators.ordering import page
 from tallyhouse.plans.warehouse import refresh_marts
 from tallyhouse.settings import scratch_path
 from tallyhouse.sources import readers
+from tallyhouse.sources.listing import scan_files
 from tallyhouse.sources.tables import (
     VersionedTable,
     append_rows,
@@ -129,6 +132,33 @@ def merge(spark, sf):
     return repeated.select("customer_id", "order_id", F.col("amount").cast("double").alias("amount"))
 
 
+@query(
+    "s7_repeated_batches",
+    f"""WITH first AS (SELECT customer_id, order_id, amount, ordered_at FROM {ORDERS} WHERE order_id % 3 = 0),
+    firsts AS (SELECT * FROM first QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY ordered_at DESC, order_id DESC) = 1),
+    later AS (SELECT customer_id, order_id, amount * 2 AS amount, ordered_at FROM {ORDERS} WHERE order_id % 3 = 1
+    QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY ordered_at DESC, order_id DESC) = 1)
+    SELECT coalesce(l.customer_id, f.customer_id) AS customer_id, CASE WHEN l.customer_id IS NULL THEN f.order_id ELSE l.order_id END AS order_id,
+    CAST(CASE WHEN l.customer_id IS NULL THEN f.amount ELSE l.amount END AS DOUBLE) AS amount, CAST(3 AS BIGINT) AS versions
+    FROM firsts AS f FULL OUTER JOIN later AS l ON l.customer_id = f.customer_id""",
+)
+def repeated_batches(spark, sf):
+    """A batch merged twice, one that updates and adds keys, and one with a missing key, which fails and changes nothing."""
+    rows = orders(spark, sf).select("customer_id", "order_id", "amount", "ordered_at")
+    first, later = rows.filter("order_id % 3 = 0"), rows.filter("order_id % 3 = 1").withColumn("amount", (F.col("amount") * 2).cast("decimal(18,2)"))
+    invalid = rows.filter("order_id % 3 = 2").withColumn("customer_id", F.when(F.col("order_id") % 5 != 0, F.col("customer_id")))
+    target = VersionedTable(spark, scratch_path(spark, "batches"))
+    for batch in (first, first, later):
+        merge_into(target, batch, ["customer_id"], REVISION, buckets=16)
+    try:
+        merge_into(target, invalid, ["customer_id"], REVISION)
+    except PySparkException as error:
+        if "merge key" not in str(error):
+            raise
+    kept = target.read().select("customer_id", "order_id", F.col("amount").cast("double").alias("amount"))
+    return kept.withColumn("versions", F.lit(target.version()).cast("bigint"))
+
+
 @query(
     "s8_append_ledger",
     """SELECT 'run-1' AS run_id, 'succeeded' AS status, count(*) AS rows FROM orders WHERE o_orderstatus = 'F'
@@ -206,6 +236,41 @@ def list_file_rows(spark, sf):
     return files.select(folder.alias("folder"), "type", "size", (F.col("last_modified") >= F.lit(began)).alias("written_since"))
 
 
+@query(
+    "s10_scan_files",
+    """SELECT 'usage_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) || '/part=' || CAST(event_id % 8 AS VARCHAR) || '/' AS folder, 'file' AS type,
+    CAST(sum(strlen(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS size, true AS written_since FROM events GROUP BY ALL
+    UNION ALL SELECT DISTINCT 'usage_date=' || CAST(CAST(ts AS DATE) AS VARCHAR), 'folder', NULL, NULL FROM events""",
+)
+def scan_file_rows(spark, sf):
+    """The same files listed by executors, a prefix each, together with the folders of the first level."""
+    path = scratch_path(spark, "scan")
+    ids = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("value"), F.to_date("ts").alias("usage_date"), (F.col("event_id") % 8).alias("part"))
+    began = spark.sql("SELECT date_trunc('second', current_timestamp())").first()[0]
+    ids.repartition("usage_date", "part").write.partitionBy("usage_date", "part").text(path)
+    found = scan_files(spark, path, recursive=True)
+    folder = F.when(F.col("type") == "file", F.regexp_extract("name", "^(.*/)part-[^/]*$", 1)).otherwise(F.col("name"))
+    return found.select(folder.alias("folder"), "type", "size", (F.col("last_modified") >= F.lit(began)).alias("written_since"))
+
+
+@query(
+    "s10_scan_page",
+    """SELECT 'usage_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS name, 'folder' AS type FROM events GROUP BY ALL
+    UNION ALL SELECT 'event-kind-' || event_type, 'file' FROM events GROUP BY ALL ORDER BY name LIMIT 20 OFFSET 3""",
+)
+def scan_page(spark, sf):
+    """One page of a first-level listing, files and folders by name; nothing below that level is listed."""
+    path = scratch_path(spark, "page")
+    events = table(spark, sf, "events")
+    events.select("event_id", F.to_date("ts").alias("usage_date")).repartition("usage_date").write.partitionBy("usage_date").parquet(f"{path}/days")
+    kinds = events.select(F.concat(F.lit("event-kind-"), "event_type").alias("value")).distinct()
+    kinds.select(F.col("value").alias("kind"), "value").repartition("kind").write.partitionBy("kind").text(f"{path}/kinds")
+    days = scan_files(spark, f"{path}/days").filter("type = 'folder'")
+    named = scan_files(spark, f"{path}/kinds", recursive=True).filter("type = 'file'")
+    kind = named.select(F.regexp_extract("name", "^kind=([^/]*)/", 1).alias("name"), "type")
+    return page(days.select("name", "type").unionByName(kind), ["name"], limit=20, offset=3)
+
+
 @query("s11_data_files", "SELECT 'lineitem.parquet' AS file_name, count(*) AS rows FROM lineitem")
 def data_files(spark, sf):
     files = readers.data_files(table(spark, sf, "lineitem"))
