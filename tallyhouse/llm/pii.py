@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -64,11 +66,15 @@ _ANY_SPELLED = re.compile(rf"(?i)(?<!\w)(?:{_ALT}){_BETWEEN}(?:(?:{_ALT})(?!\w)|
 _BRACKET_AT = rf"[\x20]?[\[({{<][\x20]?(?:{_ATS}|@)[\x20]?[\])}}>][\x20]?"
 _BRACKET_DOT = rf"[\x20]?[\[({{<][\x20]?(?:{_DOTS}|\.)[\x20]?[\])}}>][\x20]?"
 _WORD_DOT = rf"[\x20](?:{_DOTS})[\x20]"
-DISGUISED = re.compile(
-    rf"(?i)(?<![\w.%+-]){_WORD}(?:(?:\.|{_BRACKET_DOT}|{_WORD_DOT}){_WORD})*"
-    rf"(?:{_BRACKET_AT}[A-Za-z0-9-]+(?:(?:\.|{_BRACKET_DOT}|{_WORD_DOT})[A-Za-z0-9-]+)+"
+NAME = re.compile(rf"(?i)(?<![\w.%+-]){_WORD}(?:(?:\.|{_BRACKET_DOT}|{_WORD_DOT}){_WORD})*+")
+SIGN_AND_HOST = re.compile(
+    rf"(?i){_BRACKET_AT}[A-Za-z0-9-]+(?:(?:\.|{_BRACKET_DOT}|{_WORD_DOT})[A-Za-z0-9-]+)+"
     rf"|(?:[\x20](?:{_ATS})[\x20]|[\x20]?@[\x20]?)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:{_BRACKET_DOT}|{_WORD_DOT})[A-Za-z0-9-]+(?:(?:\.|{_BRACKET_DOT}|{_WORD_DOT})[A-Za-z0-9-]+)*"
-    rf"|(?:[\x20](?:{_ATS})[\x20]|[\x20]@[\x20]?|@[\x20])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
+    rf"|(?:[\x20](?:{_ATS})[\x20]|[\x20]@[\x20]?|@[\x20])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+#: Inside names: a word for the dot that is itself a name before an at sign.
+_DOT_NAME = re.compile(rf"(?i)(?<=[\x20])(?:{_DOTS})(?=[\x20](?:{_ATS})[\x20])")
+#: Four numbers with dots of which some are disguised.
+DOTTED_NUMBERS = re.compile(rf"(?i)(?<![\w.])[0-9]++(?:(?:\.|{_BRACKET_DOT}|{_WORD_DOT})[0-9]++){{3}}(?!\w)")
 _AT_PART = re.compile(rf"(?i){_BRACKET_AT}|[\x20](?:{_ATS})[\x20]|[\x20]?@[\x20]?")
 _DOT_PART = re.compile(rf"(?i){_BRACKET_DOT}|{_WORD_DOT}")
 # Last labels with which a bare word may stand for the at sign before a host with plain dots.
@@ -89,6 +95,7 @@ _HINT = re.compile(
     rf"|[\x20](?:{_ATS})[\x20][A-Za-z0-9-]+\.[A-Za-z]")
 #: Letters for digits inside a number: at least half of its characters are digits.
 _MIXED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl|](?:[\x20.-]?[0-9OoIl|]){6,}(?![A-Za-z0-9])")
+_FOR_DIGITS, _DIGIT_IN = re.compile("[OoIl|]"), re.compile("[0-9]")
 _AS_DIGIT = str.maketrans("OoIl|", "00111")
 
 
@@ -111,6 +118,34 @@ def _odd_characters() -> re.Pattern:
     return re.compile("[" + "".join(map(re.escape, lookalikes())) + "]")
 
 
+@cache
+def _gates() -> tuple[str, ...]:
+    """Patterns without look-around, for whole columns at once. Together they let pass all texts that the exact
+    patterns let pass, and more: the edges of words and numbers are not asked for. Only Python takes the two
+    Turkish letters for an i, so texts that have them pass."""
+    odd = "".join(rf"\x{{{ord(c):x}}}" for c in [*lookalikes(), "\u0130", "\u0131"])
+    spelled = rf"(?i)(?:{_ALT}){_BETWEEN}(?:{_ALT}|[0-9])|[0-9]{_BETWEEN}(?:{_ALT})"
+    mixed = r"[0-9OoIl|](?:[\x20.-]?[0-9OoIl|]){6}"
+    letters = r"[0-9][\x20.-]?[OoIl|]|[OoIl|][\x20.-]?[0-9]"
+    return f"[{odd}]", _HINT.pattern, spelled, mixed, letters
+
+
+def suspects(column: pa.Array) -> np.ndarray:
+    """Texts that may hold something disguised. All others have base identifiers only."""
+    odd, hint, spelled, mixed, letters = (pc.fill_null(pc.match_substring_regex(column, g), False) for g in _gates())
+    found = pc.or_(pc.or_(odd, hint), pc.or_(spelled, pc.and_(mixed, letters)))
+    return found.to_numpy(zero_copy_only=False)
+
+
+def disguised(text: str) -> bool:
+    """The exact gate: whether a text has anything that a transducer may change."""
+    if not text.isascii() and not lookalikes().keys().isdisjoint(text):
+        return True
+    if _HINT.search(text) or _ANY_SPELLED.search(text):
+        return True
+    return any(_FOR_DIGITS.search(m.group()) and _DIGIT_IN.search(m.group()) for m in _MIXED.finditer(text))
+
+
 @dataclass
 class Mapped:
     """A normalised text; character ``i`` of it comes from ``start[i]`` to ``end[i]`` of the source."""
@@ -182,18 +217,50 @@ def reads_as_address(name: str, sign: str, host: str) -> bool:
     return _TOP.search(host) is not None or len(labels[-1]) > 2 and labels[-1].isalpha() and labels[0].lower() not in NO_HOSTS
 
 
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Names with a sign for the at sign and a host after them, leftmost first.
+
+    A name is taken as far as it goes, so later starts in it end where it ends
+    and need not be tried; but a word for the dot may itself be a name.
+    """
+    at = 0
+    while name := NAME.search(text, at):
+        at = name.end()
+        rest = SIGN_AND_HOST.match(text, at)
+        if rest:
+            yield name.start(), rest.end()
+            at = rest.end()
+            continue
+        for inner in _DOT_NAME.finditer(text, name.start(), min(len(text), at + 1)):
+            rest = SIGN_AND_HOST.match(text, inner.end())
+            if rest:
+                yield inner.start(), rest.end()
+                at = rest.end()
+                break
+
+
 def fold_signs(m: Mapped) -> Mapped:
     """The transducer for disguised at signs and dots inside what reads as an address."""
     changes = []
-    for found in DISGUISED.finditer(m.text):
-        at = _AT_PART.search(m.text, found.start(), found.end())
-        if not reads_as_address(m.text[found.start() : at.start()], at.group(), m.text[at.end() : found.end()]):
+    for lo, hi in addresses(m.text):
+        at = _AT_PART.search(m.text, lo, hi)
+        if not reads_as_address(m.text[lo : at.start()], at.group(), m.text[at.end() : hi]):
             continue
-        dots = [d for d in _DOT_PART.finditer(m.text, found.start(), found.end()) if d.end() <= at.start() or d.start() >= at.end()]
+        dots = [d for d in _DOT_PART.finditer(m.text, lo, hi) if d.end() <= at.start() or d.start() >= at.end()]
         changes += sorted([(at.start(), at.end(), "@"), *((d.start(), d.end(), ".") for d in dots)])
     return m.rewrite(changes)
 
 
+def fold_dotted(m: Mapped) -> Mapped:
+    """The transducer for disguised dots between four plain numbers, if they make an address."""
+    changes = []
+    for row in DOTTED_NUMBERS.finditer(m.text):
+        whole = _DOT_PART.sub(".", row.group())
+        if whole != row.group() and (0, len(whole)) in identifiers(whole)["ip"]:
+            changes += [(d.start(), d.end(), ".") for d in _DOT_PART.finditer(m.text, row.start(), row.end())]
+    return m.rewrite(changes)
+
+
 def fold_mixed(m: Mapped) -> Mapped:
     """The transducer for letters that stand for digits inside a number."""
     changes = []
@@ -248,36 +315,46 @@ def identifiers(text: str) -> dict[str, list[tuple[int, int]]]:
     return found
 
 
-def spans(text: str) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[tuple[int, int]]]]:
+def overlapping(found: list[tuple[int, int]], lo: int, hi: int) -> list[tuple[int, int]]:
+    """Of spans in order and apart, those that overlap another one."""
+    at = max(0, bisect_right(found, (lo, lo)) - 1)
+    met = []
+    while at < len(found) and found[at][0] < hi:
+        if found[at][1] > lo:
+            met.append(found[at])
+        at += 1
+    return met
+
+
+def spans(text: str, suspect: bool = True) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[tuple[int, int]]]]:
     """Base spans and all spans, as code points of the source text.
 
     All spans are the base ones and those found in the normalised text, mapped
     back to the source. A mapped span is added when it overlaps no other span,
     or none but base spans of its kind that are shorter and lie inside of it.
+    A text that is no suspect is not normalised.
     """
     base = identifiers(text)
-    m = Mapped(text, np.zeros(0, np.int64), np.zeros(0, np.int64))
-    odd = not text.isascii() and _odd_characters().search(text)
-    if not (odd or _HINT.search(text) or _ANY_SPELLED.search(text) or _MIXED.search(text)):
+    if not suspect or not disguised(text):
         return base, base
     at = np.arange(len(text), dtype=np.int64)
     m = Mapped(text, at, at + 1)
-    if odd:
+    if not text.isascii():
         m = fold_lookalikes(m)
-    m = fold_mixed(fold_signs(fold_spelled(m)))
+    m = fold_mixed(fold_dotted(fold_signs(fold_spelled(m))))
     if m.text == text:
         return base, base
-    taken = [(*s, kind) for kind in KINDS for s in base[kind]]
-    own = set(taken)
     more = {k: list(base[k]) for k in KINDS}
     hidden = identifiers(m.text)
+    added: list[tuple[int, int]] = []
     for kind in KINDS:
         for lo, hi in hidden[kind]:
             a, b = int(m.start[lo]), int(m.end[hi - 1])
-            met = [s for s in taken if s[0] < b and a < s[1]]
-            if all(s in own and s[2] == kind and a <= s[0] and s[1] <= b and s[:2] != (a, b) for s in met):
+            if overlapping(added, a, b) or any(overlapping(base[k], a, b) for k in KINDS if k != kind):
+                continue
+            if all(a <= x and y <= b and (x, y) != (a, b) for x, y in overlapping(base[kind], a, b)):
                 more[kind].append((a, b))
-                taken.append((a, b, kind))
+                insort(added, (a, b))
     return base, {k: sorted(v) for k, v in more.items()}
 
 
@@ -297,8 +374,8 @@ def with_spans(df: DataFrame, text: str = "text", name: str = "spans") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, place, SLICE_BYTES):
             column = []
-            for t in part.column(place).to_pylist():
-                base, every = spans(t) if t else ({}, {})
+            for t, suspect in zip(part.column(place).to_pylist(), suspects(part.column(place)).tolist()):
+                base, every = spans(t, suspect) if t else ({}, {})
                 column.append([{"kind": k, "start": a, "end": b, "base": (a, b) in base[k]} for k in KINDS for a, b in every.get(k, ())])
             made = pa.array(column, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])))
             yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
@@ -325,10 +402,10 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """
     place = df.columns.index(text)
 
-    def cleaned(t: str | None) -> str | None:
+    def cleaned(t: str | None, suspect: bool) -> str | None:
         if not t:
             return t
-        every = spans(t)[1]
+        every = spans(t, suspect)[1]
         out, at = [], 0
         for lo, hi, kind in sorted((a, b, k) for k in KINDS for a, b in every[k]):
             if lo >= at:
@@ -338,7 +415,8 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, place, SLICE_BYTES):
-            made = pa.array([cleaned(t) for t in part.column(place).to_pylist()], part.schema.field(place).type)
+            column = part.column(place)
+            made = pa.array([cleaned(*x) for x in zip(column.to_pylist(), suspects(column).tolist())], part.schema.field(place).type)
             yield part.set_column(place, part.schema.field(place), made)
 
     return map_batches(df, run, df.schema)

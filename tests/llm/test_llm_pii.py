@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+import time
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -132,3 +134,42 @@ def test_common_disguises(source, kind):
 ])
 def test_places_prices_and_numbers_are_left_alone(text):
     assert not any(pii.spans(text)[1].values())
+
+
+TOKENS = (
+    "a bob dot at @ [at] (dot) [.] . com host x.y - 12 one punkt arroba www 192 168 1 O l | seven +44 ı i poınt é ﹫ 0O1l|0 ４ five 555-0O11".split() + [" ", "  "]
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(TOKENS), max_size=14), st.sampled_from(["", " "]))
+def test_the_column_gate_passes_what_the_exact_gate_passes(tokens, between):
+    text = between.join(tokens)
+    (suspect,) = pii.suspects(pa.array([text]))
+    assert suspect or not pii.disguised(text)
+    assert pii.spans(text, bool(suspect)) == pii.spans(text)
+
+
+def test_column_gate_on_given_documents(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    gate = pii.suspects(pa.array([*texts, None, ""]))
+    assert not any(pii.disguised(t) and not s for t, s in zip(texts, gate))
+    assert not gate[-2:].any() and gate.mean() < 0.2
+
+
+@pytest.mark.parametrize("text, seconds", [("a dot " * 40_000, 5), ("a dot at dot " * 20_000, 5), ("one two " * 20_000, 8),
+                                           (" ".join(f"u{i}@h.com" for i in range(30_000)) + " bob at host dot com", 8)])
+def test_many_parts_take_linear_time(text, seconds):
+    began = time.process_time()
+    pii.spans(text)
+    assert time.process_time() - began < seconds
+
+
+@pytest.mark.parametrize("text", ["192[.]168[.]1[.]1", "192(.)168(.)1(.)1", "192 dot 168 dot 1 dot 1", "192.168 dot 1[.]1"])
+def test_disguised_dots_between_numbers(text):
+    assert pii.spans(f"see {text}, please")[1]["ip"] == [(4, 4 + len(text))]
+    assert pii.spans(f"see 9{text}9, please")[1]["ip"] == []
+
+
+def test_a_word_for_the_dot_may_be_a_name():
+    assert [text[a:b] for text in ["x dot at host.com"] for a, b in pii.spans(text)[1]["email"]] == ["dot at host.com"]
