@@ -12,7 +12,7 @@ from tallyhouse.operators.aggregates import all_true
 from tallyhouse.operators.filters import filter_optional
 from tallyhouse.operators.joins import measured, sized_join
 from tallyhouse.operators.ordering import order_folded
-from tallyhouse.operators.ranking import in_parts
+from tallyhouse.operators.ranking import in_parts, numbered_rows
 from tallyhouse.operators.sets import differences
 from tallyhouse.settings import cut_lineage
 
@@ -259,6 +259,47 @@ def effective_readers(audiences: DataFrame, closure: DataFrame, users: DataFrame
     return through_roles.unionByName(known.select("share_name", "reader")).unionByName(whole).distinct()
 
 
+def reader_bitmaps(audiences: DataFrame, edges: DataFrame, users: DataFrame) -> DataFrame:
+    """The readers of shares granted to roles and users: per share and block of user numbers one bitmap.
+
+    Users are numbered once. A role's own members are one bitmap per block,
+    and a share joins the roles that lead to its grants, so a share costs rows
+    for roles and blocks, never one per reader; the closure of users is not made.
+    """
+    members = edges.filter("member_type = 'user'").select(F.col("role_name").alias("role"), F.col("member_name").alias("reader"))
+    members = members.filter("role IS NOT NULL AND reader IS NOT NULL").distinct()
+    known = users.select(F.col("user_name").alias("reader")).filter("reader IS NOT NULL")
+    numbers = numbered_rows(known.unionByName(members.select("reader")).distinct(), [], [F.col("reader").asc()], "number")
+
+    def bits(rows: DataFrame, name: str) -> DataFrame:
+        placed = sized_join(rows, numbers, ["reader"])
+        block = F.bitmap_bucket_number("number").alias("block")
+        return placed.groupBy(name, block).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+
+    graph = edges.filter("member_type = 'role' AND member_name IS NOT NULL AND role_name IS NOT NULL")
+    paths = role_paths(graph.select(F.col("member_name").alias("role"), F.col("role_name").alias("holds")))
+    granted = audiences.filter("grantee_type = 'role'").select("share_name", F.col("grantee_name").alias("holds")).distinct()
+    through = sized_join(granted, paths, ["holds"]).select("share_name", "role")
+    roles = granted.select("share_name", F.col("holds").alias("role")).unionByName(through).distinct()
+    by_role = roles.join(bits(members, "role"), "role").select("share_name", "block", "bits")
+    named = audiences.filter("grantee_type = 'user'").select("share_name", F.col("grantee_name").alias("reader"))
+    named = sized_join(named, known.distinct(), ["reader"], "left_semi").distinct()
+    every = by_role.unionByName(bits(named, "share_name").select("share_name", "block", "bits"))
+    return every.groupBy("share_name", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def reader_counts(audiences: DataFrame, edges: DataFrame, users: DataFrame) -> DataFrame:
+    """How many users can read each share: exactly as many as ``effective_readers`` lists, without listing them.
+
+    A share for everybody counts every user once and says so.
+    """
+    some = reader_bitmaps(audiences, edges, users).groupBy("share_name").agg(F.sum(F.bitmap_count("bits")).alias("readers"))
+    total = users.select(F.count_distinct("user_name")).first()[0]
+    whole = audiences.filter("grantee_type IN ('organization', 'domain')").select("share_name").distinct()
+    everybody = whole.select("share_name", F.lit(total).cast("bigint").alias("readers"), F.lit(True).alias("everybody"))
+    return some.withColumn("everybody", F.lit(False)).unionByName(everybody)
+
+
 def object_grantees(df: DataFrame) -> DataFrame:
     """Grants on an object by folded type, folded name, name and folded privilege; what is left ties by its own text."""
     rows = df.select("grantee_name", "grantee_type", "privilege")

@@ -186,6 +186,21 @@ def test_closure_ends_on_cycles_and_keeps_directness(spark):
     assert rows(roles.direct_grants(roles.role_closure(edges), "A"), "member_name") == [("c",), ("u",)]
 
 
+def test_reader_counts_equal_the_listed_readers(spark):
+    users = spark.createDataFrame([(f"u{i}",) for i in range(70_000)], "user_name string")
+    edges = users.selectExpr("'user' AS member_type", "user_name AS member_name", "concat('r', crc32(user_name) % 5) AS role_name")
+    more = [("role", "r0", "top"), ("role", "r1", "mid"), ("role", "mid", "top"), ("role", "top", "mid"), ("role", "empty", "top"), ("user", "guest", "r3"), ("user", "u5", "mid")]
+    edges = edges.unionByName(spark.createDataFrame(more, edges.schema))
+    audiences = spark.createDataFrame(
+        [("a", "role", "top"), ("a", "user", "u5"), ("a", "user", "nobody"), ("b", "role", "r3"), ("b", "role", "empty"), ("c", "user", "u7"), ("c", "user", "u7"), ("d", "organization", "ENTIRE_ORGANIZATION")],
+        "share_name string, grantee_type string, grantee_name string")
+    listed = roles.effective_readers(audiences, roles.role_closure(edges), users).filter("share_name <> 'd'")
+    want = {r[0]: r[1] for r in listed.groupBy("share_name").count().collect()}
+    got = {r.share_name: (r.readers, r.everybody) for r in roles.reader_counts(audiences, edges, users).collect()}
+    assert got == {**{k: (n, False) for k, n in want.items()}, "d": (70_000, True)}
+    assert roles.reader_bitmaps(audiences, edges, users).count() <= 9
+
+
 def test_closure_of_a_long_chain_takes_few_rounds(spark):
     chain = [("role", f"r{i}", f"r{i + 1}") for i in range(40)]
     edges = spark.createDataFrame(chain, "member_type string, member_name string, role_name string")

@@ -1,14 +1,17 @@
 """Usage windows, runs, logs and storage."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tallyhouse.operators import aggregates, usage
 from tallyhouse.operators.filters import recent_rows, token_inventory
 from tallyhouse.operators.joins import gate_on_success
+from tallyhouse.sources.logs import LogStore, gram_slots
 
 
 def at(text):
@@ -123,3 +126,32 @@ def test_recent_rows_and_tokens(spark):
     assert rows(recent_rows(as_ntz, "expire_at", now), "id") == [(2,)]
     when = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
     assert [tuple(r)[:2] for r in token_inventory(data, when).collect()] == [(0, ""), (2, "")]
+
+
+def test_indexed_search_equals_a_search_of_all_lines(spark, folder):
+    draw = random.Random(4)
+    words = ["start", "failed", "añadir", "ok", "漢字テスト", "retry 12", "", "a", "ab", "abc"]
+    batches = []
+    for _ in range(2):
+        batches.append([("j%d" % draw.randrange(6), draw.randrange(4), " ".join(draw.choices(words, k=draw.randrange(4)))) for _ in range(60)])
+    batches[1] += [("late", 1, "needle in here"), ("late", 2, None), ("j1", 1, "a needle, too")]
+    schema = "job_id string, run_number int, line string"
+    store = LogStore(spark, f"{folder}/logs")
+    store.add(spark.createDataFrame(batches[0], schema), buckets=4)
+    store.lines.append(spark.createDataFrame(batches[1], schema))  # a job that failed before it wrote the index
+    assert store.indexed() < store.lines.version()
+    store.catch_up()
+    every = spark.createDataFrame(batches[0] + batches[1], schema)
+    for marker in ("needle", "failed a", "ñad", "テスト", "ab", "", "nowhere"):
+        want = every.groupBy("job_id", "run_number").agg(
+            F.count("*"), F.count_if(F.col("line").contains(marker)), F.coalesce(F.bool_or(F.col("line").contains(marker)), F.lit(False)))
+        assert rows(store.search(marker)) == rows(want), marker
+    assert rows(store.candidates("needle"), "job_id", "run_number") == [("j1", 1), ("late", 1)]
+    assert store.candidates("nowhere").isEmpty()
+    assert store.candidates("ab").count() == store.index.read().count()
+
+
+def test_grams_of_texts(spark):
+    data = spark.createDataFrame([("",), ("ab",), ("abc",), ("abcabc",), ("aé漢x",), (None,)], "t string")
+    sizes = [len(r[0]) if r[0] is not None else None for r in data.select(gram_slots("t")).collect()]
+    assert sizes == [0, 0, 1, 3, 2, 0]

@@ -340,6 +340,21 @@ def effective_readers(spark, sf):
     return roles.effective_readers(audiences, roles.role_closure(role_edges(spark, sf)), users)
 
 
+@query(
+    "g8_reader_counts",
+    f"""{CLOSURE}, r AS (SELECT DISTINCT a.share_name, c.member_name AS reader FROM {AUDIENCES} AS a JOIN closure AS c
+    ON a.grantee_type = 'role' AND c.role_name = a.grantee_name AND c.member_type = 'user'
+    UNION SELECT share_name, grantee_name FROM {AUDIENCES} WHERE grantee_type = 'user')
+    SELECT share_name, count(*) AS readers, false AS everybody FROM r GROUP BY share_name
+    UNION ALL SELECT share_name, (SELECT count(*) FROM customer), true FROM {AUDIENCES} WHERE grantee_type IN ('organization', 'domain')""",
+)
+def reader_counts(spark, sf):
+    """Readers per share, counted in bitmaps of user numbers."""
+    audiences = roles.share_audience(shares(spark, sf), grants(spark, sf))
+    users = table(spark, sf, "customer").select(F.concat(F.lit("u"), text("c_custkey")).alias("user_name"))
+    return roles.reader_counts(audiences, role_edges(spark, sf), users)
+
+
 @query(
     "g9_object_grantees",
     f"""SELECT grantee_name, grantee_type, privilege, row_number() OVER (ORDER BY lower(grantee_type), lower(grantee_name), grantee_name, lower(privilege),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import usage as reports
 from tallyhouse.settings import scratch_path
+from tallyhouse.sources.logs import LogStore
 from tallyhouse.sources.tables import VersionedTable
 from tallyhouse.streaming.merge import stream_merge
 from tallyhouse.streaming.usage import read_events, run_available, stream_dedupe, stream_usage_windows
@@ -138,6 +139,20 @@ def log_matches(spark, sf):
     return reports.log_matches(logs, "tion")
 
 
+@query(
+    "u8_indexed_matches",
+    """SELECT conv_id AS job_id, role AS run_number, count(*) AS line_count, count(*) FILTER (WHERE contains(text, 'nthan')) AS matches,
+    bool_or(contains(text, 'nthan')) AS has_marker FROM conversations GROUP BY ALL""",
+)
+def indexed_matches(spark, sf):
+    """A rare marker in many logs: lines come in two batches, and only those of runs whose trigrams allow it are read."""
+    logs = table(spark, sf, "conversations").select(F.col("conv_id").alias("job_id"), F.col("role").alias("run_number"), F.col("text").alias("line"), "turn")
+    store = LogStore(spark, scratch_path(spark, "logs"))
+    for batch in (logs.filter("turn < 2"), logs.filter("turn >= 2")):
+        store.add(batch, buckets=16)
+    return store.search("nthan")
+
+
 def event_stream(spark, sf):
     return read_events(spark, sf, table(spark, sf, "events").schema, "events.parquet")
 
