@@ -1,322 +1,271 @@
-"""Language-model scoring: cross-entropy difference of matched n-gram models."""
+"""Language-model scoring: cross-entropy difference of matched n-gram models.
+
+The target model counts the texts labelled good, the background model all
+others; both have the same vocabulary, weights and, by scale, the same size. A
+text is scored without its own counts, so that a text of the target is judged
+as any other.
+
+Texts are packed into units. A unit sends each bucket of keys one row with the
+words and pairs that it has and how often; the bucket adds up all units and
+sends each one the counts it asked for. So counts travel once, packed, and no
+table of counts is joined.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tallyhouse.llm.common import cut_lineage, map_batches, slices
-from tallyhouse.llm.words import WORD_BASE, Words, mix, words_of
+from tallyhouse.llm.words import WORD_BASE, Words, mix, words_in, words_of
 
-SLICE_BYTES = 4 << 20
-#: Words and pairs that make up one in so many are broadcast; all others are joined by a shuffle, where none of them is
-#: frequent enough to fill a task. Which way a count takes does not change the result.
-HOT_WORDS, HOT_PAIRS = 1 << 16, 1 << 20
+#: Texts are packed into units of this many bytes; a longer text is a unit of its own.
+UNIT_BYTES = 4 << 20
+#: Keys are dealt to buckets of about this many.
+BUCKET_KEYS = 1 << 20
 #: What the first word of a text follows.
 START = np.uint64(0x8F1BBCDCBFA53E0B)
 #: Weight of pairs against single words, and what is added to the count of each word.
 PAIR_WEIGHT, ADDED = 0.7, 0.5
-#: Counts that a task holds before it passes them on.
-HELD = 1 << 21
 #: The ids of the target are broadcast up to this many; beyond it they are joined by a shuffle.
 BROADCAST_IDS = 1 << 22
+ONE = np.uint64(1)
 
 
-class Counter:
-    """Adds up the rows of a task by key: in all texts, and in the target's."""
-
-    def __init__(self):
-        self.keys: list[np.ndarray] = []
-        self.target: list[np.ndarray] = []
-
-    def add(self, keys: np.ndarray, target: np.ndarray) -> None:
-        self.keys.append(keys)
-        self.target.append(target)
-
-    def full(self) -> bool:
-        return sum(map(len, self.keys)) > HELD
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        if self.keys:
-            keys, which = np.unique(np.concatenate(self.keys), return_inverse=True)
-            n = np.bincount(which, minlength=len(keys))
-            t = np.bincount(which, weights=np.concatenate(self.target), minlength=len(keys)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n), pa.array(t)], names=["key", "n", "t"])
-        self.keys, self.target = [], []
-
-
-def pair_keys(w: Words, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each word its number (0 for a word outside of the vocabulary), and the pair it makes with the word before
-    it in its text; the first word of a text follows the number ``len(vocabulary) + 1``."""
-    h = w.hashes()
-    if len(vocabulary):
-        at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-        number = np.where(vocabulary[at] == h, at + 1, 0)
-    else:
-        number = np.zeros(len(h), np.int64)
-    before = np.empty_like(number)
-    before[1:] = number[:-1]
-    before[w.first[:-1][w.counts > 0]] = len(vocabulary) + 1
-    return number, (before * (len(vocabulary) + 2) + number).astype(np.uint64)
-
-
-def _counts(docs: DataFrame, keys: Callable[[Words], list[np.ndarray]]) -> DataFrame:
-    """Counts of the keys of all texts of ``docs (doc_id, text, target)``, in all of them and in the target's.
-
-    ``keys`` gives one or more lists with a key for each word.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Counter()
-        for part in slices(batches, 1, SLICE_BYTES):
-            w = words_of(part.column(1))
-            target = part.column(2).to_numpy(zero_copy_only=False)[w.text_of()]
-            for some in keys(w):
-                held.add(some.view(np.uint64), target)
-            if held.full():
-                yield from held.rows()
-        yield from held.rows()
-
-    return map_batches(docs, run, "key long, n long, t long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-
-class Models:
-    """A target and a background model over one vocabulary.
-
-    Both are pairs interpolated with single words, with the same weights, the
-    same vocabulary and the same pairs: a pair below the floor is left to
-    the single words in both.
-    """
-
-    def __init__(self, vocabulary: np.ndarray, singles: np.ndarray, contexts: np.ndarray, pairs: np.ndarray, counts: np.ndarray):
-        self.vocabulary, self.pairs = vocabulary, pairs
-        size = singles.shape[1]
-        self.single = (singles + ADDED) / (singles.sum(axis=1, keepdims=True) + ADDED * size)
-        self.before = (pairs // np.uint64(size + 1)).astype(np.int64)
-        word = (pairs % np.uint64(size + 1)).astype(np.int64)
-        seen = contexts[:, self.before]
-        share = np.where(seen > 0, counts / np.maximum(seen, 1), self.single[:, word])
-        self.loss = -np.log2(PAIR_WEIGHT * share + (1 - PAIR_WEIGHT) * self.single[:, word])
-        # a context that a model has not seen says nothing about the next word; else the share of its unlisted pairs is spread as single words
-        listed = np.stack([np.bincount(self.before, weights=c, minlength=size + 1) for c in counts])
-        mass = np.stack([np.bincount(self.before, weights=s, minlength=size + 1) for s in self.single[:, word]])
-        rest = np.where(contexts > 0, 1 - listed / np.maximum(contexts, 1), 1 - mass)
-        spread = np.clip(rest, 0, 1) / np.maximum(1 - mass, 1e-9)
-        self.unlisted = PAIR_WEIGHT * spread + (1 - PAIR_WEIGHT)
-
-    def losses(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Bits that each word costs the target and the background model."""
-        number, keys = pair_keys(w, self.vocabulary)
-        at = np.minimum(np.searchsorted(self.pairs, keys), max(len(self.pairs) - 1, 0))
-        known = self.pairs[at] == keys if len(self.pairs) else np.zeros(len(keys), bool)
-        before = (keys // np.uint64(self.single.shape[1] + 1)).astype(np.int64)
-        both = []
-        for m in range(2):
-            loose = -np.log2(self.unlisted[m][before] * self.single[m][number] + 1e-30)
-            both.append(np.where(known, self.loss[m][at], loose) if len(self.pairs) else loose)
-        return both[0], both[1]
-
-
-def bounded(docs: DataFrame, word_floor: int, pair_floor: int) -> Models:
-    """Models of the words and pairs above the floors, which are shares of the corpus: at most ``word_floor`` words and
-    ``pair_floor`` pairs, which the driver gets. See ``fit``."""
-    total = map_batches(docs, _word_totals, "n long").agg(F.sum("n")).first()[0] or 0
-    found = _counts(docs, lambda w: [w.hashes()]).where(F.col("n") * word_floor >= total).toArrow()
-    vocabulary = np.sort(found.column("key").to_numpy().view(np.uint64))
-    base = len(vocabulary) + 2
-
-    def keys(w: Words) -> list[np.ndarray]:
-        number, pairs = pair_keys(w, vocabulary)
-        return [pairs, -1 - number, -1 - base - (pairs // np.uint64(base)).astype(np.int64)]  # pairs, words, and words before
-
-    kept = _counts(docs, keys).where((F.col("n") * pair_floor >= total) | (F.col("key") < 0)).toArrow()
-    key, n, t = (kept.column(i).to_numpy() for i in range(3))
-    singles, contexts = np.zeros((2, base - 1)), np.zeros((2, base))
-    word, before, own = (key < 0) & (key >= -base), key < -base, key >= 0
-    singles[:, -1 - key[word]] = t[word], n[word]
-    contexts[:, -1 - base - key[before]] = t[before], n[before]
-    order = np.argsort(key[own])
-    pairs = key[own][order].astype(np.uint64)
-    return Models(vocabulary, singles, contexts, pairs, np.stack([t[own][order], n[own][order]]).astype(float))
-
-
-def pairs_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of the word before each word, or ``START``, and that of the word itself."""
+def keys_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """For each word its key, which is odd, and that of the pair it makes with the word before it in its text, which is even."""
     word = w.hashes()
     before = np.empty_like(word)
     before[1:] = word[:-1]
     before[w.first[:-1][w.counts > 0]] = START
-    return before, word
-
-
-def keys_of(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix(before * np.uint64(WORD_BASE) + word)
+    return mix(word) | ONE, mix(before * np.uint64(WORD_BASE) + word) & ~ONE
+
+
+class Unit:
+    """The keys of some texts: the distinct ones in order, which one each word and each pair has, and counts by text."""
+
+    def __init__(self, words: Words, target: np.ndarray):
+        self.words, self.target = words, target
+        self.text = words.text_of()
+        self.keys, which = np.unique(np.concatenate(keys_of(words)), return_inverse=True)
+        self.word, self.pair = which[: len(self.text)], which[len(self.text) :]
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """How often the target's texts and the others have each key."""
+        which, own = np.concatenate([self.word, self.pair]), np.tile(self.target[self.text], 2)
+        of_target = np.bincount(which[own], minlength=len(self.keys))
+        return of_target, np.bincount(which[~own], minlength=len(self.keys))
+
+    def own(self, which: np.ndarray) -> np.ndarray:
+        """For each word how often its text has the key."""
+        _, at, n = np.unique(self.text * np.int64(max(1, len(self.keys))) + which, return_inverse=True, return_counts=True)
+        return n[at]
+
+    def losses(self, counts: tuple[np.ndarray, np.ndarray], sizes: Sizes) -> list[np.ndarray]:
+        """Bits per word of each text under the target and the background model, both without the text itself."""
+        n = self.words.counts
+        word, pair = self.own(self.word), self.own(self.pair)
+        first = np.zeros(len(self.text), bool)
+        first[self.words.first[:-1][n > 0]] = True
+        out = []
+        for m, member in enumerate((self.target, ~self.target)):
+            mine, count = member[self.text], counts[m]
+            single = (sizes.scale(m) * (count[self.word] - word * mine) + ADDED) / (
+                sizes.scale(m) * (sizes.words[m] - (n * member)[self.text]) + ADDED * (sizes.vocabulary + 1))
+            before = np.empty(len(self.text), np.int64)
+            before[1:] = (count[self.word] - word * mine)[:-1]
+            before[first] = sizes.texts[m] - mine[first]
+            share = np.where(before > 0, (count[self.pair] - pair * mine) / np.maximum(before, 1), single)
+            bits = -np.log2(PAIR_WEIGHT * share + (1 - PAIR_WEIGHT) * single)
+            out.append(np.bincount(self.text, weights=bits, minlength=len(n)) / np.maximum(n, 1))
+        return out
 
 
 @dataclass
-class PairCosts:
-    """What every pair of the corpus costs the target and the background model.
-
-    ``costs (key, target_cost, background_cost)`` has all pairs but the hot
-    ones, which are arrays sorted by key.
-    """
+class Sizes:
+    """Words and texts with words of the target and of all others, and how many words are different."""
 
-    costs: DataFrame
-    hot: np.ndarray
-    hot_costs: np.ndarray
+    words: tuple[int, int]
+    texts: tuple[int, int]
+    vocabulary: int = 0
 
+    def scale(self, model: int) -> float:
+        """What counts are multiplied by so that both models weigh as many words as the smaller one has."""
+        return min(self.words) / self.words[model] if min(self.words) else 1.0
 
-def _pair_counts(docs: DataFrame) -> DataFrame:
-    """``before, word, n, t`` of all pairs of ``docs (doc_id, text, target)``."""
-
-    def rows(before: list[np.ndarray], word: list[np.ndarray], target: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if before:
-            b, w, t = map(np.concatenate, (before, word, target))
-            _, at, which = np.unique(keys_of(b, w), return_index=True, return_inverse=True)
-            n = np.bincount(which, minlength=len(at))
-            of_target = np.bincount(which, weights=t, minlength=len(at)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(b[at].view(np.int64)), pa.array(w[at].view(np.int64)), pa.array(n), pa.array(of_target)], names=["before", "word", "n", "t"])
 
+def _sizes(docs: DataFrame) -> Sizes:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list, list] = ([], [], [])
-        for part in slices(batches, 1, SLICE_BYTES):
-            w = words_of(part.column(1))
-            for store, some in zip(held, (*pairs_of(w), part.column(2).to_numpy(zero_copy_only=False)[w.text_of()])):
-                store.append(some)
-            if sum(map(len, held[0])) > HELD:
-                yield from rows(*held)
-                held = ([], [], [])
-        yield from rows(*held)
-
-    return map_batches(docs, run, "before long, word long, n long, t long").groupBy("before", "word").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-
-def _attach(pairs: DataFrame, counts: DataFrame, side: str, least: float) -> DataFrame:
-    """Join counts of single words to pairs. Words of ``least`` occurrences are broadcast, since one task may not hold all their pairs."""
-    hot = F.broadcast(counts.where(F.col(f"{side}_n") >= least))
-    rest = pairs.join(hot.select(side), side, "left_anti").join(counts.where(F.col(f"{side}_n") < least), side)
-    return pairs.join(hot, side).unionByName(rest)
-
-
-def fit(docs: DataFrame, word_floor: int | None = None, pair_floor: int | None = None) -> PairCosts | Models:
-    """Count words and pairs over all texts of ``docs (doc_id, text, target)``.
-
-    All texts are the background; those marked are the target as well. Counts
-    are exact and cover every text, and every word and pair is kept, however
-    rare: they are Spark tables that grow with the corpus. The driver gets no
-    more than the ``HOT_PAIRS`` most frequent. A caller that names floors gets
-    the models of ``bounded`` instead.
-    """
-    if word_floor is not None and pair_floor is not None:
-        return bounded(docs, word_floor, pair_floor)
-    pairs = cut_lineage(_pair_counts(docs))
-    sums = lambda side: pairs.groupBy(side).agg(F.sum("n").alias(f"{side}_n"), F.sum("t").alias(f"{side}_t"))
-    words, contexts = cut_lineage(sums("word")), cut_lineage(sums("before"))
-    size, *totals = words.agg(F.count("*"), F.sum("word_n"), F.sum("word_t")).first()
-    everything, of_target = (x or 0 for x in totals)
-    known = _attach(_attach(pairs, words, "word", everything / HOT_WORDS), contexts, "before", everything / HOT_WORDS)
-
-    def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            c = {name: batch.column(name).to_numpy() for name in batch.schema.names}
-            losses = []
-            for sign, total in (("t", of_target), ("n", everything)):
-                single = (c[f"word_{sign}"] + ADDED) / (total + ADDED * (size + 1))
-                context = c[f"before_{sign}"]
-                share = np.where(context > 0, c[sign] / np.maximum(context, 1), single)
-                losses.append(pa.array(-np.log2(PAIR_WEIGHT * share + (1 - PAIR_WEIGHT) * single)))
-            keys = keys_of(c["before"].view(np.uint64), c["word"].view(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("n"), *losses], names=["key", "n", "target_cost", "background_cost"])
-
-    costs = cut_lineage(map_batches(known, cost, "key long, n long, target_cost double, background_cost double"))
-    is_hot = F.col("n") >= everything / HOT_PAIRS
-    found = costs.where(is_hot).drop("n").toArrow()
-    keys, *both = (found.column(i).to_numpy() for i in range(3))
-    order = np.argsort(keys.view(np.uint64))
-    return PairCosts(costs.where(~is_hot).drop("n"), keys.view(np.uint64)[order], np.stack(both)[:, order])
-
-
-def _word_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    n = sum(len(words_of(part.column(1)).starts) for part in slices(batches, 1, SLICE_BYTES))
-    yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
-
-
-def score(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
-    """Append ``n_words, target_loss, background_loss, difference`` to every row.
-
-    Losses are bits per word; ``difference`` is the target's less the
-    background's, so the lower it is, the more a text is like the target.
-    Texts without words, null ones included, have losses and difference 0.
+        found = np.zeros((2, 2), np.int64)
+        for part in slices(batches, 1, UNIT_BYTES):
+            n, target = words_of(part.column(1)).counts, part.column(2).to_numpy(zero_copy_only=False)
+            for m, own in enumerate((target, ~target)):
+                found[m] += n[own].sum(), np.count_nonzero(n[own])
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in found.ravel().tolist()], names=["wt", "tt", "wo", "to"])
+
+    row = map_batches(docs, run, "wt long, tt long, wo long, to long").agg(*[F.sum(c).alias(c) for c in ("wt", "tt", "wo", "to")]).first()
+    wt, tt, wo, to = (x or 0 for x in row)
+    return Sizes((wt, wo), (tt, to))
+
+
+def _name(ids: pa.Array, words: Words) -> int:
+    mark = xxhash.xxh64(repr(ids.to_pylist()).encode())
+    mark.update(words.data.tobytes())
+    mark.update(words.offsets.tobytes())
+    return mark.intdigest() >> 1
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays byte by byte of their numbers, so that leading zeros lie together."""
+    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays]
+    return zstandard.compress(b"".join(planes), 1)
+
+
+def _unpacked(packed: bytes, *types: type) -> list[np.ndarray]:
+    data = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    n, out, at = len(data) // sum(np.dtype(t).itemsize for t in types), [], 0
+    for t in types:
+        size = np.dtype(t).itemsize
+        out.append(np.ascontiguousarray(data[at : at + n * size].reshape(size, n).T).view(t).ravel())
+        at += n * size
+    return out
+
+
+def _differences(keys: np.ndarray) -> np.ndarray:
+    return np.diff(keys, prepend=np.uint64(0))
+
+
+ANSWERS = "unit long, place int, pack binary, n long"
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From asking rows sorted by bucket, for each row the counts of its keys in all texts; and the number of words of each bucket."""
+
+    def solve(bucket: int, units: list[int], packs: list[bytes]) -> pa.RecordBatch:
+        asked = [_unpacked(p, np.uint64, np.uint32, np.uint32) for p in packs]
+        cuts = np.cumsum([len(a[0]) for a in asked])[:-1]
+        keys, which = np.unique(np.concatenate([np.cumsum(a[0], dtype=np.uint64) for a in asked]), return_inverse=True)
+        sums = [np.bincount(which, weights=np.concatenate([a[i] for a in asked]), minlength=len(keys)).astype(np.int64)[which] for i in (1, 2)]
+        told = [_packed(t, b) for t, b in zip(*(np.split(s, cuts) for s in sums))]
+        n = int(np.count_nonzero(keys & ONE))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([*units, -1]), pa.array([bucket] * (len(units) + 1), pa.int32()), pa.array([*told, b""], pa.binary()), pa.array([0] * len(units) + [n])],
+            names=["unit", "place", "pack", "n"])
+
+    current, units, packs = None, [], []
+    for batch in batches:
+        for bucket, unit, pack in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if bucket != current and units:
+                yield solve(current, units, packs)
+                units, packs = [], []
+            current = bucket
+            units.append(unit)
+            packs.append(pack)
+    if units:
+        yield solve(current, units, packs)
+
+
+def score(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_words, target_loss, background_loss, difference`` for every row of ``docs (doc_id, text, target)``.
+
+    Losses are bits per word of two models, of the texts marked and of all
+    others. A model mixes the share of a word among what followed the word
+    before it, where the end of a text is one of the things that may follow,
+    with its share among all words; a context that was not seen says nothing.
+    The counts of a text are taken out of its own model before it is scored.
+    Counts are exact, but for words of equal hashes, and every word and pair of
+    every text is counted. ``difference`` is the target's loss less the
+    background's: the lower it is, the more a text is like the target. Texts
+    without words, null ones included, have losses and difference 0. ``docs``
+    is read more than once and has to give the same rows each time.
     """
-    place = docs.columns.index(text)
-    names = ["n_words", "target_loss", "background_loss", "difference"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, place, SLICE_BYTES):
-            w = words_of(part.column(place))
-            n = w.counts.astype(np.int64)
-            sums = [np.diff(np.concatenate([[0.0], np.cumsum(x)])[w.first]) / np.maximum(n, 1) for x in models.losses(w)]
-            columns = [n, *sums, sums[0] - sums[1]]
-            yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, columns)], names=[*part.schema.names, *names])
-
-    added = StructType.fromDDL("n_words long, target_loss double, background_loss double, difference double")
-    return map_batches(docs, run, StructType([*docs.schema.fields, *added.fields]))
-
-
-def score_whole(docs: DataFrame, models: PairCosts) -> DataFrame:
-    """``doc_id, n_words`` and the losses of ``score`` for every row of ``docs (doc_id, text)``.
-
-    Hot pairs are summed where the texts are; of all others each row sends its
-    distinct pairs to the table of costs, and a row of its own with the sums.
-    """
-    hot, (hot_target, hot_background) = models.hot, models.hot_costs
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 1, SLICE_BYTES):
-            w = words_of(part.column(1))
-            row, text, n = part.column(2).to_numpy(), w.text_of(), part.num_rows
-            keys = keys_of(*pairs_of(w))
-            at = np.minimum(np.searchsorted(hot, keys), max(len(hot) - 1, 0))
-            known = hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
-            sums = [np.bincount(text[known], weights=x[at[known]], minlength=n) for x in (hot_target, hot_background)]
-            text, keys = text[~known], keys[~known]
-            order = np.lexsort((keys, text))
-            text, keys = text[order], keys[order]
-            starts = np.flatnonzero(np.concatenate([[True], (np.diff(text) != 0) | (keys[1:] != keys[:-1])])) if len(keys) else np.zeros(0, np.int64)
-            times = np.diff(np.append(starts, len(keys)))
-            blank = np.zeros(len(starts))
+    sizes = _sizes(docs)
+    buckets = 1 << max(4, (sum(sizes.words) // BUCKET_KEYS).bit_length())
+    shift = np.uint64(65 - buckets.bit_length())
+
+    def bucket_cuts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets of keys in order, and where each begins."""
+        bucket = (keys >> shift).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets)) if len(bucket) else np.zeros(1, np.int64)
+        return bucket[cuts[:-1]], cuts
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words, np.ndarray]]:
+        for part in slices(batches, 1, UNIT_BYTES):
+            yield part, words_of(part.column(1)), part.column(2).to_numpy(zero_copy_only=False)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, words, target in units(batches):
+            unit = Unit(words, target)
+            number, cuts = bucket_cuts(unit.keys)
+            t, b = (c.astype(np.uint32) for c in unit.counts())
+            packs = [_packed(_differences(unit.keys[lo:hi]), t[lo:hi], b[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:])]
+            names = pa.array(np.full(len(packs), _name(part.column(0), words)), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(number.astype(np.int32)), names, pa.array(packs, pa.binary())], names=["bucket", "unit", "pack"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, words, target in units(batches):
+            ids = part.column(0)
+            held = (ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), target, words.offsets, words.data.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([row, row[text[starts]]])), pa.concat_arrays([part.column(0), pa.nulls(len(starts), pa.int64())]),
-                 pa.array(np.concatenate([mix(row.view(np.uint64)), keys[starts]]).view(np.int64)), pa.array(np.concatenate([np.zeros(n, np.int64), times])),
-                 pa.array(np.concatenate([w.counts.astype(np.int64), np.zeros(len(starts), np.int64)])), *(pa.array(np.concatenate([x, blank])) for x in sums)],
-                names=["row", "doc_id", "key", "times", "n_words", "t", "b"])
-
-    sent = map_batches(docs.withColumn("row", F.monotonically_increasing_id()), run, "row long, doc_id long, key long, times long, n_words long, t double, b double")
-    joined = sent.join(models.costs, "key", "left")  # a text's own row has a key that spreads it, and times 0
-    mean = lambda own, cost: F.sum(F.col(own) + F.coalesce(F.col("times") * F.col(cost), F.lit(0.0))) / F.greatest(F.sum("n_words"), F.lit(1))
-    found = joined.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"),
-                                      mean("t", "target_cost").alias("target_loss"), mean("b", "background_cost").alias("background_loss"))
-    return found.drop("row").withColumn("difference", F.col("target_loss") - F.col("background_loss"))
+                [pa.array([_name(ids, words)]), pa.array([-1], pa.int32()), pa.array([zstandard.compress(pickle.dumps(held), 3)], pa.binary()), pa.array([0])],
+                names=["unit", "place", "pack", "n"])
+
+    asked = map_batches(docs, ask, "bucket int, unit long, pack binary").repartition("bucket").sortWithinPartitions("bucket")
+    answers = cut_lineage(map_batches(asked, _add_up, ANSWERS))
+    sizes.vocabulary = answers.agg(F.sum("n")).first()[0] or 0
+
+    def solve(packed: bytes, told: dict[int, bytes]) -> pa.RecordBatch:
+        doc_ids, nulls, target, offsets, data = pickle.loads(zstandard.decompress(packed))
+        words = words_in(np.frombuffer(data, np.uint8), offsets)
+        unit = Unit(words, target)
+        number, cuts = bucket_cuts(unit.keys)
+        found = [_unpacked(told[b], np.int64, np.int64) for b in number.tolist()] if number.tolist() == sorted(told) else []
+        if [len(f[0]) for f in found] != np.diff(cuts).tolist():
+            raise RuntimeError("texts were packed in two ways: the input gives other rows when it is read again; cut its lineage first")
+        counts = tuple(np.concatenate([np.zeros(0, np.int64), *(f[i] for f in found)]) for i in range(2))
+        t, b = unit.losses(counts, sizes)
+        columns = [pa.array(doc_ids, pa.int64(), mask=nulls), *map(pa.array, (words.counts.astype(np.int64), t, b, t - b))]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "target_loss", "background_loss", "difference"])
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, packs, told = None, [], {}
+        for batch in batches:
+            for unit, place, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if unit != current:
+                    for p in packs:
+                        yield solve(p, told)
+                    current, packs, told = unit, [], {}
+                if place < 0:
+                    packs.append(packed)
+                else:
+                    told[place] = packed
+        for p in packs:
+            yield solve(p, told)
+
+    rows = map_batches(docs, pack, ANSWERS).unionByName(answers.where("unit >= 0"))
+    return map_batches(rows.repartition("unit").sortWithinPartitions("unit", "place"), assemble,
+                       "doc_id long, n_words long, target_loss double, background_loss double, difference double")
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score every document against documents labelled good.
 
-    The target is every document with a label of quality 1, the background all
-    documents. Null ids are never in the target; repeated rows count and are
-    scored each for itself. With no labelled document the target model is that
-    of an empty corpus. An empty table gives no rows.
+    The target is every document with a label of quality 1, the background
+    every other one; a document is scored by counts that leave it out. Null ids
+    are never in the target; repeated rows count and are scored each for
+    itself. With no labelled document the target model is that of an empty
+    corpus. An empty table gives no rows.
     """
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("good")).where("good is not null").distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
-    marked = rows.join(good, rows["doc_id"] == good["good"], "left").select("doc_id", "text", F.col("good").isNotNull().alias("target"))
-    models = fit(marked)
-    return score_whole(rows, models) if isinstance(models, PairCosts) else score(rows, models).drop("text")
+    return score(rows.join(good, rows["doc_id"] == good["good"], "left").select("doc_id", "text", F.col("good").isNotNull().alias("target")))
