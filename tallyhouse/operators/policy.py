@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.joins import entitled_rows, sized_join
 
-# Fixed value: longest list of include patterns, in characters.
-PATTERN_CHARACTERS = 16_384
-
 
 @dataclass(frozen=True)
 class Session:
@@ -75,8 +72,6 @@ def check_patterns(patterns: Sequence[str] | None) -> None:
             raise ValueError(f"include pattern {p!r} has surrounding whitespace")
         if "," in "".join(p.split('"')[::2]):
             raise ValueError(f"include pattern {p!r} has a comma outside quotes")
-    if sum(len(p) for p in patterns or ()) > PATTERN_CHARACTERS:
-        raise ValueError("include patterns are too long")
 
 
 def exposed_tables(catalog: DataFrame, patterns: Sequence[str] | None, views: DataFrame) -> DataFrame:

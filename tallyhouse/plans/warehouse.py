@@ -94,6 +94,7 @@ def refresh_changed_marts(
     keys: Sequence[str] = ("order_id",),
     revision: Sequence[str] = ("source_revision",),
     completed: str = "completed",
+    buckets: int = 16,
 ) -> DataFrame:
     """Bring the daily mart up to the newest raw version by the rows that changed since the last refresh.
 
@@ -105,7 +106,7 @@ def refresh_changed_marts(
     """
     target = raw.version()
     if mart.entry() is None:
-        mart.create(DAILY_REVENUE, ["order_date"])
+        mart.create(DAILY_REVENUE, ["order_date"], buckets)
         mart.replace(daily_revenue_mart(raw.read(target), keys, revision, completed), f"raw@{target}")
         return mart.read()
     shown = mart.log().select(F.regexp_extract("note", "^raw@([0-9]+)$", 1).try_cast("long").alias("at"))

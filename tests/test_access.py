@@ -74,14 +74,14 @@ def test_exposure(spark):
     assert rows(policy.unprotected_tables(policy.exposed_tables(catalog, ["app"], views), views)) == [("app", "plain")]
 
 
-@pytest.mark.parametrize("bad", [[None], [" "], [" a"], ["a,b"], ["x" * 16_385]])
+@pytest.mark.parametrize("bad", [[None], [" "], [" a"], ["a,b"]])
 def test_bad_patterns(bad):
     with pytest.raises(ValueError):
         policy.check_patterns(bad)
 
 
 def test_quoted_comma_is_a_good_pattern():
-    policy.check_patterns(['"a,b".t', "x" * 16_000])
+    policy.check_patterns(['"a,b".t', "x" * 50_000])
 
 
 def test_visible_counts_and_offboarding(usage, readers, spark):

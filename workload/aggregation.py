@@ -63,11 +63,11 @@ def changed_mart(spark, sf):
     also where it is not completed; a batch that brings no newer revision changes nothing."""
     rows, root = orders(spark, sf), scratch_path(spark, "changes")
     raw, mart = VersionedTable(spark, f"{root}/raw"), VersionedTable(spark, f"{root}/mart")
-    raw.create(rows.schema, ["customer_id"], 16)
+    raw.create(rows.schema, ["customer_id"], 8)
     year = F.year("ordered_at")
     for batch in (rows.filter(year < 1996), rows.filter((year >= 1996) & (year < 1998)), rows.filter((year >= 1998) | year.isNull())):
         raw.append(batch)
-        mart_rows = refresh_changed_marts(raw, mart, ["customer_id"], REVISION, "F")
+        mart_rows = refresh_changed_marts(raw, mart, ["customer_id"], REVISION, "F", buckets=4)
     return revenue_rows(mart_rows)
 
 

@@ -172,18 +172,18 @@ def stream_windows(spark, sf):
     """SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
 )
 def merged_stream(spark, sf):
-    """The newest event per user, merged from a stream of six batches by user buckets.
+    """The newest event per user, merged from a stream of four batches by user buckets.
 
     Each batch holds some of every user's events in no order of time, so later
     batches update, and some are too late; a replay changes nothing.
     """
     path = scratch_path(spark, "stream")
     events = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value", "ts")
-    events.repartitionByRange(6, F.col("event_id") % 6).write.parquet(f"{path}/in")
+    events.repartitionByRange(4, F.col("event_id") % 4).write.parquet(f"{path}/in")
     batches = read_events(spark, f"{path}/in", events.schema, max_files=1)
     target = VersionedTable(spark, f"{path}/table")
     for attempt in ("first", "second"):
-        rows = stream_merge(batches, target, ["user_id"], ["ts", "event_id"], f"{path}/{attempt}", most_parts=4, buckets=8)
+        rows = stream_merge(batches, target, ["user_id"], ["ts", "event_id"], f"{path}/{attempt}", most_parts=3, buckets=4)
     return rows.drop("ts")
 
 

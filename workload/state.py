@@ -77,6 +77,28 @@ def needs_rebuild(spark, sf):
     return rows.withColumn("reasons", joined("reasons"))
 
 
+@query(
+    "c5_key_changed",
+    f"""SELECT table_name, concat_ws(',', CASE WHEN bool_or(change = 'type_changed') THEN 'type_changed' END,
+    CASE WHEN bool_or(planned_type IS NULL AND column_name = 'col_1') THEN 'key_dropped' END,
+    CASE WHEN CAST(substr(table_name, 2) AS INTEGER) % 3 = 1 THEN 'key_changed' END) AS reasons,
+    bool_or(change = 'type_changed') OR bool_or(planned_type IS NULL AND column_name = 'col_1') OR CAST(substr(table_name, 2) AS INTEGER) % 3 = 1 AS needs_rebuild
+    FROM {CHANGES} GROUP BY table_name""",
+)
+def key_changed(spark, sf):
+    """Tables keyed by their first column, a third of which are to have a further key column; a third plan the key they have."""
+    named = [columns(spark, sf, planned).select("table_name") for planned in (True, False)]
+    third = F.substring("table_name", 2, 9).cast("int") % 3
+    contracts = named[0].unionByName(named[1]).distinct().select(
+        "table_name",
+        F.when(third == 0, F.array(F.lit("col_1"))).when(third == 1, F.array(F.lit("col_1"), F.lit("col_2"))).alias("planned_key"),
+        F.array(F.lit("col_1")).alias("current_key"),
+        F.lit(None).cast("array<string>").alias("planned_order"),
+    )
+    rows = shapes.needs_rebuild(changes(spark, sf), columns(spark, sf, False), contracts)
+    return rows.withColumn("reasons", joined("reasons"))
+
+
 @query(
     "c4_evolve",
     "SELECT c_custkey AS id, c_acctbal AS balance, CAST(NULL AS BOOLEAN) AS active, CAST(NULL AS DOUBLE) AS amount FROM customer",

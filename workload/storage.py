@@ -76,6 +76,21 @@ def lake_table(spark, sf):
     )
 
 
+@query(
+    "s3_lake_rows",
+    """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS occurred_at, user_id, 'https://example.com/' || event_type AS url FROM events""",
+)
+def lake_rows(spark, sf):
+    """All page views of a lake path, read back with a known schema."""
+    path = scratch_path(spark, "views")
+    views = table(spark, sf, "events").select(
+        "event_id", F.col("ts").alias("occurred_at"), "user_id", F.concat(F.lit("https://example.com/"), "event_type").alias("url")
+    )
+    views.write.parquet(path)
+    rows = readers.lake_table(spark, path, views.schema)
+    return rows.withColumn("occurred_at", F.date_format("occurred_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 @query(
     "s4_append_rows",
     f"""SELECT order_id, CAST(amount AS DOUBLE) AS amount, status FROM {ORDERS}
