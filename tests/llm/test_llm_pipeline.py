@@ -59,4 +59,4 @@ def test_stages_against_plain_versions(spark):
 @needs_data
 def test_run(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 100
-    assert 4 <= len(corpus_pipeline.STAGES) <= 5 and len(queries.QUERIES) == 10
+    assert 4 <= len(corpus_pipeline.STAGES) <= 5 and len(queries.QUERIES) == 13
