@@ -42,35 +42,115 @@ def platform_roles(teams: DataFrame) -> DataFrame:
     return teams.filter(F.col("platform_role").isNotNull()).select("team", "platform_role")
 
 
+PAIR = ["role", "holds"]
+
+
+def _swapped(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("holds").alias("role"), F.col("role").alias("holds"))
+
+
+def unknown_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Distinct ``pairs`` that are not known. Unless these are too many to broadcast, known pairs stay where they lie."""
+    pairs = cut_lineage(pairs.distinct())
+    met = sized_join(known, pairs, PAIR, "left_semi", measured(pairs))
+    return pairs.join(met, PAIR, "left_anti")
+
+
+def mutual_roles(watched: DataFrame, pairs: DataFrame, size: tuple[int, int], turn: int) -> DataFrame:
+    """``role, into``: roles that hold and are held by another one, which takes their place.
+
+    Of all partners of a role the one of least hash is taken, with a new hash
+    each turn, so that the roles of a long cycle fall together in few turns.
+    """
+    met = sized_join(pairs, _swapped(watched), PAIR, "left_semi", size)
+    both = met.unionByName(_swapped(met))
+
+    def rank(name: str) -> Column:
+        return F.struct(F.xxhash64(F.lit(turn), name).alias("h"), F.col(name).alias("name"))
+
+    lower = both.filter(rank("holds") < rank("role"))
+    return lower.groupBy("role").agg(F.min(rank("holds")).alias("best")).select("role", F.col("best.name").alias("into"))
+
+
+def _renamed(pairs: DataFrame, merged: DataFrame, size: tuple[int, int]) -> DataFrame:
+    """Pairs under the names that stand for them now, and whether a name has changed."""
+    for column in PAIR:
+        names = merged.select(F.col("role").alias(column), F.col("into").alias(f"__{column}"))
+        pairs = sized_join(pairs, names, [column], "left", size)
+    return pairs.select(
+        *(F.coalesce(f"__{c}", c).alias(c) for c in PAIR),
+        (F.col("__role").isNotNull() | F.col("__holds").isNotNull()).alias("__changed"),
+    )
+
+
+def _followed(stands: DataFrame | None, merged: DataFrame, size: tuple[int, int]) -> DataFrame:
+    """``node, top`` for every role whose place was taken, one more turn of ``merged`` applied."""
+    new = merged.select(F.col("role").alias("node"), F.col("into").alias("top"))
+    if stands is None:
+        return new
+    moved = sized_join(stands, merged.select(F.col("role").alias("top"), "into"), ["top"], "left", size)
+    first = new.join(stands, "node", "left_anti")
+    return moved.select("node", F.coalesce("into", "top").alias("top")).unionByName(first)
+
+
+def _spread(paths: DataFrame, stands: DataFrame) -> DataFrame:
+    """Pairs of the roles themselves from pairs of the names that stand for them."""
+    tops = stands.select(F.col("top").alias("node")).distinct()
+    own = tops.join(stands, "node", "left_anti").select("node", F.col("node").alias("top"))
+    groups = cut_lineage(stands.unionByName(own))
+    size = measured(groups)
+    within = tops.select(F.col("node").alias("role"), F.col("node").alias("holds"))
+    pairs = paths.unionByName(within)
+    for column in PAIR:
+        names = groups.select(F.col("top").alias(column), F.col("node").alias(f"__{column}"))
+        pairs = sized_join(pairs, names, [column], "left", size)
+    pairs = pairs.select(*(F.coalesce(f"__{c}", c).alias(c) for c in PAIR))
+    return pairs.filter("role <> holds")
+
+
 def role_paths(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """All (role, holds) pairs of a role-to-role graph, cycles included.
 
     Each round joins the pairs found in the round before with all pairs known,
-    so paths double in length and a deep graph takes few rounds. A pair is kept
-    once, so a cycle ends when it finds nothing new. Rounds are cut with a
-    reliable checkpoint.
+    so paths double in length and a deep graph takes few rounds. Roles that
+    hold each other reach the same roles: as soon as two pairs show it, one
+    takes the place of the other, and the rounds go on over the smaller graph;
+    at the end every name is replaced by the roles it stands for. A round
+    sends what it has found to the known pairs, which are not regrouped.
+    Rounds are cut with a reliable checkpoint.
     """
-    known = cut_lineage(edges.select("role", "holds").filter("role <> holds").distinct())
-    fresh, rounds = known, 0
-    found = size = measured(known)
+    # All steps over two pairs of `known` are taken; a round takes those with one pair of `fresh`, or with two.
+    fresh = cut_lineage(edges.select(*PAIR).filter("role <> holds").distinct())
+    known, stands = fresh.limit(0), None
+    found, rounds = measured(fresh), 0
+    watched, watched_size = fresh, found
     while found[0]:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"role graph is not complete after {max_rounds} rounds")
-        onward = known.select(F.col("role").alias("holds"), F.col("holds").alias("__next"))
-        reached = (
-            sized_join(fresh, onward, ["holds"], size=size)
-            .select("role", F.col("__next").alias("holds"))
-            .filter("role <> holds")
-        )
-        # One shuffle both removes repeats and tells new pairs from known ones.
-        pairs = reached.withColumn("__known", F.lit(False)).unionByName(known.withColumn("__known", F.lit(True)))
-        either = pairs.groupBy("role", "holds").agg(F.max("__known").alias("__known"))
-        fresh = cut_lineage(either.filter("NOT __known").drop("__known"))
-        found = measured(fresh)
-        size = (size[0] + found[0], size[1] + found[1])
-        known = known.unionByName(fresh)
-    return known
+        merged = cut_lineage(mutual_roles(watched, known.unionByName(fresh), watched_size, rounds))
+        size = measured(merged)
+        if size[0]:
+            stands = cut_lineage(_followed(stands, merged, size))
+            before = cut_lineage(_renamed(known, merged, size))
+            known = before.filter("NOT __changed").drop("__changed")
+            moved = before.filter("__changed").unionByName(_renamed(fresh, merged, size)).drop("__changed")
+            fresh = cut_lineage(unknown_pairs(moved.filter("role <> holds"), known))
+            found = measured(fresh)
+        every = known.unionByName(fresh)
+        after = fresh.select(F.col("role").alias("holds"), F.col("holds").alias("__end"))
+        reached = sized_join(every, after, ["holds"], size=found).select("role", F.col("__end").alias("holds"))
+        if stands is not None:  # where names fell together, steps from new pairs to known ones were not taken either
+            ahead = fresh.select(F.col("role").alias("__start"), F.col("holds").alias("role"))
+            more = sized_join(known, ahead, ["role"], size=found)
+            reached = reached.unionByName(more.select(F.col("__start").alias("role"), "holds"))
+        onward = cut_lineage(unknown_pairs(reached.filter("role <> holds"), every))
+        onward_size = measured(onward)
+        watched, watched_size = onward, onward_size
+        if size[0]:  # names may still be partners of each other
+            watched, watched_size = onward.unionByName(fresh), (onward_size[0] + found[0], onward_size[1] + found[1])
+        known, fresh, found = every, onward, onward_size
+    return known if stands is None else _spread(known, stands)
 
 
 def role_closure(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:

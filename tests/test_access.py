@@ -1,13 +1,14 @@
 """Policies, role closure and audits on the stated cases."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tallyhouse.operators import policy, roles
+from tallyhouse.operators import joins, policy, roles
 from tallyhouse.operators.filters import (
     bridge_finish_time,
     check_reference,
@@ -209,6 +210,53 @@ def test_closure_of_a_long_chain_takes_few_rounds(spark):
         roles.role_closure(edges, max_rounds=3)
 
 
+def reachable(edges):
+    onward = {}
+    for a, b in edges:
+        onward.setdefault(a, set()).add(b)
+    out = set()
+    for start in onward:
+        seen, front = set(), [start]
+        while front:
+            for b in onward.get(front.pop(), ()):
+                if b not in seen:
+                    seen.add(b)
+                    front.append(b)
+        out |= {(start, b) for b in seen if b != start}
+    return out
+
+
+def graphs():
+    rng = random.Random(5)
+    ring = [(f"a{i}", f"a{(i + 1) % 23}") for i in range(23)]
+    other = [(f"b{i}", f"b{(i + 1) % 9}") for i in range(9)]
+    both_ways = [e for i in range(30) for e in ((f"c{i:02}", f"c{i + 1:02}"), (f"c{i + 1:02}", f"c{i:02}"))]
+    yield ring + other + [("a3", "b2"), ("top", "a0"), ("b5", "leaf"), ("leaf", "end")]
+    yield both_ways + [("c10", "x"), ("x", "y"), ("y", "x"), ("z", "c29")]
+    yield [("hub", f"h{i}") for i in range(60)] + [(f"h{i}", "hub") for i in range(0, 60, 7)] + [("h1", "h1")]
+    for nodes, links in ((12, 20), (25, 30), (40, 60)):
+        yield [(f"n{rng.randrange(nodes)}", f"n{rng.randrange(nodes)}") for _ in range(links)]
+
+
+@pytest.mark.parametrize("heavy", [None, 3])
+def test_closure_equals_a_walk_on_graphs_with_cycles(spark, monkeypatch, heavy):
+    if heavy:
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", heavy)
+        monkeypatch.setattr(joins, "HEAVY_ROWS", heavy)
+    for edges in list(graphs())[:: 2 if heavy else 1]:
+        got = [tuple(r) for r in roles.role_paths(spark.createDataFrame(edges, "role string, holds string")).collect()]
+        assert len(got) == len(set(got)) and set(got) == reachable(edges)
+    assert roles.role_paths(spark.createDataFrame([], "role string, holds string")).count() == 0
+
+
+def test_new_pairs_leave_known_pairs_where_they_lie(spark):
+    known = spark.range(400).selectExpr("concat('r', id) AS role", "concat('s', id) AS holds").checkpoint()
+    found = spark.range(300, 900).selectExpr("concat('r', id) AS role", "concat('s', id) AS holds")
+    met = joins.sized_join(known, found, roles.PAIR, "left_semi")
+    assert "Exchange hash" not in met._jdf.queryExecution().executedPlan().toString()
+    assert roles.unknown_pairs(found.unionByName(found), known).count() == 500
+
+
 def test_audience_and_effective_readers(spark):
     shares = spark.createDataFrame(
         [("s1", "RESTRICTED"), ("s2", "organization"), ("s3", "unrestricted")], "share_name string, access string"
