@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.parse import text_flag
 from tallyhouse.operators.aggregates import all_true
 from tallyhouse.operators.filters import filter_optional
-from tallyhouse.operators.joins import measured, sized_join
+from tallyhouse.operators.joins import fits_broadcast, measured, sized_join
 from tallyhouse.operators.ordering import order_folded
 from tallyhouse.operators.ranking import in_parts, numbered_rows
 from tallyhouse.operators.sets import differences
@@ -49,9 +49,13 @@ def _swapped(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("holds").alias("role"), F.col("role").alias("holds"))
 
 
-def unknown_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Distinct ``pairs`` that are not known. Unless these are too many to broadcast, known pairs stay where they lie."""
-    pairs = cut_lineage(pairs.distinct())
+def unknown_pairs(pairs: DataFrame, known: DataFrame, size: tuple[int, int]) -> DataFrame:
+    """Distinct ``pairs`` that are not known. The smaller side is sent to the other one if it can be broadcast, so
+    many known pairs stay where they lie."""
+    pairs = pairs.distinct()
+    if fits_broadcast(size):
+        return sized_join(pairs, known, PAIR, "left_anti", size)
+    pairs = cut_lineage(pairs)
     met = sized_join(known, pairs, PAIR, "left_semi", measured(pairs))
     return pairs.join(met, PAIR, "left_anti")
 
@@ -123,19 +127,21 @@ def role_paths(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     fresh = cut_lineage(edges.select(*PAIR).filter("role <> holds").distinct())
     known, stands = fresh.limit(0), None
     found, rounds = measured(fresh), 0
-    watched, watched_size = fresh, found
+    known_size, watched, watched_size = (0, 0), fresh, found
     while found[0]:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"role graph is not complete after {max_rounds} rounds")
-        merged = cut_lineage(mutual_roles(watched, known.unionByName(fresh), watched_size, rounds))
+        merged = mutual_roles(watched, known.unionByName(fresh), watched_size, rounds)
         size = measured(merged)
         if size[0]:
+            merged = cut_lineage(merged)
             stands = cut_lineage(_followed(stands, merged, size))
             before = cut_lineage(_renamed(known, merged, size))
             known = before.filter("NOT __changed").drop("__changed")
             moved = before.filter("__changed").unionByName(_renamed(fresh, merged, size)).drop("__changed")
-            fresh = cut_lineage(unknown_pairs(moved.filter("role <> holds"), known))
+            known_size = measured(known)
+            fresh = cut_lineage(unknown_pairs(moved.filter("role <> holds"), known, known_size))
             found = measured(fresh)
         every = known.unionByName(fresh)
         after = fresh.select(F.col("role").alias("holds"), F.col("holds").alias("__end"))
@@ -144,7 +150,8 @@ def role_paths(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
             ahead = fresh.select(F.col("role").alias("__start"), F.col("holds").alias("role"))
             more = sized_join(known, ahead, ["role"], size=found)
             reached = reached.unionByName(more.select(F.col("__start").alias("role"), "holds"))
-        onward = cut_lineage(unknown_pairs(reached.filter("role <> holds"), every))
+        known_size = (known_size[0] + found[0], known_size[1] + found[1])
+        onward = cut_lineage(unknown_pairs(reached.filter("role <> holds"), every, known_size))
         onward_size = measured(onward)
         watched, watched_size = onward, onward_size
         if size[0]:  # names may still be partners of each other

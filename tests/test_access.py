@@ -254,7 +254,8 @@ def test_new_pairs_leave_known_pairs_where_they_lie(spark):
     found = spark.range(300, 900).selectExpr("concat('r', id) AS role", "concat('s', id) AS holds")
     met = joins.sized_join(known, found, roles.PAIR, "left_semi")
     assert "Exchange hash" not in met._jdf.queryExecution().executedPlan().toString()
-    assert roles.unknown_pairs(found.unionByName(found), known).count() == 500
+    for size in ((400, 4000), (joins.BROADCAST_ROWS + 1, 0)):
+        assert roles.unknown_pairs(found.unionByName(found), known, size).count() == 500
 
 
 def test_audience_and_effective_readers(spark):
