@@ -102,3 +102,58 @@ def test_passages_of_long_items_and_parts_that_stand_apart(spark):
 
 def test_longest_run():
     assert d.longest_run(np.array([1, 2, 3, 9, 4]), np.array([7, 2, 3, 9, 1, 2])) == 3 and d.longest_run(np.array([1]), np.array([2])) == 0
+
+
+def test_shared_prompts_are_no_copies(spark):
+    rng = random.Random(8)
+    words = [f"word{i}" for i in range(5000)]
+
+    def prose(n):
+        return [rng.choice(words) for _ in range(n)]
+
+    prompt, base = prose(16), prose(30)
+    items = [prompt + prose(12) for _ in range(300)]
+    variants = [[*base[:k], f"new{k}", *base[k + 1 :]] for k in (2, 8, 14, 20, 26)]
+    rows = [(i, prose(200)) for i in range(40)]
+    rows += [(100, prose(50) + prompt + prose(50)), (101, prose(50) + items[7] + prose(50)), (102, prose(50) + items[9][16:] + prose(50))]
+    rows += [(103, prose(50) + variants[3] + prose(50))]
+    docs = spark.createDataFrame([(i, " ".join(w), "x", 1) for i, w in rows], DOCUMENTS)
+    bench = spark.createDataFrame([(i, " ".join(w), "x") for i, w in enumerate(items + variants)], ITEMS)
+    plain = docs.select("doc_id", "text")
+    for block_chars in (d.BLOCK_CHARS, 20_000):
+        got = d.with_copies(plain, plain, bench, "c", block_chars=block_chars).selectExpr("doc_id", "explode(c) c").select("doc_id", "c.*").collect()
+        assert {(r.doc_id, r.item_id) for r in got} == {(101, 7), (102, 9)} | {(103, 300 + k) for k in range(5)}
+        assert all(r.similarity == 1 and r.n_equal == 12 for r in got if r.doc_id < 103)
+
+
+def test_item_counts(spark):
+    texts = ["a b c d e f g h", "x a b c d e f g h", "a b c a b c", "a b", ""]
+    items = spark.createDataFrame([(t,) for t in texts], "text string")
+    w = d.plain_words(pa.array(texts))
+    known = [np.unique(d._grams(w.hashes(), w.first, size)[1]) for size in d.SEED_WORDS]
+    got = d.item_counts(items, known)
+    for size, seen, n in zip(d.SEED_WORDS, known, got):
+        sets = [{tuple(x[i : i + size]) for i in range(len(x) - size + 1)} for x in (t.split() for t in texts)]
+        want = sorted(sum(g in s for s in sets) for g in set().union(*sets))
+        assert len(seen) == len(want) and sorted(n.tolist()) == want
+
+
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.2])
+def test_recall_on_edited_copies(spark, share):
+    rng = random.Random(int(share * 100))
+    words = [f"word{i}" for i in range(5000)]
+    items = [[rng.choice(words) for _ in range(40)] for _ in range(60)]
+    rows = []
+    for i, item in enumerate(items):
+        edited = []
+        for w in item:
+            kind = rng.choice("rid") if rng.random() < share else ""
+            edited += {"": [w], "r": ["other"], "i": [w, "other"], "d": []}[kind]
+        around = [rng.choice(words) for _ in range(60)]
+        rows.append((i, around + edited + around[::-1]))
+        rows.append((100 + i, around + edited[20:] + edited[:20] + around[::-1]))
+    docs = spark.createDataFrame([(i, " ".join(w), "x", 1) for i, w in rows], DOCUMENTS)
+    bench = spark.createDataFrame([(i, " ".join(w), "x") for i, w in enumerate(items)], ITEMS)
+    got = {(r.doc_id, r.item_id) for r in d.copies(docs, bench).collect()}
+    assert got <= {(i, i % 100) for i, _ in rows}
+    assert sum((i, i) in got for i in range(60)) >= 0.9 * 60 and sum((100 + i, i) in got for i in range(60)) >= 0.9 * 60
