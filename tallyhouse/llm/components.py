@@ -7,6 +7,32 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import cut_lineage
 
+#: The rows of one key are dealt to this many parts, so that a hot key is no single task.
+SALTS = 64
+
+
+def _salted(rows: DataFrame, member: str) -> DataFrame:
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(member), F.lit(SALTS)).cast("int"))
+
+
+def with_least(rows: DataFrame, key: str, member: str, value: str, name: str) -> DataFrame:
+    """Every row with the smallest ``value`` of its key as ``name``.
+
+    Rows of a key are dealt by ``member``, each part has its minimum, and the
+    parts of a key, ``SALTS`` at most, meet for the least of them.
+    """
+    salted = _salted(rows, member)
+    parts = salted.groupBy(key, "_salt").agg(F.min(value).alias("_part"))
+    least = parts.groupBy(key).agg(F.min("_part").alias(name))
+    return salted.join(parts.join(least, key).select(key, "_salt", name), [key, "_salt"]).drop("_salt")
+
+
+def spread_join(rows: DataFrame, named: DataFrame, key: str, member: str) -> DataFrame:
+    """Inner join of ``rows`` with ``named``, which has one row per key; rows of a key are dealt by ``member``."""
+    salted = _salted(rows, member)
+    parts = salted.select(key, "_salt").distinct().join(named, key)
+    return salted.join(parts, [key, "_salt"]).drop("_salt")
+
 
 def _signature(links: DataFrame) -> tuple:
     row = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
@@ -15,15 +41,14 @@ def _signature(links: DataFrame) -> tuple:
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return with_least(both, "a", "b", "b", "m").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b")))
+    hung = with_least(down, "a", "b", "b", "m")
+    moved = hung.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.unionByName(hung.where("b = m").select("a", F.col("m").alias("b")))
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyhouse.llm.common import cut_lineage, documents, map_batches, slices
-from tallyhouse.llm.components import components
+from tallyhouse.llm.components import components, spread_join, with_least
 from tallyhouse.llm.words import mix, text_bytes
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -234,10 +234,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     marked = cut_lineage(marked)
     least = marked.groupBy("f").agg(F.min("doc_id").alias("least"))
     rooted = cut_lineage(least.join(classes(least.select("f"), distance), "f"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select("f", "component_id")
+    named = with_least(rooted, "root", "f", "least", "component_id").select("f", "component_id")
     shown = F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint")
-    return marked.join(named, "f").select("doc_id", shown, "component_id")
+    return spread_join(marked, named, "f", "doc_id").select("doc_id", shown, "component_id")
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:

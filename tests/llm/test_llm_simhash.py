@@ -7,6 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from tallyhouse.llm import components as c
 from tallyhouse.llm import simhash
 from tallyhouse.llm.components import components
 
@@ -114,3 +115,14 @@ def test_one_row_of_each_group_stays(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or -1, r._f) for r in kept.collect()) == [(-1, 9), (3, 2), (4, 4), (6, 8), (7, 6)]
     assert simhash.representatives(docs.limit(0)).count() == 0
+
+
+def test_hot_keys_are_dealt_to_many_parts(spark):
+    rows = spark.range(5000).selectExpr("id AS member", "if(id % 3 = 0, id, 7L) AS k", "5000 - id AS v", "if(id = 4998, 'x', 'y') AS note")
+    got = c.with_least(rows, "k", "member", "v", "least")
+    plain = rows.groupBy("k").agg(F.min("v").alias("least"))
+    assert got.columns == ["k", "member", "v", "note", "least"] and got.count() == 5000
+    assert got.select("k", "member", "least").exceptAll(rows.join(plain, "k").select("k", "member", "least")).count() == 0
+    joined = c.spread_join(rows, plain, "k", "member")
+    assert joined.select("member", "least").exceptAll(got.select("member", "least")).count() == 0 and joined.count() == 5000
+    assert c.with_least(rows.limit(0), "k", "member", "v", "least").count() == 0
