@@ -34,7 +34,7 @@ def test_blocks(source, want):
 
 
 @pytest.mark.parametrize("seed", range(5))
-def test_suffix_array_finds_all_shared_windows(seed):
+def test_suffix_array_counts_the_pages_of_all_windows(seed):
     rng = np.random.default_rng(seed)
     pages = [rng.integers(0, 3, rng.integers(0, 40)).tolist() for _ in range(6)]
     joined = np.array([x for i, p in enumerate(pages) for x in (*p, -1 - i)])
@@ -45,21 +45,23 @@ def test_suffix_array_finds_all_shared_windows(seed):
     for i, p in enumerate(pages):
         for k in range(len(p) - least + 1):
             where.setdefault(tuple(p[k : k + least]), []).append((i, begin[i] + k))
-    want = sorted(at for found in where.values() if len({i for i, _ in found}) > 1 for _, at in found)
-    assert pagetext.repeated_starts(joined, page, least).tolist() == want
+    want = {k: len({i for i, _ in found}) for k, found in where.items()}
+    starts, counts = pagetext.window_counts(joined, page, least)
+    got = {tuple(joined[s : s + least].tolist()): n for s, n in zip(starts.tolist(), counts.tolist()) if s + least <= len(joined)}
+    assert {k: n for k, n in got.items() if min(k) >= 0} == want
+    assert all(n == 1 for k, n in got.items() if min(k) < 0)
 
 
 MENU = "Home News Sport Weather Contact About Imprint Privacy Terms"
 
 
 @pytest.mark.parametrize("shard_pages", [1000, 2])
-def test_pages_without_an_article(spark, monkeypatch, shard_pages):
-    monkeypatch.setattr(pagetext.boilerplate, "__defaults__", (pagetext.LEAST_RUN, shard_pages))
+def test_pages_without_an_article(spark, shard_pages):
     rows = [(i, f"http://Host.example/{i}", f"<div>{MENU}</div><div>n{i} stands only here x{i}</div>", 1, "x") for i in range(9)]
     rows += [(20, "http://other.example/", f"<div>{MENU}</div><p>alone on its host</p>", 1, "x")]
     rows += [(30 + i, "http://copies.example/", "<div>the very same page twice with quite a few words in it</div>", 1, "x") for i in range(2)]
     rows += [(40, None, None, None, None), (41, "", "", 1, "x"), (None, "http://h.example", "<article>a\tb</article>", 1, "x"), (42, "u", "<p>" + "x " * 50000, 1, "x")]
-    got = {r.page_id: r for r in pagetext.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    got = {r.page_id: r for r in pagetext.main_text(spark.createDataFrame(rows, PAGES), shard_pages=shard_pages).collect()}
     assert len(got) == len(rows)
     assert [got[i].text for i in range(9)] == [f"n{i} stands only here x{i}" for i in range(9)]
     assert got[20].text == f"{MENU}\n\nalone on its host"
@@ -77,3 +79,80 @@ def test_characters_that_lower_case_makes_longer(n):
     capital = "\u0130" * n
     source = f"<article><p>{capital}</p><SCRIPT>var x = 1</Script><p>text that follows</p><style>p</style><p>end</p><aside>no</ASIDE></article>"
     assert text_of(source) == f"{capital}\n\ntext that follows\n\nend"
+
+
+BODY = "This is the body of number {0} and no other page says {0} like it does here, since the words of {0} are its own"
+
+
+def site(make, n=6):
+    return [(i, f"http://h.example/{i}", make(i, BODY.format(f"w{i}")), 1, "x") for i in range(n)]
+
+
+@pytest.mark.parametrize("shard_pages", [1000, 2])
+@pytest.mark.parametrize("make, want", [
+    # what no other page has stays, whatever its class is
+    (lambda i, b: f"<article><p>alpha{i}</p><section class='search-results'><p>{b}</p></section></article>", lambda i, b: f"alpha{i}\n\n{b}"),
+    (lambda i, b: f"<article><h1 class=alert>Title {i}</h1><div class='dialog-scene'>{b}</div><div class=notice>note {i}</div><p>end{i}</p></article>",
+     lambda i, b: f"Title {i}\n\n{b}\n\nnote {i}\n\nend{i}"),
+    # what pages share goes if its class says so, or at the edge
+    (lambda i, b: f"<article><h1>T{i}</h1><p>{b}</p><div class=promobox>Buy now</div><p>more {b}</p><div class=sharethis>Send this on</div><p>last {i}</p></article>",
+     lambda i, b: f"T{i}\n\n{b}\n\nmore {b}\n\nlast {i}"),
+    (lambda i, b: f"<main><div>{MENU}</div><h1>T{i}</h1><p>{b}</p><p>All rights reserved</p></main>", lambda i, b: f"T{i}\n\n{b}"),
+    # and stays in the middle without such a class
+    (lambda i, b: f"<article><h1>T{i}</h1><p>{MENU}</p><p>{b}</p></article>", lambda i, b: f"T{i}\n\n{MENU}\n\n{b}"),
+    # a passage that two pages quote, at the edge
+    (lambda i, b: f"<article><p>{b}</p><p>{MENU if i < 2 else b[::-1]}</p></article>", lambda i, b: f"{b}\n\n{MENU if i < 2 else b[::-1]}"),
+    # of several articles the one that is the page's own, even if it is shorter
+    (lambda i, b: f"<article><p>{b}</p></article><article><p>{MENU} {MENU} {MENU} {MENU}</p></article>", lambda i, b: b),
+    # menus and the like go without evidence
+    (lambda i, b: f"<nav>menu of {i}</nav><article><p>{b}</p><div class=comments>reader {i}</div></article><footer>foot {i}</footer>", lambda i, b: b),
+])
+def test_repetition_decides_on_blocks(spark, make, want, shard_pages):
+    rows = site(make)
+    got = {r.page_id: r.text for r in pagetext.main_text(spark.createDataFrame(rows, PAGES), shard_pages=shard_pages).collect()}
+    assert got == {i: want(i, BODY.format(f"w{i}")) for i in range(len(rows))}
+
+
+def test_copied_articles_stay_whole(spark):
+    long = " ".join(f"word{i}" for i in range(200))
+    rows = site(lambda i, b: f"<article><p>{long}</p><p>edit {i}</p></article>") + site(lambda i, b: f"<article><p>{long}</p></article>")
+    got = [r.text for r in pagetext.main_text(spark.createDataFrame(rows, PAGES)).collect()]
+    assert sorted(got) == sorted([f"{long}\n\nedit {i}" for i in range(6)] + [long] * 6)
+
+
+def test_runs_are_words_or_whole_short_blocks():
+    blocks = ["a b c d e", "f", "g h i j", "k"]
+    tokens, begin = pagetext.tokens_of(blocks, 4)
+    assert begin.tolist() == [0, 5, 9, 13, 17]
+    assert np.flatnonzero(pagetext.whole_runs(tokens, 4)).tolist() == [0, 1, 2, 5, 9, 10, 13]
+
+
+def plain_text(rows, least):
+    """The runs of all pages of a host by plain counting, then the rule for blocks."""
+    hosts = {}
+    for _, url, html, *_ in rows:
+        hosts.setdefault(url.split("/")[2], set()).add(tuple(b for _, _, b in pagetext.read_page(html).found))
+    out = {}
+    for key, url, html, *_ in rows:
+        streams = [pagetext.tokens_of(list(s), least)[0] for s in hosts[url.split("/")[2]]]
+        pages = {}
+        for s in streams:
+            for h in set(pagetext.run_hashes(s, least).tolist()):
+                pages[h] = pages.get(h, 0) + 1
+        n = len(streams)
+        runs = [h | (k >= 3 and 2 * k >= n) for h, k in pages.items() if k >= 2 and 10 * k >= n]
+        out[key] = pagetext.choose(pagetext.read_page(html), np.array(runs, np.int64), least)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_whole_operator_against_plain_counts(spark, seed):
+    rng = np.random.default_rng(seed)
+    parts = [" ".join(rng.choice(list("abcdefgh"), rng.integers(2, 14))) for _ in range(8)]
+    rows = []
+    for i in range(60):
+        body = "".join(f"<{t}>{parts[rng.integers(8)]}</p></div>" for t in rng.choice(["p", "div", "div class=promo", "div class=related"], rng.integers(0, 6)))
+        zone = rng.choice(["article", "main", "div"])
+        rows.append((i, f"http://h{rng.integers(3)}.example/{i}", f"<nav>{parts[0]}</nav><{zone}>{body}<p>{'own ' * 5}{i % 40}</p></{zone}>", 1, "x"))
+    got = {r.page_id: r.text for r in pagetext.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == plain_text(rows, pagetext.LEAST_RUN)
