@@ -20,6 +20,8 @@ from tallyhouse.operators.joins import sized_join
 SLICE_BYTES = 4 << 20
 #: Shortest run of words that counts as a repeated substring; most pages, and bytes of them, of a host in one suffix array.
 LEAST_RUN, SHARD_PAGES, SHARD_BYTES = 8, 1_000, 16 << 20
+#: Level of compression of the streams, which are shuffled twice.
+PACKING = 6
 #: Least share of a host's distinct pages that have a shared and a common run.
 SHARED, COMMON = 0.1, 0.5
 
@@ -259,7 +261,7 @@ def shared_runs(pages: DataFrame, least: int = LEAST_RUN, shard_pages: int = SHA
         for part in slices(batches, 1, SLICE_BYTES):
             texts = ["\n".join(b for _, _, b in read_page(h or "").found).encode() for h in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([xxhash.xxh64_intdigest(t) >> 1 for t in texts], pa.int64()), pa.array([zstandard.compress(t) for t in texts], pa.binary())],
+                [part.column(0), pa.array([xxhash.xxh64_intdigest(t) >> 1 for t in texts], pa.int64()), pa.array([zstandard.compress(t, PACKING) for t in texts], pa.binary())],
                 names=["host", "stream", "packed"])
 
     streams = map_batches(pages.select("host", "html"), pack, "host string, stream long, packed binary")
@@ -291,23 +293,24 @@ def shared_runs(pages: DataFrame, least: int = LEAST_RUN, shard_pages: int = SHA
     return marked.groupBy("host").agg(F.sort_array(F.collect_list("run")).alias("runs"))
 
 
-def covered(tokens: np.ndarray, runs: np.ndarray, known: np.ndarray, least: int) -> np.ndarray:
-    """Which tokens lie in a known run."""
-    hit = np.isin(runs, known).astype(np.int64)
-    edge = np.zeros(len(tokens) + 1, np.int64)
+def covered(length: int, hit: np.ndarray, least: int) -> np.ndarray:
+    """Which of ``length`` tokens lie in a run that is hit."""
+    edge = np.zeros(length + 1, np.int64)
     edge[: len(hit)] += hit
     edge[least : least + len(hit)] -= hit
     return np.cumsum(edge)[:-1] > 0
 
 
 def choose(page: Page, runs: np.ndarray, least: int) -> str:
-    """The text of a page, given the runs that pages of its host share. See ``main_text``."""
+    """The text of a page, given the runs that pages of its host share, in order. See ``main_text``."""
     blocks = page.found
     if not blocks:
         return ""
     tokens, begin = tokens_of([b for _, _, b in blocks], least)
-    own = np.where(whole_runs(tokens, least), run_hashes(tokens, least), 1)  # no run has that hash
-    shared = covered(tokens, own, runs & ~1, least)
+    own = run_hashes(tokens, least)
+    at = np.searchsorted(runs, own).clip(max=max(len(runs) - 1, 0))  # runs are in order, and common ones odd
+    hit = (runs[at] & ~1 == own) & whole_runs(tokens, least) if len(runs) else np.zeros(len(own), bool)
+    shared = covered(len(tokens), hit, least)
     words = [b.split() for _, _, b in blocks]
     ends = [int(s) + len(w) for s, w in zip(begin, words)]
     fresh = [len(w) - int(shared[s:e].sum()) for w, s, e in zip(words, begin, ends)]
@@ -318,7 +321,7 @@ def choose(page: Page, runs: np.ndarray, least: int) -> str:
     if zone == OPEN:
         cut = [" ".join(w for w, drop in zip(words[i], shared[begin[i] : ends[i]]) if not drop) for i in stays]
         return "\n\n".join(filter(None, cut))
-    common = covered(tokens, own, runs[runs & 1 == 1] & ~1, least)
+    common = covered(len(tokens), hit & (runs[at] & 1 == 1) if len(runs) else hit, least)
     mostly = [2 * int(common[begin[i] : ends[i]].sum()) > len(words[i]) for i in stays]
     lo, hi = 0, len(stays)
     while lo < hi and mostly[lo]:

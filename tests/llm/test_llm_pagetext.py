@@ -141,7 +141,7 @@ def plain_text(rows, least):
                 pages[h] = pages.get(h, 0) + 1
         n = len(streams)
         runs = [h | (k >= 3 and 2 * k >= n) for h, k in pages.items() if k >= 2 and 10 * k >= n]
-        out[key] = pagetext.choose(pagetext.read_page(html), np.array(runs, np.int64), least)
+        out[key] = pagetext.choose(pagetext.read_page(html), np.array(sorted(runs), np.int64), least)
     return out
 
 
