@@ -11,6 +11,7 @@ from conftest import rows
 from tallyhouse.operators import ordering, ranking
 from tallyhouse.operators.aggregates import all_true, any_true
 from tallyhouse.operators.sets import dedupe_first, role_members, set_diff
+from tallyhouse.sources.ordered import OrderedCopy
 
 
 def shuffled(spark, data, schema, seed):
@@ -191,3 +192,44 @@ def test_set_difference_and_members(spark):
 def test_exact_decimals_are_kept(spark):
     df = spark.createDataFrame([(Decimal("9007199254740993"),), (Decimal("9007199254740992"),)], "n decimal(38,0)")
     assert listed(ordering.stable_sort(df, ["n"]), "n") == [Decimal("9007199254740992"), Decimal("9007199254740993")]
+
+
+def ordered_copy(spark, folder, keys=(), block_rows=7):
+    data = [(i, i % 3 if i % 10 else None, f"n{i % 5}") for i in range(100)] * 2
+    df = shuffled(spark, data, "i int, k int, name string", 3)
+    return df, OrderedCopy(spark, f"{folder}/kept").write(df, [("name", True), "i"], keys, block_rows)
+
+
+def test_pages_of_a_kept_order_equal_one_sort(spark, folder):
+    df, copy = ordered_copy(spark, folder)
+    want = [tuple(r) for r in ordering.page(df, [("name", True), "i"]).collect()]
+    got = [tuple(r) for offset in range(0, 210, 15) for r in copy.page(15, offset).collect()]
+    assert got == want and [tuple(r) for r in copy.page(None, 190).collect()] == want[190:]
+    assert copy.page(0, 3).count() == 0 and copy.page(5, 200).count() == 0
+    with pytest.raises(ValueError):
+        copy.page(-1)
+
+
+def test_a_page_of_a_kept_order_reads_its_blocks_only(spark, folder):
+    _, copy = ordered_copy(spark, folder)
+    part = copy.between(15, 28).select(F.expr("regexp_extract(input_file_name(), '__block=([0-9]+)', 1)").alias("block"))
+    assert {r.block for r in part.collect()} == {"2", "3"}
+    plan = copy.page(14, 14)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(__block" in plan and "(__block" in plan.split("PartitionFilters", 1)[1].split("PushedFilters")[0]
+
+
+def test_pages_inside_a_key_of_a_kept_order(spark, folder):
+    df, copy = ordered_copy(spark, folder, ["k"])
+    for key in (0, 1, 2, None, 9):
+        mine = df.filter(F.col("k").eqNullSafe(F.lit(key).cast("int")))
+        want = [tuple(r) for r in ordering.page(mine, [("name", True), "i"]).collect()]
+        assert [tuple(r) for offset in range(0, 80, 9) for r in copy.group_page((key,), 9, offset).collect()] == want
+    with pytest.raises(ValueError):
+        copy.group_page(())
+
+
+def test_kept_order_of_an_empty_table_and_of_taken_names(spark, folder):
+    empty = spark.createDataFrame([], "i int, __Block int").drop("__Block")
+    assert OrderedCopy(spark, f"{folder}/e").write(empty, ["i"]).page(5).count() == 0
+    with pytest.raises(ValueError):
+        OrderedCopy(spark, f"{folder}/f").write(spark.createDataFrame([(1,)], "__Block int"), ["__Block"])

@@ -5,7 +5,7 @@ import datetime as dt
 from conftest import rows
 from tallyhouse.sources.tables import VersionedTable, bucket_of, changed_folders
 from tallyhouse.streaming.merge import crowded, fold, stream_merge
-from tallyhouse.streaming.usage import read_events, run_available, stream_dedupe, stream_usage_windows
+from tallyhouse.streaming.usage import read_events, run_accounted, run_available, stream_dedupe, stream_usage_windows
 
 SCHEMA = "event_id int, ts timestamp_ntz, user_id int, value double"
 
@@ -90,3 +90,43 @@ def test_repeats_within_the_watermark_are_dropped(spark, folder):
     write(spark, folder, "b", (2, 3, 7, 1.0), (3, 4, 7, 1.0))
     got = run_available(stream_dedupe(stream(spark, folder), "event_id"), f"{folder}/out")
     assert rows(got, "event_id") == [(1,), (2,), (3,)]
+
+
+def account(ledger):
+    out = {}
+    for r in ledger.read().collect():
+        out.setdefault(r["run_id"], {})[r["status"]] = r["rows"]
+    return out
+
+
+def test_late_rows_are_accounted_for(spark, folder):
+    write(spark, folder, "a", (1, 0, 7, 1.0), (2, 29, 7, 2.0), (3, 30, 7, 4.0))
+    write(spark, folder, "b", (4, 1000, 7, 8.0))
+    write(spark, folder, "c", (6, 1001, 7, 32.0))
+    write(spark, folder, "d", (5, 5, 7, 16.0), (8, 6, 7, 1.0), (9, 8, 8, 1.0), (10, 1002, 8, 1.0))
+    ledger = VersionedTable(spark, f"{folder}/ledger")
+    got = run_accounted(stream(spark, folder), f"{folder}/out", ledger, "first", watermark="1 minute")
+    assert rows(got, "queries") == [(1,), (2,)]
+    first = account(ledger)
+    assert {f"first:{i}" for i in range(4)} <= set(first)  # and perhaps one without rows that closes windows
+    assert [first[f"first:{i}"]["late"] for i in range(4)] == [0, 0, 0, 3]
+    assert first["first:2"] == {"in": 1, "untimed": 0, "windows": 2, "out": 3, "open": 2, "late": 0}
+    assert first["first:3"] == {"in": 4, "untimed": 0, "windows": 0, "out": 0, "open": 3, "late": 3}
+
+    spark.createDataFrame([(11, None, 7, 1.0)], SCHEMA).write.mode("append").parquet(f"{folder}/in")
+    write(spark, folder, "e", (12, 9, 7, 1.0), (13, 5000, 7, 1.0))
+    write(spark, folder, "f", (14, 5001, 7, 1.0))
+    run_accounted(stream(spark, folder), f"{folder}/out", ledger, "second", watermark="1 minute")
+    every = account(ledger)
+    total = {s: sum(lines[s] for lines in every.values()) for s in ("in", "untimed", "out", "late")}
+    last = max(every, key=lambda k: int(k.split(":")[1]))
+    assert total == {"in": 13, "untimed": 1, "out": 6, "late": 4}
+    assert total["in"] == total["untimed"] + total["out"] + total["late"] + every[last]["open"]
+
+
+def test_nothing_new_has_no_account(spark, folder):
+    write(spark, folder, "a", (1, 0, 7, 1.0))
+    ledger = VersionedTable(spark, f"{folder}/ledger")
+    for run in ("first", "second"):
+        run_accounted(stream(spark, folder), f"{folder}/out", ledger, run)
+    assert all(k.startswith("first:") for k in account(ledger))

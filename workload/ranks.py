@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import ordering, ranking, sets
 from tallyhouse.settings import cut_lineage, scratch_path
+from tallyhouse.sources.ordered import POSITION, OrderedCopy
 from workload.registry import query
 from workload.relations import (
     LATEST_ORDERS,
@@ -119,6 +120,43 @@ def deep_page(spark, sf):
     return ordering.page(table(spark, sf, "lineitem").select(*names), names, 3000, 2500)
 
 
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
+
+
+@query(
+    "l1_kept_order_page",
+    "SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey FROM lineitem ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey LIMIT 3000 OFFSET 2500",
+)
+def kept_order_page(spark, sf):
+    """A page read from a sorted copy: only the blocks it lies in."""
+    rows = table(spark, sf, "lineitem").select(*LINE_KEYS)
+    return OrderedCopy(spark, scratch_path(spark, "ordered")).write(rows, LINE_KEYS, block_rows=5000).page(3000, 2500)
+
+
+@query(
+    "l1_kept_order_rows",
+    """SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
+    row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey) AS position FROM lineitem""",
+)
+def kept_order_rows(spark, sf):
+    """All lines with their positions in the kept order."""
+    rows = table(spark, sf, "lineitem").select(*LINE_KEYS)
+    copy = OrderedCopy(spark, scratch_path(spark, "ordered")).write(rows, LINE_KEYS, block_rows=5000)
+    return copy.between(1, None).withColumnRenamed(POSITION, "position")
+
+
+@query(
+    "w6_kept_order_page",
+    """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+    ORDER BY o_totalprice DESC, o_orderkey LIMIT 400 OFFSET 100""",
+)
+def kept_group_page(spark, sf):
+    """A page inside one of few, large keys, found through the index of keys."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    copy = OrderedCopy(spark, scratch_path(spark, "ordered"))
+    return copy.write(rows, [("o_totalprice", True), "o_orderkey"], ["o_orderstatus"], block_rows=500).group_page(("F",), 400, 100)
+
+
 @query(
     "l1_offset_only",
     "SELECT event_id, user_id FROM events ORDER BY event_id OFFSET 300",

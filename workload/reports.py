@@ -9,7 +9,7 @@ from tallyhouse.settings import scratch_path
 from tallyhouse.sources.logs import LogStore
 from tallyhouse.sources.tables import VersionedTable
 from tallyhouse.streaming.merge import stream_merge
-from tallyhouse.streaming.usage import read_events, run_available, stream_dedupe, stream_usage_windows
+from tallyhouse.streaming.usage import read_events, run_accounted, run_available, stream_dedupe, stream_usage_windows
 from workload.registry import query
 from workload.relations import (
     AGENT_RUNS,
@@ -167,6 +167,25 @@ def stream_windows(spark, sf):
     return shown(run_available(stream_usage_windows(events, width="1 hour"), scratch_path(spark, "windows")))
 
 
+@query(
+    "t1_stream_account",
+    f"""WITH e AS (SELECT ts, {stamp_sql('max(ts) OVER () - INTERVAL 10 MINUTE')} AS closed FROM events),
+    c AS (SELECT count(*) AS n, count(*) FILTER (WHERE ts IS NULL) AS untimed,
+        count(*) FILTER (WHERE {stamp_sql("time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR")} <= closed) AS done FROM e)
+    SELECT unnest(['in', 'untimed', 'out', 'late']) AS status, unnest([n, untimed, done, 0]) AS rows FROM c""",
+)
+def stream_account(spark, sf):
+    """Rows that came in, had no time, left in closed windows, and were too late, from the ledger of the run.
+
+    The events come as one file, so that none of them is late.
+    """
+    path = scratch_path(spark, "account")
+    ledger = VersionedTable(spark, f"{path}/ledger")
+    run_accounted(event_stream(spark, sf), f"{path}/windows", ledger, "events", width="1 hour")
+    told = ledger.read().filter(F.col("status").isin("in", "untimed", "out", "late"))
+    return told.groupBy("status").agg(F.sum("rows").alias("rows"))
+
+
 @query(
     "t2_stream_merge",
     """SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
