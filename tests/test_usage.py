@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 from decimal import Decimal
 
 import pytest
@@ -11,7 +12,7 @@ from conftest import rows
 from tallyhouse.operators import aggregates, usage
 from tallyhouse.operators.filters import recent_rows, token_inventory
 from tallyhouse.operators.joins import gate_on_success
-from tallyhouse.sources.logs import LogStore, gram_slots
+from tallyhouse.sources.logs import SLOTS, LogStore, gram_slots
 
 
 def at(text):
@@ -155,3 +156,23 @@ def test_grams_of_texts(spark):
     data = spark.createDataFrame([("",), ("ab",), ("abc",), ("abcabc",), ("aé漢x",), (None,)], "t string")
     sizes = [len(r[0]) if r[0] is not None else None for r in data.select(gram_slots("t")).collect()]
     assert sizes == [0, 0, 1, 3, 2, 0]
+
+
+def test_index_of_long_lines_and_of_runs_in_many_blocks(spark, folder):
+    """Hashing a line once cut it anew for each of its characters: this took many minutes."""
+    data = spark.range(1_200).selectExpr("id % 3 AS job_id", "id % 2 AS run_number", "concat(repeat('añ漢', 2000), id, ' end') AS line")
+    store = LogStore(spark, f"{folder}/logs")
+    begun = time.monotonic()
+    store.add(data, buckets=4)
+    assert rows(store.search("漢77 e")) == [(j, r, 200, int((j, r) == (2, 1)), (j, r) == (2, 1)) for j in range(3) for r in range(2)]
+    assert time.monotonic() - begun < 120
+
+
+def test_index_of_another_hash_is_made_anew(spark, folder):
+    store = LogStore(spark, f"{folder}/logs")
+    store.add(spark.createDataFrame([("j", 1, "a needle")], "job_id string, run_number int, line string"), buckets=2)
+    store.index.replace(store.index.read().withColumn("grams", F.lit(bytes(SLOTS // 8))), f"lines@{store.lines.version()}")
+    with pytest.raises(LookupError):
+        store.search("needle")
+    store.catch_up()
+    assert rows(store.search("needle")) == [("j", 1, 1, 1, True)]
