@@ -1,5 +1,6 @@
 """Policies, role closure and audits on the stated cases."""
 
+import collections
 import datetime as dt
 import random
 
@@ -202,6 +203,70 @@ def test_reader_counts_equal_the_listed_readers(spark):
     assert roles.reader_bitmaps(audiences, edges, users).count() <= 9
 
 
+def readers_of(audiences, edges, users):
+    """Plain readers: the roles of a user by a walk, then every grant."""
+    up, users = {}, set(users)
+    for kind, member, role in edges:
+        up.setdefault((kind, member), set()).add(role)
+    found = set()
+    for name in users | {m for k, m, _ in edges if k == "user"}:
+        held, todo = set(), list(up.get(("user", name), ()))
+        while todo:
+            role = todo.pop()
+            if role not in held:
+                held.add(role)
+                todo += up.get(("role", role), ())
+        found |= {(s, name) for s, kind, g in audiences if kind == "role" and g in held}
+    found |= {(s, g) for s, kind, g in audiences if kind == "user" and g in users}
+    return found, {(s, g) for s, kind, g in audiences if kind in ("organization", "domain")}
+
+
+def graph_of_readers(n):
+    draw = random.Random(n)
+    users = [f"u{i}" for i in range(300)] + ["ALL_USERS"]
+    edges = [("user", u, f"r{draw.randrange(12)}") for u in users for _ in range(draw.choice((0, 1, 1, 3)))]
+    edges += [("role", f"r{draw.randrange(16)}", f"r{draw.randrange(16)}") for _ in range(14)] + [("user", "guest", "r1")]
+    audiences = [(f"s{draw.randrange(40)}", "role", f"r{draw.randrange(18)}") for _ in range(70)]
+    audiences += [(f"s{draw.randrange(45)}", "user", draw.choice([*users, "nobody", "guest"])) for _ in range(150)]
+    audiences += [("s1", "domain", "ALL_USERS"), ("s50", "organization", "ENTIRE_ORGANIZATION"), (None, "role", "r1"), (None, "user", "u1"), (None, "user", "u2")]
+    return audiences, edges, users
+
+
+@pytest.mark.parametrize("n, chunk", [(1, 1_000), (2, 3), (3, 1)])
+def test_readers_of_any_graph(spark, monkeypatch, n, chunk):
+    monkeypatch.setattr(roles, "CHUNK_USERS", chunk)
+    monkeypatch.setattr(roles, "TASK_READERS", 500 * chunk)
+    audiences, edges, users = graph_of_readers(n)
+    tables = (
+        spark.createDataFrame(audiences, "share_name string, grantee_type string, grantee_name string"),
+        spark.createDataFrame(edges, "member_type string, member_name string, role_name string"),
+        spark.createDataFrame([(u,) for u in users], "user_name string"),
+    )
+    some, whole = readers_of(audiences, edges, users)
+    got = [tuple(r) for r in roles.effective_readers(tables[0], roles.role_closure(tables[1]), tables[2]).collect()]
+    assert len(got) == len(set(got)) and set(got) == some | whole
+    counts = collections.Counter(s for s, _ in some)
+    want = [(s, k, False) for s, k in counts.items()] + [(s, len(users), True) for s, _ in whole]
+    assert rows(roles.reader_counts(*tables)) == sorted(want, key=repr)
+
+
+def exchanged_names(df):
+    """Exchanges after the names of users were unpacked."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    listed = next(i for i, line in enumerate(plan.splitlines()) if "explode(readers" in line)
+    return [line for line in plan.splitlines()[:listed] if "Exchange" in line or "Aggregate" in line]
+
+
+def test_listed_readers_are_not_shuffled(spark):
+    """They were made distinct in a shuffle of a row per share and reader."""
+    audiences, edges, users = graph_of_readers(4)
+    listed = roles.effective_readers(
+        spark.createDataFrame(audiences, "share_name string, grantee_type string, grantee_name string"),
+        roles.role_closure(spark.createDataFrame(edges, "member_type string, member_name string, role_name string")),
+        spark.createDataFrame([(u,) for u in users], "user_name string"))
+    assert exchanged_names(listed) == []
+
+
 def test_closure_of_a_long_chain_takes_few_rounds(spark):
     chain = [("role", f"r{i}", f"r{i + 1}") for i in range(40)]
     edges = spark.createDataFrame(chain, "member_type string, member_name string, role_name string")
