@@ -401,12 +401,13 @@ def class_readers(shares: DataFrame, reached: DataFrame, members: DataFrame) ->
     return lists.select("share_name", F.explode("readers").alias("reader"))
 
 
-def reader_bitmaps(audiences: DataFrame, edges: DataFrame, users: DataFrame) -> DataFrame:
-    """The readers of shares granted to roles and users: per share and block of user numbers one bitmap.
+def reader_sets(audiences: DataFrame, edges: DataFrame, users: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What reads a share, as bitmaps of user numbers: ``share_name, set`` of shares granted to roles, the bitmaps
+    ``set, block, bits`` of the sets of roles, and ``share_name, block, bits`` of users granted by name.
 
-    Users are numbered once. A role's own members are one bitmap per block,
-    and a share joins the roles that lead to its grants, so a share costs rows
-    for roles and blocks, never one per reader; the closure of users is not made.
+    Users are numbered once. A role's own members are one bitmap per block;
+    only roles that have members are followed to the granted ones, whose
+    bitmaps are made once. Shares granted to the same roles share theirs.
     """
     members = edges.filter("member_type = 'user'").select(F.col("role_name").alias("role"), F.col("member_name").alias("reader"))
     members = members.filter("role IS NOT NULL AND reader IS NOT NULL").distinct()
@@ -418,24 +419,53 @@ def reader_bitmaps(audiences: DataFrame, edges: DataFrame, users: DataFrame) ->
         block = F.bitmap_bucket_number("number").alias("block")
         return placed.groupBy(name, block).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
 
+    granted = audiences.filter("grantee_type = 'role'").select("share_name", F.col("grantee_name").alias("holds"))
+    granted = cut_lineage(with_set(granted, "share_name", "holds", "set"))
+    wanted = cut_lineage(granted.select("holds").distinct())
+    own = cut_lineage(bits(members, "role"))
     graph = edges.filter("member_type = 'role' AND member_name IS NOT NULL AND role_name IS NOT NULL")
     paths = role_paths(graph.select(F.col("member_name").alias("role"), F.col("role_name").alias("holds")))
-    granted = audiences.filter("grantee_type = 'role'").select("share_name", F.col("grantee_name").alias("holds")).distinct()
-    through = sized_join(granted, paths, ["holds"]).select("share_name", "role")
-    roles = granted.select("share_name", F.col("holds").alias("role")).unionByName(through).distinct()
-    by_role = roles.join(bits(members, "role"), "role").select("share_name", "block", "bits")
+    paths = sized_join(paths, wanted, ["holds"], "left_semi").select("holds", "role")
+    paths = paths.unionByName(wanted.select("holds", F.col("holds").alias("role"))).distinct()
+    by_role = merged_bits(sized_join(paths, own, ["role"]), "holds")
+    key = F.struct("set_a", "set_b").alias("set")
+    of_sets = in_tasks(granted.select(key, "holds").distinct(), "set")
+    by_set = merged_bits(sized_join(of_sets, cut_lineage(by_role), ["holds"]), "set")
     named = audiences.filter("grantee_type = 'user'").select("share_name", F.col("grantee_name").alias("reader"))
     named = sized_join(named, known.distinct(), ["reader"], "left_semi").distinct()
-    every = by_role.unionByName(bits(named, "share_name").select("share_name", "block", "bits"))
-    return every.groupBy("share_name", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return granted.select("share_name", key).distinct(), cut_lineage(by_set), cut_lineage(bits(named, "share_name"))
+
+
+def merged_bits(rows: DataFrame, name: str) -> DataFrame:
+    return rows.groupBy(name, "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def reader_bitmaps(audiences: DataFrame, edges: DataFrame, users: DataFrame) -> DataFrame:
+    """The readers of shares granted to roles and users: per share and block of user numbers one bitmap.
+
+    A share costs rows for blocks, never one per reader; the closure of users is not made.
+    """
+    shares, by_set, named = reader_sets(audiences, edges, users)
+    through = shares.join(by_set, "set").select("share_name", "block", "bits")
+    return merged_bits(through.unionByName(named), "share_name")
 
 
 def reader_counts(audiences: DataFrame, edges: DataFrame, users: DataFrame) -> DataFrame:
     """How many users can read each share: exactly as many as ``effective_readers`` lists, without listing them.
 
+    The bitmaps of a set of roles are counted once for all its shares. Only
+    in blocks where a share has users by name are the two put together.
     A share for everybody counts every user once and says so.
     """
-    some = reader_bitmaps(audiences, edges, users).groupBy("share_name").agg(F.sum(F.bitmap_count("bits")).alias("readers"))
+    shares, by_set, named = reader_sets(audiences, edges, users)
+    per_set = by_set.groupBy("set").agg(F.sum(F.bitmap_count("bits")).alias("n"))
+    through = shares.join(per_set, "set").select("share_name", "n")
+    shared = shares.withColumnRenamed("share_name", "share")  # null is a name like any other
+    here = named.select("share_name", "block").join(shared, same(F.col("share_name"), F.col("share")))
+    here = here.join(by_set, ["set", "block"]).select("share_name", "block", "bits")
+    less = here.select("share_name", (-F.bitmap_count("bits")).alias("n"))
+    more = merged_bits(named.unionByName(here), "share_name").select("share_name", F.bitmap_count("bits").alias("n"))
+    some = through.unionByName(less).unionByName(more).groupBy("share_name").agg(F.sum("n").alias("readers")).filter("readers > 0")
     total = users.select(F.count_distinct("user_name")).first()[0]
     whole = audiences.filter("grantee_type IN ('organization', 'domain')").select("share_name").distinct()
     everybody = whole.select("share_name", F.lit(total).cast("bigint").alias("readers"), F.lit(True).alias("everybody"))

@@ -267,6 +267,18 @@ def test_listed_readers_are_not_shuffled(spark):
     assert exchanged_names(listed) == []
 
 
+def test_shares_of_equal_roles_share_their_bitmaps(spark):
+    """A share had a row for each of the roles that lead to its own, with members or without."""
+    users = spark.range(50).selectExpr("concat('u', id) AS user_name")
+    edges = users.selectExpr("'user' AS member_type", "user_name AS member_name", "'r0' AS role_name")
+    edges = edges.unionByName(spark.range(1, 200).selectExpr("'role' AS member_type", "concat('r', id) AS member_name", "'top' AS role_name"))
+    edges = edges.unionByName(spark.createDataFrame([("role", "r0", "top")], edges.schema))
+    audiences = spark.range(300).selectExpr("concat('s', id) AS share_name", "'role' AS grantee_type", "'top' AS grantee_name")
+    shares, by_set, named = roles.reader_sets(audiences, edges, users)
+    assert (shares.count(), by_set.count(), named.count()) == (300, 1, 0)
+    assert rows(roles.reader_counts(audiences, edges, users), "readers", "everybody") == [(50, False)] * 300
+
+
 def test_closure_of_a_long_chain_takes_few_rounds(spark):
     chain = [("role", f"r{i}", f"r{i + 1}") for i in range(40)]
     edges = spark.createDataFrame(chain, "member_type string, member_name string, role_name string")
