@@ -267,6 +267,35 @@ def test_listed_readers_are_not_shuffled(spark):
     assert exchanged_names(listed) == []
 
 
+@pytest.mark.parametrize("targets", [1, 12])
+def test_chunks_of_shares_are_made_in_many_tasks(spark, monkeypatch, targets):
+    """One task made the rows of all shares and chunks, as the tables they come from are small."""
+    monkeypatch.setattr(roles, "CHUNK_USERS", 10)
+    monkeypatch.setattr(roles, "TASK_CHUNKS", 500, raising=False)
+    frame = type(spark.range(0))
+    most, plain = [], frame.repartition
+
+    def watched(df, number, *keys):
+        if "share_name" in df.columns and "chunk" in keys:
+            per_task = df.groupBy(F.spark_partition_id().alias("task")).count()
+            most.append(per_task.agg(F.max("count"), F.sum("count")).first())
+        return plain(df, number, *keys)
+
+    monkeypatch.setattr(frame, "repartition", watched)
+    users = [f"u{i}" for i in range(400)]
+    edges = [("user", u, f"r{i % 20}") for i, u in enumerate(users)]
+    edges += [("role", f"r{i}", f"t{i % targets}") for i in range(20)]
+    audiences = [(f"s{i}", "role", f"t{i % targets}") for i in range(300)]
+    listed = roles.effective_readers(
+        spark.createDataFrame(audiences, "share_name string, grantee_type string, grantee_name string"),
+        roles.role_closure(spark.createDataFrame(edges, "member_type string, member_name string, role_name string")),
+        spark.createDataFrame([(u,) for u in users], "user_name string"))
+    largest, every = most[0]
+    assert every >= 900 and largest <= every * 2 // 3
+    got = [tuple(r) for r in listed.collect()]
+    assert len(got) == len(set(got)) and set(got) == readers_of(audiences, edges, users)[0]
+
+
 def test_shares_of_equal_roles_share_their_bitmaps(spark):
     """A share had a row for each of the roles that lead to its own, with members or without."""
     users = spark.range(50).selectExpr("concat('u', id) AS user_name")
